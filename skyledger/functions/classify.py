@@ -206,8 +206,13 @@ def thousands(n: ColumnOrName) -> Column:
 
 
 def percent(ratio: ColumnOrName, digits: int = 1) -> Column:
-    """``0.1234`` -> ``'12.3%'``."""
-    return F.format_string(f"%.{digits}f%%", _c(ratio) * 100)
+    """``0.1234`` -> ``'12.3%'``, HALF_UP on the decimal value.
+
+    Rounding is done on a decimal, so ``0.1235`` gives ``'12.4%'`` whatever
+    the binary expansion of ``12.35`` is.
+    """
+    scaled = _c(ratio).cast("decimal(30,10)") * F.lit(100)
+    return F.format_string(f"%.{digits}f%%", F.round(scaled, digits).cast("double"))
 
 
 # F17 / F18 ----------------------------------------------------------------------

@@ -271,4 +271,99 @@ def queries() -> dict[str, str]:
              CAST(SUM(CASE WHEN norad_cat_id IS NOT NULL THEN 0 ELSE 1 END) AS BIGINT) AS valid_norad_id,
              CAST(SUM(CASE WHEN object_name IS NOT NULL THEN 0 ELSE 1 END) AS BIGINT) AS valid_object_name
       FROM objects"""
+    q.update(panel_queries())
+    return q
+
+
+def _gold_ctes() -> list[str]:
+    return [f"census AS ({CENSUS})", f"congestion AS ({CONGESTION})",
+            f"leaderboard AS ({LEADERBOARD})", f"growth AS ({CONSTELLATION})",
+            f"decay AS ({DECAY})", f"globe AS ({GLOBE})"]
+
+
+def _g(body: str) -> str:
+    return _with(*_gold_ctes()) + body
+
+
+def _thousands(c: str) -> str:
+    return f"format('{{:,}}', {c})"
+
+
+def _percent(c: str) -> str:
+    return f"printf('%.1f%%', ROUND(CAST({c} AS DECIMAL(30,10)) * 100, 1))"
+
+
+def panel_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["rollup_by_type"] = _g(
+        "SELECT object_type, CAST(SUM(object_count) AS BIGINT) AS object_count "
+        "FROM census GROUP BY object_type")
+    q["regime_breakdown"] = _g("""
+      SELECT orbital_regime,
+             CAST(SUM(CASE WHEN object_type = 'PAYLOAD' THEN object_count ELSE 0 END) AS BIGINT) AS payload,
+             CAST(SUM(CASE WHEN object_type = 'DEBRIS' THEN object_count ELSE 0 END) AS BIGINT) AS debris,
+             CAST(SUM(CASE WHEN object_type = 'PAYLOAD' OR object_type = 'DEBRIS' THEN 0
+                           ELSE object_count END) AS BIGINT) AS rocket_body,
+             CASE orbital_regime WHEN 'LEO' THEN 'Low Earth Orbit'
+                  WHEN 'MEO' THEN 'Medium Earth Orbit' WHEN 'GEO' THEN 'Geostationary Orbit'
+                  WHEN 'HEO' THEN 'Highly Elliptical Orbit' ELSE orbital_regime END AS regime_label
+      FROM census GROUP BY orbital_regime""")
+    q["total_objects"] = _g(
+        "SELECT CAST(COALESCE(SUM(object_count), 0) AS BIGINT) AS total_objects FROM census")
+    q["headline_counts"] = _g(f"""
+      SELECT total_objects, payloads, debris, rocket_bodies,
+             {_thousands('total_objects')} AS total_objects_text
+      FROM (SELECT CAST(COALESCE(SUM(object_count), 0) AS BIGINT) AS total_objects,
+                   CAST(COALESCE(SUM(CASE WHEN object_type = 'PAYLOAD' THEN object_count ELSE 0 END), 0) AS BIGINT) AS payloads,
+                   CAST(COALESCE(SUM(CASE WHEN object_type = 'DEBRIS' THEN object_count ELSE 0 END), 0) AS BIGINT) AS debris,
+                   CAST(COALESCE(SUM(CASE WHEN object_type = 'ROCKET BODY' THEN object_count ELSE 0 END), 0) AS BIGINT) AS rocket_bodies
+            FROM census) t""")
+    q["reband_congestion"] = _g("""
+      SELECT CAST(FLOOR(altitude_band_km / 200) * 200 AS INTEGER) AS altitude_band_km,
+             CAST(SUM(active_count) AS BIGINT) AS active_count,
+             CAST(SUM(debris_count) AS BIGINT) AS debris_count
+      FROM congestion GROUP BY 1""")
+    q["type_share"] = _g("""
+      SELECT object_type, object_count, share,
+             CAST(ROUND(share * 100, 0) AS INTEGER) AS percent,
+             CASE upper(object_type) WHEN 'PAYLOAD' THEN '#22c55e' WHEN 'DEBRIS' THEN '#ef4444'
+                  WHEN 'ROCKET BODY' THEN '#eab308' ELSE '#94a3b8' END AS color
+      FROM (SELECT object_type, object_count,
+                   CASE WHEN SUM(object_count) OVER () <> 0
+                        THEN object_count / SUM(object_count) OVER () END AS share
+            FROM (SELECT object_type, CAST(SUM(object_count) AS BIGINT) AS object_count
+                  FROM census GROUP BY object_type) b) s""")
+    q["points_by_type"] = _g("""
+      SELECT COALESCE(NULLIF(upper(object_type), ''), 'UNKNOWN') AS type_key, COUNT(*) AS points
+      FROM globe GROUP BY 1""")
+    q["visible_objects"] = _g("""
+      SELECT * FROM globe
+      WHERE COALESCE(NULLIF(upper(object_type), ''), 'UNKNOWN') NOT IN ('DEBRIS', 'UNKNOWN')""")
+    q["top_countries"] = _g(
+        "SELECT * FROM leaderboard ORDER BY total_objects DESC, country NULLS LAST LIMIT 15")
+    q["country_page"] = _g(f"""
+      SELECT rank, country, total_objects, payload_count, debris_count, rocket_body_count,
+             debris_ratio, {_thousands('total_objects')} AS total_text,
+             {_percent('debris_ratio')} AS debris_pct,
+             CASE WHEN debris_ratio > 0.6 THEN 'red' WHEN debris_ratio > 0.3 THEN 'yellow'
+                  ELSE 'green' END AS debris_tier
+      FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY total_objects DESC, country NULLS LAST) AS rank
+            FROM leaderboard) r
+      WHERE rank BETWEEN 1 AND 20""")
+    q["country_page_count"] = _g(
+        "SELECT COUNT(*) AS rows, CAST(CEIL(COUNT(*) / 20) AS BIGINT) AS pages FROM leaderboard")
+    q["top_constellations"] = _g("""
+      SELECT constellation, total_objects, active_count,
+             format('{:,}', total_objects) AS total_text,
+             CAST(ROUND(avg_altitude_km, 0) AS BIGINT) AS avg_altitude_km_rounded
+      FROM growth ORDER BY total_objects DESC, constellation NULLS LAST LIMIT 3""")
+    q["decay_page"] = _g("""
+      SELECT rank, norad_cat_id, object_name, object_type, country, perigee_km, apogee_km,
+             decay_risk, perigee_km < 300 AS low_perigee
+      FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY perigee_km NULLS LAST,
+                                                  norad_cat_id NULLS LAST) AS rank
+            FROM decay) r
+      WHERE rank BETWEEN 21 AND 40""")
+    q["decay_page_count"] = _g(
+        "SELECT COUNT(*) AS rows, CAST(CEIL(COUNT(*) / 20) AS BIGINT) AS pages FROM decay")
     return q

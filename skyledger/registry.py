@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .operators.quality import OBJECT_EXPECTATIONS, violation_counts
-from .plans import gold, silver
+from .plans import gold, panels, silver
 from .plans.pipeline import objects_from_testdata
 from .sources.adapters import load_feeds
 
@@ -53,3 +53,33 @@ _on_objects("constellation_growth", gold.constellation_growth)
 _on_objects("decay_tracker", gold.decay_tracker)
 _on_objects("globe_data", gold.globe_data)
 _on_objects("quality_report", violation_counts, rules=OBJECT_EXPECTATIONS)
+
+
+# Panels: roll-ups over the gold tables ---------------------------------------
+def _census(spark, sf_dir):
+    return gold.orbital_census(objects_from_testdata(spark, sf_dir), oracle.SNAPSHOT_DATE)
+
+
+def _gold_of(fn):
+    return lambda spark, sf_dir: fn(objects_from_testdata(spark, sf_dir))
+
+
+def _panel(name: str, fn, source) -> None:
+    QUERIES[name] = lambda spark, sf_dir: fn(source(spark, sf_dir))
+
+
+_panel("rollup_by_type", panels.rollup_by_type, _census)
+_panel("regime_breakdown", panels.regime_breakdown, _census)
+_panel("total_objects", panels.total_objects, _census)
+_panel("headline_counts", panels.headline_counts, _census)
+_panel("reband_congestion", panels.reband, _gold_of(gold.congestion_metrics))
+_panel("type_share", lambda c: panels.type_share(panels.rollup_by_type(c)), _census)
+_panel("points_by_type", panels.points_by_type, _gold_of(gold.globe_data))
+_panel("visible_objects", lambda g: panels.visible_objects(g, ["DEBRIS", "UNKNOWN"]),
+       _gold_of(gold.globe_data))
+_panel("top_countries", panels.top_countries, _gold_of(gold.country_leaderboard))
+_panel("country_page", lambda lb: panels.country_page(lb, 0), _gold_of(gold.country_leaderboard))
+_panel("country_page_count", panels.country_pages, _gold_of(gold.country_leaderboard))
+_panel("top_constellations", panels.top_constellations, _gold_of(gold.constellation_growth))
+_panel("decay_page", lambda d: panels.decay_page(d, 1), _gold_of(gold.decay_tracker))
+_panel("decay_page_count", panels.country_pages, _gold_of(gold.decay_tracker))

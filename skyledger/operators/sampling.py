@@ -47,7 +47,7 @@ def quota_sample(df: DataFrame, by: str, quotas: dict[str, int], order: str,
     return (cand.join(F.broadcast(kept), [by, "_bucket"])
                 .withColumn("_rank", F.col("_before") + F.row_number().over(inside))
                 .where(F.col("_rank") <= F.col("_quota"))
-                .drop("_bucket", "_before", "_quota", "_rank"))
+                .select(*df.columns))
 
 
 def quota_sample_by_limits(df: DataFrame, by: str, quotas: dict[str, int],

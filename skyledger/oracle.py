@@ -272,6 +272,12 @@ def queries() -> dict[str, str]:
              CAST(SUM(CASE WHEN object_name IS NOT NULL THEN 0 ELSE 1 END) AS BIGINT) AS valid_object_name
       FROM objects"""
     q.update(panel_queries())
+    q["bronze_satcat"] = ("WITH satcat_like AS (" + SATCAT_LIKE + ") SELECT NORAD_CAT_ID, SATNAME, "
+                          "OBJECT_ID, OBJECT_TYPE, COUNTRY, LAUNCH, DECAY, PERIOD, APOGEE, PERIGEE, "
+                          "RCS_SIZE, CURRENT_FLAG FROM satcat_like")
+    q["bronze_gp"] = ("WITH gp_like AS (" + GP_LIKE + ") SELECT NORAD_CAT_ID, EPOCH, MEAN_MOTION, "
+                      "ECCENTRICITY, INCLINATION, RA_OF_ASC_NODE, ARG_OF_PERICENTER, MEAN_ANOMALY, "
+                      "BSTAR, REV_AT_EPOCH, TLE_LINE1, TLE_LINE2 FROM gp_like")
     return q
 
 

@@ -34,16 +34,18 @@ DERIVED_COLUMNS = ["orbital_regime", "object_category", "is_debris", "is_active"
 OBJECT_COLUMNS = SATCAT_COLUMNS + GP_COLUMNS + DERIVED_COLUMNS
 
 
+# Lineage columns, most significant first: collection time, ingestion time,
+# then what makes a raw row unique (a sequence number, or file + position).
+LINEAGE_ORDER = ["_collected_at", "_ingestion_ts", "_seq", "_source_file", "_record_index"]
+
+
 def _lineage(raw: DataFrame) -> list[Column]:
-    return [F.col(c) for c in ("_ingestion_ts", "_seq") if c in raw.columns]
+    return [F.col(c) for c in LINEAGE_ORDER if c in raw.columns]
 
 
 def _newest_first(raw: DataFrame, *first: Column) -> list[Column]:
-    """Order list: given columns, then ingestion time, then the unique ``_seq``."""
-    order = list(first) + [F.desc("_ingestion_ts")]
-    if "_seq" in raw.columns:
-        order.append(F.desc("_seq"))
-    return order
+    """Order list: the given columns, then every lineage column present, newest first."""
+    return list(first) + [F.desc(c) for c in LINEAGE_ORDER if c in raw.columns]
 
 
 def _current_flag(raw: DataFrame) -> Column:

@@ -83,3 +83,39 @@ _panel("country_page_count", panels.country_pages, _gold_of(gold.country_leaderb
 _panel("top_constellations", panels.top_constellations, _gold_of(gold.constellation_growth))
 _panel("decay_page", lambda d: panels.decay_page(d, 1), _gold_of(gold.decay_tracker))
 _panel("decay_page_count", panels.country_pages, _gold_of(gold.decay_tracker))
+
+
+# Bronze: landed envelopes drained by a triggered stream ------------------------
+def _bronze(spark, sf_dir, names=("satcat", "gp")):
+    from .session import scratch_path
+    from .sources.adapters import GP_FIELDS, SATCAT_FIELDS, land_feed
+    from .streaming.bronze import ingest_envelopes, read_bronze
+    satcat_raw, gp_raw = load_feeds(spark, sf_dir)
+    root = scratch_path(spark, "bronze-run")
+    out = {}
+    for name, raw, fields in (("satcat", satcat_raw, SATCAT_FIELDS), ("gp", gp_raw, GP_FIELDS)):
+        if name not in names:
+            continue
+        land_feed(raw, f"{root}/landing/{name}", name, fields)
+        ingest_envelopes(spark, f"{root}/landing/{name}", f"{root}/bronze/{name}",
+                         f"{root}/checkpoints/{name}")
+        out[name] = read_bronze(spark, f"{root}/bronze/{name}")
+    return out
+
+
+@register("bronze_satcat")
+def _bronze_satcat(spark, sf_dir):
+    from .sources.adapters import SATCAT_FIELDS
+    return _bronze(spark, sf_dir, ("satcat",))["satcat"].select(*SATCAT_FIELDS)
+
+
+@register("bronze_gp")
+def _bronze_gp(spark, sf_dir):
+    from .sources.adapters import GP_FIELDS
+    return _bronze(spark, sf_dir, ("gp",))["gp"].select(*GP_FIELDS)
+
+
+@register("space_objects_from_bronze")
+def _objects_from_bronze(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    return silver.space_objects(b["satcat"], b["gp"])

@@ -118,3 +118,21 @@ def load_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(satcat_raw, gp_raw) for a test-data directory."""
     orders = read_table(spark, sf_dir, "orders")
     return satcat_like(orders), gp_like(orders)
+
+
+SATCAT_FIELDS = ["NORAD_CAT_ID", "SATNAME", "OBJECT_ID", "OBJECT_TYPE", "COUNTRY", "LAUNCH",
+                 "DECAY", "PERIOD", "APOGEE", "PERIGEE", "RCS_SIZE", "CURRENT_FLAG"]
+GP_FIELDS = ["NORAD_CAT_ID", "EPOCH", "MEAN_MOTION", "ECCENTRICITY", "INCLINATION",
+             "RA_OF_ASC_NODE", "ARG_OF_PERICENTER", "MEAN_ANOMALY", "BSTAR", "REV_AT_EPOCH",
+             "TLE_LINE1", "TLE_LINE2"]
+
+
+def land_feed(raw: DataFrame, path: str, dataset: str, fields: list[str],
+              max_records: int | None = None) -> None:
+    """Land a derived feed as envelope files: one collection per month of
+    ``_ingestion_ts``, records in (time, ``_seq``) order inside a file."""
+    from .envelopes import DEFAULT_MAX_RECORDS, write_envelopes
+    write_envelopes(raw, path, dataset, fields,
+                    collected_at=F.date_trunc("month", F.col("_ingestion_ts")),
+                    seq=F.col("_seq"), order=[F.col("_ingestion_ts")],
+                    max_records=max_records or DEFAULT_MAX_RECORDS)

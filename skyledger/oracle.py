@@ -278,6 +278,19 @@ def queries() -> dict[str, str]:
     q["bronze_gp"] = ("WITH gp_like AS (" + GP_LIKE + ") SELECT NORAD_CAT_ID, EPOCH, MEAN_MOTION, "
                       "ECCENTRICITY, INCLINATION, RA_OF_ASC_NODE, ARG_OF_PERICENTER, MEAN_ANOMALY, "
                       "BSTAR, REV_AT_EPOCH, TLE_LINE1, TLE_LINE2 FROM gp_like")
+    q["export_round_trip"] = _with() + DECAY
+    q["export_manifest"] = _with(*_gold_ctes()[:6]) + """
+      SELECT ['congestion_metrics', 'constellation_growth', 'country_leaderboard',
+              'decay_tracker', 'globe_data', 'orbital_census'] AS tables,
+             MAP {'orbital_census': 'orbital_census.json',
+                  'congestion_metrics': 'congestion_metrics.json',
+                  'country_leaderboard': 'country_leaderboard.json',
+                  'constellation_growth': 'constellation_growth.json',
+                  'decay_tracker': 'decay_tracker.json',
+                  'globe_data': 'globe_data.json'} AS endpoints,
+             CAST((SELECT COUNT(*) FROM census) + (SELECT COUNT(*) FROM congestion)
+                + (SELECT COUNT(*) FROM leaderboard) + (SELECT COUNT(*) FROM growth)
+                + (SELECT COUNT(*) FROM decay) + (SELECT COUNT(*) FROM globe) AS BIGINT) AS total_rows"""
     return q
 
 

@@ -119,3 +119,34 @@ def _bronze_gp(spark, sf_dir):
 def _objects_from_bronze(spark, sf_dir):
     b = _bronze(spark, sf_dir)
     return silver.space_objects(b["satcat"], b["gp"])
+
+
+# Export: written JSON read back, manifest, landing inventory -------------------
+@register("export_round_trip")
+def _export_round_trip(spark, sf_dir):
+    """decay_tracker exported as JSON and read back with its schema."""
+    from .session import scratch_path
+    from .sources.export import export_json, read_export
+    table = gold.decay_tracker(objects_from_testdata(spark, sf_dir))
+    base = scratch_path(spark, "export")
+    export_json(table, base, "decay_tracker")
+    return read_export(spark, base, "decay_tracker", table.schema)
+
+
+@register("export_manifest")
+def _export_manifest(spark, sf_dir):
+    """All six gold tables exported; the manifest row."""
+    from .session import scratch_path
+    from .sources.export import export_all
+    objects = objects_from_testdata(spark, sf_dir)
+    tables = {name: (fn(objects, oracle.SNAPSHOT_DATE) if name == "orbital_census" else fn(objects))
+              for name, fn in gold.GOLD_TABLES.items()}
+    _, manifest = export_all(spark, tables, scratch_path(spark, "export-all"))
+    return manifest.drop("exported_at", "total_bytes")
+
+
+@register("file_inventory")
+def _file_inventory(spark, sf_dir):
+    """Files and bytes of the input tables (the landing-area check)."""
+    from .sources.export import file_inventory
+    return file_inventory(spark, sf_dir, "*.parquet")

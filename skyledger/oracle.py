@@ -278,6 +278,10 @@ def queries() -> dict[str, str]:
     q["bronze_gp"] = ("WITH gp_like AS (" + GP_LIKE + ") SELECT NORAD_CAT_ID, EPOCH, MEAN_MOTION, "
                       "ECCENTRICITY, INCLINATION, RA_OF_ASC_NODE, ARG_OF_PERICENTER, MEAN_ANOMALY, "
                       "BSTAR, REV_AT_EPOCH, TLE_LINE1, TLE_LINE2 FROM gp_like")
+    from . import oracle_positions as OP
+    from .registry import POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0
+    q["tle_fields"] = OP.tle_fields_sql()
+    q["position_grid"] = OP.position_grid_sql(POSITION_T0, POSITION_STEPS, POSITION_STEP_SECONDS)
     q["export_round_trip"] = _with() + DECAY
     q["export_manifest"] = _with(*_gold_ctes()[:6]) + """
       SELECT ['congestion_metrics', 'constellation_growth', 'country_leaderboard',

@@ -150,3 +150,23 @@ def _file_inventory(spark, sf_dir):
     """Files and bytes of the input tables (the landing-area check)."""
     from .sources.export import file_inventory
     return file_inventory(spark, sf_dir, "*.parquet")
+
+
+# TLE fields and positions --------------------------------------------------------
+POSITION_T0 = "1998-08-03T00:00:00"
+POSITION_STEPS = 4
+POSITION_STEP_SECONDS = 30
+
+
+@register("tle_fields")
+def _tle_fields(spark, sf_dir):
+    from .functions.tle import parse_tle
+    objects = objects_from_testdata(spark, sf_dir).where("tle_line1 IS NOT NULL")
+    return parse_tle(objects.select("norad_cat_id", "tle_line1", "tle_line2"))
+
+
+@register("position_grid")
+def _position_grid(spark, sf_dir):
+    from .plans.positions import position_grid
+    return position_grid(objects_from_testdata(spark, sf_dir), POSITION_T0,
+                         POSITION_STEPS, POSITION_STEP_SECONDS)

@@ -282,6 +282,8 @@ def queries() -> dict[str, str]:
     from .registry import POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0
     q["tle_fields"] = OP.tle_fields_sql()
     q["position_grid"] = OP.position_grid_sql(POSITION_T0, POSITION_STEPS, POSITION_STEP_SECONDS)
+    from .registry import SNAPSHOT_CUTOFF
+    q.update(history_queries(SNAPSHOT_CUTOFF))
     q["export_round_trip"] = _with() + DECAY
     q["export_manifest"] = _with(*_gold_ctes()[:6]) + """
       SELECT ['congestion_metrics', 'constellation_growth', 'country_leaderboard',
@@ -390,3 +392,87 @@ def panel_queries() -> dict[str, str]:
     q["decay_page_count"] = _g(
         "SELECT COUNT(*) AS rows, CAST(CEIL(COUNT(*) / 20) AS BIGINT) AS pages FROM decay")
     return q
+
+
+def _objects_as_of(prefix: str, cutoff: str) -> str:
+    """The object CTE chain over feed rows ingested before ``cutoff``, renamed."""
+    body = _OBJECTS
+    for name in ("satcat_like", "gp_like", "sat_ranked", "gp_ranked", "objects"):
+        body = body.replace(f"{name} AS (", f"{prefix}{name} AS (")
+        body = body.replace(f"FROM {name}", f"FROM {prefix}{name}")
+    body = body.replace(f"{prefix}satcat_like AS ({SATCAT_LIKE})",
+                        f"{prefix}satcat_like AS (SELECT * FROM ({SATCAT_LIKE}) x "
+                        f"WHERE _ingestion_ts < TIMESTAMP '{cutoff}')")
+    body = body.replace(f"{prefix}gp_like AS ({GP_LIKE})",
+                        f"{prefix}gp_like AS (SELECT * FROM ({GP_LIKE}) x "
+                        f"WHERE _ingestion_ts < TIMESTAMP '{cutoff}')")
+    body = body.replace("FROM sat_ranked s", f"FROM {prefix}sat_ranked s")
+    body = body.replace("LEFT JOIN gp_ranked g", f"LEFT JOIN {prefix}gp_ranked g")
+    return body.strip()
+
+
+_TRACKED = ["object_name", "object_type", "country", "decay_date", "apogee_km", "perigee_km",
+            "orbital_regime", "object_category"]
+
+
+def history_queries(cutoff: str) -> dict[str, str]:
+    two_pi_day = repr(2 * 3.141592653589793 / 86400.0)
+    mu, re_ = "398600.4418", "6378.137"
+    q: dict[str, str] = {}
+    q["altitude_trend"] = f"""
+      WITH gp_like AS ({GP_LIKE}),
+      h AS (
+        SELECT TRY_CAST(NORAD_CAT_ID AS INTEGER) AS norad_cat_id,
+               TRY_CAST(EPOCH AS TIMESTAMP) AS epoch,
+               epoch_us(TRY_CAST(EPOCH AS TIMESTAMP)) / 86400e6 AS d,
+               pow({mu} / ((TRY_CAST(MEAN_MOTION AS DOUBLE) * {two_pi_day})
+                           * (TRY_CAST(MEAN_MOTION AS DOUBLE) * {two_pi_day})), {repr(1.0 / 3.0)})
+                 - {re_} AS alt
+        FROM gp_like
+        WHERE TRY_CAST(EPOCH AS TIMESTAMP) IS NOT NULL AND TRY_CAST(MEAN_MOTION AS DOUBLE) > 0)
+      SELECT norad_cat_id, COUNT(*) AS epochs, MIN(epoch) AS first_epoch, MAX(epoch) AS last_epoch,
+             arg_min(alt, {{'e': epoch, 'a': alt}}) AS first_alt_km,
+             arg_max(alt, {{'e': epoch, 'a': alt}}) AS last_alt_km,
+             regr_slope(alt, d) AS alt_slope_km_per_day
+      FROM h GROUP BY norad_cat_id"""
+    q["catalogue_upsert"] = _with() + """
+      SELECT norad_cat_id, object_name, intl_designator, object_type, country, launch_date,
+             decay_date, period_min, apogee_km, perigee_km, rcs_size, is_current
+      FROM sat_ranked WHERE rn = 1"""
+    past = _objects_as_of("p_", cutoff)
+    diff = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in _TRACKED)
+    cols_old = ", ".join(f"o.{c} AS old_{c}" for c in _TRACKED)
+    cols_new = ", ".join(f"n.{c} AS new_{c}" for c in _TRACKED)
+    q["change_feed"] = _with(past) + f"""
+      SELECT COALESCE(o.norad_cat_id, n.norad_cat_id) AS norad_cat_id,
+             CASE WHEN o.norad_cat_id IS NULL THEN 'insert'
+                  WHEN n.norad_cat_id IS NULL THEN 'delete' ELSE 'update' END AS change,
+             {cols_old}, {cols_new}
+      FROM p_objects o FULL OUTER JOIN objects n ON o.norad_cat_id = n.norad_cat_id
+      WHERE o.norad_cat_id IS NULL OR n.norad_cat_id IS NULL OR {diff}"""
+    past_census = CENSUS.replace("FROM objects", "FROM p_objects")
+    q["census_change"] = _with(past, f"pc AS ({past_census})", f"nc AS ({CENSUS})") + """
+      SELECT COALESCE(pc.object_type, nc.object_type) AS object_type,
+             COALESCE(pc.orbital_regime, nc.orbital_regime) AS orbital_regime,
+             COALESCE(pc.country, nc.country) AS country,
+             CAST(COALESCE(pc.object_count, 0) AS BIGINT) AS past_count,
+             CAST(COALESCE(nc.object_count, 0) AS BIGINT) AS present_count,
+             CAST(COALESCE(nc.object_count, 0) AS BIGINT) - CAST(COALESCE(pc.object_count, 0) AS BIGINT) AS delta
+      FROM pc FULL OUTER JOIN nc
+        ON pc.object_type IS NOT DISTINCT FROM nc.object_type
+       AND pc.orbital_regime IS NOT DISTINCT FROM nc.orbital_regime
+       AND pc.country IS NOT DISTINCT FROM nc.country"""
+    q["growth_by_launch_year"] = _with() + f"""
+      SELECT launch_year, launched, debris_launched,
+             CAST(SUM(launched) OVER (ORDER BY launch_year ROWS BETWEEN UNBOUNDED PRECEDING
+                                      AND CURRENT ROW) AS BIGINT) AS cumulative
+      FROM (SELECT CAST(year(launch_date) AS INTEGER) AS launch_year, COUNT(*) AS launched,
+                   {_cif('is_debris')} AS debris_launched
+            FROM objects WHERE launch_date IS NOT NULL GROUP BY 1) y"""
+    q["altitude_inclination_heatmap"] = _with() + f"""
+      SELECT CAST(FLOOR(apogee_km / 500) * 500 AS INTEGER) AS altitude_band_km,
+             CAST(FLOOR(inclination / 10) * 10 AS INTEGER) AS inclination_band_deg,
+             COUNT(*) AS objects, {_cif('is_debris')} AS debris, {_cif('is_active')} AS active
+      FROM objects WHERE apogee_km IS NOT NULL AND inclination IS NOT NULL
+      GROUP BY 1, 2"""
+    return q

@@ -170,3 +170,48 @@ def _position_grid(spark, sf_dir):
     from .plans.positions import position_grid
     return position_grid(objects_from_testdata(spark, sf_dir), POSITION_T0,
                          POSITION_STEPS, POSITION_STEP_SECONDS)
+
+
+# Element history and snapshots -------------------------------------------------
+SNAPSHOT_CUTOFF = "1996-01-01"
+
+
+@register("altitude_trend")
+def _altitude_trend(spark, sf_dir):
+    from .plans.history import altitude_trend
+    _, gp_raw = load_feeds(spark, sf_dir)
+    return altitude_trend(gp_raw)
+
+
+@register("catalogue_upsert")
+def _catalogue_upsert(spark, sf_dir):
+    from .plans.history import catalogue_upsert
+    satcat_raw, _ = load_feeds(spark, sf_dir)
+    return catalogue_upsert(satcat_raw, SNAPSHOT_CUTOFF)
+
+
+def _past_and_present(spark, sf_dir):
+    from .plans.history import feeds_as_of
+    satcat_raw, gp_raw = load_feeds(spark, sf_dir)
+    past = silver.space_objects(*feeds_as_of(satcat_raw, gp_raw, SNAPSHOT_CUTOFF))
+    return past, silver.space_objects(satcat_raw, gp_raw)
+
+
+@register("change_feed")
+def _change_feed(spark, sf_dir):
+    from .plans.history import change_feed
+    return change_feed(*_past_and_present(spark, sf_dir))
+
+
+@register("census_change")
+def _census_change(spark, sf_dir):
+    from .plans.history import census_change
+    past, present = _past_and_present(spark, sf_dir)
+    return census_change(gold.orbital_census(past), gold.orbital_census(present))
+
+
+_on_objects("growth_by_launch_year",
+            lambda o: __import__("skyledger.plans.history", fromlist=["x"]).growth_by_launch_year(o))
+_on_objects("altitude_inclination_heatmap",
+            lambda o: __import__("skyledger.plans.history",
+                                 fromlist=["x"]).altitude_inclination_heatmap(o))

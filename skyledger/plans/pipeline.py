@@ -41,6 +41,10 @@ def run_batch(spark: SparkSession, satcat_raw: DataFrame, gp_raw: DataFrame,
         silver.fragmentation_events(satcat_raw), base, "fragmentation_events", "silver")
     stored = read_layer(spark, base, "space_objects")
     for name, fn in gold.GOLD_TABLES.items():
-        df = fn(stored, snapshot_date) if name == "orbital_census" else fn(stored)
-        res.tables[name] = write_table(df, base, name, "gold")
+        if name == "orbital_census":
+            # census keeps one partition per snapshot date (history of runs)
+            res.tables[name] = write_table(fn(stored, snapshot_date), base, name, "gold",
+                                           partition_by=["snapshot_date"])
+        else:
+            res.tables[name] = write_table(fn(stored), base, name, "gold")
     return res

@@ -14,10 +14,26 @@ from . import oracle
 from .operators.quality import OBJECT_EXPECTATIONS, violation_counts
 from .plans import gold, panels, silver
 from .plans.pipeline import objects_from_testdata
+from .session import ensure_conf
 from .sources.adapters import load_feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+
+
+class _Registry(dict):
+    """Every registered query first applies the required session settings
+    (UTC session zone, AQE), whatever session the caller passes in."""
+
+    def __setitem__(self, name: str, fn: Query) -> None:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_conf(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = f"query_{name}"
+        run.__doc__ = fn.__doc__
+        super().__setitem__(name, run)
+
+
+QUERIES: dict[str, Query] = _Registry()
 
 
 def register(name: str):

@@ -24,15 +24,21 @@ REQUIRED_CONF = {
 }
 
 
+def ensure_conf(spark: SparkSession) -> SparkSession:
+    """Apply the settings the library's semantics rely on to a given session."""
+    for k, v in REQUIRED_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def get_session(master: str | None = None, app: str = "skyledger",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
     """Return the active session, or build a local one for tests/bench."""
     active = SparkSession.getActiveSession()
     if active is not None:
-        for k, v in REQUIRED_CONF.items():
-            active.conf.set(k, v)
-        return active
+        return ensure_conf(active)
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)

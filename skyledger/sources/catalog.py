@@ -35,7 +35,9 @@ def write_table(df: DataFrame, base: str, name: str, layer: str,
     path = table_path(base, name)
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # Replace only the partitions present in ``df`` (e.g. today's
+        # snapshot); earlier snapshots stay readable with partition pruning.
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     props = df.sparkSession.createDataFrame(
         [(name, layer, comment, _dt.datetime.now(_dt.timezone.utc).isoformat())],
@@ -59,3 +61,11 @@ def load_gold(spark: SparkSession, base: str, name: str) -> DataFrame:
     if name not in GOLD_TABLE_NAMES:
         raise ValueError(f"invalid table name: {name!r}")
     return read_layer(spark, base, name)
+
+
+def read_snapshot(spark: SparkSession, base: str, name: str, snapshot_date: str) -> DataFrame:
+    """One snapshot of a table partitioned by ``snapshot_date`` (partition pruning:
+    only that directory is listed and read)."""
+    from pyspark.sql import functions as F
+    return (read_layer(spark, base, name)
+            .where(F.col("snapshot_date") == F.lit(snapshot_date).cast("date")))

@@ -89,3 +89,16 @@ def test_display_formatters(spark):
         ("0.0%", "0", "green", "UNKNOWN", "#94a3b8", "Medium Earth Orbit"),
         ("61.0%", "5", "red", "UNKNOWN", "#94a3b8", "Medium Earth Orbit"),
     ]
+
+
+def test_small_helpers(spark):
+    from skyledger.plans.panels import reference_bands
+    df = spark.createDataFrame([("debris", "2026-01-02T03:04:05+00:00", 1.5, 2.5)],
+                               "t string, ts string, a double, b double")
+    r = df.select(C.type_rgba("t"), C.iso_date_part("ts"), C.km_to_m("a"),
+                  C.round_half_up("a"), C.round_half_up("b"), C.low_perigee(F.lit(299))).first()
+    assert list(r[0]) == [239, 68, 68, 180]
+    assert r[1] == "2026-01-02" and r[2] == 1500.0
+    assert (r[3], r[4], r[5]) == (2.0, 3.0, True)
+    assert [tuple(x) for x in reference_bands(spark).collect()] == [
+        ("LEO", 2000), ("MEO", 20200), ("GEO", 35786)]

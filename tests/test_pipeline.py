@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from skyledger.plans import gold
 from skyledger.plans.pipeline import objects_from_testdata, run_batch
 from skyledger.sources.adapters import load_feeds
-from skyledger.sources.catalog import load_gold, read_layer, table_properties
+from skyledger.sources.catalog import load_gold, read_layer, read_snapshot, table_properties
 from skyledger.sources.export import ExportError, export_all, file_inventory, read_export
 
 
@@ -25,6 +25,13 @@ def test_run_batch_writes_all_layers(spark, scratch):
     assert lb.exceptAll(direct).count() == 0 and direct.exceptAll(lb).count() == 0
     with pytest.raises(ValueError):
         load_gold(spark, scratch, "space_objects")
+    # a second snapshot adds a partition and leaves the first one in place
+    run_batch(spark, satcat_raw, gp_raw, scratch, snapshot_date="2026-02-01")
+    first = read_snapshot(spark, scratch, "orbital_census", "2026-01-01")
+    second = read_snapshot(spark, scratch, "orbital_census", "2026-02-01")
+    assert first.count() == second.count() > 0
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
 
 
 def test_export_round_trip_and_failure(spark, scratch):

@@ -37,3 +37,17 @@ def mean(c: Column | str, digits: int | None = None) -> Column:
     """
     a = F.avg(_c(c))
     return a if digits is None else F.round(a, digits)
+
+
+def exact_mean(c: Column | str, scale: int = 12) -> Column:
+    """Mean of a measured double, reproducible to the last bit.
+
+    Each value is taken at ``scale`` decimals (its shortest decimal text,
+    rounded), summed exactly as ``decimal(38, scale)`` and divided once by the
+    count.  Unlike ``avg`` on doubles, the result does not depend on how rows
+    were split across tasks or in what order partial sums were merged.
+    """
+    x = _c(c)
+    total = F.sum(x.cast(f"decimal(38,{scale})")).cast("double")
+    n = F.count(x)
+    return F.when(n > 0, total / n)

@@ -164,8 +164,8 @@ CONGESTION = f"""
            COUNT(*) AS total_objects,
            {_cif('is_debris')} AS debris_count,
            {_cif('is_active')} AS active_count,
-           AVG(eccentricity) AS avg_eccentricity,
-           AVG(inclination) AS avg_inclination
+           CAST(SUM(CAST(eccentricity AS DECIMAL(38,12))) AS DOUBLE) / COUNT(eccentricity) AS avg_eccentricity,
+           CAST(SUM(CAST(inclination AS DECIMAL(38,12))) AS DOUBLE) / COUNT(inclination) AS avg_inclination
     FROM objects WHERE apogee_km IS NOT NULL
     GROUP BY 1) b
 """

@@ -126,7 +126,9 @@ def position_grid_sql(t0: str, steps: int, step_seconds: int) -> str:
              rxy / cos(lat0) - {re_} / sqrt(1.0 - {e2} * sin(lat0) * sin(lat0)) AS alt_km
       FROM {prev})""")
     return _with(*ctes) + """
-    SELECT *, alt_km * 1000 AS alt_m FROM fin
+    SELECT norad_cat_id, object_name, object_type, country, step, t,
+           round(lat, 6) AS lat, round(lng, 6) AS lng, round(alt_km, 6) AS alt_km,
+           round(alt_km, 6) * 1000 AS alt_m FROM fin
     WHERE lat IS NOT NULL AND NOT isnan(lat) AND abs(lat) < 'inf'::DOUBLE
       AND lng IS NOT NULL AND NOT isnan(lng) AND abs(lng) < 'inf'::DOUBLE
       AND alt_km IS NOT NULL AND NOT isnan(alt_km) AND abs(alt_km) < 'inf'::DOUBLE"""

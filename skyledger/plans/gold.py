@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify as C
-from ..operators.aggregates import count_if, mean, ratio
+from ..operators.aggregates import count_if, exact_mean, mean, ratio
 from ..operators.sampling import quota_sample
 
 # Fixed values of the published tables.
@@ -87,15 +87,21 @@ def census_grouping_sets(objects: DataFrame) -> DataFrame:
 # A5 + F7 + F8 + L1 ------------------------------------------------------------
 def congestion_metrics(objects: DataFrame, width: int = CONGESTION_BAND_KM,
                        avg_digits: int | None = None) -> DataFrame:
-    """Objects per apogee band of ``width`` km (null apogee dropped)."""
+    """Objects per apogee band of ``width`` km (null apogee dropped).
+
+    Mean eccentricity/inclination use :func:`exact_mean`, so re-running the
+    job gives the same bits whatever the partitioning.
+    """
     return (objects.where(F.col("apogee_km").isNotNull())
             .withColumn("altitude_band_km", C.band("apogee_km", width))
             .groupBy("altitude_band_km")
             .agg(F.count(F.lit(1)).alias("total_objects"),
                  count_if("is_debris").alias("debris_count"),
                  count_if("is_active").alias("active_count"),
-                 mean("eccentricity", avg_digits).alias("avg_eccentricity"),
-                 mean("inclination", avg_digits).alias("avg_inclination"))
+                 (exact_mean("eccentricity") if avg_digits is None
+                  else mean("eccentricity", avg_digits)).alias("avg_eccentricity"),
+                 (exact_mean("inclination") if avg_digits is None
+                  else mean("inclination", avg_digits)).alias("avg_inclination"))
             .withColumn("debris_ratio", ratio("debris_count", "total_objects"))
             .withColumn("congestion_level", C.congestion_level("total_objects"))
             .orderBy("altitude_band_km"))

@@ -126,9 +126,17 @@ def _finite(c: str) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
 
 
+OUTPUT_DIGITS = 6  # 1e-6 degree is about 0.1 m; the model error is kilometres
+
+
 def position_grid(objects: DataFrame, t0: str, steps: int, step_seconds: int = 30,
-                  keep: list[str] | None = None, j2: float = J2) -> DataFrame:
-    """Positions of every object with elements at ``t0 + k * step_seconds``, k < steps."""
+                  keep: list[str] | None = None, j2: float = J2,
+                  digits: int | None = OUTPUT_DIGITS) -> DataFrame:
+    """Positions of every object with elements at ``t0 + k * step_seconds``, k < steps.
+
+    ``lat``/``lng`` (degrees) and ``alt_km`` are rounded to ``digits`` decimals
+    (None keeps full precision); ``alt_m`` is ``alt_km * 1000``.
+    """
     keep = keep or ["norad_cat_id", "object_name", "object_type", "country"]
     valid = objects.where(F.col("epoch").isNotNull() & (F.col("mean_motion") > 0)
                           & (F.col("eccentricity") >= 0) & (F.col("eccentricity") < 1))
@@ -138,5 +146,8 @@ def position_grid(objects: DataFrame, t0: str, steps: int, step_seconds: int = 3
                  .withColumn("t", F.timestamp_add("SECOND", F.col("step") * step_seconds, start)))
     out = propagate(grid, "t", j2)
     out = out.where(_finite("lat") & _finite("lng") & _finite("alt_km"))
+    if digits is not None:
+        out = out.select(*keep, "step", "t",
+                         *[F.round(c, digits).alias(c) for c in ("lat", "lng", "alt_km")])
     return out.select(*keep, "step", "t", "lat", "lng", "alt_km",
                       (F.col("alt_km") * 1000).alias("alt_m"))

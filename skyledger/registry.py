@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .operators.quality import OBJECT_EXPECTATIONS, violation_counts
-from .plans import gold, panels, silver
+from .plans import gold, history, panels, silver
 from .plans.pipeline import objects_from_testdata
 from .session import ensure_conf
 from .sources.adapters import load_feeds
@@ -194,40 +194,32 @@ SNAPSHOT_CUTOFF = "1996-01-01"
 
 @register("altitude_trend")
 def _altitude_trend(spark, sf_dir):
-    from .plans.history import altitude_trend
     _, gp_raw = load_feeds(spark, sf_dir)
-    return altitude_trend(gp_raw)
+    return history.altitude_trend(gp_raw)
 
 
 @register("catalogue_upsert")
 def _catalogue_upsert(spark, sf_dir):
-    from .plans.history import catalogue_upsert
     satcat_raw, _ = load_feeds(spark, sf_dir)
-    return catalogue_upsert(satcat_raw, SNAPSHOT_CUTOFF)
+    return history.catalogue_upsert(satcat_raw, SNAPSHOT_CUTOFF)
 
 
 def _past_and_present(spark, sf_dir):
-    from .plans.history import feeds_as_of
     satcat_raw, gp_raw = load_feeds(spark, sf_dir)
-    past = silver.space_objects(*feeds_as_of(satcat_raw, gp_raw, SNAPSHOT_CUTOFF))
+    past = silver.space_objects(*history.feeds_as_of(satcat_raw, gp_raw, SNAPSHOT_CUTOFF))
     return past, silver.space_objects(satcat_raw, gp_raw)
 
 
 @register("change_feed")
 def _change_feed(spark, sf_dir):
-    from .plans.history import change_feed
-    return change_feed(*_past_and_present(spark, sf_dir))
+    return history.change_feed(*_past_and_present(spark, sf_dir))
 
 
 @register("census_change")
 def _census_change(spark, sf_dir):
-    from .plans.history import census_change
     past, present = _past_and_present(spark, sf_dir)
-    return census_change(gold.orbital_census(past), gold.orbital_census(present))
+    return history.census_change(gold.orbital_census(past), gold.orbital_census(present))
 
 
-_on_objects("growth_by_launch_year",
-            lambda o: __import__("skyledger.plans.history", fromlist=["x"]).growth_by_launch_year(o))
-_on_objects("altitude_inclination_heatmap",
-            lambda o: __import__("skyledger.plans.history",
-                                 fromlist=["x"]).altitude_inclination_heatmap(o))
+_on_objects("growth_by_launch_year", history.growth_by_launch_year)
+_on_objects("altitude_inclination_heatmap", history.altitude_inclination_heatmap)

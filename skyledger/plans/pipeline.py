@@ -48,3 +48,39 @@ def run_batch(spark: SparkSession, satcat_raw: DataFrame, gp_raw: DataFrame,
         else:
             res.tables[name] = write_table(fn(stored), base, name, "gold")
     return res
+
+
+@dataclass
+class FullRunResult:
+    bronze: dict[str, str]
+    batch: RunResult
+    export: list
+    envelopes: dict[str, int]
+
+
+def run_full(spark: SparkSession, landing: str, base: str, export_base: str | None = None,
+             snapshot_date=None, max_files_per_trigger: int | None = None) -> FullRunResult:
+    """The scheduled run: drain new envelopes under ``landing/satcat`` and
+    ``landing/gp`` into bronze (append, each file once), rebuild silver and gold
+    from the whole bronze tables, then export gold as JSON.
+
+    Layout under ``base``: ``bronze/<feed>``, ``_checkpoints/<feed>``, silver
+    and gold tables by name.  Rerunning with no new files re-ingests nothing.
+    """
+    from ..sources.export import export_all
+    from ..streaming.bronze import ingest_envelopes, read_bronze
+
+    bronze, counts = {}, {}
+    for feed in ("satcat", "gp"):
+        path = f"{base.rstrip('/')}/bronze/{feed}"
+        res = ingest_envelopes(spark, f"{landing.rstrip('/')}/{feed}", path,
+                               f"{base.rstrip('/')}/_checkpoints/{feed}",
+                               max_files_per_trigger=max_files_per_trigger)
+        bronze[feed], counts[feed] = path, res.envelopes
+    batch = run_batch(spark, read_bronze(spark, bronze["satcat"]),
+                      read_bronze(spark, bronze["gp"]), base, snapshot_date)
+    exported = []
+    if export_base:
+        tables = {name: read_layer(spark, base, name) for name in gold.GOLD_TABLES}
+        exported, _ = export_all(spark, tables, export_base)
+    return FullRunResult(bronze, batch, exported, counts)

@@ -54,3 +54,20 @@ def test_export_round_trip_and_failure(spark, scratch):
         export_all(spark, bad, f"{scratch}/second")
     assert list(err.value.errors) == ["broken"]
     assert spark.read.json(f"{scratch}/second/_manifest").first().tables == ["ok"]
+
+
+def test_full_run_from_landed_files(spark, scratch):
+    from skyledger.__main__ import main
+    from skyledger.plans.pipeline import run_full
+    landing, base, export = f"{scratch}/landing", f"{scratch}/base", f"{scratch}/export"
+    assert main(["land", "--sf-dir", SF_SMALL, "--landing", landing]) == 0
+    res = run_full(spark, landing, base, export, snapshot_date="2026-01-01")
+    assert res.envelopes["satcat"] > 0 and res.envelopes["gp"] > 0
+    lb = load_gold(spark, base, "country_leaderboard")
+    direct = gold.country_leaderboard(objects_from_testdata(spark, SF_SMALL))
+    assert lb.exceptAll(direct).count() == 0 and direct.exceptAll(lb).count() == 0
+    assert {r.table for r in res.export} == set(gold.GOLD_TABLES)
+    again = run_full(spark, landing, base, None, snapshot_date="2026-01-01")
+    assert again.envelopes == {"satcat": 0, "gp": 0}
+    assert read_layer(spark, base, "space_objects").count() == \
+        objects_from_testdata(spark, SF_SMALL).count()

@@ -43,9 +43,14 @@ def _lineage(raw: DataFrame) -> list[Column]:
     return [F.col(c) for c in LINEAGE_ORDER if c in raw.columns]
 
 
+def newest_first(columns: list[str], *first: Column) -> list[Column]:
+    """Order list: the given columns, then every lineage column among
+    ``columns``, newest first."""
+    return list(first) + [F.desc(c) for c in LINEAGE_ORDER if c in columns]
+
+
 def _newest_first(raw: DataFrame, *first: Column) -> list[Column]:
-    """Order list: the given columns, then every lineage column present, newest first."""
-    return list(first) + [F.desc(c) for c in LINEAGE_ORDER if c in raw.columns]
+    return newest_first(raw.columns, *first)
 
 
 def _current_flag(raw: DataFrame) -> Column:

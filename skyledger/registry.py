@@ -223,3 +223,24 @@ def _census_change(spark, sf_dir):
 
 _on_objects("growth_by_launch_year", history.growth_by_launch_year)
 _on_objects("altitude_inclination_heatmap", history.altitude_inclination_heatmap)
+
+
+@register("latest_satcat_stream")
+def _latest_satcat_stream(spark, sf_dir):
+    """Newest catalogue row per id maintained incrementally from the landed
+    SATCAT envelopes (foreachBatch, several micro-batches)."""
+    from .session import scratch_path
+    from .sources.adapters import SATCAT_FIELDS, land_feed
+    from .sources.envelopes import infer_record_schema
+    from .streaming.bronze import envelope_stream
+    from .streaming.refresh import read_latest, refresh_latest
+    satcat_raw, _ = load_feeds(spark, sf_dir)
+    root = scratch_path(spark, "latest-stream")
+    land_feed(satcat_raw, f"{root}/landing", "satcat", SATCAT_FIELDS)
+    stream = envelope_stream(spark, f"{root}/landing",
+                             infer_record_schema(spark, f"{root}/landing"),
+                             max_files_per_trigger=16)
+    from .streaming.bronze import LINEAGE
+    refresh_latest(stream, f"{root}/latest", f"{root}/checkpoint", ["norad_cat_id"],
+                   silver.newest_first(LINEAGE), prepare=silver.clean_satcat)
+    return read_latest(spark, f"{root}/latest").select(*silver.SATCAT_COLUMNS)

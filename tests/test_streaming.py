@@ -61,3 +61,40 @@ def test_objects_from_bronze_equal_direct_objects(spark):
     cols = silver.OBJECT_COLUMNS
     assert from_bronze.select(cols).exceptAll(direct.select(cols)).count() == 0
     assert direct.select(cols).exceptAll(from_bronze.select(cols)).count() == 0
+
+
+def test_foreach_batch_refresh_keeps_newest(spark, scratch):
+    from skyledger.sources.envelopes import envelope_schema
+    from skyledger.streaming.bronze import envelope_stream
+    from skyledger.streaming.refresh import read_latest, refresh_latest
+    from pyspark.sql import types as T
+    landing, target, ckpt = f"{scratch}/landing", f"{scratch}/latest", f"{scratch}/ckpt"
+    rec = T.StructType([T.StructField("NORAD_CAT_ID", T.StringType()),
+                        T.StructField("SATNAME", T.StringType())])
+    order = [F.desc("_collected_at"), F.desc("_source_file"), F.desc("_record_index")]
+
+    def run():
+        stream = envelope_stream(spark, landing, rec, max_files_per_trigger=1)
+        refresh_latest(stream, target, ckpt, ["NORAD_CAT_ID"], order,
+                       prepare=lambda b: b.drop("_ingestion_ts"))
+
+    _envelope(f"{landing}/a/1.json", "2024-01-01T00:00:00Z",
+              [{"NORAD_CAT_ID": "1", "SATNAME": "A"}, {"NORAD_CAT_ID": "2", "SATNAME": "B"}])
+    _envelope(f"{landing}/a/2.json", "2024-01-02T00:00:00Z",
+              [{"NORAD_CAT_ID": "1", "SATNAME": "A2"}, {"NORAD_CAT_ID": "1", "SATNAME": "A3"}])
+    run()   # two files, one per micro-batch
+    got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
+    assert got == {("1", "A3"), ("2", "B")}
+    _envelope(f"{landing}/a/3.json", "2023-12-31T00:00:00Z",   # late, older collection
+              [{"NORAD_CAT_ID": "2", "SATNAME": "OLD"}, {"NORAD_CAT_ID": "3", "SATNAME": "C"}])
+    run()
+    got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
+    assert got == {("1", "A3"), ("2", "B"), ("3", "C")}
+
+
+def test_latest_stream_equals_batch_dedup(spark):
+    import __spark_entry__ as E
+    from skyledger.sources.adapters import load_feeds
+    streamed = E.queries()["latest_satcat_stream"](spark, SF_CHECK)
+    batch = silver.latest_satcat(load_feeds(spark, SF_CHECK)[0])
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0

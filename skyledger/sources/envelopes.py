@@ -64,18 +64,35 @@ def write_envelopes(records: DataFrame, path: str, dataset: str, fields: Sequenc
          .partitionBy("collection").text(path))
 
 
-def infer_record_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Record schema inferred from the envelopes already landed (IO5)."""
-    env = spark.read.option("multiLine", True).option("recursiveFileLookup", True).json(path)
+def infer_record_schema(spark: SparkSession, path: str, modified_after: str | None = None,
+                        sampling_ratio: float = 1.0) -> T.StructType | None:
+    """Record schema inferred from landed envelopes (IO5).
+
+    ``modified_after`` (``YYYY-MM-DDTHH:mm:ss``, UTC) restricts inference to
+    files landed since then, so a run only reads what is new instead of the
+    whole landing history.  Returns None when no file qualifies.
+    """
+    reader = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+              .option("samplingRatio", sampling_ratio))
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    try:
+        env = reader.json(path)
+    except Exception:  # noqa: BLE001 - no (new) files: nothing to infer
+        return None
+    if "data" not in env.columns:
+        return None
     data_type = env.schema["data"].dataType
-    return data_type.elementType if isinstance(data_type, T.ArrayType) else T.StructType()
+    return data_type.elementType if isinstance(data_type, T.ArrayType) else None
 
 
-def merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
+def merge_schema(old: T.StructType | None, new: T.StructType | None) -> T.StructType:
     """Add-new-columns evolution (IO6): keep old fields in order, append new ones.
 
     A field whose type changed becomes string (the raw JSON text still fits).
     """
+    if new is None:
+        return old if old is not None else T.StructType()
     if old is None:
         return new
     fields = []

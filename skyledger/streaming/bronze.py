@@ -11,8 +11,9 @@ the envelope), ``_collected_at`` (the envelope's collection time) and
 ``_ingestion_ts`` (micro-batch time).  ``(_source_file, _record_index)`` is
 unique, so downstream "newest per key" never has to break ties arbitrarily.
 
-Schema: the record schema is inferred from the landed files (IO5) and merged
-with the schema saved next to the checkpoint (IO6, add-new-columns).  A new
+Schema: the record schema is inferred from the files landed since the last
+run (IO5; ``modifiedAfter``, so a run never re-reads the landing history) and
+merged with the schema saved next to the checkpoint (IO6, add-new-columns).  A new
 field therefore appears after a restart on the same checkpoint; bronze files
 written before simply lack it and read back as null (``mergeSchema``).
 """
@@ -35,17 +36,22 @@ def _schema_path(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}/_record_schema"
 
 
-def load_saved_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
+def load_saved_schema(spark: SparkSession, checkpoint: str):
+    """(schema, inferred_until) saved by the previous run, or (None, None)."""
     try:
-        rows = spark.read.text(_schema_path(checkpoint)).collect()  # one small row
+        row = spark.read.json(_schema_path(checkpoint)).first()  # one small row
     except Exception:  # noqa: BLE001 - no schema saved yet
-        return None
-    return schema_from_json(rows[0].value) if rows else None
+        return None, None
+    if row is None:
+        return None, None
+    return schema_from_json(row["schema"]), row["inferred_until"]
 
 
-def save_schema(spark: SparkSession, checkpoint: str, schema: T.StructType) -> None:
-    (spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
-          .write.mode("overwrite").text(_schema_path(checkpoint)))
+def save_schema(spark: SparkSession, checkpoint: str, schema: T.StructType,
+                inferred_until: str) -> None:
+    (spark.createDataFrame([(schema.json(), inferred_until)],
+                           "schema string, inferred_until string").coalesce(1)
+          .write.mode("overwrite").json(_schema_path(checkpoint)))
 
 
 def envelope_stream(spark: SparkSession, landing: str, record_schema: T.StructType,
@@ -75,11 +81,15 @@ def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint:
                      record_schema: T.StructType | None = None,
                      max_files_per_trigger: int | None = None) -> IngestResult:
     """Drain new envelope files under ``landing`` into the parquet table ``bronze``."""
-    saved = load_saved_schema(spark, checkpoint)
-    found = record_schema or infer_record_schema(spark, landing)
+    import datetime as _dt
+    saved, inferred_until = load_saved_schema(spark, checkpoint)
+    # Files landed while inference runs are seen again next time (overlap is
+    # harmless: merging a schema with itself changes nothing).
+    started = (_dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(minutes=5)) \
+        .strftime("%Y-%m-%dT%H:%M:%S")
+    found = record_schema or infer_record_schema(spark, landing, modified_after=inferred_until)
     schema = merge_schema(saved, found)
-    if saved is None or schema != saved:
-        save_schema(spark, checkpoint, schema)
+    save_schema(spark, checkpoint, schema, started)
     q = (envelope_stream(spark, landing, schema, max_files_per_trigger)
          .writeStream.format("parquet")
          .option("path", bronze)

@@ -16,6 +16,9 @@ Instead the cut-off is located on a histogram:
 3. the kept buckets - at most ``sum(quotas)`` rows, so a proven bound - are
    broadcast and joined back; ranks are only taken *inside* a bucket, whose
    size is at most ``bucket_width`` because ids are unique.
+
+The input is read twice (histogram, then rows); give it a stored table or a
+cheap plan (the batch pipeline passes the written ``space_objects``).
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ HALF_UP rounding, averages of integers are ``sum / count``.
 
 from __future__ import annotations
 
-SNAPSHOT_DATE = "2026-01-01"
+from .params import (POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
+                     SNAPSHOT_DATE)
 
 SATCAT_LIKE = r"""
 SELECT
@@ -279,10 +280,8 @@ def queries() -> dict[str, str]:
                       "ECCENTRICITY, INCLINATION, RA_OF_ASC_NODE, ARG_OF_PERICENTER, MEAN_ANOMALY, "
                       "BSTAR, REV_AT_EPOCH, TLE_LINE1, TLE_LINE2 FROM gp_like")
     from . import oracle_positions as OP
-    from .registry import POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0
     q["tle_fields"] = OP.tle_fields_sql()
     q["position_grid"] = OP.position_grid_sql(POSITION_T0, POSITION_STEPS, POSITION_STEP_SECONDS)
-    from .registry import SNAPSHOT_CUTOFF
     q.update(history_queries(SNAPSHOT_CUTOFF))
     q["export_round_trip"] = _with() + DECAY
     q["export_manifest"] = _with(*_gold_ctes()[:6]) + """

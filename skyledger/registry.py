@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracle
+from .params import (POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
+                     SNAPSHOT_DATE)
 from .operators.quality import OBJECT_EXPECTATIONS, violation_counts
 from .plans import gold, history, panels, silver
 from .plans.pipeline import objects_from_testdata
@@ -58,7 +59,7 @@ def _fragmentation(spark, sf_dir):
     return silver.fragmentation_events(satcat_raw)
 
 
-_on_objects("orbital_census", gold.orbital_census, snapshot_date=oracle.SNAPSHOT_DATE)
+_on_objects("orbital_census", gold.orbital_census, snapshot_date=SNAPSHOT_DATE)
 _on_objects("census_by_type", gold.census_by_type)
 _on_objects("census_by_regime", gold.census_by_regime)
 _on_objects("census_by_country", gold.census_by_country)
@@ -73,7 +74,7 @@ _on_objects("quality_report", violation_counts, rules=OBJECT_EXPECTATIONS)
 
 # Panels: roll-ups over the gold tables ---------------------------------------
 def _census(spark, sf_dir):
-    return gold.orbital_census(objects_from_testdata(spark, sf_dir), oracle.SNAPSHOT_DATE)
+    return gold.orbital_census(objects_from_testdata(spark, sf_dir), SNAPSHOT_DATE)
 
 
 def _gold_of(fn):
@@ -155,7 +156,7 @@ def _export_manifest(spark, sf_dir):
     from .session import scratch_path
     from .sources.export import export_all
     objects = objects_from_testdata(spark, sf_dir)
-    tables = {name: (fn(objects, oracle.SNAPSHOT_DATE) if name == "orbital_census" else fn(objects))
+    tables = {name: (fn(objects, SNAPSHOT_DATE) if name == "orbital_census" else fn(objects))
               for name, fn in gold.GOLD_TABLES.items()}
     _, manifest = export_all(spark, tables, scratch_path(spark, "export-all"))
     return manifest.drop("exported_at", "total_bytes")
@@ -169,9 +170,6 @@ def _file_inventory(spark, sf_dir):
 
 
 # TLE fields and positions --------------------------------------------------------
-POSITION_T0 = "1998-08-03T00:00:00"
-POSITION_STEPS = 4
-POSITION_STEP_SECONDS = 30
 
 
 @register("tle_fields")
@@ -189,7 +187,6 @@ def _position_grid(spark, sf_dir):
 
 
 # Element history and snapshots -------------------------------------------------
-SNAPSHOT_CUTOFF = "1996-01-01"
 
 
 @register("altitude_trend")

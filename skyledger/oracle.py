@@ -284,15 +284,12 @@ def queries() -> dict[str, str]:
     q["position_grid"] = OP.position_grid_sql(POSITION_T0, POSITION_STEPS, POSITION_STEP_SECONDS)
     q.update(history_queries(SNAPSHOT_CUTOFF))
     q["export_round_trip"] = _with() + DECAY
-    q["export_manifest"] = _with(*_gold_ctes()[:6]) + """
-      SELECT ['congestion_metrics', 'constellation_growth', 'country_leaderboard',
-              'decay_tracker', 'globe_data', 'orbital_census'] AS tables,
-             MAP {'orbital_census': 'orbital_census.json',
-                  'congestion_metrics': 'congestion_metrics.json',
-                  'country_leaderboard': 'country_leaderboard.json',
-                  'constellation_growth': 'constellation_growth.json',
-                  'decay_tracker': 'decay_tracker.json',
-                  'globe_data': 'globe_data.json'} AS endpoints,
+    names = sorted(["orbital_census", "congestion_metrics", "country_leaderboard",
+                    "constellation_growth", "decay_tracker", "globe_data"])
+    endpoints = "{" + ",".join(f'"{n}":"{n}.json"' for n in names) + "}"
+    q["export_manifest"] = _with(*_gold_ctes()[:6]) + f"""
+      SELECT '{",".join(names)}' AS tables,
+             '{endpoints}' AS endpoints,
              CAST((SELECT COUNT(*) FROM census) + (SELECT COUNT(*) FROM congestion)
                 + (SELECT COUNT(*) FROM leaderboard) + (SELECT COUNT(*) FROM growth)
                 + (SELECT COUNT(*) FROM decay) + (SELECT COUNT(*) FROM globe) AS BIGINT) AS total_rows"""

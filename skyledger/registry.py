@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .params import (POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
                      SNAPSHOT_DATE)
@@ -159,7 +160,12 @@ def _export_manifest(spark, sf_dir):
     tables = {name: (fn(objects, SNAPSHOT_DATE) if name == "orbital_census" else fn(objects))
               for name, fn in gold.GOLD_TABLES.items()}
     _, manifest = export_all(spark, tables, scratch_path(spark, "export-all"))
-    return manifest.drop("exported_at", "total_bytes")
+    # canonical text for the nested columns: sorted list, sorted compact JSON
+    return manifest.select(
+        F.array_join(F.sort_array("tables"), ",").alias("tables"),
+        F.to_json(F.map_from_entries(F.sort_array(F.map_entries("endpoints"))))
+         .alias("endpoints"),
+        "total_rows")
 
 
 @register("file_inventory")

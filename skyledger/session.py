@@ -82,3 +82,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 128 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    The initial shuffle partition count is sized so that even an unreduced
+    shuffle would give ~``target_partition_bytes`` per task; AQE then
+    coalesces small partitions to the advisory size and splits skewed ones,
+    so the count is an upper bound, not a guess that has to be right.
+    """
+    initial = max(200, min(200_000, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

@@ -71,3 +71,20 @@ def test_full_run_from_landed_files(spark, scratch):
     assert again.envelopes == {"satcat": 0, "gp": 0}
     assert read_layer(spark, base, "space_objects").count() == \
         objects_from_testdata(spark, SF_SMALL).count()
+
+
+def test_single_document_only_within_bound(spark, scratch):
+    import json
+    from skyledger.sources.export import export_json
+    objects = objects_from_testdata(spark, SF_SMALL)
+    lb = gold.country_leaderboard(objects)
+    r = export_json(lb, scratch, "country_leaderboard", document_max_rows=1000)
+    text = "".join(x.value for x in spark.read.text(f"{scratch}/_documents/country_leaderboard").collect())
+    doc = json.loads(text)
+    assert doc["table"] == "country_leaderboard" and doc["row_count"] == r.rows == len(doc["data"])
+    assert set(doc["data"][0]) == set(lb.columns)
+    decay = gold.decay_tracker(objects)
+    r2 = export_json(decay, scratch, "decay_tracker", document_max_rows=1)
+    assert r2.rows > 1
+    import os
+    assert not os.path.exists(f"{scratch}/_documents/decay_tracker")

@@ -70,15 +70,15 @@ def run_full(spark: SparkSession, landing: str, base: str, export_base: str | No
     from ..sources.export import export_all
     from ..streaming.bronze import ingest_envelopes, read_bronze
 
-    bronze, counts = {}, {}
+    bronze, counts, frames = {}, {}, {}
     for feed in ("satcat", "gp"):
         path = f"{base.rstrip('/')}/bronze/{feed}"
         res = ingest_envelopes(spark, f"{landing.rstrip('/')}/{feed}", path,
                                f"{base.rstrip('/')}/_checkpoints/{feed}",
                                max_files_per_trigger=max_files_per_trigger)
         bronze[feed], counts[feed] = path, res.envelopes
-    batch = run_batch(spark, read_bronze(spark, bronze["satcat"]),
-                      read_bronze(spark, bronze["gp"]), base, snapshot_date)
+        frames[feed] = read_bronze(spark, path, res.schema)
+    batch = run_batch(spark, frames["satcat"], frames["gp"], base, snapshot_date)
     exported = []
     if export_base:
         tables = {name: read_layer(spark, base, name) for name in gold.GOLD_TABLES}

@@ -115,9 +115,9 @@ def _bronze(spark, sf_dir, names=("satcat", "gp")):
         if name not in names:
             continue
         land_feed(raw, f"{root}/landing/{name}", name, fields)
-        ingest_envelopes(spark, f"{root}/landing/{name}", f"{root}/bronze/{name}",
-                         f"{root}/checkpoints/{name}")
-        out[name] = read_bronze(spark, f"{root}/bronze/{name}")
+        res = ingest_envelopes(spark, f"{root}/landing/{name}", f"{root}/bronze/{name}",
+                               f"{root}/checkpoints/{name}")
+        out[name] = read_bronze(spark, f"{root}/bronze/{name}", res.schema)
     return out
 
 

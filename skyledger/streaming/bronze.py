@@ -104,6 +104,26 @@ def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint:
                         schema=schema)
 
 
-def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
-    """Batch read of a bronze table; files from older schemas get nulls."""
+LINEAGE_FIELDS = [
+    T.StructField("_source_file", T.StringType()),
+    T.StructField("_record_index", T.IntegerType()),
+    T.StructField("_collected_at", T.StringType()),
+    T.StructField("_ingestion_ts", T.TimestampType()),
+]
+
+
+def bronze_schema(record_schema: T.StructType) -> T.StructType:
+    return T.StructType(list(record_schema.fields) + LINEAGE_FIELDS)
+
+
+def read_bronze(spark: SparkSession, bronze: str,
+                record_schema: T.StructType | None = None) -> DataFrame:
+    """Batch read of a bronze table; files written before a column existed
+    read back as null for it.
+
+    With the record schema the stream used (``IngestResult.schema``) no file
+    footers have to be merged; without it, ``mergeSchema`` reads them all.
+    """
+    if record_schema is not None:
+        return spark.read.schema(bronze_schema(record_schema)).parquet(bronze)
     return spark.read.option("mergeSchema", True).parquet(bronze)

@@ -68,7 +68,6 @@ def test_objects_from_bronze_equal_direct_objects(spark):
 
 
 def test_foreach_batch_refresh_keeps_newest(spark, scratch):
-    from skyledger.sources.envelopes import envelope_schema
     from skyledger.streaming.bronze import envelope_stream
     from skyledger.streaming.refresh import read_latest, refresh_latest
     from pyspark.sql import types as T

@@ -458,6 +458,29 @@ def history_queries(cutoff: str) -> dict[str, str]:
         ON pc.object_type IS NOT DISTINCT FROM nc.object_type
        AND pc.orbital_regime IS NOT DISTINCT FROM nc.orbital_regime
        AND pc.country IS NOT DISTINCT FROM nc.country"""
+    vt = ["object_name", "object_type", "country", "decay_date", "apogee_km", "perigee_km"]
+    changed = " OR ".join(f"{c} IS DISTINCT FROM LAG({c}) OVER w" for c in vt)
+    q["object_versions"] = _with() + f"""
+      , per_run AS (
+        SELECT * FROM (
+          SELECT TRY_CAST(NORAD_CAT_ID AS INTEGER) AS norad_cat_id,
+                 date_trunc('month', _ingestion_ts) AS collection,
+                 SATNAME AS object_name, OBJECT_TYPE AS object_type, COUNTRY AS country,
+                 TRY_CAST(DECAY AS DATE) AS decay_date,
+                 TRY_CAST(APOGEE AS INTEGER) AS apogee_km,
+                 TRY_CAST(PERIGEE AS INTEGER) AS perigee_km,
+                 ROW_NUMBER() OVER (PARTITION BY TRY_CAST(NORAD_CAT_ID AS INTEGER),
+                                                 date_trunc('month', _ingestion_ts)
+                                    ORDER BY _ingestion_ts DESC NULLS LAST,
+                                             _seq DESC NULLS LAST) AS rn
+          FROM satcat_like) x WHERE rn = 1),
+      marked AS (
+        SELECT *, (LAG(collection) OVER w IS NULL) OR {changed} AS is_change
+        FROM per_run WINDOW w AS (PARTITION BY norad_cat_id ORDER BY collection))
+      SELECT norad_cat_id, {", ".join(vt)}, collection AS valid_from,
+             LEAD(collection) OVER (PARTITION BY norad_cat_id ORDER BY collection) AS valid_to,
+             LEAD(collection) OVER (PARTITION BY norad_cat_id ORDER BY collection) IS NULL AS is_current
+      FROM marked WHERE is_change"""
     q["growth_by_launch_year"] = _with() + f"""
       SELECT launch_year, launched, debris_launched,
              CAST(SUM(launched) OVER (ORDER BY launch_year ROWS BETWEEN UNBOUNDED PRECEDING

@@ -139,3 +139,40 @@ def altitude_inclination_heatmap(objects: DataFrame, alt_band: int = HEATMAP_ALT
             .agg(F.count(F.lit(1)).alias("objects"),
                  count_if("is_debris").alias("debris"),
                  count_if("is_active").alias("active")))
+
+
+# X6 (validity intervals) ----------------------------------------------------
+VERSION_TRACKED = ["object_name", "object_type", "country", "decay_date", "apogee_km",
+                   "perigee_km"]
+
+
+def object_versions(satcat_raw: DataFrame, collection: Column,
+                    tracked: list[str] = VERSION_TRACKED) -> DataFrame:
+    """SCD2 history of catalogue attributes: one row per run of unchanged
+    ``tracked`` values, with ``valid_from``/``valid_to`` collection times.
+
+    1. newest row per (object, collection) - the map-side-limited dedup, so a
+       hot object is reduced per task before any shuffle;
+    2. ``lag`` over each object's collections marks where a value changed;
+    3. ``lead`` over the change points gives ``valid_to`` (null = current).
+
+    The windows of steps 2-3 hold at most one row per collection for an
+    object: their size is bounded by the number of collections, not by the
+    volume of rows.
+    """
+    typed = silver.clean_satcat(satcat_raw).withColumn("_collection", collection)
+    per_run = latest_per_key(typed, ["norad_cat_id", "_collection"],
+                             silver._newest_first(typed)).select(
+        "norad_cat_id", "_collection", *tracked)
+    by_time = Window.partitionBy("norad_cat_id").orderBy("_collection")
+    changed = F.lit(False)
+    for c in tracked:
+        changed = changed | ~F.col(c).eqNullSafe(F.lag(c).over(by_time))
+    first = F.lag("_collection").over(by_time).isNull()
+    versions = (per_run.withColumn("_change", first | changed)
+                       .where(F.col("_change")).drop("_change"))
+    return (versions
+            .withColumn("valid_to", F.lead("_collection").over(by_time))
+            .withColumn("is_current", F.col("valid_to").isNull())
+            .withColumnRenamed("_collection", "valid_from")
+            .select("norad_cat_id", *tracked, "valid_from", "valid_to", "is_current"))

@@ -247,3 +247,10 @@ def _latest_satcat_stream(spark, sf_dir):
     refresh_latest(stream, f"{root}/latest", f"{root}/checkpoint", ["norad_cat_id"],
                    silver.newest_first(LINEAGE), prepare=silver.clean_satcat)
     return read_latest(spark, f"{root}/latest").select(*silver.SATCAT_COLUMNS)
+
+
+@register("object_versions")
+def _object_versions(spark, sf_dir):
+    """SCD2 validity intervals of catalogue attributes over monthly collections."""
+    satcat_raw, _ = load_feeds(spark, sf_dir)
+    return history.object_versions(satcat_raw, F.date_trunc("month", F.col("_ingestion_ts")))

@@ -92,3 +92,22 @@ def test_null_apogee_and_decayed_objects(spark):
     assert gold.orbital_census(objects).agg(F.sum("object_count")).first()[0] == 4
     decay = {r.norad_cat_id: r.decay_risk for r in gold.decay_tracker(objects).collect()}
     assert decay == {2: "imminent", 4: "imminent"}   # decayed object 3 excluded
+
+
+def test_object_versions_runs_and_validity(spark):
+    from skyledger.plans.history import object_versions
+    rows = [{"SATNAME": "A", "t": 0}, {"SATNAME": "A", "t": 40},     # same state, later month
+            {"SATNAME": "B", "t": 70}, {"SATNAME": "B-old", "t": 69},  # same month: newest wins
+            {"SATNAME": "A", "t": 100},
+            {"NORAD_CAT_ID": "2", "SATNAME": "Z", "t": 0}]
+    raw = satcat(spark, rows)
+    v = object_versions(raw, F.date_trunc("month", F.col("_ingestion_ts")))
+    got = [(r.norad_cat_id, r.object_name, r.valid_from.date().isoformat(),
+            r.valid_to.date().isoformat() if r.valid_to else None, r.is_current)
+           for r in v.orderBy("norad_cat_id", "valid_from").collect()]
+    assert got == [
+        (1, "A", "2024-01-01", "2024-03-01", False),
+        (1, "B", "2024-03-01", "2024-04-01", False),
+        (1, "A", "2024-04-01", None, True),
+        (2, "Z", "2024-01-01", None, True),
+    ]

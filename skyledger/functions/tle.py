@@ -56,7 +56,9 @@ def parse_tle(df: DataFrame, line1: str = "tle_line1", line2: str = "tle_line2")
     yy = _field(l1, LINE1_FIELDS["epoch_year"]).try_cast("int")
     year = F.when(yy >= TWO_DIGIT_YEAR_PIVOT, yy + 1900).otherwise(yy + 2000)
     day = _field(l1, LINE1_FIELDS["epoch_day"]).try_cast("double")
-    micros = F.round((day - 1) * F.lit(86_400_000_000.0)).cast("long")
+    # only a day-of-year in [1, 367) is turned into a time (no overflow on junk)
+    micros = F.when((day >= 1) & (day < 367),
+                    F.round((day - 1) * F.lit(86_400_000_000.0)).cast("long"))
     epoch = F.timestamp_add("MICROSECOND", micros, F.make_timestamp_ntz(
         year, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
     ecc_digits = _field(l2, LINE2_FIELDS["eccentricity"])
@@ -66,7 +68,7 @@ def parse_tle(df: DataFrame, line1: str = "tle_line1", line2: str = "tle_line2")
         _field(l1, LINE1_FIELDS["satnum"]).try_cast("int").alias("tle_satnum"),
         _field(l1, LINE1_FIELDS["classification"]).alias("tle_classification"),
         _field(l1, LINE1_FIELDS["intl_designator"]).alias("tle_intl_designator"),
-        F.when(yy.isNotNull() & day.isNotNull(), epoch).alias("tle_epoch"),
+        F.when(yy.isNotNull() & (day >= 1) & (day < 367), epoch).alias("tle_epoch"),
         _field(l1, LINE1_FIELDS["ndot"]).try_cast("double").alias("tle_ndot"),
         _implied_decimal(F.substring(l1, *LINE1_FIELDS["nddot"])).alias("tle_nddot"),
         _implied_decimal(F.substring(l1, *LINE1_FIELDS["bstar"])).alias("tle_bstar"),

@@ -47,7 +47,7 @@ def exact_mean(c: Column | str, scale: int = 12) -> Column:
     count.  Unlike ``avg`` on doubles, the result does not depend on how rows
     were split across tasks or in what order partial sums were merged.
     """
-    x = _c(c)
-    total = F.sum(x.cast(f"decimal(38,{scale})")).cast("double")
-    n = F.count(x)
+    dec = _c(c).try_cast(f"decimal(38,{scale})")   # |x| < 10**(38 - scale)
+    total = F.sum(dec).cast("double")
+    n = F.count(dec)
     return F.when(n > 0, total / n)

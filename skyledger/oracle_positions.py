@@ -39,7 +39,7 @@ def tle_fields_sql() -> str:
     yy = f"TRY_CAST({_field(l1, 19, 2)} AS INTEGER)"
     day = f"TRY_CAST({_field(l1, 21, 12)} AS DOUBLE)"
     year = f"(CASE WHEN {yy} >= 57 THEN {yy} + 1900 ELSE {yy} + 2000 END)"
-    epoch = (f"CASE WHEN {yy} IS NOT NULL AND {day} IS NOT NULL THEN "
+    epoch = (f"CASE WHEN {yy} IS NOT NULL AND {day} >= 1 AND {day} < 367 THEN "
              f"make_timestamp({year}, 1, 1, 0, 0, 0) + "
              f"to_microseconds(CAST(round(({day} - 1) * 86400000000.0) AS BIGINT)) END")
     ecc = _field(l2, 27, 7)

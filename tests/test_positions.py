@@ -33,6 +33,9 @@ def test_parse_public_tle(spark):
     short = rows[1]
     assert short.tle_satnum == 123 and short.tle_epoch is None and short.tle_line1_ok is None
     assert rows[2].tle_satnum is None
+    junk = "1 25544U 98067A   99999999999999 -.00002182  00000-0 -11606-4 0  2927"
+    bad = parse_tle(spark.createDataFrame([(junk, ISS_L2)], "tle_line1 string, tle_line2 string"))
+    assert bad.first().tle_epoch is None
 
 
 def _one(spark, n, e, inc, raan, argp, m):

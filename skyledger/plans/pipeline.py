@@ -23,6 +23,18 @@ def objects_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.space_objects(satcat_raw, gp_raw)
 
 
+TABLE_COMMENTS = {
+    "space_objects": "unified object table: newest catalogue row per id + newest elements",
+    "fragmentation_events": "debris pieces per launch and country (10 or more)",
+    "orbital_census": "objects per type, regime and country, one partition per snapshot",
+    "congestion_metrics": "objects per 50 km apogee band",
+    "country_leaderboard": "objects, payloads, debris and ratios per country",
+    "constellation_growth": "size and launch span of the large constellations",
+    "decay_tracker": "low-perigee objects not yet decayed, with a drag term",
+    "globe_data": "objects with a TLE pair, lowest ids per regime up to the quotas",
+}
+
+
 @dataclass
 class RunResult:
     base: str
@@ -35,18 +47,20 @@ def run_batch(spark: SparkSession, satcat_raw: DataFrame, gp_raw: DataFrame,
     """Build silver and gold tables under ``base`` (overwrite)."""
     res = RunResult(base)
     objects, obs = silver.space_objects_checked(satcat_raw, gp_raw)
-    res.tables["space_objects"] = write_table(objects, base, "space_objects", "silver")
+    res.tables["space_objects"] = write_table(objects, base, "space_objects", "silver",
+                                              TABLE_COMMENTS["space_objects"])
     res.quality = dict(obs.get)
     res.tables["fragmentation_events"] = write_table(
-        silver.fragmentation_events(satcat_raw), base, "fragmentation_events", "silver")
+        silver.fragmentation_events(satcat_raw), base, "fragmentation_events", "silver",
+        TABLE_COMMENTS["fragmentation_events"])
     stored = read_layer(spark, base, "space_objects")
     for name, fn in gold.GOLD_TABLES.items():
         if name == "orbital_census":
             # census keeps one partition per snapshot date (history of runs)
             res.tables[name] = write_table(fn(stored, snapshot_date), base, name, "gold",
-                                           partition_by=["snapshot_date"])
+                                           TABLE_COMMENTS[name], partition_by=["snapshot_date"])
         else:
-            res.tables[name] = write_table(fn(stored), base, name, "gold")
+            res.tables[name] = write_table(fn(stored), base, name, "gold", TABLE_COMMENTS[name])
     return res
 
 

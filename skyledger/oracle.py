@@ -11,58 +11,10 @@ from __future__ import annotations
 from .params import (POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
                      SNAPSHOT_DATE)
 
-SATCAT_LIKE = r"""
-SELECT
-  CAST(o_orderkey % 11000 AS STRING) AS NORAD_CAT_ID,
-  (CASE o_orderkey % 9 WHEN 0 THEN 'STARLINK-' WHEN 1 THEN 'OneWeb-' WHEN 2 THEN 'KUIPER-'
-     WHEN 3 THEN 'IRIDIUM ' WHEN 4 THEN 'GLOBALSTAR M' ELSE 'COSMOS ' END)
-     || CAST(o_orderkey AS STRING) AS SATNAME,
-  CASE WHEN o_orderkey % 101 = 0 THEN 'BAD'
-       WHEN o_orderkey % 103 = 0 THEN NULL
-       WHEN o_orderkey % 4 = 0 THEN '1999-025ABC'
-       WHEN o_orderkey % 16 = 1 THEN '2007-003D'
-       ELSE CAST(1960 + o_custkey % 12 AS STRING) || '-' || LPAD(CAST(o_custkey % 7 AS STRING), 3, '0') || 'A' END AS OBJECT_ID,
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'PAYLOAD' WHEN '2-HIGH' THEN 'DEBRIS'
-     WHEN '3-MEDIUM' THEN 'ROCKET BODY' WHEN '4-NOT SPECIFIED' THEN 'UNKNOWN' ELSE 'DEBRIS' END AS OBJECT_TYPE,
-  CASE WHEN o_orderkey % 4 = 0 THEN 'C0' WHEN o_orderkey % 16 = 1 THEN 'C1'
-       ELSE 'C' || CAST(o_custkey % 5 AS STRING) END AS COUNTRY,
-  CAST(CAST(o_orderdate AS DATE) AS STRING) AS LAUNCH,
-  CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END AS DECAY,
-  CAST(80 + o_custkey % 1400 AS STRING) || '.25' AS PERIOD,
-  CAST(CAST(FLOOR(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice / 10
-     WHEN o_orderkey % 6 = 1 THEN o_totalprice / 1000
-     WHEN o_orderkey % 6 = 4 THEN o_totalprice / 250
-     ELSE 35700 + o_totalprice / 4000 END) AS BIGINT) AS STRING) AS APOGEE,
-  CAST(CAST(FLOOR(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice / 10 * (o_custkey % 100) / 100
-     WHEN o_orderkey % 6 = 1 THEN o_totalprice / 2000
-     WHEN o_orderkey % 6 = 4 THEN o_totalprice / 1000
-     ELSE 35690 + o_totalprice / 5000 END) AS BIGINT) AS STRING) AS PERIGEE,
-  CASE o_custkey % 3 WHEN 0 THEN 'SMALL' WHEN 1 THEN 'MEDIUM' ELSE 'LARGE' END AS RCS_SIZE,
-  'Y' AS CURRENT_FLAG,
-  o_orderdate AS _ingestion_ts,
-  o_orderkey AS _seq
-FROM orders
-"""
+from .sources.adapters import GP_LIKE_SQL, SATCAT_LIKE_SQL
 
-GP_LIKE = r"""
-SELECT
-  CAST(o_orderkey % 11000 AS STRING) AS NORAD_CAT_ID,
-  CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T12:00:00.000000' AS EPOCH,
-  CAST(o_custkey % 16 AS STRING) || '.' || LPAD(CAST(o_orderkey % 1000 AS STRING), 3, '0') AS MEAN_MOTION,
-  '0.' || LPAD(CAST(o_orderkey % 10000 AS STRING), 7, '0') AS ECCENTRICITY,
-  CAST(o_custkey % 180 AS STRING) || '.5' AS INCLINATION,
-  CAST(o_orderkey % 360 AS STRING) || '.25' AS RA_OF_ASC_NODE,
-  CAST(o_custkey % 360 AS STRING) || '.75' AS ARG_OF_PERICENTER,
-  CAST((o_orderkey + o_custkey) % 360 AS STRING) || '.125' AS MEAN_ANOMALY,
-  CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE '0.000' || CAST(o_custkey % 1000 AS STRING) END AS BSTAR,
-  CAST(o_orderkey % 50000 AS STRING) AS REV_AT_EPOCH,
-  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE '1 ' || LPAD(CAST(o_orderkey % 11000 AS STRING), 5, '0') || 'U' END AS TLE_LINE1,
-  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE '2 ' || LPAD(CAST(o_orderkey % 11000 AS STRING), 5, '0') END AS TLE_LINE2,
-  o_orderdate AS _ingestion_ts,
-  o_orderkey AS _seq
-FROM orders
-WHERE o_orderkey % 11000 % 10 <> 9
-"""
+SATCAT_LIKE = SATCAT_LIKE_SQL.replace("{orders}", "orders")
+GP_LIKE = GP_LIKE_SQL.replace("{orders}", "orders")
 
 # Unified object table: typed, newest per id on both feeds, left join, classes.
 _OBJECTS = r"""

@@ -102,8 +102,8 @@ def congestion_metrics(objects: DataFrame, width: int = CONGESTION_BAND_KM,
                   else mean("eccentricity", avg_digits)).alias("avg_eccentricity"),
                  (exact_mean("inclination") if avg_digits is None
                   else mean("inclination", avg_digits)).alias("avg_inclination"))
-            .withColumn("debris_ratio", ratio("debris_count", "total_objects"))
-            .withColumn("congestion_level", C.congestion_level("total_objects"))
+            .withColumns({"debris_ratio": ratio("debris_count", "total_objects"),
+                          "congestion_level": C.congestion_level("total_objects")})
             .orderBy("altitude_band_km"))
 
 
@@ -116,8 +116,8 @@ def country_leaderboard(objects: DataFrame) -> DataFrame:
                  count_if("is_active").alias("active_count"),
                  count_if("is_debris").alias("debris_count"),
                  count_if(t == "ROCKET BODY").alias("rocket_body_count"))
-            .withColumn("debris_ratio", ratio("debris_count", "total_objects"))
-            .withColumn("active_ratio", ratio("active_count", "total_objects"))
+            .withColumns({"debris_ratio": ratio("debris_count", "total_objects"),
+                          "active_ratio": ratio("active_count", "total_objects")})
             .orderBy(F.desc("total_objects"), F.asc_nulls_last("country")))
 
 

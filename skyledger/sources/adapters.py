@@ -3,9 +3,10 @@
 The test tables are TPC-H-like, not satellite catalogues, so the pipeline is
 fed two raw views whose shape equals the two landing feeds after explode and
 flatten: ``satcat_like`` (catalogue metadata, values as strings) and
-``gp_like`` (orbital elements, values as strings).  Both are pure column
-expressions over ``orders``: one narrow scan, no shuffle, and their size grows
-with ``orders``.  ``_ingestion_ts``/``_seq`` play the lineage columns; ``_seq``
+``gp_like`` (orbital elements, values as strings).  Each is one SQL
+projection over ``orders`` (a narrow scan, no shuffle) whose size grows with
+``orders``.  Running the given SQL text through ``spark.sql`` also parses the
+large CASE expressions once on the JVM side instead of node by node.  ``_ingestion_ts``/``_seq`` play the lineage columns; ``_seq``
 is unique and breaks ties on time.
 
 The derivation rules are fixed values shared with the SQL oracle (see
@@ -14,104 +15,78 @@ The derivation rules are fixed values shared with the SQL oracle (see
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the adapter: name prefixes by key mod 9, object types by
-# order priority, and the id space of the fake catalogue.
-NAME_PREFIXES = ["STARLINK-", "OneWeb-", "KUIPER-", "IRIDIUM ", "GLOBALSTAR M"]
-OTHER_PREFIX = "COSMOS "
-TYPE_BY_PRIORITY = {
-    "1-URGENT": "PAYLOAD",
-    "2-HIGH": "DEBRIS",
-    "3-MEDIUM": "ROCKET BODY",
-    "4-NOT SPECIFIED": "UNKNOWN",
-}
-DEFAULT_TYPE = "DEBRIS"
-ID_SPACE = 11000
+# The derivation of the two feeds, as given in FIXTURES.md
+# section 3.  The same text is run by Spark (``spark.sql`` with the orders
+# DataFrame bound to ``{orders}``) and by the DuckDB oracle.
+SATCAT_LIKE_SQL = r"""
+SELECT
+  CAST(o_orderkey % 11000 AS STRING) AS NORAD_CAT_ID,
+  (CASE o_orderkey % 9 WHEN 0 THEN 'STARLINK-' WHEN 1 THEN 'OneWeb-' WHEN 2 THEN 'KUIPER-'
+     WHEN 3 THEN 'IRIDIUM ' WHEN 4 THEN 'GLOBALSTAR M' ELSE 'COSMOS ' END)
+     || CAST(o_orderkey AS STRING) AS SATNAME,
+  CASE WHEN o_orderkey % 101 = 0 THEN 'BAD'
+       WHEN o_orderkey % 103 = 0 THEN NULL
+       WHEN o_orderkey % 4 = 0 THEN '1999-025ABC'
+       WHEN o_orderkey % 16 = 1 THEN '2007-003D'
+       ELSE CAST(1960 + o_custkey % 12 AS STRING) || '-' || LPAD(CAST(o_custkey % 7 AS STRING), 3, '0') || 'A' END AS OBJECT_ID,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'PAYLOAD' WHEN '2-HIGH' THEN 'DEBRIS'
+     WHEN '3-MEDIUM' THEN 'ROCKET BODY' WHEN '4-NOT SPECIFIED' THEN 'UNKNOWN' ELSE 'DEBRIS' END AS OBJECT_TYPE,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'C0' WHEN o_orderkey % 16 = 1 THEN 'C1'
+       ELSE 'C' || CAST(o_custkey % 5 AS STRING) END AS COUNTRY,
+  CAST(CAST(o_orderdate AS DATE) AS STRING) AS LAUNCH,
+  CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END AS DECAY,
+  CAST(80 + o_custkey % 1400 AS STRING) || '.25' AS PERIOD,
+  CAST(CAST(FLOOR(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice / 10
+     WHEN o_orderkey % 6 = 1 THEN o_totalprice / 1000
+     WHEN o_orderkey % 6 = 4 THEN o_totalprice / 250
+     ELSE 35700 + o_totalprice / 4000 END) AS BIGINT) AS STRING) AS APOGEE,
+  CAST(CAST(FLOOR(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice / 10 * (o_custkey % 100) / 100
+     WHEN o_orderkey % 6 = 1 THEN o_totalprice / 2000
+     WHEN o_orderkey % 6 = 4 THEN o_totalprice / 1000
+     ELSE 35690 + o_totalprice / 5000 END) AS BIGINT) AS STRING) AS PERIGEE,
+  CASE o_custkey % 3 WHEN 0 THEN 'SMALL' WHEN 1 THEN 'MEDIUM' ELSE 'LARGE' END AS RCS_SIZE,
+  'Y' AS CURRENT_FLAG,
+  o_orderdate AS _ingestion_ts,
+  o_orderkey AS _seq
+FROM {orders}
+"""
+
+GP_LIKE_SQL = r"""
+SELECT
+  CAST(o_orderkey % 11000 AS STRING) AS NORAD_CAT_ID,
+  CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T12:00:00.000000' AS EPOCH,
+  CAST(o_custkey % 16 AS STRING) || '.' || LPAD(CAST(o_orderkey % 1000 AS STRING), 3, '0') AS MEAN_MOTION,
+  '0.' || LPAD(CAST(o_orderkey % 10000 AS STRING), 7, '0') AS ECCENTRICITY,
+  CAST(o_custkey % 180 AS STRING) || '.5' AS INCLINATION,
+  CAST(o_orderkey % 360 AS STRING) || '.25' AS RA_OF_ASC_NODE,
+  CAST(o_custkey % 360 AS STRING) || '.75' AS ARG_OF_PERICENTER,
+  CAST((o_orderkey + o_custkey) % 360 AS STRING) || '.125' AS MEAN_ANOMALY,
+  CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE '0.000' || CAST(o_custkey % 1000 AS STRING) END AS BSTAR,
+  CAST(o_orderkey % 50000 AS STRING) AS REV_AT_EPOCH,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE '1 ' || LPAD(CAST(o_orderkey % 11000 AS STRING), 5, '0') || 'U' END AS TLE_LINE1,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE '2 ' || LPAD(CAST(o_orderkey % 11000 AS STRING), 5, '0') END AS TLE_LINE2,
+  o_orderdate AS _ingestion_ts,
+  o_orderkey AS _seq
+FROM {orders}
+WHERE o_orderkey % 11000 % 10 <> 9
+"""
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _floor_str(c: Column) -> Column:
-    return _s(F.floor(c).cast("bigint"))
-
-
 def satcat_like(orders: DataFrame) -> DataFrame:
     """Raw SATCAT-shaped rows (all strings) plus ``_ingestion_ts``, ``_seq``."""
-    k, ck = F.col("o_orderkey"), F.col("o_custkey")
-    price = F.col("o_totalprice")
-    prefix = F.when(k % 9 == 0, NAME_PREFIXES[0])
-    for i, p in enumerate(NAME_PREFIXES[1:], start=1):
-        prefix = prefix.when(k % 9 == i, p)
-    prefix = prefix.otherwise(OTHER_PREFIX)
-    otype = F.when(F.col("o_orderpriority") == "1-URGENT", TYPE_BY_PRIORITY["1-URGENT"])
-    for pr, t in list(TYPE_BY_PRIORITY.items())[1:]:
-        otype = otype.when(F.col("o_orderpriority") == pr, t)
-    otype = otype.otherwise(DEFAULT_TYPE)
-    day = _s(F.col("o_orderdate").cast("date"))
-    apogee = (F.when(k % 3 == 0, price / 10)
-              .when(k % 6 == 1, price / 1000)
-              .when(k % 6 == 4, price / 250)
-              .otherwise(35700 + price / 4000))
-    perigee = (F.when(k % 3 == 0, price / 10 * (ck % 100) / 100)
-               .when(k % 6 == 1, price / 2000)
-               .when(k % 6 == 4, price / 1000)
-               .otherwise(35690 + price / 5000))
-    return orders.select(
-        _s(k % ID_SPACE).alias("NORAD_CAT_ID"),
-        F.concat(prefix, _s(k)).alias("SATNAME"),
-        F.when(k % 101 == 0, "BAD")
-         .when(k % 103 == 0, F.lit(None).cast("string"))
-         .when(k % 4 == 0, "1999-025ABC")
-         .when(k % 16 == 1, "2007-003D")
-         .otherwise(F.concat(_s(1960 + ck % 12), F.lit("-"),
-                             F.lpad(_s(ck % 7), 3, "0"), F.lit("A")))
-         .alias("OBJECT_ID"),
-        otype.alias("OBJECT_TYPE"),
-        F.when(k % 4 == 0, "C0").when(k % 16 == 1, "C1")
-         .otherwise(F.concat(F.lit("C"), _s(ck % 5))).alias("COUNTRY"),
-        day.alias("LAUNCH"),
-        F.when(F.col("o_orderstatus") == "F", day).alias("DECAY"),
-        F.concat(_s(80 + ck % 1400), F.lit(".25")).alias("PERIOD"),
-        _floor_str(apogee).alias("APOGEE"),
-        _floor_str(perigee).alias("PERIGEE"),
-        F.when(ck % 3 == 0, "SMALL").when(ck % 3 == 1, "MEDIUM")
-         .otherwise("LARGE").alias("RCS_SIZE"),
-        F.lit("Y").alias("CURRENT_FLAG"),
-        F.col("o_orderdate").alias("_ingestion_ts"),
-        k.alias("_seq"),
-    )
+    return orders.sparkSession.sql(SATCAT_LIKE_SQL, orders=orders)
 
 
 def gp_like(orders: DataFrame) -> DataFrame:
     """Raw GP-shaped rows (all strings); a tenth of the ids has none."""
-    k, ck = F.col("o_orderkey"), F.col("o_custkey")
-    padded_id = F.lpad(_s(k % ID_SPACE), 5, "0")
-    no_tle = k % 7 == 0
-    return orders.where((k % ID_SPACE) % 10 != 9).select(
-        _s(k % ID_SPACE).alias("NORAD_CAT_ID"),
-        F.concat(_s(F.col("o_orderdate").cast("date")),
-                 F.lit("T12:00:00.000000")).alias("EPOCH"),
-        F.concat(_s(ck % 16), F.lit("."), F.lpad(_s(k % 1000), 3, "0")).alias("MEAN_MOTION"),
-        F.concat(F.lit("0."), F.lpad(_s(k % 10000), 7, "0")).alias("ECCENTRICITY"),
-        F.concat(_s(ck % 180), F.lit(".5")).alias("INCLINATION"),
-        F.concat(_s(k % 360), F.lit(".25")).alias("RA_OF_ASC_NODE"),
-        F.concat(_s(ck % 360), F.lit(".75")).alias("ARG_OF_PERICENTER"),
-        F.concat(_s((k + ck) % 360), F.lit(".125")).alias("MEAN_ANOMALY"),
-        F.when(k % 13 != 0, F.concat(F.lit("0.000"), _s(ck % 1000))).alias("BSTAR"),
-        _s(k % 50000).alias("REV_AT_EPOCH"),
-        F.when(~no_tle, F.concat(F.lit("1 "), padded_id, F.lit("U"))).alias("TLE_LINE1"),
-        F.when(~no_tle, F.concat(F.lit("2 "), padded_id)).alias("TLE_LINE2"),
-        F.col("o_orderdate").alias("_ingestion_ts"),
-        k.alias("_seq"),
-    )
+    return orders.sparkSession.sql(GP_LIKE_SQL, orders=orders)
 
 
 def load_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

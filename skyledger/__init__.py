@@ -13,3 +13,11 @@ Layers (all plain DataFrame functions):
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark.cloudpickle import register_pickle_by_value as _by_value
+
+# Functions that run in Python workers travel with the job, so executors need
+# no installed copy of this package.
+_by_value(_sys.modules[__name__])

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from ..session import ensure_conf
-from . import bpe
+from . import bpe, exact_dedup, mixing
 
-_OPERATORS = (bpe.op1_bpe,)
+_OPERATORS = (bpe.op1_bpe, exact_dedup.op4_exact_dedup, mixing.op8_mix_sources)
 
 
 def _query(fn):
@@ -16,4 +16,4 @@ def _query(fn):
 
 
 QUERIES = {fn.__name__: _query(fn) for fn in _OPERATORS}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE}

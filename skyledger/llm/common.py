@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +64,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+ROW = "_row_address"
+
+
+def addressed(df: DataFrame) -> DataFrame:
+    """``df`` with the file and position of each row as a stable address.
+
+    The address does not depend on how a scan is split, so it names the same row
+    in every job and after a lost executor.  A table that is not a plain file scan
+    is stored first.
+    """
+    try:
+        meta = df.metadataColumn("_metadata")
+        return df.withColumn(ROW, F.concat_ws(":", meta["file_path"],
+                                              meta["row_index"].cast("string")))
+    except AnalysisException:
+        return addressed(store(df, "addressed"))
+
+
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``rows`` (addressed) but for the ``dropped`` addresses, with their columns."""
+    return rows.join(store(dropped.select(ROW), "dropped"), ROW, "left_anti").drop(ROW)

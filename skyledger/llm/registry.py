@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from ..session import ensure_conf
-from . import bpe, exact_dedup, language_id, mixing, near_dedup
+from . import bpe, exact_dedup, fingerprints, language_id, mixing, near_dedup, secrets
 
-_OPERATORS = (bpe.op1_bpe, exact_dedup.op4_exact_dedup, near_dedup.op7_near_dedup,
-              mixing.op8_mix_sources, language_id.op10_language_id, language_id.page_languages)
+_OPERATORS = (
+    bpe.op1_bpe, secrets.op2_secrets, fingerprints.op3_fingerprints,
+    exact_dedup.op4_exact_dedup, near_dedup.op7_near_dedup, mixing.op8_mix_sources,
+    language_id.op10_language_id, language_id.page_languages,
+)
 
 
 def _query(fn):

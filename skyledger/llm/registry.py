@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from ..session import ensure_conf
 from . import (bpe, exact_dedup, fingerprints, html_extract, language_id, mixing, near_dedup,
-               secrets, url_filters)
+               secrets, url_filters, warc)
 
 _OPERATORS = (
     bpe.op1_bpe, secrets.op2_secrets, fingerprints.op3_fingerprints,
     exact_dedup.op4_exact_dedup, url_filters.op5_url_filters, html_extract.op6_html_text,
-    near_dedup.op7_near_dedup, mixing.op8_mix_sources,
+    near_dedup.op7_near_dedup, mixing.op8_mix_sources, warc.op9_warc,
     language_id.op10_language_id, language_id.page_languages,
 )
 
@@ -23,4 +23,5 @@ def _query(fn):
 
 QUERIES = {fn.__name__: _query(fn) for fn in _OPERATORS}
 ORACLE: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE,
-                          "op5_url_filters": url_filters.ORACLE}
+                          "op5_url_filters": url_filters.ORACLE,
+                          "op9_warc": warc.ORACLE}

@@ -212,7 +212,8 @@ def percent(ratio: ColumnOrName, digits: int = 1) -> Column:
     the binary expansion of ``12.35`` is.
     """
     scaled = _c(ratio).cast("decimal(30,10)") * F.lit(100)
-    return F.format_string(f"%.{digits}f%%", F.round(scaled, digits).cast("double"))
+    return F.when(scaled.isNotNull(), F.format_string(
+        f"%.{digits}f%%", F.round(scaled, digits).cast("double")))
 
 
 # F17 / F18 ----------------------------------------------------------------------

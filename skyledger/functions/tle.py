@@ -41,6 +41,19 @@ def _implied_decimal(raw: Column) -> Column:
     return F.when(mant != "", value)
 
 
+# The first character of a five-character number from 100,000 on
+# (I and O are not used), worth 10 and up.
+NUMBER_LETTERS = "ABCDEFGHJKLMNPQRSTUVWXYZ"
+
+
+def catalogue_number(raw: Column) -> Column:
+    """Catalogue number of a trimmed field: digits, or a letter and four digits."""
+    letter = F.instr(F.lit(NUMBER_LETTERS), F.substring(raw, 1, 1))
+    return F.when(raw.rlike(f"^[{NUMBER_LETTERS}][0-9]{{4}}$"),
+                  (letter + 9) * 10_000 + F.substring(raw, 2, 4).try_cast("int")) \
+        .otherwise(raw.try_cast("int"))
+
+
 def checksum(line: Column) -> Column:
     """Modulo-10 checksum of columns 1-68: digits count their value, '-' counts 1."""
     chars = F.split(F.substring(line, 1, 68), "")
@@ -65,7 +78,7 @@ def parse_tle(df: DataFrame, line1: str = "tle_line1", line2: str = "tle_line2")
     return df.select(
         "*",
         F.substring(l1, 1, 1).alias("tle_line1_no"),
-        _field(l1, LINE1_FIELDS["satnum"]).try_cast("int").alias("tle_satnum"),
+        catalogue_number(_field(l1, LINE1_FIELDS["satnum"])).alias("tle_satnum"),
         _field(l1, LINE1_FIELDS["classification"]).alias("tle_classification"),
         _field(l1, LINE1_FIELDS["intl_designator"]).alias("tle_intl_designator"),
         F.when(yy.isNotNull() & (day >= 1) & (day < 367), epoch).alias("tle_epoch"),
@@ -84,3 +97,22 @@ def parse_tle(df: DataFrame, line1: str = "tle_line1", line2: str = "tle_line2")
         (checksum(l1) == _field(l1, LINE1_FIELDS["checksum"]).try_cast("int")).alias("tle_line1_ok"),
         (checksum(l2) == _field(l2, LINE2_FIELDS["checksum"]).try_cast("int")).alias("tle_line2_ok"),
     )
+
+
+# Element columns of the object table, by parsed field.
+ELEMENTS = {
+    "epoch": "tle_epoch", "mean_motion": "tle_mean_motion", "eccentricity": "tle_eccentricity",
+    "inclination": "tle_inclination", "ra_of_asc_node": "tle_ra_of_asc_node",
+    "arg_of_pericenter": "tle_arg_of_pericenter", "mean_anomaly": "tle_mean_anomaly",
+}
+
+
+def elements_from_tle(df: DataFrame, line1: str = "tle_line1",
+                      line2: str = "tle_line2") -> DataFrame:
+    """``df`` with the orbital elements of its two lines, under the names that
+    :func:`skyledger.plans.positions.position_grid` reads (they replace columns of
+    the same name).  Rows whose lines fail their checksum have null elements."""
+    kept = [c for c in df.columns if c not in ELEMENTS]
+    parsed = parse_tle(df.select(*kept), line1, line2)
+    valid = F.col("tle_line1_ok") & F.col("tle_line2_ok")
+    return parsed.select(*kept, *[F.when(valid, F.col(c)).alias(n) for n, c in ELEMENTS.items()])

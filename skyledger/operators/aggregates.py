@@ -12,7 +12,7 @@ def _c(c: Column | str) -> Column:
 
 def count_if(pred: Column | str) -> Column:
     """Number of rows where ``pred`` is true; null counts as 0, result bigint."""
-    return F.sum(F.when(_c(pred), 1).otherwise(0)).cast("bigint")
+    return F.count_if(F.coalesce(_c(pred), F.lit(False)))
 
 
 def ratio(num: Column | str, den: Column | str, digits: int = 4) -> Column:
@@ -45,9 +45,14 @@ def exact_mean(c: Column | str, scale: int = 12) -> Column:
     Each value is taken at ``scale`` decimals (its shortest decimal text,
     rounded), summed exactly as ``decimal(38, scale)`` and divided once by the
     count.  Unlike ``avg`` on doubles, the result does not depend on how rows
-    were split across tasks or in what order partial sums were merged.
+    were split across tasks or in what order partial sums were merged.  Nulls are
+    not counted; a NaN, or a magnitude of ``10**(38 - scale)`` or more, raises.
     """
-    dec = _c(c).try_cast(f"decimal(38,{scale})")   # |x| < 10**(38 - scale)
+    x = _c(c)
+    dec = x.try_cast(f"decimal(38,{scale})")
+    dec = F.when(x.isNotNull() & dec.isNull(), F.raise_error(F.lit(
+        f"exact_mean: value outside of decimal(38,{scale})")).cast(f"decimal(38,{scale})")) \
+        .otherwise(dec)
     total = F.sum(dec).cast("double")
     n = F.count(dec)
     return F.when(n > 0, total / n)

@@ -21,7 +21,8 @@ def page(df: DataFrame, order: Sequence[Column], number: int,
     """Page ``number`` (0-based) of ``size`` rows under ``order``.
 
     ``offset + limit`` keeps the per-task top ``(number + 1) * size`` rows, so
-    a page never needs a global sort of the whole input.  ``rank_col`` is the
+    a page near the front needs no global sort of the whole input; readers that go
+    deep follow :func:`page_after` from page to page.  ``rank_col`` is the
     1-based display rank ``number * size + i + 1``; it is numbered on the page
     itself (at most ``size`` rows).  End ``order`` with a unique column.
     """
@@ -32,6 +33,25 @@ def page(df: DataFrame, order: Sequence[Column], number: int,
     return out
 
 
+def page_after(df: DataFrame, keys: Sequence[str], last: Sequence | None,
+               size: int = PAGE_SIZE) -> DataFrame:
+    """The ``size`` rows that follow the key values ``last`` in ascending order of
+    ``keys`` (None: the first page).
+
+    Each task keeps ``size`` rows however deep the page lies, and the comparison is
+    a filter on the scan.  The last of ``keys`` must be unique, and no key null.
+    """
+    if last is not None:
+        beyond = F.lit(False)
+        for i, key in enumerate(keys):
+            step = F.col(key) > F.lit(last[i])
+            for j in range(i):
+                step = step & (F.col(keys[j]) == F.lit(last[j]))
+            beyond = beyond | step
+        df = df.where((F.col(keys[0]) >= F.lit(last[0])) & beyond)
+    return df.orderBy(*keys).limit(size)
+
+
 def page_count(df: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
     """One row: ``rows`` and ``pages = ceil(rows / size)``."""
     return df.agg(F.count(F.lit(1)).alias("rows")).select(

@@ -18,7 +18,7 @@ OBJECT_EXPECTATIONS = {
 
 
 def _violations(rules: dict[str, str]) -> list[Column]:
-    return [F.sum(F.when(F.expr(p), 0).otherwise(1)).cast("bigint").alias(name)
+    return [F.count_if(~F.coalesce(F.expr(p), F.lit(False))).alias(name)
             for name, p in rules.items()]
 
 

@@ -41,7 +41,12 @@ def quota_sample(df: DataFrame, by: str, quotas: dict[str, int], order: str,
     hist = cand.groupBy(by, "_bucket", "_quota").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(by).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    kept = (hist.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
+    # more rows than ids in a bucket: ``order`` is not unique, and a rank inside
+    # the bucket would not be bounded
+    checked = F.when(F.col("_n") > bucket_width, F.raise_error(F.lit(
+        f"quota_sample: {order} is not unique")).cast("long")).otherwise(F.col("_n"))
+    kept = (hist.withColumn("_n", checked)
+                .withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
                 .where(F.col("_before") < F.col("_quota"))
                 .select(by, "_bucket", "_before"))
     # Each kept bucket holds >= 1 row and starts below the quota, so ``kept``

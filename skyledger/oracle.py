@@ -8,7 +8,7 @@ HALF_UP rounding, averages of integers are ``sum / count``.
 
 from __future__ import annotations
 
-from .params import (POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
+from .params import (GLOBE_DIGITS, POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
                      SNAPSHOT_DATE)
 
 from .sources.adapters import GP_LIKE_SQL, SATCAT_LIKE_SQL
@@ -234,6 +234,45 @@ def queries() -> dict[str, str]:
     from . import oracle_positions as OP
     q["tle_fields"] = OP.tle_fields_sql()
     q["position_grid"] = OP.position_grid_sql(POSITION_T0, POSITION_STEPS, POSITION_STEP_SECONDS)
+    q["tle_full_fields"] = OP.tle_full_fields_sql()
+    q["globe_positions"] = OP.globe_positions_sql(POSITION_T0, POSITION_STEPS,
+                                                  POSITION_STEP_SECONDS, GLOBE_DIGITS)
+    q["space_objects_from_bronze"] = q["space_objects"]
+    q["latest_satcat_stream"] = _with() + """
+      SELECT norad_cat_id, object_name, intl_designator, object_type, country, launch_date,
+             decay_date, period_min, apogee_km, perigee_km, rcs_size, is_current
+      FROM sat_ranked WHERE rn = 1"""
+    q["bronze_evolved"] = q["bronze_satcat"].replace(
+        "RCS_SIZE, CURRENT_FLAG FROM",
+        f"CASE WHEN _ingestion_ts >= TIMESTAMP '{SNAPSHOT_CUTOFF}' THEN RCS_SIZE END AS RCS_SIZE, "
+        "CURRENT_FLAG FROM")
+    month = "strftime(date_trunc('month', _ingestion_ts), '%Y-%m-%dT%H:%M:%SZ')"
+    q["bronze_lineage"] = f"""
+      WITH satcat_like AS ({SATCAT_LIKE})
+      SELECT {month} AS collected_at, COUNT(*) AS records, 0 AS first_index,
+             CAST(0 AS BIGINT) AS without_lineage
+      FROM satcat_like GROUP BY 1"""
+    q["file_inventory"] = f"""
+      WITH satcat_like AS ({SATCAT_LIKE})
+      SELECT COUNT(*) AS files, TRUE AS has_bytes FROM (
+        SELECT DISTINCT {month}, _seq // 100000 FROM satcat_like) f"""
+    q["raw_quality_report"] = f"""
+      WITH satcat_like AS ({SATCAT_LIKE})
+      SELECT COUNT(*) AS rows,
+             COUNT(*) FILTER (WHERE OBJECT_ID IS NULL) AS valid_object_id,
+             COUNT(*) FILTER (WHERE OBJECT_ID IS NULL OR OBJECT_ID NOT LIKE '____-%')
+               AS valid_designator,
+             COUNT(*) FILTER (WHERE DECAY IS NULL) AS decayed
+      FROM satcat_like"""
+    q["epoch_dates"] = _with() + """
+      SELECT strftime(epoch, '%Y-%m-%d') AS epoch_date, COUNT(*) AS objects
+      FROM objects WHERE epoch IS NOT NULL GROUP BY 1"""
+    q["named_table"] = _with() + LEADERBOARD.replace(
+        "SELECT country, total_objects,", "SELECT 'gold' AS layer, country, total_objects,", 1)
+    for name, body in (("orbital_census", CENSUS), ("congestion_metrics", CONGESTION),
+                       ("country_leaderboard", LEADERBOARD),
+                       ("constellation_growth", CONSTELLATION), ("globe_data", GLOBE)):
+        q[f"export_round_trip_{name}"] = _with() + body
     q.update(history_queries(SNAPSHOT_CUTOFF))
     q["export_round_trip"] = _with() + DECAY
     names = sorted(["orbital_census", "congestion_metrics", "country_leaderboard",
@@ -245,6 +284,12 @@ def queries() -> dict[str, str]:
              CAST((SELECT COUNT(*) FROM census) + (SELECT COUNT(*) FROM congestion)
                 + (SELECT COUNT(*) FROM leaderboard) + (SELECT COUNT(*) FROM growth)
                 + (SELECT COUNT(*) FROM decay) + (SELECT COUNT(*) FROM globe) AS BIGINT) AS total_rows"""
+    ctes = {"orbital_census": "census", "congestion_metrics": "congestion",
+            "country_leaderboard": "leaderboard", "constellation_growth": "growth",
+            "decay_tracker": "decay", "globe_data": "globe"}
+    q["export_rows"] = _with(*_gold_ctes()) + " UNION ALL ".join(
+        f"SELECT '{n}' AS \"table\", COUNT(*) AS rows, TRUE AS agrees FROM {c}"
+        for n, c in sorted(ctes.items()))
     return q
 
 
@@ -309,6 +354,13 @@ def panel_queries() -> dict[str, str]:
     q["points_by_type"] = _g("""
       SELECT COALESCE(NULLIF(upper(object_type), ''), 'UNKNOWN') AS type_key, COUNT(*) AS points
       FROM globe GROUP BY 1""")
+    q["point_colors"] = _g("""
+      SELECT norad_cat_id,
+             CAST(CASE upper(object_type) WHEN 'PAYLOAD' THEN 34.0 WHEN 'DEBRIS' THEN 239.0 WHEN 'ROCKET BODY' THEN 234.0 ELSE 148.0 END AS DOUBLE) AS r,
+             CAST(CASE upper(object_type) WHEN 'PAYLOAD' THEN 197.0 WHEN 'DEBRIS' THEN 68.0 WHEN 'ROCKET BODY' THEN 179.0 ELSE 163.0 END AS DOUBLE) AS g,
+             CAST(CASE upper(object_type) WHEN 'PAYLOAD' THEN 94.0 WHEN 'DEBRIS' THEN 68.0 WHEN 'ROCKET BODY' THEN 8.0 ELSE 184.0 END AS DOUBLE) AS b,
+             CAST(CASE upper(object_type) WHEN 'PAYLOAD' THEN 200.0 WHEN 'DEBRIS' THEN 180.0 WHEN 'ROCKET BODY' THEN 200.0 ELSE 160.0 END AS DOUBLE) AS a
+      FROM globe""")
     q["visible_objects"] = _g("""
       SELECT * FROM globe
       WHERE COALESCE(NULLIF(upper(object_type), ''), 'UNKNOWN') NOT IN ('DEBRIS', 'UNKNOWN')""")

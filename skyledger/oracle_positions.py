@@ -10,6 +10,7 @@ import math
 
 from .oracle import _with
 from .plans import positions as P
+from .sources.adapters import TLE_LINES_DUCKDB
 
 TWO_PI = repr(2 * math.pi)
 
@@ -34,7 +35,38 @@ def _checksum(line: str) -> str:
             f"WHEN c = '-' THEN 1 ELSE 0 END)) % 10)")
 
 
+def _number(line: str) -> str:
+    f = _field(line, 3, 5)
+    letters = "'ABCDEFGHJKLMNPQRSTUVWXYZ'"
+    return (f"CASE WHEN regexp_matches({f}, '^[A-HJ-NP-Z][0-9]{{4}}$') "
+            f"THEN CAST((strpos({letters}, substring({f}, 1, 1)) + 9) * 10000 "
+            f"+ TRY_CAST(substring({f}, 2, 4) AS INTEGER) AS INTEGER) "
+            f"ELSE TRY_CAST({f} AS INTEGER) END")
+
+
 def tle_fields_sql() -> str:
+    return _with() + _tle_select(
+        "norad_cat_id, tle_line1, tle_line2", "objects WHERE tle_line1 IS NOT NULL")
+
+
+def tle_full_fields_sql() -> str:
+    return f"WITH lines AS MATERIALIZED ({TLE_LINES_DUCKDB}) " + _tle_select("object_id", "lines")
+
+
+def globe_positions_sql(t0: str, steps: int, step_seconds: int, digits: int) -> str:
+    """Positions from the parsed lines, by the same chain of steps."""
+    parsed = _tle_select("object_id", "lines")
+    source = f"""lines AS MATERIALIZED ({TLE_LINES_DUCKDB}), objects AS MATERIALIZED (
+      SELECT object_id, tle_epoch AS epoch, tle_mean_motion AS mean_motion,
+             tle_eccentricity AS eccentricity, tle_inclination AS inclination,
+             tle_ra_of_asc_node AS ra_of_asc_node, tle_arg_of_pericenter AS arg_of_pericenter,
+             tle_mean_anomaly AS mean_anomaly
+      FROM ({parsed}) p WHERE tle_line1_ok AND tle_line2_ok)"""
+    ctes, final = _position_ctes("object_id", t0, steps, step_seconds, digits)
+    return "WITH " + ",\n".join([source, *ctes]) + final
+
+
+def _tle_select(keep: str, source: str) -> str:
     l1, l2 = "tle_line1", "tle_line2"
     yy = f"TRY_CAST({_field(l1, 19, 2)} AS INTEGER)"
     day = f"TRY_CAST({_field(l1, 21, 12)} AS DOUBLE)"
@@ -43,10 +75,10 @@ def tle_fields_sql() -> str:
              f"make_timestamp({year}, 1, 1, 0, 0, 0) + "
              f"to_microseconds(CAST(round(({day} - 1) * 86400000000.0) AS BIGINT)) END")
     ecc = _field(l2, 27, 7)
-    return _with() + f"""
-    SELECT norad_cat_id, {l1}, {l2},
+    return f"""
+    SELECT {keep},
            substring({l1}, 1, 1) AS tle_line1_no,
-           TRY_CAST({_field(l1, 3, 5)} AS INTEGER) AS tle_satnum,
+           {_number(l1)} AS tle_satnum,
            {_field(l1, 8, 1)} AS tle_classification,
            {_field(l1, 10, 8)} AS tle_intl_designator,
            {epoch} AS tle_epoch,
@@ -64,7 +96,7 @@ def tle_fields_sql() -> str:
            TRY_CAST({_field(l2, 64, 5)} AS INTEGER) AS tle_rev_number,
            {_checksum(l1)} = TRY_CAST({_field(l1, 69, 1)} AS INTEGER) AS tle_line1_ok,
            {_checksum(l2)} = TRY_CAST({_field(l2, 69, 1)} AS INTEGER) AS tle_line2_ok
-    FROM objects WHERE tle_line1 IS NOT NULL"""
+    FROM {source}"""
 
 
 def _pmod(x: str, m: str) -> str:
@@ -72,10 +104,17 @@ def _pmod(x: str, m: str) -> str:
 
 
 def position_grid_sql(t0: str, steps: int, step_seconds: int) -> str:
+    ctes, final = _position_ctes("norad_cat_id, object_name, object_type, country", t0, steps,
+                                 step_seconds)
+    return _with(*ctes) + final
+
+
+def _position_ctes(keep: str, t0: str, steps: int, step_seconds: int,
+                   digits: int = P.OUTPUT_DIGITS) -> tuple[list[str], str]:
     mu, re_, j2 = repr(P.MU_KM3_S2), repr(P.EARTH_RADIUS_KM), repr(P.J2)
     e2 = repr(P.WGS84_E2)
     ctes = [f"""g0 AS (
-      SELECT norad_cat_id, object_name, object_type, country, epoch, mean_motion,
+      SELECT {keep}, epoch, mean_motion,
              eccentricity AS e, radians(inclination) AS inc, ra_of_asc_node, arg_of_pericenter,
              mean_anomaly, s.step,
              CAST('{t0}' AS TIMESTAMP) + to_seconds(s.step * {step_seconds}) AS t
@@ -93,7 +132,8 @@ def position_grid_sql(t0: str, steps: int, step_seconds: int) -> str:
       SELECT *, {_pmod(f'radians(mean_anomaly) + (n0 + k * sqrt(1.0 - e * e) * (1.0 - 1.5 * sin_i2)) * dt', TWO_PI)} AS M,
              radians(ra_of_asc_node) - k * cos(inc) * dt AS raan,
              radians(arg_of_pericenter) + k * (2.0 - 2.5 * sin_i2) * dt AS argp,
-             {_pmod(f'radians(mean_anomaly) + (n0 + k * sqrt(1.0 - e * e) * (1.0 - 1.5 * sin_i2)) * dt', TWO_PI)} AS E0
+             CASE WHEN e >= {P.HIGH_ECCENTRICITY} THEN pi()
+                  ELSE {_pmod(f'radians(mean_anomaly) + (n0 + k * sqrt(1.0 - e * e) * (1.0 - 1.5 * sin_i2)) * dt', TWO_PI)} END AS E0
       FROM g3)"""]
     prev = "g4"
     for i in range(1, P.KEPLER_ITERATIONS + 1):
@@ -120,15 +160,19 @@ def position_grid_sql(t0: str, steps: int, step_seconds: int) -> str:
     gmst = _pmod(f"radians(280.46061837 + 360.98564736629 * {d} + 0.000387933 * {tt} * {tt}"
                  f" - {tt} * {tt} * {tt} / 38710000.0)", TWO_PI)
     lon = _pmod(f"atan2(y, x) - {gmst} + pi()", TWO_PI) + " - pi()"
+    # the altitude by another formula than the kernel's: along the equator's plane at
+    # low latitudes, along the axis at high ones
+    normal = f"{re_} / sqrt(1.0 - {e2} * sin(lat0) * sin(lat0))"
     ctes.append(f"""fin AS (
-      SELECT norad_cat_id, object_name, object_type, country, step, t,
+      SELECT {keep}, step, t,
              degrees(lat0) AS lat, degrees({lon}) AS lng,
-             rxy / cos(lat0) - {re_} / sqrt(1.0 - {e2} * sin(lat0) * sin(lat0)) AS alt_km
-      FROM {prev})""")
-    return _with(*ctes) + """
-    SELECT norad_cat_id, object_name, object_type, country, step, t,
-           round(lat, 6) AS lat, round(lng, 6) AS lng, round(alt_km, 6) AS alt_km,
-           round(alt_km, 6) * 1000 AS alt_m FROM fin
+             CASE WHEN abs(lat0) < pi() / 4 THEN rxy / cos(lat0) - {normal}
+                  ELSE z / sin(lat0) - (1.0 - {e2}) * {normal} END AS alt_km
+      FROM {prev} WHERE abs(E0 - e * sin(E0) - M) <= {P.KEPLER_TOLERANCE})""")
+    return ctes, f"""
+    SELECT {keep}, step, t,
+           round(lat, {digits}) + 0.0 AS lat, round(lng, {digits}) + 0.0 AS lng,
+           round(alt_km, {digits}) AS alt_km, round(alt_km, {digits}) * 1000 AS alt_m FROM fin
     WHERE lat IS NOT NULL AND NOT isnan(lat) AND abs(lat) < 'inf'::DOUBLE
       AND lng IS NOT NULL AND NOT isnan(lng) AND abs(lng) < 'inf'::DOUBLE
-      AND alt_km IS NOT NULL AND NOT isnan(alt_km) AND abs(alt_km) < 'inf'::DOUBLE"""
+      AND alt_km > 0 AND alt_km IS NOT NULL AND NOT isnan(alt_km) AND abs(alt_km) < 'inf'::DOUBLE"""

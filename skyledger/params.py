@@ -5,3 +5,4 @@ SNAPSHOT_CUTOFF = "1996-01-01"        # "past" snapshot: feed rows ingested befo
 POSITION_T0 = "1998-08-03T00:00:00"   # first instant of the position grid (UTC)
 POSITION_STEPS = 4
 POSITION_STEP_SECONDS = 30
+GLOBE_DIGITS = 3   # of degrees and km: what a globe display resolves

@@ -103,6 +103,57 @@ def change_feed(before: DataFrame, after: DataFrame, key: str = "norad_cat_id",
                      *[f"new_{c}" for c in tracked]))
 
 
+def before_and_after(satcat_raw: DataFrame, cutoff: str) -> DataFrame:
+    """Newest catalogue row of each id from the rows before ``cutoff`` and from all
+    rows, as structs ``before`` (null if the id is new) and ``after``.
+
+    One scan and one grouped aggregate with map-side partial ``max_by``; elements
+    play no part in what is compared, so their history is not read.
+    """
+    typed = silver.clean_satcat(satcat_raw)
+    order = F.struct(*[silver._lineage_value(c).alias(c) for c in silver.LINEAGE_ORDER
+                       if c in typed.columns])
+    row = F.struct(*[c for c in silver.SATCAT_COLUMNS if c != "norad_cat_id"])
+    past = F.col("_ingestion_ts") < F.lit(cutoff).cast(typed.schema["_ingestion_ts"].dataType)
+    return typed.groupBy("norad_cat_id").agg(
+        F.max_by(row, F.when(past, order)).alias("before"), F.max_by(row, order).alias("after"))
+
+
+def _classified(row: str, columns: list[str]) -> Column:
+    """``columns`` of a catalogue row, with the classes derived from it."""
+    def of(c: str) -> Column:
+        if c == "orbital_regime":
+            return C.orbital_regime(F.col(row)["apogee_km"], F.col(row)["perigee_km"])
+        if c == "object_category":
+            return C.object_category(F.col(row)["object_type"], F.col(row)["decay_date"])
+        return F.col(row)[c]
+    return F.when(F.col(row).isNotNull(), F.struct(*[of(c).alias(c) for c in columns]))
+
+
+def changes_since(satcat_raw: DataFrame, cutoff: str,
+                  tracked: list[str] = TRACKED) -> DataFrame:
+    """:func:`change_feed` between the catalogue as of ``cutoff`` and now, in one pass."""
+    both = before_and_after(satcat_raw, cutoff).select(
+        "norad_cat_id", _classified("before", tracked).alias("o"),
+        _classified("after", tracked).alias("n"))
+    change = F.when(F.col("o").isNull(), "insert").when(~F.col("o").eqNullSafe(F.col("n")),
+                                                        "update")
+    return both.withColumn("change", change).where(F.col("change").isNotNull()).select(
+        "norad_cat_id", "change", *[F.col("o")[c].alias(f"old_{c}") for c in tracked],
+        *[F.col("n")[c].alias(f"new_{c}") for c in tracked])
+
+
+def census_since(satcat_raw: DataFrame, cutoff: str) -> DataFrame:
+    """:func:`census_change` between the catalogue as of ``cutoff`` and now, in one pass."""
+    keys = ["object_type", "orbital_regime", "country"]
+    both = before_and_after(satcat_raw, cutoff).select(F.explode(F.array(
+        F.struct(F.lit(True).alias("past"), _classified("before", keys).alias("k")),
+        F.struct(F.lit(False).alias("past"), _classified("after", keys).alias("k")))).alias("x"))
+    counts = both.where("x.k IS NOT NULL").groupBy(*[F.col("x.k")[c].alias(c) for c in keys]).agg(
+        F.count_if("x.past").alias("past_count"), F.count_if(~F.col("x.past")).alias("present_count"))
+    return counts.withColumn("delta", F.col("present_count") - F.col("past_count"))
+
+
 # X7 -------------------------------------------------------------------------
 def census_change(past_census: DataFrame, present_census: DataFrame) -> DataFrame:
     """Object counts per (type, regime, country) then and now, with the delta."""

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
 from ..sources.adapters import load_feeds
 from ..sources.catalog import read_layer, write_table
 from . import gold, silver
@@ -23,6 +24,14 @@ def objects_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.space_objects(satcat_raw, gp_raw)
 
 
+def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The object table written once to the shared folder, for jobs that read it
+    several times."""
+    base = scratch_path(spark, "objects")
+    write_table(objects_from_testdata(spark, sf_dir), base, "space_objects", "silver")
+    return read_layer(spark, base, "space_objects")
+
+
 TABLE_COMMENTS = {
     "space_objects": "unified object table: newest catalogue row per id + newest elements",
     "fragmentation_events": "debris pieces per launch and country (10 or more)",

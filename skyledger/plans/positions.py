@@ -10,8 +10,9 @@ Spark shape: each object row generates its own instants with
 ``explode(sequence(...))`` (a per-row generator, not a join), so the work is
 split exactly like the object table.  The orbit math is a vectorised numpy
 kernel behind one pandas UDF (Arrow batches); Kepler's equation and the
-geodetic latitude are solved with a fixed number of iterations.  Rows whose
-result is not finite (bad elements) are dropped (P13).
+geodetic latitude are solved with a fixed number of iterations.  Rows without a
+possible position are dropped (P13): bad elements, an unsolved Kepler equation, a
+point at or below the surface.  ``rejected_positions`` counts them.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.classify import km_to_m
+
 # Fixed physical constants (WGS-84 / EGM values, public).
 MU_KM3_S2 = 398600.4418
 EARTH_RADIUS_KM = 6378.137
@@ -31,7 +34,9 @@ WGS84_E2 = WGS84_F * (2 - WGS84_F)
 SECONDS_PER_DAY = 86400.0
 J2000_JD = 2451545.0
 UNIX_EPOCH_JD = 2440587.5
-KEPLER_ITERATIONS = 12
+KEPLER_ITERATIONS = 24
+KEPLER_TOLERANCE = 1e-9   # largest residual of Kepler's equation, radians
+HIGH_ECCENTRICITY = 0.8   # from here on Newton starts at pi, where it cannot overshoot
 GEODETIC_ITERATIONS = 6
 TWO_PI = 2 * math.pi
 
@@ -67,9 +72,10 @@ def kepler_geodetic(n_rev_day, e, inc_deg, raan_deg, argp_deg, m_deg, dt, t_unix
                    TWO_PI)
         raan = np.radians(raan_deg) - k * np.cos(inc) * dt
         argp = np.radians(argp_deg) + k * (2.0 - 2.5 * sin_i2) * dt
-        ecc_anom = m.copy()
+        ecc_anom = np.where(e >= HIGH_ECCENTRICITY, np.pi, m)
         for _ in range(KEPLER_ITERATIONS):
             ecc_anom = ecc_anom - (ecc_anom - e * np.sin(ecc_anom) - m) / (1.0 - e * np.cos(ecc_anom))
+        residual = np.abs(ecc_anom - e * np.sin(ecc_anom) - m)
         nu = 2.0 * np.arctan2(np.sqrt(1.0 + e) * np.sin(ecc_anom / 2),
                               np.sqrt(1.0 - e) * np.cos(ecc_anom / 2))
         r = a * (1.0 - e * np.cos(ecc_anom))
@@ -83,7 +89,9 @@ def kepler_geodetic(n_rev_day, e, inc_deg, raan_deg, argp_deg, m_deg, dt, t_unix
             s = np.sin(lat)
             lat = np.arctan2(z + EARTH_RADIUS_KM * WGS84_E2 * s / np.sqrt(1.0 - WGS84_E2 * s * s), rxy)
         s = np.sin(lat)
-        alt = rxy / np.cos(lat) - EARTH_RADIUS_KM / np.sqrt(1.0 - WGS84_E2 * s * s)
+        # stable at the poles, where both rxy and cos(lat) vanish
+        alt = rxy * np.cos(lat) + z * s - EARTH_RADIUS_KM * np.sqrt(1.0 - WGS84_E2 * s * s)
+        alt = np.where((residual <= KEPLER_TOLERANCE) & (alt > 0), alt, np.nan)
         lon = np.arctan2(y, x) - gmst_rad_np(t_unix)
         lon = np.mod(lon + np.pi, TWO_PI) - np.pi
     return np.degrees(lat), np.degrees(lon), alt
@@ -137,17 +145,36 @@ def position_grid(objects: DataFrame, t0: str, steps: int, step_seconds: int = 3
     ``lat``/``lng`` (degrees) and ``alt_km`` are rounded to ``digits`` decimals
     (None keeps full precision); ``alt_m`` is ``alt_km * 1000``.
     """
-    keep = keep or ["norad_cat_id", "object_name", "object_type", "country"]
+    out = _propagated(objects, t0, steps, step_seconds, keep, j2)
+    keep = keep or KEEP
+    out = out.where(_finite("lat") & _finite("lng") & _finite("alt_km"))
+    if digits is not None:
+        out = out.select(*keep, "step", "t",
+                         *[F.round(c, digits).alias(c) for c in ("lat", "lng", "alt_km")])
+    return out.select(*keep, "step", "t", "lat", "lng", "alt_km", km_to_m("alt_km").alias("alt_m"))
+
+
+def rejected_positions(objects: DataFrame, t0: str, steps: int, step_seconds: int = 30,
+                       j2: float = J2) -> DataFrame:
+    """One row: ``positions`` asked of objects with valid elements, and how many of
+    them :func:`position_grid` drops."""
+    out = _propagated(objects, t0, steps, step_seconds, None, j2)
+    good = _finite("lat") & _finite("lng") & _finite("alt_km")
+    return out.agg(F.count(F.lit(1)).alias("positions"), F.count_if(~good).alias("rejected"))
+
+
+KEEP = ["norad_cat_id", "object_name", "object_type", "country"]
+
+
+def _propagated(objects: DataFrame, t0: str, steps: int, step_seconds: int,
+                keep: list[str] | None, j2: float) -> DataFrame:
+    if steps < 1:
+        raise ValueError("steps must be 1 or more")
+    keep = keep or KEEP
     valid = objects.where(F.col("epoch").isNotNull() & (F.col("mean_motion") > 0)
                           & (F.col("eccentricity") >= 0) & (F.col("eccentricity") < 1))
     start = F.lit(t0).cast("timestamp_ntz")
     grid = (valid.select(*keep, *ELEMENT_COLUMNS,
                          F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"))
                  .withColumn("t", F.timestamp_add("SECOND", F.col("step") * step_seconds, start)))
-    out = propagate(grid, "t", j2)
-    out = out.where(_finite("lat") & _finite("lng") & _finite("alt_km"))
-    if digits is not None:
-        out = out.select(*keep, "step", "t",
-                         *[F.round(c, digits).alias(c) for c in ("lat", "lng", "alt_km")])
-    return out.select(*keep, "step", "t", "lat", "lng", "alt_km",
-                      (F.col("alt_km") * 1000).alias("alt_m"))
+    return propagate(grid, "t", j2)

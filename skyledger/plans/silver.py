@@ -36,9 +36,16 @@ OBJECT_COLUMNS = SATCAT_COLUMNS + GP_COLUMNS + DERIVED_COLUMNS
 
 # Lineage columns, most significant first: collection time, ingestion time,
 # then what makes a raw row unique (a sequence number, or file + position).
+# Collection time comes first, and as a time: a file that arrives late holds an
+# older state of the catalogue and must not replace a newer one that was
+# ingested before it.  Feeds without it are ordered by ingestion time.
 LINEAGE_ORDER = ["_collected_at", "_ingestion_ts", "_seq", "_source_file", "_record_index"]
 
 
+def _lineage_value(name: str) -> Column:
+    return F.try_to_timestamp(F.col(name)) if name == "_collected_at" else F.col(name)
+
+
 def _lineage(raw: DataFrame) -> list[Column]:
     return [F.col(c) for c in LINEAGE_ORDER if c in raw.columns]
 
@@ -46,7 +53,7 @@ def _lineage(raw: DataFrame) -> list[Column]:
 def newest_first(columns: list[str], *first: Column) -> list[Column]:
     """Order list: the given columns, then every lineage column among
     ``columns``, newest first."""
-    return list(first) + [F.desc(c) for c in LINEAGE_ORDER if c in columns]
+    return list(first) + [_lineage_value(c).desc() for c in LINEAGE_ORDER if c in columns]
 
 
 def _newest_first(raw: DataFrame, *first: Column) -> list[Column]:
@@ -109,10 +116,18 @@ def latest_satcat(satcat_raw: DataFrame) -> DataFrame:
 
 # W2 -------------------------------------------------------------------------
 def latest_elements(gp_raw: DataFrame) -> DataFrame:
-    """Newest epoch per id; null epochs sort last."""
+    """Newest epoch per id; null epochs sort last.
+
+    A grouped ``max_by`` (partial on the map side, so a hot id leaves one row a
+    task): grouping proves the id unique, which lets Catalyst drop the join, and
+    with it the scan of the element history, for tables that use no element.
+    """
     typed = clean_gp(gp_raw)
-    order = _newest_first(typed, F.desc_nulls_last("epoch"))
-    return latest_per_key(typed, ["norad_cat_id"], order).select("norad_cat_id", *GP_COLUMNS)
+    order = F.struct("epoch", *[_lineage_value(c).alias(c) for c in LINEAGE_ORDER
+                                if c in typed.columns])
+    newest = typed.groupBy("norad_cat_id").agg(
+        F.max_by(F.struct(*GP_COLUMNS), order).alias("newest"))
+    return newest.select("norad_cat_id", *[F.col("newest")[c].alias(c) for c in GP_COLUMNS])
 
 
 # J1 + F1-F4 -------------------------------------------------------------------

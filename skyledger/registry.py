@@ -7,15 +7,17 @@ and runs the library function over the whole input.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .params import (POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
+from .params import (GLOBE_DIGITS, POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
                      SNAPSHOT_DATE)
+from .functions import classify
 from .operators.quality import OBJECT_EXPECTATIONS, violation_counts
 from .plans import gold, history, panels, silver
-from .plans.pipeline import objects_from_testdata
+from .plans.pipeline import objects_from_testdata, stored_objects
 from .session import ensure_conf
 from .sources.adapters import load_feeds
 
@@ -69,7 +71,7 @@ _on_objects("congestion_metrics", gold.congestion_metrics)
 _on_objects("country_leaderboard", gold.country_leaderboard)
 _on_objects("constellation_growth", gold.constellation_growth)
 _on_objects("decay_tracker", gold.decay_tracker)
-_on_objects("globe_data", gold.globe_data)
+QUERIES["globe_data"] = lambda spark, sf_dir: gold.globe_data(stored_objects(spark, sf_dir))
 _on_objects("quality_report", violation_counts, rules=OBJECT_EXPECTATIONS)
 
 
@@ -92,9 +94,16 @@ _panel("total_objects", panels.total_objects, _census)
 _panel("headline_counts", panels.headline_counts, _census)
 _panel("reband_congestion", panels.reband, _gold_of(gold.congestion_metrics))
 _panel("type_share", lambda c: panels.type_share(panels.rollup_by_type(c)), _census)
-_panel("points_by_type", panels.points_by_type, _gold_of(gold.globe_data))
-_panel("visible_objects", lambda g: panels.visible_objects(g, ["DEBRIS", "UNKNOWN"]),
-       _gold_of(gold.globe_data))
+def _globe(spark, sf_dir):
+    # the sample reads its input twice: the object table is stored first
+    return gold.globe_data(stored_objects(spark, sf_dir))
+
+
+_panel("points_by_type", panels.points_by_type, _globe)
+_panel("visible_objects", lambda g: panels.visible_objects(g, ["DEBRIS", "UNKNOWN"]), _globe)
+_panel("point_colors", lambda g: g.select("norad_cat_id", *[
+    classify.type_rgba("object_type")[i].cast("double").alias(c)
+    for i, c in enumerate("rgba")]), _globe)
 _panel("top_countries", panels.top_countries, _gold_of(gold.country_leaderboard))
 _panel("country_page", lambda lb: panels.country_page(lb, 0), _gold_of(gold.country_leaderboard))
 _panel("country_page_count", panels.country_pages, _gold_of(gold.country_leaderboard))
@@ -133,33 +142,89 @@ def _bronze_gp(spark, sf_dir):
     return _bronze(spark, sf_dir, ("gp",))["gp"].select(*GP_FIELDS)
 
 
+@register("bronze_lineage")
+def _bronze_lineage(spark, sf_dir):
+    """Lineage of the ingested catalogue by collection: records, and the first and
+    last position in the envelopes."""
+    rows = _bronze(spark, sf_dir, ("satcat",))["satcat"]
+    return rows.groupBy("_collected_at").agg(
+        F.count(F.lit(1)).alias("records"), F.min("_record_index").alias("first_index"),
+        F.count_if(F.col("_source_file").isNull() | F.col("_ingestion_ts").isNull())
+         .alias("without_lineage")).withColumnRenamed("_collected_at", "collected_at")
+
+
+@register("bronze_evolved")
+def _bronze_evolved(spark, sf_dir):
+    """Two runs on one checkpoint: the records before the cut-off land without
+    RCS_SIZE, the later ones with it; nothing of the new field is lost."""
+    from .session import scratch_path
+    from .sources.adapters import SATCAT_FIELDS, land_feed
+    from .streaming.bronze import ingest_envelopes, read_bronze
+    raw, _ = load_feeds(spark, sf_dir)
+    root = scratch_path(spark, "bronze-evolved")
+    late = F.col("_ingestion_ts") >= F.lit(SNAPSHOT_CUTOFF).cast(
+        raw.schema["_ingestion_ts"].dataType)
+    early = [c for c in SATCAT_FIELDS if c != "RCS_SIZE"]
+    for rows, fields in ((raw.where(~late), early), (raw.where(late), SATCAT_FIELDS)):
+        land_feed(rows, f"{root}/landing", "satcat", fields)
+        res = ingest_envelopes(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint")
+    return read_bronze(spark, f"{root}/bronze", res.schema).select(*SATCAT_FIELDS)
+
+
 @register("space_objects_from_bronze")
 def _objects_from_bronze(spark, sf_dir):
     b = _bronze(spark, sf_dir)
     return silver.space_objects(b["satcat"], b["gp"])
 
 
-# Export: written JSON read back, manifest, landing inventory -------------------
-@register("export_round_trip")
-def _export_round_trip(spark, sf_dir):
-    """decay_tracker exported as JSON and read back with its schema."""
+@register("file_inventory")
+def _file_inventory(spark, sf_dir):
+    """Files of a landing area: one envelope for each month of the catalogue."""
     from .session import scratch_path
-    from .sources.export import export_json, read_export
-    table = gold.decay_tracker(objects_from_testdata(spark, sf_dir))
-    base = scratch_path(spark, "export")
-    export_json(table, base, "decay_tracker")
-    return read_export(spark, base, "decay_tracker", table.schema)
+    from .sources.adapters import SATCAT_FIELDS, land_feed
+    from .sources.export import file_inventory
+    root = scratch_path(spark, "inventory")
+    land_feed(load_feeds(spark, sf_dir)[0], f"{root}/landing", "satcat", SATCAT_FIELDS)
+    return file_inventory(spark, f"{root}/landing", "*.txt") \
+        .select("files", (F.col("total_bytes") > 0).alias("has_bytes"))
+
+
+# Export: written JSON read back, manifest, tables by name -----------------------
+def _round_trip(name):
+    def run(spark, sf_dir):
+        """A gold table exported as JSON and read back with its schema."""
+        from .session import scratch_path
+        from .sources.export import export_json, read_export
+        table = _gold(name, stored_objects(spark, sf_dir))
+        base = scratch_path(spark, "export")
+        export_json(table, base, name)
+        return read_export(spark, base, name, table.schema)
+    return run
+
+
+def _gold(name, objects):
+    fn = gold.GOLD_TABLES[name]
+    return fn(objects, SNAPSHOT_DATE) if name == "orbital_census" else fn(objects)
+
+
+QUERIES["export_round_trip"] = _round_trip("decay_tracker")
+for _name in gold.GOLD_TABLES:
+    if _name != "decay_tracker":
+        QUERIES[f"export_round_trip_{_name}"] = _round_trip(_name)
+
+
+def _export_all(spark, sf_dir):
+    from .session import scratch_path
+    from .sources.export import export_all
+    objects = stored_objects(spark, sf_dir)
+    base = scratch_path(spark, "export-all")
+    return base, export_all(spark, {n: _gold(n, objects) for n in gold.GOLD_TABLES}, base)
 
 
 @register("export_manifest")
 def _export_manifest(spark, sf_dir):
     """All six gold tables exported; the manifest row."""
-    from .session import scratch_path
-    from .sources.export import export_all
-    objects = objects_from_testdata(spark, sf_dir)
-    tables = {name: (fn(objects, SNAPSHOT_DATE) if name == "orbital_census" else fn(objects))
-              for name, fn in gold.GOLD_TABLES.items()}
-    _, manifest = export_all(spark, tables, scratch_path(spark, "export-all"))
+    _, (_, manifest) = _export_all(spark, sf_dir)
     # canonical text for the nested columns: sorted list, sorted compact JSON
     return manifest.select(
         F.array_join(F.sort_array("tables"), ",").alias("tables"),
@@ -168,11 +233,29 @@ def _export_manifest(spark, sf_dir):
         "total_rows")
 
 
-@register("file_inventory")
-def _file_inventory(spark, sf_dir):
-    """Files and bytes of the input tables (the landing-area check)."""
-    from .sources.export import file_inventory
-    return file_inventory(spark, sf_dir, "*.parquet")
+@register("export_rows")
+def _export_rows(spark, sf_dir):
+    """Rows of each exported table, counted from what its manifest endpoint holds,
+    and whether the export's own count and size agree."""
+    base, (results, manifest) = _export_all(spark, sf_dir)
+    stated = {r.table: r for r in results}
+    parts = [spark.read.text(f"{base}/{path}").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(name).alias("table"), "rows",
+        ((F.col("rows") == stated[name].rows) & F.lit(stated[name].bytes > 0)).alias("agrees"))
+        for name, path in sorted(manifest.first()["endpoints"].items())]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@register("named_table")
+def _named_table(spark, sf_dir):
+    """A gold table written with its layer and loaded by its allow-listed name."""
+    from .session import scratch_path
+    from .sources.catalog import load_gold, table_properties, write_table
+    base = scratch_path(spark, "catalog")
+    write_table(gold.country_leaderboard(objects_from_testdata(spark, sf_dir)), base,
+                "country_leaderboard", "gold")
+    layer = table_properties(spark, base, "country_leaderboard")["layer"]
+    return load_gold(spark, base, "country_leaderboard").withColumn("layer", F.lit(layer))
 
 
 # TLE fields and positions --------------------------------------------------------
@@ -185,6 +268,29 @@ def _tle_fields(spark, sf_dir):
     return parse_tle(objects.select("norad_cat_id", "tle_line1", "tle_line2"))
 
 
+def _tle_lines(spark, sf_dir):
+    """Complete element lines for every order (fixed values of the adapter)."""
+    from .sources.adapters import TLE_LINES_SQL, read_table
+    return spark.sql(TLE_LINES_SQL, orders=read_table(spark, sf_dir, "orders"))
+
+
+@register("tle_full_fields")
+def _tle_full_fields(spark, sf_dir):
+    """Every field of complete lines, with checksums and letter-led numbers."""
+    from .functions.tle import parse_tle
+    return parse_tle(_tle_lines(spark, sf_dir)).drop("tle_line1", "tle_line2")
+
+
+@register("globe_positions")
+def _globe_positions(spark, sf_dir):
+    """Positions straight from element lines: parse, then propagate."""
+    from .functions.tle import elements_from_tle
+    from .plans.positions import position_grid
+    rows = elements_from_tle(_tle_lines(spark, sf_dir))
+    return position_grid(rows, POSITION_T0, POSITION_STEPS, POSITION_STEP_SECONDS,
+                         keep=["object_id"], digits=GLOBE_DIGITS)
+
+
 @register("position_grid")
 def _position_grid(spark, sf_dir):
     from .plans.positions import position_grid
@@ -192,6 +298,14 @@ def _position_grid(spark, sf_dir):
                          POSITION_STEPS, POSITION_STEP_SECONDS)
 
 
+@register("epoch_dates")
+def _epoch_dates(spark, sf_dir):
+    """Objects by the date part of their element epoch."""
+    objects = objects_from_testdata(spark, sf_dir).where("epoch IS NOT NULL")
+    return objects.groupBy(classify.iso_date_part("epoch").alias("epoch_date")) \
+        .agg(F.count(F.lit(1)).alias("objects"))
+
+
 # Element history and snapshots -------------------------------------------------
 
 
@@ -207,21 +321,23 @@ def _catalogue_upsert(spark, sf_dir):
     return history.catalogue_upsert(satcat_raw, SNAPSHOT_CUTOFF)
 
 
-def _past_and_present(spark, sf_dir):
-    satcat_raw, gp_raw = load_feeds(spark, sf_dir)
-    past = silver.space_objects(*history.feeds_as_of(satcat_raw, gp_raw, SNAPSHOT_CUTOFF))
-    return past, silver.space_objects(satcat_raw, gp_raw)
-
-
 @register("change_feed")
 def _change_feed(spark, sf_dir):
-    return history.change_feed(*_past_and_present(spark, sf_dir))
+    return history.changes_since(load_feeds(spark, sf_dir)[0], SNAPSHOT_CUTOFF)
 
 
 @register("census_change")
 def _census_change(spark, sf_dir):
-    past, present = _past_and_present(spark, sf_dir)
-    return history.census_change(gold.orbital_census(past), gold.orbital_census(present))
+    return history.census_since(load_feeds(spark, sf_dir)[0], SNAPSHOT_CUTOFF)
+
+
+@register("raw_quality_report")
+def _raw_quality(spark, sf_dir):
+    """Expectations on the raw catalogue, where some rows violate them."""
+    raw, _ = load_feeds(spark, sf_dir)
+    return violation_counts(raw, {"valid_object_id": "OBJECT_ID IS NOT NULL",
+                                  "valid_designator": "OBJECT_ID LIKE '____-%'",
+                                  "decayed": "DECAY IS NOT NULL"})
 
 
 _on_objects("growth_by_launch_year", history.growth_by_launch_year)
@@ -234,18 +350,16 @@ def _latest_satcat_stream(spark, sf_dir):
     SATCAT envelopes (foreachBatch, several micro-batches)."""
     from .session import scratch_path
     from .sources.adapters import SATCAT_FIELDS, land_feed
-    from .sources.envelopes import infer_record_schema
     from .streaming.bronze import envelope_stream
     from .streaming.refresh import read_latest, refresh_latest
     satcat_raw, _ = load_feeds(spark, sf_dir)
     root = scratch_path(spark, "latest-stream")
     land_feed(satcat_raw, f"{root}/landing", "satcat", SATCAT_FIELDS)
-    stream = envelope_stream(spark, f"{root}/landing",
-                             infer_record_schema(spark, f"{root}/landing"),
-                             max_files_per_trigger=16)
+    stream = envelope_stream(spark, f"{root}/landing", SATCAT_FIELDS,
+                             max_files_per_trigger=16).where("_status = 'ok'")
     from .streaming.bronze import LINEAGE
     refresh_latest(stream, f"{root}/latest", f"{root}/checkpoint", ["norad_cat_id"],
-                   silver.newest_first(LINEAGE), prepare=silver.clean_satcat)
+                   silver.newest_first(LINEAGE), prepare=silver.clean_satcat, buckets=16)
     return read_latest(spark, f"{root}/latest").select(*silver.SATCAT_COLUMNS)
 
 

@@ -43,12 +43,13 @@ def get_session(master: str | None = None, app: str = "skyledger",
     if master:
         b = b.master(master)
     conf = dict(REQUIRED_CONF)
-    conf.update({
-        "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("SKYLEDGER_DRIVER_MEMORY", "16g"),
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-    })
+    if (master or "").startswith("local"):
+        # a submitted application keeps the memory and UI settings it came with
+        conf.update({
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": os.environ.get("SKYLEDGER_DRIVER_MEMORY", "16g"),
+        })
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -63,11 +64,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared,
-    fault-tolerant folder there).  Only when it is unset - local tests - a
-    fresh folder under the system temp dir is created and registered.
+    fault-tolerant folder there).  Only when it is unset in local mode, as in
+    tests, a fresh folder under the system temp dir is created and registered;
+    on a cluster each machine would write to a disk of its own, so that raises.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="skyledger-ckpt-")
         try:
@@ -84,19 +88,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 128 * 1024 ** 2) -> dict[str, str]:
-    """Settings for a cluster run over ``input_bytes`` of input.
-
-    The initial shuffle partition count is sized so that even an unreduced
-    shuffle would give ~``target_partition_bytes`` per task; AQE then
-    coalesces small partitions to the advisory size and splits skewed ones,
-    so the count is an upper bound, not a guess that has to be right.
-    """
-    initial = max(200, min(200_000, -(-input_bytes // target_partition_bytes)))
-    return {
-        "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-    }
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

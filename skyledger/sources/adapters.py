@@ -75,6 +75,60 @@ WHERE o_orderkey % 11000 % 10 <> 9
 """
 
 
+# Complete element lines for every order, laid out in the columns
+# of the two-line format, with letter-led numbers from 100,000 on.  The checksum
+# is the last digit of the sum of all digits, a minus counting 1.
+_TLE_BODY = r"""
+SELECT o_orderkey AS object_id,
+  '1 ' || CASE WHEN o_orderkey % 5 = 0
+               THEN substring('ABCDEFGHJKLMNPQRSTUVWXYZ', CAST(o_orderkey % 24 + 1 AS INTEGER), 1)
+                    || LPAD(CAST(o_orderkey % 10000 AS STRING), 4, '0')
+               ELSE LPAD(CAST(o_orderkey % 100000 AS STRING), 5, '0') END || 'U '
+    || LPAD(CAST(o_custkey % 100 AS STRING), 2, '0') || LPAD(CAST(o_orderkey % 1000 AS STRING), 3, '0')
+    || 'A   ' || LPAD(CAST(o_orderkey % 100 AS STRING), 2, '0')
+    || LPAD(CAST(1 + o_custkey % 365 AS STRING), 3, '0') || '.'
+    || LPAD(CAST(o_orderkey % 100000000 AS STRING), 8, '0') || ' '
+    || CASE WHEN o_orderkey % 2 = 0 THEN '-' ELSE ' ' END || '.'
+    || LPAD(CAST(o_custkey % 100000 AS STRING), 8, '0') || '  00000-0 '
+    || CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE ' ' END
+    || LPAD(CAST(10000 + o_custkey % 90000 AS STRING), 5, '0') || '-4 0 '
+    || LPAD(CAST(o_orderkey % 1000 AS STRING), 4, ' ') AS body1,
+  '2 ' || CASE WHEN o_orderkey % 5 = 0
+               THEN substring('ABCDEFGHJKLMNPQRSTUVWXYZ', CAST(o_orderkey % 24 + 1 AS INTEGER), 1)
+                    || LPAD(CAST(o_orderkey % 10000 AS STRING), 4, '0')
+               ELSE LPAD(CAST(o_orderkey % 100000 AS STRING), 5, '0') END || ' '
+    || LPAD(CAST(o_custkey % 180 AS STRING), 3, ' ') || '.' || LPAD(CAST(o_orderkey % 10000 AS STRING), 4, '0') || ' '
+    || LPAD(CAST(o_orderkey % 360 AS STRING), 3, ' ') || '.' || LPAD(CAST(o_custkey % 10000 AS STRING), 4, '0') || ' '
+    || LPAD(CAST((o_orderkey * 37) % CASE WHEN o_orderkey % 11 = 0 THEN 9000000 ELSE 200000 END AS STRING), 7, '0') || ' '
+    || LPAD(CAST(o_custkey % 360 AS STRING), 3, ' ') || '.' || LPAD(CAST(o_orderkey % 10000 AS STRING), 4, '0') || ' '
+    || LPAD(CAST((o_orderkey + o_custkey) % 360 AS STRING), 3, ' ') || '.' || LPAD(CAST(o_custkey % 10000 AS STRING), 4, '0') || ' '
+    || LPAD(CAST(o_custkey % 16 AS STRING), 2, ' ') || '.' || LPAD(CAST(o_orderkey % 100000000 AS STRING), 8, '0')
+    || LPAD(CAST(o_orderkey % 100000 AS STRING), 5, ' ') AS body2
+FROM {orders}
+"""
+
+
+def _tle_checksum(body: str) -> str:
+    """Replacing each digit by as many marks as it counts leaves their number."""
+    marked = f"replace({body}, '-', '1')"
+    marked = f"regexp_replace({marked}, '[^1-9]', ''{{flags}})"
+    total = " + ".join(f"{d} * (length({marked}) - length(replace({marked}, '{d}', '')))"
+                       for d in range(1, 10))
+    return f"CAST(({total}) % 10 AS STRING)"
+
+
+def _tle_lines_sql(flags: str) -> str:
+    sums = {b: _tle_checksum(b).replace("{flags}", flags) for b in ("body1", "body2")}
+    # every thirteenth second line carries a wrong checksum
+    return (f"SELECT object_id, body1 || {sums['body1']} AS tle_line1, "
+            f"body2 || CASE WHEN object_id % 13 = 0 THEN 'X' ELSE {sums['body2']} END AS tle_line2 "
+            f"FROM ({_TLE_BODY}) t")
+
+
+TLE_LINES_SQL = _tle_lines_sql("")
+TLE_LINES_DUCKDB = _tle_lines_sql(", 'g'").replace("{orders}", "orders")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -4,31 +4,35 @@ Envelope: ``{source, dataset, collected_at, record_count, data: [record...]}``.
 Records carry the feed's fields as JSON strings (or null).
 
 ``write_envelopes`` produces landing files from a DataFrame of records with
-Spark (used to land derived feeds and in tests); ``infer_record_schema`` and
-``merge_schema`` implement type inference and add-new-columns evolution for
-the stream in :mod:`skyledger.streaming.bronze`.
+Spark (used to land derived feeds and in tests).  ``ENVELOPE`` reads records as
+raw text and ``record_fields`` opens them, for the stream in
+:mod:`skyledger.streaming.bronze`.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists
+
 DEFAULT_MAX_RECORDS = 100_000  # records per envelope file (bounds one group)
 
 
-def envelope_schema(record_schema: T.StructType) -> T.StructType:
-    return T.StructType([
-        T.StructField("source", T.StringType()),
-        T.StructField("dataset", T.StringType()),
-        T.StructField("collected_at", T.StringType()),
-        T.StructField("record_count", T.LongType()),
-        T.StructField("data", T.ArrayType(record_schema)),
-    ])
+CORRUPT = "_corrupt"
+
+# Records stay raw text here: whatever their fields and types, nothing is lost.
+ENVELOPE = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("dataset", T.StringType()),
+    T.StructField("collected_at", T.StringType()),
+    T.StructField("record_count", T.LongType()),
+    T.StructField("data", T.ArrayType(T.StringType())),
+    T.StructField(CORRUPT, T.StringType()),
+])
 
 
 def write_envelopes(records: DataFrame, path: str, dataset: str, fields: Sequence[str],
@@ -64,53 +68,21 @@ def write_envelopes(records: DataFrame, path: str, dataset: str, fields: Sequenc
          .partitionBy("collection").text(path))
 
 
-def infer_record_schema(spark: SparkSession, path: str, modified_after: str | None = None,
-                        sampling_ratio: float = 1.0) -> T.StructType | None:
-    """Record schema inferred from landed envelopes (IO5).
-
-    ``modified_after`` (``YYYY-MM-DDTHH:mm:ss``, UTC) restricts inference to
-    files landed since then, so a run only reads what is new instead of the
-    whole landing history.  Returns None when no file qualifies.
-    """
-    reader = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-              .option("samplingRatio", sampling_ratio))
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    try:
-        env = reader.json(path)
-    except Exception:  # noqa: BLE001 - no (new) files: nothing to infer
-        return None
-    if "data" not in env.columns:
-        return None
-    data_type = env.schema["data"].dataType
-    return data_type.elementType if isinstance(data_type, T.ArrayType) else None
-
-
-def merge_schema(old: T.StructType | None, new: T.StructType | None) -> T.StructType:
-    """Add-new-columns evolution (IO6): keep old fields in order, append new ones.
-
-    A field whose type changed becomes string (the raw JSON text still fits).
-    """
-    if new is None:
-        return old if old is not None else T.StructType()
-    if old is None:
-        return new
-    fields = []
-    new_by_name = {f.name: f for f in new.fields}
-    for f in old.fields:
-        g = new_by_name.get(f.name)
-        if g is not None and g.dataType != f.dataType and not isinstance(g.dataType, T.NullType):
-            fields.append(T.StructField(f.name, T.StringType(), True))
-        else:
-            fields.append(f)
-    seen = {f.name for f in old.fields}
-    fields += [f for f in new.fields if f.name not in seen]
-    return T.StructType(fields)
-
-
-def schema_to_json(schema: T.StructType) -> str:
-    return schema.json()
-
-
-def schema_from_json(text: str) -> T.StructType:
-    return T.StructType.fromJson(json.loads(text))
+def record_fields(raw: str) -> Column:
+    """All fields of a raw record as text, by name; null if it is not an object."""
+    return F.from_json(F.col(raw), "map<string,string>")
+
+
+def field_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the record fields in all landed envelopes (IO5), in the order of
+    their first position in a record, then by name; none if nothing has landed or
+    all collections are empty."""
+    if not path_exists(spark, path):
+        return []
+    env = (spark.read.schema(ENVELOPE).option("multiLine", True)
+           .option("columnNameOfCorruptRecord", CORRUPT)
+           .option("recursiveFileLookup", True).json(path))
+    fields = env.select(F.explode("data").alias("raw")) \
+        .select(F.posexplode(F.map_keys(record_fields("raw"))).alias("at", "name"))
+    found = fields.groupBy("name").agg(F.min("at").alias("at")).collect()  # one row a field
+    return [r.name for r in sorted(found, key=lambda r: (r["at"], r["name"]))]

@@ -2,19 +2,17 @@
 
 Layout under ``base``::
 
-    <table>/part-*.json      records, one JSON object per line (distributed write)
+    <table>.json/part-*      records, one JSON object per line (distributed write)
     _headers/<table>/        one JSON row {table, exported_at, row_count, path}
     _manifest/               one JSON row {exported_at, tables, endpoints, total_rows}
-    _documents/<table>/      {table, exported_at, row_count, data: [...]} in one file,
-                             only for tables within a checked row bound
+
+The endpoints of the manifest are paths below ``base`` that a reader can open.
 
 Design at scale: records are written by the executors in parallel; the row
 count is taken by an ``Observation`` on the same job (no second ``count()``
 pass, nothing pulled to the driver); the byte size comes from a file listing
 of what was written (``binaryFile`` source with the content column pruned).
-The single-document form (all rows in one JSON document, what a browser
-fetches) is produced only for tables whose observed row count is within a
-stated bound; larger tables are never funnelled through one task.
+Every table has this one form, whatever its size.
 """
 
 from __future__ import annotations
@@ -54,15 +52,15 @@ def file_inventory(spark: SparkSession, path: str, pattern: str | None = None) -
                      F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("total_bytes"))
 
 
-def export_json(df: DataFrame, base: str, name: str,
-                document_max_rows: int | None = None) -> ExportResult:
-    """Write ``df`` as JSON lines under ``base/name`` plus a header row (IO10, IO13).
+def endpoint(name: str) -> str:
+    """Path of a table's records below the export's base."""
+    return f"{name}.json"
 
-    With ``document_max_rows``, tables up to that many rows also get the
-    single-document form (:func:`export_document`).
-    """
+
+def export_json(df: DataFrame, base: str, name: str) -> ExportResult:
+    """Write ``df`` as JSON lines under its endpoint, plus a header row (IO10, IO13)."""
     spark = df.sparkSession
-    path = f"{base.rstrip('/')}/{name}"
+    path = f"{base.rstrip('/')}/{endpoint(name)}"
     obs = Observation(f"export_{name}")
     (df.observe(obs, F.count(F.lit(1)).alias("rows"))
        .write.mode("overwrite")
@@ -72,62 +70,32 @@ def export_json(df: DataFrame, base: str, name: str,
     rows = int(obs.get["rows"])
     size = int(file_inventory(spark, path, "*.json").first()["total_bytes"])
     header = spark.createDataFrame(
-        [(name, _now_iso(), rows, f"{name}/")],
+        [(name, _now_iso(), rows, endpoint(name))],
         "table string, exported_at string, row_count long, path string")
     header.coalesce(1).write.mode("overwrite").json(f"{base.rstrip('/')}/_headers/{name}")
-    if document_max_rows is not None:
-        export_document(spark, base, name, rows, df.schema, document_max_rows)
     return ExportResult(name, rows, size, path)
 
 
-DOCUMENT_MAX_ROWS = 100_000
-
-
-def export_document(spark: SparkSession, base: str, name: str, rows: int, schema,
-                    max_rows: int = DOCUMENT_MAX_ROWS) -> str | None:
-    """Single-document form ``{table, exported_at, row_count, data: [...]}``.
-
-    Built from the already written JSON lines, and only when the observed row
-    count is at most ``max_rows``: the one group that collects the rows is
-    then bounded by a checked number.  Larger tables keep only the
-    distributed record files; returns None for them.
-    """
-    if rows > max_rows:
-        return None
-    records = read_export(spark, base, name, schema)
-    doc = records.agg(F.collect_list(F.struct(*records.columns)).alias("data")).select(
-        F.to_json(F.struct(
-            F.lit(name).alias("table"),
-            F.lit(_now_iso()).alias("exported_at"),
-            F.lit(rows).cast("long").alias("row_count"),
-            F.col("data")),
-            {"timestampFormat": ISO_TS, "timestampNTZFormat": ISO_TS,
-             "dateFormat": ISO_DATE, "ignoreNullFields": "false"}).alias("value"))
-    path = f"{base.rstrip('/')}/_documents/{name}"
-    doc.coalesce(1).write.mode("overwrite").text(path)
-    return path
-
-
 def read_export(spark: SparkSession, base: str, name: str, schema=None) -> DataFrame:
     """Read exported records back (with the original schema when given)."""
     r = spark.read.option("timestampFormat", ISO_TS).option("timestampNTZFormat", ISO_TS) \
         .option("dateFormat", ISO_DATE)
     if schema is not None:
         r = r.schema(schema)
-    return r.json(f"{base.rstrip('/')}/{name}")
+    return r.json(f"{base.rstrip('/')}/{endpoint(name)}")
 
 
 def export_manifest(spark: SparkSession, results: list[ExportResult]) -> DataFrame:
     """One-row manifest: table list, endpoint map and total rows (IO11)."""
     per_table = spark.createDataFrame(
-        [(r.table, r.rows, r.bytes) for r in results] or [("", 0, 0)],
-        "table string, rows long, bytes long").where(F.col("table") != "")
+        [(r.table, endpoint(r.table), r.rows, r.bytes) for r in results] or [("", "", 0, 0)],
+        "table string, endpoint string, rows long, bytes long").where(F.col("table") != "")
     return per_table.agg(
         F.lit(_now_iso()).alias("exported_at"),
         F.coalesce(F.sort_array(F.collect_list("table")),
                    F.array().cast("array<string>")).alias("tables"),
         F.coalesce(F.map_from_entries(F.collect_list(
-            F.struct("table", F.concat("table", F.lit(".json"))))),
+            F.struct("table", "endpoint"))),
             F.create_map().cast("map<string,string>")).alias("endpoints"),
         F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("total_rows"),
         F.coalesce(F.sum("bytes"), F.lit(0)).cast("bigint").alias("total_bytes"))
@@ -139,8 +107,7 @@ class ExportError(RuntimeError):
         self.errors = errors
 
 
-def export_all(spark: SparkSession, tables: dict[str, DataFrame], base: str,
-               document_max_rows: int | None = DOCUMENT_MAX_ROWS):
+def export_all(spark: SparkSession, tables: dict[str, DataFrame], base: str):
     """Export every table; keep going past failures, then raise if any failed (IO12).
 
     Returns ``(results, manifest_df)``; the manifest lists the tables that made it
@@ -150,7 +117,7 @@ def export_all(spark: SparkSession, tables: dict[str, DataFrame], base: str,
     errors: dict[str, str] = {}
     for name, df in tables.items():
         try:
-            results.append(export_json(df, base, name, document_max_rows))
+            results.append(export_json(df, base, name))
         except Exception as e:  # noqa: BLE001 - collected and re-raised below
             errors[name] = str(e).splitlines()[0] if str(e) else type(e).__name__
     manifest = export_manifest(spark, results)

@@ -1,129 +1,194 @@
 """Bronze: envelope files -> append-only raw tables, with Structured Streaming.
 
 * ST1 each landed file is read exactly once: the file source records what it
-  has processed in the query checkpoint, a rerun only picks up new files;
+  has processed in the query checkpoint, a rerun only picks up new files.
+  Files count as new whatever their modification time (``MAX_FILE_AGE``);
 * ST2 triggered, not continuous: ``trigger(availableNow=True)`` drains what
   is there (in ``max_files_per_trigger`` batches) and stops;
 * ST3 stateless append: explode + flatten + lineage, ``outputMode append``.
 
+Nothing that lands is lost.  A record is kept as the text of its fields: known
+fields in columns of their own, all others in the map ``_rescued``.  A field
+that is met for the first time is therefore in the table from its first file on;
+it gets a column of its own from the next run, and :func:`read_bronze` gives it
+one for the earlier rows too.  A field whose type changes stays text.  Silver
+casts every field, so text loses nothing.
+
+Each run writes a partition of its own (``_run``).  ``_status`` is ``ok`` for a
+record, ``empty`` for an envelope without records, ``corrupt`` for a file or a
+record that does not parse and ``count`` for records of a file that does not
+hold as many as it says.  Only ``ok`` rows are read as bronze; a run that met
+corrupt files fails after the good ones are written.
+
 Lineage columns: ``_source_file`` (file path), ``_record_index`` (position in
 the envelope), ``_collected_at`` (the envelope's collection time) and
 ``_ingestion_ts`` (micro-batch time).  ``(_source_file, _record_index)`` is
 unique, so downstream "newest per key" never has to break ties arbitrarily.
-
-Schema: the record schema is inferred from the files landed since the last
-run (IO5; ``modifiedAfter``, so a run never re-reads the landing history) and
-merged with the schema saved next to the checkpoint (IO6, add-new-columns).  A new
-field therefore appears after a restart on the same checkpoint; bronze files
-written before simply lack it and read back as null (``mergeSchema``).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.envelopes import (envelope_schema, infer_record_schema, merge_schema,
-                                 schema_from_json)
+from ..session import path_exists
+from ..sources.envelopes import CORRUPT, ENVELOPE, field_names, record_fields
 
 LINEAGE = ["_source_file", "_record_index", "_collected_at", "_ingestion_ts"]
+MAX_FILE_AGE = "36500d"   # older than any history that is loaded after the fact
 
 
-def _schema_path(checkpoint: str) -> str:
-    return f"{checkpoint.rstrip('/')}/_record_schema"
+def _fields_path(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}/_record_fields"
 
 
-def load_saved_schema(spark: SparkSession, checkpoint: str):
-    """(schema, inferred_until) saved by the previous run, or (None, None)."""
-    try:
-        row = spark.read.json(_schema_path(checkpoint)).first()  # one small row
-    except Exception:  # noqa: BLE001 - no schema saved yet
-        return None, None
-    if row is None:
-        return None, None
-    return schema_from_json(row["schema"]), row["inferred_until"]
+def load_fields(spark: SparkSession, checkpoint: str) -> list[str]:
+    """Field names known after the runs so far, in the order they were met."""
+    if not path_exists(spark, _fields_path(checkpoint)):
+        return []
+    rows = spark.read.schema("run long, position int, name string") \
+        .json(_fields_path(checkpoint)).collect()  # one row a field
+    return list(dict.fromkeys(r.name for r in sorted(rows)))
 
 
-def save_schema(spark: SparkSession, checkpoint: str, schema: T.StructType,
-                inferred_until: str) -> None:
-    (spark.createDataFrame([(schema.json(), inferred_until)],
-                           "schema string, inferred_until string").coalesce(1)
-          .write.mode("overwrite").json(_schema_path(checkpoint)))
+def save_fields(spark: SparkSession, checkpoint: str, known: list[str], new: list[str]) -> None:
+    """Append newly met names; earlier files are never rewritten."""
+    if new:
+        (spark.createDataFrame([(len(known), i, n) for i, n in enumerate(new)],
+                               "run long, position int, name string").coalesce(1)
+              .write.mode("append").json(_fields_path(checkpoint)))
 
 
-def envelope_stream(spark: SparkSession, landing: str, record_schema: T.StructType,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of flattened records with lineage (IO1-IO4)."""
-    reader = (spark.readStream.schema(envelope_schema(record_schema))
+def envelope_stream(spark: SparkSession, landing: str, fields: list[str],
+                    max_files_per_trigger: int | None = None,
+                    max_file_age: str = MAX_FILE_AGE) -> DataFrame:
+    """Streaming DataFrame of flattened records with lineage (IO1-IO4): a text
+    column for each of ``fields``, ``_rescued`` and ``_status``."""
+    reader = (spark.readStream.schema(ENVELOPE)
               .option("multiLine", True)
+              .option("columnNameOfCorruptRecord", CORRUPT)
+              .option("maxFileAge", max_file_age)
               .option("recursiveFileLookup", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     env = reader.json(landing)
-    return (env.select(F.posexplode("data").alias("_record_index", "record"),
-                       F.col("_metadata.file_path").alias("_source_file"),
-                       F.col("collected_at").alias("_collected_at"))
-               .select("record.*", "_source_file", "_record_index", "_collected_at")
-               .withColumn("_ingestion_ts", F.current_timestamp()))
+    found = F.coalesce(F.size("data"), F.lit(0))
+    records = env.select(
+        F.posexplode_outer("data").alias("_record_index", "_raw"),
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("collected_at").alias("_collected_at"),
+        F.col(CORRUPT).isNotNull().alias("_broken"), found.alias("_found"),
+        F.coalesce("record_count", found).alias("_stated"))
+    m = record_fields("_raw")
+    others = F.map_filter("_m", lambda k, _: ~k.isin(fields)) if fields else F.col("_m")
+    return (records.withColumn("_m", m).select(
+        *[F.col("_m")[F.lit(n)].alias(n) for n in fields],
+        F.when(F.size(others) > 0, others).alias("_rescued"),
+        F.when(F.col("_broken") | (F.col("_raw").isNotNull() & F.col("_m").isNull()), "corrupt")
+         .when(F.col("_found") != F.col("_stated"), "count")
+         .when(F.col("_raw").isNull(), "empty").otherwise("ok").alias("_status"),
+        "_source_file", "_record_index", "_collected_at")
+        .withColumn("_ingestion_ts", F.current_timestamp()))
 
 
 @dataclass
 class IngestResult:
     envelopes: int      # files (one envelope each) read by this run
-    batches: int        # micro-batches that had input
+    records: int        # good records of this run
     schema: T.StructType
 
 
+class CorruptEnvelopes(RuntimeError):
+    """Raised after a run that met broken files; their rows stay in the table
+    under their status (:func:`read_quarantine`)."""
+
+    def __init__(self, files: int, example: str):
+        super().__init__(f"{files} broken envelope file(s), such as {example}")
+        self.files = files
+
+
 def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
-                     record_schema: T.StructType | None = None,
-                     max_files_per_trigger: int | None = None) -> IngestResult:
-    """Drain new envelope files under ``landing`` into the parquet table ``bronze``."""
-    import datetime as _dt
-    saved, inferred_until = load_saved_schema(spark, checkpoint)
-    # Files landed while inference runs are seen again next time (overlap is
-    # harmless: merging a schema with itself changes nothing).
-    started = (_dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(minutes=5)) \
-        .strftime("%Y-%m-%dT%H:%M:%S")
-    found = record_schema or infer_record_schema(spark, landing, modified_after=inferred_until)
-    schema = merge_schema(saved, found)
-    save_schema(spark, checkpoint, schema, started)
-    q = (envelope_stream(spark, landing, schema, max_files_per_trigger)
+                     max_files_per_trigger: int | None = None,
+                     max_file_age: str = MAX_FILE_AGE) -> IngestResult:
+    """Drain new envelope files under ``landing`` into the parquet table ``bronze``.
+
+    Counts come from the rows of the run itself, however many micro-batches it
+    took.  Raises :class:`CorruptEnvelopes` at the end if a file was broken.
+    """
+    known = load_fields(spark, checkpoint)
+    if not known:  # first run: learn the names ahead; what is missed is rescued
+        known = field_names(spark, landing)
+        save_fields(spark, checkpoint, [], known)
+    run = uuid.uuid4().hex
+    q = (envelope_stream(spark, landing, known, max_files_per_trigger, max_file_age)
+         .withColumn("_run", F.lit(run))
          .writeStream.format("parquet")
          .option("path", bronze)
          .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query")
+         .partitionBy("_run")
          .outputMode("append")
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    progress = [p for p in q.recentProgress if p]
-    return IngestResult(envelopes=sum(int(p["numInputRows"]) for p in progress),
-                        batches=len([p for p in progress if p["numInputRows"]]),
-                        schema=schema)
-
-
-LINEAGE_FIELDS = [
+    written = f"{bronze.rstrip('/')}/_run={run}"
+    if not path_exists(spark, written):
+        return IngestResult(0, 0, record_schema(known))
+    rows = spark.read.parquet(written)
+    new = sorted(r.k for r in rows.select(F.explode(F.map_keys("_rescued")).alias("k"))
+                 .distinct().collect())  # one row a new field
+    save_fields(spark, checkpoint, known, new)
+    bad = F.col("_status").isin("corrupt", "count")
+    total = rows.agg(F.count_distinct("_source_file").alias("files"),
+                     F.count_if(F.col("_status") == "ok").alias("records"),
+                     F.count_distinct(F.when(bad, F.col("_source_file"))).alias("broken"),
+                     F.min(F.when(bad, F.col("_source_file"))).alias("example")).first()
+    if total.broken:
+        raise CorruptEnvelopes(total.broken, total.example)
+    return IngestResult(total.files, total.records, record_schema(known + new))
+
+
+def record_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+_OWN = T.StructType([
+    T.StructField("_rescued", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("_status", T.StringType()),
     T.StructField("_source_file", T.StringType()),
     T.StructField("_record_index", T.IntegerType()),
     T.StructField("_collected_at", T.StringType()),
     T.StructField("_ingestion_ts", T.TimestampType()),
-]
-
-
-def bronze_schema(record_schema: T.StructType) -> T.StructType:
-    return T.StructType(list(record_schema.fields) + LINEAGE_FIELDS)
+])
 
 
 def read_bronze(spark: SparkSession, bronze: str,
-                record_schema: T.StructType | None = None) -> DataFrame:
-    """Batch read of a bronze table; files written before a column existed
-    read back as null for it.
+                schema: T.StructType | None = None) -> DataFrame:
+    """Batch read of a bronze table: the good records' fields and lineage.
 
-    With the record schema the stream used (``IngestResult.schema``) no file
-    footers have to be merged; without it, ``mergeSchema`` reads them all.
+    With ``schema`` (``IngestResult.schema``) no file footers are merged.  Without
+    it, the fields are those of all files and rescued maps.  A field that was
+    rescued before it had a column is read from the map.
     """
-    if record_schema is not None:
-        return spark.read.schema(bronze_schema(record_schema)).parquet(bronze)
-    return spark.read.option("mergeSchema", True).parquet(bronze)
+    if schema is None:
+        found = spark.read.option("mergeSchema", True).parquet(bronze)
+        own = {f.name for f in _OWN.fields} | {"_run"}
+        names = [c for c in found.columns if c not in own]
+        late = found.select(F.explode(F.map_keys("_rescued")).alias("k")).distinct().collect()
+        names += sorted({r.k for r in late} - set(names))
+        schema = record_schema(names)
+    rows = spark.read.schema(T.StructType(list(schema.fields) + list(_OWN.fields))).parquet(bronze)
+    return rows.where("_status = 'ok'").select(
+        *[F.coalesce(F.col(f"`{f.name}`"), F.col("_rescued")[F.lit(f.name)]).alias(f.name)
+          for f in schema.fields], *LINEAGE)
+
+
+def read_quarantine(spark: SparkSession, bronze: str) -> DataFrame:
+    """Rows of broken files and records: status, file, position and what was read."""
+    rows = spark.read.option("mergeSchema", True).parquet(bronze)
+    fields = [c for c in rows.columns if c not in {f.name for f in _OWN.fields} | {"_run"}]
+    return rows.where(F.col("_status").isin("corrupt", "count")) \
+        .select("_status", "_source_file", "_record_index", "_rescued", *fields)

@@ -1,15 +1,16 @@
 """Incremental "newest row per key" from a stream, with ``foreachBatch``.
 
-Each micro-batch ``b`` writes version ``v=b`` of the target table as
-``latest_per_key(version before b  UNION  rows of b)``, then records ``b`` in a
-one-row state table.  Readers take the version named in the state table.
-
-* Exactly-once: a failed batch is retried with the same ``batch_id`` and
-  rewrites only its own version (dynamic partition overwrite); the state row
-  is written last, so readers never see a half-written version.
+The table is split into buckets by key.  Micro-batch ``b`` rewrites only the
+buckets that its rows fall into, each as version ``v=b``, and then commits by
+writing its own immutable state file ``_state/b=<b>`` that lists those buckets.
+A bucket's current version is the highest one committed.
+
+* Exactly-once: a failed batch is retried with the same id and rewrites its own
+  versions; state files of other batches are never touched, so no crash can lose
+  the table.  Readers never see a version before it is committed.
+* Cost: a batch costs its buckets, not the table.  Versions superseded by a
+  committed one are dropped by :func:`drop_superseded`.
 * Skew: the merge is the same map-side-limited window as the batch job.
-* Cost: each batch rewrites the whole latest table (MERGE by rewrite, as plain
-  parquet has no row-level updates); versions are kept for audit.
 """
 
 from __future__ import annotations
@@ -20,49 +21,91 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key
+from ..session import path_exists
+
+BUCKETS = 64
 
 
 def _state_path(target: str) -> str:
     return f"{target.rstrip('/')}/_state"
 
 
-def current_version(spark: SparkSession, target: str) -> int | None:
-    try:
-        row = spark.read.json(_state_path(target)).first()
-    except Exception:  # noqa: BLE001 - nothing written yet
+def _data_path(target: str) -> str:
+    return f"{target.rstrip('/')}/data"
+
+
+def committed(spark: SparkSession, target: str, before: int | None = None) -> dict[int, int]:
+    """Current version of each bucket that has one (at most one row a bucket)."""
+    if not path_exists(spark, _state_path(target)):
+        return {}
+    state = spark.read.schema("bucket int, version long").json(f"{_state_path(target)}/*")
+    if before is not None:
+        state = state.where(F.col("version") < before)
+    return {r.bucket: r.version for r in
+            state.groupBy("bucket").agg(F.max("version").alias("version")).collect()}
+
+
+def _read(spark: SparkSession, target: str, versions: dict[int, int]) -> DataFrame | None:
+    if not versions:
         return None
-    return None if row is None else int(row["version"])
+    pairs = F.lit(False)
+    for bucket, version in versions.items():
+        pairs = pairs | ((F.col("bucket") == bucket) & (F.col("v") == version))
+    return spark.read.parquet(_data_path(target)).where(pairs).drop("bucket", "v")
 
 
 def read_latest(spark: SparkSession, target: str) -> DataFrame | None:
-    """The current version of the maintained table (None before the first batch)."""
-    v = current_version(spark, target)
-    if v is None:
-        return None
-    return (spark.read.parquet(f"{target.rstrip('/')}/data")
-            .where(F.col("v") == F.lit(v)).drop("v"))
+    """The current rows of the maintained table (None before the first batch)."""
+    return _read(spark, target, committed(spark, target))
 
 
 def refresh_latest(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str],
-                   order: Sequence[Column], prepare=None):
+                   order: Sequence[Column], prepare=None, buckets: int = BUCKETS):
     """Start a triggered (``availableNow``) query that keeps ``target`` current.
 
-    ``prepare(batch_df)`` may type/clean raw rows before the merge.
-    Returns the finished ``StreamingQuery``.
+    ``prepare(batch_df)`` may type/clean raw rows before the merge.  ``buckets``
+    must stay the same for a target.  Returns the finished ``StreamingQuery``.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = prepare(batch) if prepare else batch
-        prev = read_latest(spark, target)
+        touched = sorted(r.b for r in rows.select(bucket.alias("b")).distinct().collect())
+        if not touched:
+            return
+        versions = committed(spark, target, before=batch_id)
+        prev = _read(spark, target, {b: v for b, v in versions.items() if b in touched})
         both = rows if prev is None else prev.unionByName(rows, allowMissingColumns=True)
-        (latest_per_key(both, keys, order).withColumn("v", F.lit(batch_id))
+        (latest_per_key(both, keys, order)
+            .withColumns({"bucket": bucket, "v": F.lit(batch_id)})
+            .repartition("bucket")  # one file a bucket
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("v").parquet(f"{target.rstrip('/')}/data"))
-        (spark.createDataFrame([(batch_id,)], "version long").coalesce(1)
-              .write.mode("overwrite").json(_state_path(target)))
+            .partitionBy("bucket", "v").parquet(_data_path(target)))
+        (spark.createDataFrame([(b, batch_id) for b in touched], "bucket int, version long")
+              .coalesce(1).write.mode("overwrite").json(f"{_state_path(target)}/b={batch_id}"))
 
     q = (stream.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def drop_superseded(spark: SparkSession, target: str) -> int:
+    """Delete the versions of each bucket below its current one; the number dropped.
+
+    Run it when no reader holds an older version and no refresh is under way.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    for bucket, version in committed(spark, target).items():
+        folder = jvm.org.apache.hadoop.fs.Path(f"{_data_path(target)}/bucket={bucket}")
+        fs = folder.getFileSystem(conf)
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith("v=") and int(name[2:]) < version:
+                fs.delete(status.getPath(), True)
+                dropped += 1
+    return dropped

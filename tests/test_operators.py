@@ -119,3 +119,53 @@ def test_rollup_total_equals_total(spark):
     by_type_total = panels.rollup_by_type(census).agg(F.sum("object_count")).first()[0]
     assert by_type_total == panels.total_objects(census).first()[0]
     assert by_type_total == objects_from_testdata(spark, SF_CHECK).count()
+
+
+def test_small_fixes(spark):
+    from skyledger.functions.classify import percent
+    from skyledger.operators.aggregates import count_if, exact_mean
+    from skyledger.operators.paging import page_after
+    from skyledger.operators.quality import violation_counts
+    from skyledger.operators.sampling import quota_sample
+    from pyspark.sql import functions as F
+    import pytest
+    df = spark.createDataFrame([(i, float(i), "a") for i in range(50)], "k long, x double, s string")
+    none = df.limit(0)
+    assert none.agg(count_if(F.col("x") > 1)).first()[0] == 0
+    assert tuple(violation_counts(none, {"r": "k > 3"}).first()) == (0, 0)
+    assert spark.range(1).select(percent(F.lit(None).cast("double"))).first()[0] is None
+    with pytest.raises(Exception, match="exact_mean"):
+        df.withColumn("x", F.lit(1e30)).agg(exact_mean("x")).collect()
+    with pytest.raises(Exception, match="not unique"):
+        quota_sample(df.withColumn("k", F.lit(1)), "s", {"a": 5}, "k", bucket_width=8).collect()
+    seen, last = [], None
+    while rows := page_after(df.withColumn("h", F.floor(F.col("k") / 7)), ["h", "k"], last, 9).collect():
+        seen += [r.k for r in rows]
+        last = (rows[-1].h, rows[-1].k)
+    assert seen == list(range(50))
+
+
+def test_one_pass_snapshots_equal_the_join_of_two(spark):
+    from conftest import SF_CHECK
+    from skyledger.params import SNAPSHOT_CUTOFF
+    from skyledger.plans import gold, history, silver
+    from skyledger.sources.adapters import load_feeds
+    satcat, gp = load_feeds(spark, SF_CHECK)
+    past = silver.space_objects(*history.feeds_as_of(satcat, gp, SNAPSHOT_CUTOFF))
+    now = silver.space_objects(satcat, gp)
+    for one, two in ((history.changes_since(satcat, SNAPSHOT_CUTOFF),
+                      history.change_feed(past, now)),
+                     (history.census_since(satcat, SNAPSHOT_CUTOFF),
+                      history.census_change(gold.orbital_census(past), gold.orbital_census(now)))):
+        assert one.exceptAll(two.select(one.columns)).count() == 0
+        assert two.select(one.columns).exceptAll(one).count() == 0
+
+
+def test_tables_without_elements_scan_the_catalogue_only(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    qs = E.queries()
+    for name in ("country_leaderboard", "orbital_census", "headline_counts", "quality_report",
+                 "growth_by_launch_year", "change_feed", "census_change"):
+        plan = qs[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 and "Join" not in plan, name

@@ -44,9 +44,11 @@ def test_export_round_trip_and_failure(spark, scratch):
     assert m.endpoints == {"decay_tracker": "decay_tracker.json",
                            "congestion_metrics": "congestion_metrics.json"}
     assert m.total_rows == sum(r.rows for r in results)
+    for r in results:  # every endpoint opens below the base
+        assert spark.read.json(f"{scratch}/{m.endpoints[r.table]}").count() == r.rows
     back = read_export(spark, scratch, "decay_tracker", tables["decay_tracker"].schema)
     assert back.exceptAll(tables["decay_tracker"]).count() == 0
-    assert file_inventory(spark, f"{scratch}/decay_tracker", "*.json").first().total_bytes > 0
+    assert file_inventory(spark, f"{scratch}/decay_tracker.json", "*.json").first().total_bytes > 0
 
     bad = {"ok": gold.census_by_type(objects),
            "broken": objects.select(F.col("object_name").cast("int").alias("x"))}
@@ -73,18 +75,18 @@ def test_full_run_from_landed_files(spark, scratch):
         objects_from_testdata(spark, SF_SMALL).count()
 
 
-def test_single_document_only_within_bound(spark, scratch):
-    import json
-    from skyledger.sources.export import export_json
-    objects = objects_from_testdata(spark, SF_SMALL)
-    lb = gold.country_leaderboard(objects)
-    r = export_json(lb, scratch, "country_leaderboard", document_max_rows=1000)
-    text = "".join(x.value for x in spark.read.text(f"{scratch}/_documents/country_leaderboard").collect())
-    doc = json.loads(text)
-    assert doc["table"] == "country_leaderboard" and doc["row_count"] == r.rows == len(doc["data"])
-    assert set(doc["data"][0]) == set(lb.columns)
-    decay = gold.decay_tracker(objects)
-    r2 = export_json(decay, scratch, "decay_tracker", document_max_rows=1)
-    assert r2.rows > 1
-    import os
-    assert not os.path.exists(f"{scratch}/_documents/decay_tracker")
+def test_scratch_folder_needs_a_shared_place_off_local_mode(spark, monkeypatch):
+    from skyledger import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

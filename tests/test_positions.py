@@ -74,6 +74,71 @@ def test_bad_elements_are_dropped(spark):
     assert position_grid(df, "2020-01-01T00:00:00", 2, 30).count() == 0
 
 
+def test_altitude_over_the_pole(spark):
+    n = 15.0
+    a = (MU_KM3_S2 / (n * 2 * math.pi / 86400) ** 2) ** (1 / 3)
+    r = position_grid(_one(spark, n, 0.0, 90.0, 0.0, 90.0, 0.0), "2020-01-01T00:00:00", 1,
+                      j2=0.0).first()
+    assert abs(r.lat) == pytest.approx(90, abs=1e-5)
+    assert r.alt_km == pytest.approx(a - 6356.752314245, abs=1e-5)  # the polar radius
+
+
+def test_high_eccentricity_converges_and_the_inside_of_the_earth_is_dropped(spark):
+    from skyledger.plans.positions import kepler_geodetic, rejected_positions
+    import numpy as np
+    m = np.linspace(0, 360, 20001)
+    e = np.full_like(m, 0.99)
+    lat, _, alt = kepler_geodetic(np.full_like(m, 0.05), e, 0 * m, 0 * m, 0 * m, m, 0 * m, 0 * m, 0)
+    a = (MU_KM3_S2 / (0.05 * 2 * math.pi / 86400) ** 2) ** (1 / 3)
+    r = alt + EARTH_RADIUS_KM
+    ecc = np.arccos(np.clip((1 - r / a) / 0.99, -1, 1))
+    back = np.degrees(ecc - 0.99 * np.sin(ecc))
+    good = np.isfinite(alt)
+    assert good[a * (1 - 0.99 * np.cos(np.radians(m))) > 3 * EARTH_RADIUS_KM].all()
+    assert np.allclose(back[good], np.minimum(m, 360 - m)[good], atol=1e-3)
+    low = _one(spark, 17.5, 0.0, 0.0, 0.0, 0.0, 0.0)  # 80 km below the surface
+    assert position_grid(low, "2020-01-01T00:00:00", 3).count() == 0
+    assert tuple(rejected_positions(low, "2020-01-01T00:00:00", 3).first()) == (3, 3)
+    with pytest.raises(ValueError):
+        position_grid(low, "2020-01-01T00:00:00", 0)
+
+
+def test_positions_from_element_lines(spark):
+    from skyledger.functions.tle import elements_from_tle
+    lines = spark.createDataFrame([(1, ISS_L1, ISS_L2), (2, ISS_L1, ISS_L2[:-1] + "0")],
+                                  "norad_cat_id int, tle_line1 string, tle_line2 string")
+    got = position_grid(elements_from_tle(lines), "2008-09-20T12:30:00", 2,
+                        keep=["norad_cat_id"]).collect()
+    assert {r.norad_cat_id for r in got} == {1} and len(got) == 2  # a wrong checksum is dropped
+    assert all(330 < r.alt_km < 380 and abs(r.lat) < 52 for r in got)
+
+
+def test_letter_led_catalogue_numbers(spark):
+    from skyledger.functions.tle import catalogue_number
+    df = spark.createDataFrame([("A0000",), ("Z9999",), ("J1234",), ("I0000",), ("25544",)],
+                               "n string")
+    assert [r[0] for r in df.select(catalogue_number(F.col("n"))).collect()] == \
+        [100000, 339999, 181234, None, 25544]
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Run from a folder where worker processes cannot import the package."""
+    import subprocess
+    import sys
+    from conftest import ROOT
+    code = f"""
+import sys; sys.path.insert(0, {ROOT!r})
+import __spark_entry__ as E
+from skyledger.session import get_session
+spark = get_session("local-cluster[1,2,1024]", extra={{"spark.checkpoint.dir": {str(tmp_path)!r},
+    "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}})
+print("ROWS", E.queries()["position_grid"](spark, "/root/testdata/sf0.001").count())
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+                         timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+
+
 def test_polar_orbit_reaches_high_latitude(spark):
     g = position_grid(_one(spark, 14.0, 0.0, 90.0, 0.0, 0.0, 0.0), "2020-01-01T00:00:00",
                       60, 60, j2=0.0)

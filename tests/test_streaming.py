@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_CHECK
 from skyledger.plans import silver
 from skyledger.plans.pipeline import objects_from_testdata
-from skyledger.streaming.bronze import ingest_envelopes, read_bronze
+from skyledger.streaming.bronze import (CorruptEnvelopes, ingest_envelopes, read_bronze,
+                                        read_quarantine)
 
 
 def _envelope(path, collected_at, records):
@@ -70,14 +74,13 @@ def test_objects_from_bronze_equal_direct_objects(spark):
 def test_foreach_batch_refresh_keeps_newest(spark, scratch):
     from skyledger.streaming.bronze import envelope_stream
     from skyledger.streaming.refresh import read_latest, refresh_latest
-    from pyspark.sql import types as T
     landing, target, ckpt = f"{scratch}/landing", f"{scratch}/latest", f"{scratch}/ckpt"
-    rec = T.StructType([T.StructField("NORAD_CAT_ID", T.StringType()),
-                        T.StructField("SATNAME", T.StringType())])
+    rec = ["NORAD_CAT_ID", "SATNAME"]
     order = [F.desc("_collected_at"), F.desc("_source_file"), F.desc("_record_index")]
 
     def run():
-        stream = envelope_stream(spark, landing, rec, max_files_per_trigger=1)
+        stream = envelope_stream(spark, landing, rec, max_files_per_trigger=1) \
+            .drop("_rescued", "_status")
         refresh_latest(stream, target, ckpt, ["NORAD_CAT_ID"], order,
                        prepare=lambda b: b.drop("_ingestion_ts"))
 
@@ -91,8 +94,20 @@ def test_foreach_batch_refresh_keeps_newest(spark, scratch):
     _envelope(f"{landing}/a/3.json", "2023-12-31T00:00:00Z",   # late, older collection
               [{"NORAD_CAT_ID": "2", "SATNAME": "OLD"}, {"NORAD_CAT_ID": "3", "SATNAME": "C"}])
     run()
+    want = {("1", "A3"), ("2", "B"), ("3", "C")}
     got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
-    assert got == {("1", "A3"), ("2", "B"), ("3", "C")}
+    assert got == want
+    # data of a batch that never committed is not read, and drops out
+    from skyledger.streaming.refresh import committed, drop_superseded
+    versions = committed(spark, target)
+    bucket, version = next(iter(versions.items()))
+    shutil.copytree(f"{target}/data/bucket={bucket}/v={version}",
+                    f"{target}/data/bucket={bucket}/v={version + 7}")
+    got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
+    assert got == want
+    assert drop_superseded(spark, target) > 0
+    got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
+    assert got == want
 
 
 def test_latest_stream_equals_batch_dedup(spark):
@@ -101,3 +116,102 @@ def test_latest_stream_equals_batch_dedup(spark):
     streamed = E.queries()["latest_satcat_stream"](spark, SF_CHECK)
     batch = silver.latest_satcat(load_feeds(spark, SF_CHECK)[0])
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def _paths(scratch):
+    return f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt"
+
+
+def _read(spark, bronze, *columns):
+    return {tuple(r) for r in read_bronze(spark, bronze).select(*columns).collect()}
+
+
+def test_an_old_file_is_read_whatever_its_age(spark, scratch):
+    landing, bronze, ckpt = _paths(scratch)
+    _envelope(f"{landing}/x/a.json", "2024-01-09T00:00:00Z", [{"ID": "1"}])
+    _envelope(f"{landing}/x/b.json", "2024-01-01T00:00:00Z", [{"ID": "2"}])
+    old = time.time() - 8 * 86400
+    os.utime(f"{landing}/x/b.json", (old, old))
+    assert ingest_envelopes(spark, landing, bronze, ckpt).envelopes == 2
+    assert _read(spark, bronze, "ID") == {("1",), ("2",)}
+
+
+def test_a_new_field_in_a_file_with_an_old_time_is_kept(spark, scratch):
+    landing, bronze, ckpt = _paths(scratch)
+    _envelope(f"{landing}/x/a.json", "2024-01-01T00:00:00Z", [{"ID": "1"}])
+    ingest_envelopes(spark, landing, bronze, ckpt)
+    _envelope(f"{landing}/x/b.json", "2024-01-02T00:00:00Z", [{"ID": "2", "NEW": "n"}])
+    old = time.time() - 3600
+    os.utime(f"{landing}/x/b.json", (old, old))
+    r = ingest_envelopes(spark, landing, bronze, ckpt)
+    assert r.schema.fieldNames() == ["ID", "NEW"]
+    assert _read(spark, bronze, "ID", "NEW") == {("1", None), ("2", "n")}
+    _envelope(f"{landing}/x/c.json", "2024-01-03T00:00:00Z", [{"ID": "3", "NEW": "m"}])
+    ingest_envelopes(spark, landing, bronze, ckpt)  # now it has a column of its own
+    assert _read(spark, bronze, "ID", "NEW") == {("1", None), ("2", "n"), ("3", "m")}
+
+
+def test_only_empty_collections_on_the_first_and_a_later_run(spark, scratch):
+    landing, bronze, ckpt = _paths(scratch)
+    _envelope(f"{landing}/x/a.json", "2024-01-01T00:00:00Z", [])
+    assert ingest_envelopes(spark, landing, bronze, ckpt).envelopes == 1
+    _envelope(f"{landing}/x/b.json", "2024-01-02T00:00:00Z", [{"ID": "1"}])
+    assert ingest_envelopes(spark, landing, bronze, ckpt).records == 1
+    _envelope(f"{landing}/x/c.json", "2024-01-03T00:00:00Z", [])
+    r = ingest_envelopes(spark, landing, bronze, ckpt)
+    assert (r.envelopes, r.records) == (1, 0)
+    assert _read(spark, bronze, "ID") == {("1",)}
+
+
+def test_a_field_that_changes_its_type_stays_readable(spark, scratch):
+    landing, bronze, ckpt = _paths(scratch)
+    _envelope(f"{landing}/x/a.json", "2024-01-01T00:00:00Z", [{"ID": 1, "V": 2.5}])
+    ingest_envelopes(spark, landing, bronze, ckpt)
+    _envelope(f"{landing}/x/b.json", "2024-01-02T00:00:00Z", [{"ID": "2", "V": "high"},
+                                                            {"ID": "3", "V": {"a": [1]}}])
+    ingest_envelopes(spark, landing, bronze, ckpt)
+    assert _read(spark, bronze, "ID", "V") == {("1", "2.5"), ("2", "high"), ("3", '{"a":[1]}')}
+
+
+def test_broken_files_are_reported_and_kept_apart(spark, scratch):
+    landing, bronze, ckpt = _paths(scratch)
+    _envelope(f"{landing}/x/good.json", "2024-01-01T00:00:00Z", [{"ID": "1"}])
+    _envelope(f"{landing}/x/cut.json", "2024-01-01T00:00:00Z", [{"ID": "2"}] * 50)
+    with open(f"{landing}/x/cut.json", "r+") as f:
+        f.truncate(400)
+    with open(f"{landing}/x/short.json", "w") as f:
+        json.dump({"collected_at": "2024-01-01T00:00:00Z", "record_count": 3,
+                   "data": [{"ID": "7"}]}, f)
+    with pytest.raises(CorruptEnvelopes) as err:
+        ingest_envelopes(spark, landing, bronze, ckpt)
+    assert err.value.files == 2
+    assert _read(spark, bronze, "ID") == {("1",)}
+    held = {(r._status, os.path.basename(r._source_file))
+            for r in read_quarantine(spark, bronze).collect()}
+    assert held == {("corrupt", "cut.json"), ("count", "short.json")}
+    assert ingest_envelopes(spark, landing, bronze, ckpt).envelopes == 0
+
+
+def test_counts_cover_more_batches_than_progress_keeps(spark, scratch):
+    landing, bronze, ckpt = _paths(scratch)
+    for i in range(5):
+        _envelope(f"{landing}/x/{i}.json", "2024-01-01T00:00:00Z", [{"ID": str(i)}])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        r = ingest_envelopes(spark, landing, bronze, ckpt, max_files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (r.envelopes, r.records) == (5, 5)
+
+
+def test_a_late_file_with_an_older_collection_does_not_replace_a_newer_row(spark):
+    rows = [("1", "old", "2024-01-09T00:00:00Z", "2024-01-09 01:00:00"),
+            ("1", "late", "2024-01-02T00:00:00Z", "2024-02-01 00:00:00"),
+            ("1", "offset", "2024-01-09T03:00:00+04:00", "2024-01-10 00:00:00")]
+    raw = spark.createDataFrame(rows, "NORAD_CAT_ID string, SATNAME string, _collected_at string, "
+                                      "ts string")
+    for c in ("OBJECT_ID", "OBJECT_TYPE", "COUNTRY", "LAUNCH", "DECAY", "PERIOD", "APOGEE",
+              "PERIGEE", "RCS_SIZE", "CURRENT_FLAG"):
+        raw = raw.withColumn(c, F.lit(None).cast("string"))
+    raw = raw.withColumn("_ingestion_ts", F.to_timestamp("ts"))
+    assert silver.latest_satcat(raw).first().object_name == "old"

@@ -1,11 +1,12 @@
 """BPE encoding and decoding with a pair occurrence index.
 
-The distinct words of a batch lie one after another in one symbol array.  An
-index maps the rank of each adjacent pair that can be merged to all of its
-positions.  Active ranks are applied in ascending order: every position of the
-pair is merged, and the lists of the pairs that a merge creates beside it are
-updated.  A rank leaves the index when it has been applied, so the work follows
-the number of merges, not the number of ranks times the number of words.
+The distinct words of a slice of the partition lie one after another in one
+symbol array.  An index maps the rank of each adjacent pair that can be merged
+to all of its positions.  Active ranks are applied in ascending order: every
+position of the pair is merged at once, and the lists of the pairs that the
+merges create beside them are updated.  A rank leaves the index when it has been
+applied, so the work follows the number of merges, not the number of ranks times
+the number of words.
 
 The vocabulary file (JSON of the public ``tokenizers`` library: lower-casing
 normaliser, split pattern, byte-level alphabet, word-end suffix) is read once on
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices, table, text_or_empty
 
 MAX_VOCAB_BYTES = 64 * 1024 ** 2   # bound of the broadcast vocabulary file
-CACHE_WORDS = 400_000              # words remembered by a task before it starts anew
+MERGE_BYTES = 6 * 1024 ** 2       # text of one index
+CACHE_CHUNKS = 300_000             # chunks remembered by a task before it starts anew
 
 
 def byte_alphabet() -> list[str]:
@@ -54,83 +56,98 @@ def load_vocabulary(path: str) -> dict:
         raise ValueError(f"unsupported tokenizer file: {path}")
     vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
     tokens = {i: t for t, i in vocab.items()}
-    ranks = {}
-    for rank, merge in enumerate(model["merges"]):
+    results = []
+    for merge in model["merges"]:
         a, b = merge if isinstance(merge, list) else merge.split(" ")
-        ranks[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
+        results.append((vocab[a], vocab[b], vocab[a + b]))
+    pairs = np.array([a << 32 | b for a, b, _ in results], np.int64)
+    order = np.argsort(pairs)
     added = {t["content"]: t["id"] for t in spec["added_tokens"]}
     tokens.update({i: t for t, i in added.items()})
     letters = byte_alphabet()
-    return {"pattern": split["pattern"]["Regex"], "ranks": ranks, "added": added,
-            "tokens": tokens, "inner": [vocab[c] for c in letters],
-            "last": [vocab[c + end] for c in letters]}
-
-
-def merge_words(words: list[bytes], vocab: dict) -> list[list[int]]:
-    """Token ids of each word, by the pair occurrence index over all of them."""
-    inner, last, ranks = vocab["inner"], vocab["last"], vocab["ranks"]
-    symbols: list[int] = []
-    following: list[int] = []
-    before: list[int] = []
-    starts = []
-    for word in words:
-        at = len(symbols)
-        starts.append(at)
-        symbols.extend(inner[b] for b in word[:-1])
-        symbols.append(last[word[-1]])
-        end = len(symbols)
-        following.extend(range(at + 1, end))
-        following.append(-1)
-        before.append(-1)
-        before.extend(range(at, end - 1))
-    index: dict[int, list[int]] = {}
-    pair_of: dict[int, tuple[int, int, int]] = {}
-    for p, q in enumerate(following):
-        if q >= 0 and (found := ranks.get(symbols[p] << 32 | symbols[q])):
-            if found[0] in index:
-                index[found[0]].append(p)
-            else:
-                index[found[0]] = [p]
-                pair_of[found[0]] = (symbols[p], symbols[q], found[1])
-    active = list(index)
-    heapq.heapify(active)
-
-    def note(p: int, left: int, right: int) -> None:
-        found = ranks.get(left << 32 | right)
-        if found:
-            rank = found[0]
+    return {"pattern": split["pattern"]["Regex"], "added": added, "tokens": tokens,
+            "results": results, "pairs": pairs[order], "rank": order,
+            "inner": np.array([vocab[c] for c in letters], np.int64),
+            "last": np.array([vocab[c + end] for c in letters], np.int64)}
+
+
+def merge_words(words: list[bytes], vocab: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of ``words``, one after another, and the number of each word's
+    tokens, by the pair occurrence index over all of them."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    raw = np.frombuffer(b"".join(words), np.uint8)
+    n = len(raw)
+    ends = np.cumsum(lengths)
+    # slot n stands before the first and after the last symbol of every word
+    symbols = np.append(vocab["inner"][raw], -1)
+    symbols[ends - 1] = vocab["last"][raw[ends - 1]]
+    following = np.arange(1, n + 2)
+    following[ends - 1] = n
+    before = np.arange(-1, n)
+    before[ends - lengths] = n
+    pairs, results = vocab["pairs"], vocab["results"]
+    index: dict[int, list[np.ndarray]] = {}
+    active: list[int] = []
+
+    def note(places: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        """Add places to the lists of their pairs, where a merge exists."""
+        keys = left << 32 | right
+        at = np.searchsorted(pairs, keys)
+        known = pairs[np.minimum(at, len(pairs) - 1)] == keys
+        if not known.all():
+            places, at = places[known], at[known]
+        if not len(at):
+            return
+        ranks = vocab["rank"][at]
+        order = np.argsort(ranks, kind="stable")
+        ranks, places = ranks[order], places[order]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        for rank, part in zip(ranks[np.append(0, cuts)].tolist(), np.split(places, cuts)):
             if rank in index:
-                index[rank].append(p)
+                index[rank].append(part)
             else:
-                index[rank] = [p]
-                pair_of[rank] = (left, right, found[1])
+                index[rank] = [part]
                 heapq.heappush(active, rank)
 
+    start = np.flatnonzero(following[:n] < n)
+    note(start, symbols[start], symbols[start + 1])
     while active:
         rank = heapq.heappop(active)
-        left, right, whole = pair_of[rank]
-        places = index.pop(rank)
-        if left == right:
-            places.sort()  # overlapping runs merge from the left
-        for p in places:
-            q = following[p]
-            if symbols[p] != left or q < 0 or symbols[q] != right:
-                continue  # a lower rank took one of the two
-            symbols[p], symbols[q] = whole, -1
-            after = following[p] = following[q]
-            if after >= 0:
-                before[after] = p
-                note(p, whole, symbols[after])
-            if before[p] >= 0:
-                note(before[p], symbols[before[p]], whole)
-    out = []
-    for p in starts:
-        ids = []
-        while p >= 0:
-            ids.append(symbols[p])
-            p = following[p]
-        out.append(ids)
-    return out
+        lists = index.pop(rank)
+        left, right, whole = results[rank]
+        places = lists[0] if len(lists) == 1 else np.unique(np.concatenate(lists))
+        after = following[places]
+        held = (symbols[places] == left) & (symbols[after] == right)
+        if not held.all():  # a lower rank took one of the two
+            places, after = places[held], after[held]
+        if left == right and len(places) > 1:
+            places = _leftmost(places, after)
+            after = following[places]
+        if not len(places):
+            continue
+        symbols[places], symbols[after] = whole, -1
+        after = following[after]
+        following[places] = after
+        before[after] = places
+        inside = after < n
+        note(places[inside], symbols[places[inside]], symbols[after[inside]])
+        earlier = before[places]
+        inside = earlier < n
+        inside[inside] = symbols[earlier[inside]] != whole  # else noted from its own place
+        note(earlier[inside], symbols[earlier[inside]], symbols[places[inside]])
+    alive = symbols[:n] >= 0
+    counts = np.add.reduceat(alive, ends - lengths, dtype=np.int64) if n else lengths
+    return symbols[:n][alive].astype(np.int32), counts
+
+
+def _leftmost(places: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Of overlapping places of a pair of equal symbols, those taken from the left."""
+    taken, used = [], -1
+    for p, q in sorted(zip(places.tolist(), after.tolist())):
+        if p != used:
+            taken.append(p)
+            used = q
+    return np.array(taken)
 
 
 def normalise(text: str) -> str:
@@ -138,12 +155,28 @@ def normalise(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
-class WordTable:
-    """Words met by a task, their token ids in one flat array, and decoded text."""
+class Places(dict):
+    """Number of each chunk, given at its first lookup; ``new`` lists those."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        at = self[chunk] = len(self)
+        return at
+
+
+class ChunkTable:
+    """Chunks (text between white space) met by a task, with their token ids in
+    one flat array.  No match of the split pattern holds white space, and neither
+    does a merge or a canonical composition."""
 
     def __init__(self, vocab: dict):
         self.vocab = vocab
-        self.find = regex.compile(vocab["pattern"]).findall
+        # a space between two chunks is found as a word of its own
+        self.find = regex.compile(f"(?:{vocab['pattern']})| ").findall
         self.added = vocab["added"]
         self.cut = regex.compile("(" + "|".join(
             regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") \
@@ -151,66 +184,86 @@ class WordTable:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = Places()
         self.flat = np.zeros(0, np.int32)
         self.start = np.zeros(1, np.int64)
-        self.shown: list[str] = []
 
     def split(self, text: str) -> list[str]:
-        if self.cut is None or not any(t in text for t in self.added):
-            return self.find(normalise(text))
-        words: list[str] = []
+        if not any(t in text for t in self.added):
+            return _chunks(text)
+        chunks: list[str] = []
         for i, part in enumerate(self.cut.split(text)):
-            if i % 2:  # an added token, marked by a leading zero character
-                words.append("\0" + part)
-            else:
-                words.extend(self.find(normalise(part)))
-        return words
-
-    def learn(self, words: set[str]) -> None:
-        new = sorted(words.difference(self.place))
+            chunks.extend([part] if i % 2 else _chunks(part))
+        return chunks
+
+    def tokens(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all ``docs``, one after another, and where each ends."""
+        place = self.place
+        at = np.array([place[c] for doc in docs for c in doc], np.int64)
+        self._learn(place.new)
+        place.new = []
+        tokens, lengths = gather(self.flat, self.start, at)
+        ends = np.cumsum(np.fromiter(map(len, docs), np.int64, len(docs)))
+        return tokens, np.append(0, np.cumsum(lengths))[ends]
+
+    def _learn(self, new: list[str]) -> None:
+        """Token ids of new chunks, in the order of their numbers."""
         if not new:
             return
-        plain = [w for w in new if not (w[0] == "\0" and w[1:] in self.added)]
-        ids = dict(zip(plain, merge_words([w.encode() for w in plain], self.vocab)))
-        lists = [ids[w] if w in ids else [self.added[w[1:]]] for w in new]
-        tokens = self.vocab["tokens"]
-        for w, found in zip(new, lists):
-            self.place[w] = len(self.shown)
-            self.shown.append(" ".join([tokens[i] for i in found]))
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for found in lists for i in found), np.int32, int(lengths.sum()))
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
-        self.flat = np.concatenate([self.flat, flat])
+        words = self.find(normalise(" ".join(
+            [c if c not in self.added else "" for c in new])))
+        distinct = list(dict.fromkeys(words))
+        if " " in distinct:
+            distinct.remove(" ")
+        flat, counts = merge_words([w.encode() for w in distinct], self.vocab)
+        number = {w: i for i, w in enumerate(distinct)}
+        number[" "] = -1
+        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        chunk = np.cumsum(at < 0)[at >= 0]  # spaces before a word count its chunk
+        tokens, lengths = gather(flat, np.append(0, np.cumsum(counts)), at[at >= 0])
+        sizes = np.bincount(chunk, lengths, len(new)).astype(np.int64)
+        special = [i for i, c in enumerate(new) if c in self.added]
+        tokens = np.insert(tokens, np.cumsum(sizes)[special], [self.added[new[i]] for i in special])
+        sizes[special] = 1
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+        self.flat = np.concatenate([self.flat, tokens.astype(np.int32)])
+
+
+def _chunks(text: str) -> list[str]:
+    """``str.split`` also cuts at U+001C to U+001F, which are not white space to
+    the vocabulary's pattern."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return regex.split(r"\s+", text)
+    return text.split()
+
+
+def gather(flat: np.ndarray, start: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices ``at`` of ``flat``, one after another, and their lengths."""
+    begin = start[at]
+    lengths = start[at + 1] - begin
+    total = int(lengths.sum())
+    shift = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths)
+    return flat[shift + np.arange(total)], lengths
 
 
 def encoder(vocab_ref):
     """Batch function: (ids..., text) -> (ids..., tokens array<int>, decoded)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTable(vocab_ref.value)
-        for batch in slices(batches, "text"):
-            if len(words.place) > CACHE_WORDS:
-                words.clear()
-            split = [words.split(t) for t in batch.column("text").to_pylist()]
-            words.learn(set().union(*split))
-            place, shown = words.place, words.shown
-            counts, values, decoded = [], [], []
-            for doc in split:
-                at = np.fromiter(map(place.__getitem__, doc), np.int64, len(doc))
-                begin, n = words.start[at], words.start[at + 1] - words.start[at]
-                total = int(n.sum())
-                # positions of all tokens: the start of each word, counted on
-                shift = np.repeat(begin - (np.cumsum(n) - n), n)
-                values.append(words.flat[shift + np.arange(total)])
-                counts.append(total)
-                decoded.append(" ".join([shown[i] for i in at.tolist()]))
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(np.concatenate(values).astype(np.int32)))
+        vocab = vocab_ref.value
+        chunks, names = ChunkTable(vocab), vocab["tokens"]
+        for batch in slices(batches, "text", MERGE_BYTES):
+            if len(chunks.place) > CACHE_CHUNKS:
+                chunks.clear()
+            tokens, ends = chunks.tokens([chunks.split(t) for t in batch.column("text").to_pylist()])
+            offsets = np.append(0, ends)
+            decoded = [" ".join([names[i] for i in tokens[a:b].tolist()])
+                       for a, b in zip(offsets[:-1].tolist(), ends.tolist())]
             rest = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays(
-                [*rest.columns, tokens, pa.array(decoded, pa.string())],
+                [*rest.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                                         pa.array(tokens, pa.int32())),
+                 pa.array(decoded, pa.string())],
                 names=[*rest.schema.names, "tokens", "decoded"])
 
     return run

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
             if held and held + n > limit:

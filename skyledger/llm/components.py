@@ -11,14 +11,15 @@ from .common import store
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")) \
-        .select("u", F.least("u", "m").alias("m"))
+    least = store(both.groupBy("u").agg(F.min("v").alias("m"))
+                  .select("u", F.least("u", "m").alias("m")), "least")
     return both.where("v > u").join(least, "u") \
         .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Link a node and its smaller neighbours to the smallest of them."""
+    """Link a node and its smaller neighbours to the smallest of them.  After a
+    large star these are minima only, so no node has many."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").where("v <> m") \
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -36,8 +37,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Self links, repeated links and nulls are let go; no links give no rows.  A
     node's neighbours are never gathered: each round takes minima with map-side
-    aggregates and joins them back.  The number of rounds follows the logarithm
-    of the nodes; every round is written to the shared folder.
+    aggregates.  Those of the large star are stored and joined back between plain
+    shuffles, so the skew join splits the links of a node with very many.  The number of
+    rounds follows the logarithm of the nodes.
     """
     edges = store(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                   .where("a <> b").distinct(), "links")

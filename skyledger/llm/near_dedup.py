@@ -17,7 +17,8 @@ compared by signature in blocks inside the task; only the documents of close
 pairs go on, each pair in the first key that it shares.  Their whole texts then
 meet in the same groups, where full shingle sets confirm links.  A pair already
 connected within its group is skipped, so a group gives fewer links than it has
-members.  Buckets above ``BLOCK`` are dealt as pairs of blocks.
+members.  In buckets above ``BLOCK`` members first link to a pivot, and only what
+that leaves apart is compared, in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -113,6 +114,8 @@ def close_pairs(index, sketch, side, key: int) -> tuple[np.ndarray, np.ndarray,
     blocks are compared across them only."""
     n = len(index)
     across = side[0] != side[-1]
+    if side[0] < 0 and not across:
+        return (np.zeros(0, np.int64),) * 3
     cut = int(np.searchsorted(side, side[-1])) if across else 0
     found = [], [], []
     step = max(1, 2 ** 21 // n)
@@ -271,18 +274,88 @@ def confirmer(width: int, percent: int):
     return run
 
 
-def _dealt(keys: DataFrame) -> DataFrame:
-    """Give each key row its bucket: pairs of blocks where a bucket is large."""
-    large = store(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-                  .where(F.col("n") > BLOCK), "large-buckets")
-    n = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1))
-    one, other = F.col("side"), F.col("other")
-    return (
-        keys.join(large, "key", "left").withColumn("blocks", n)
-        .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("key", (F.least(one, other) * F.col("blocks") + F.greatest(one, other))
-                .alias("pair"), "side", "node", "signature"))
+def near_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, signature, pivot, pivot_signature) -> the pairs within the distances."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        (i, a), (j, b) = (unpack(batch.column(c).to_pylist())
+                          for c in ("signature", "pivot_signature"))
+        agree = (i == j).sum(axis=1)
+        held = (agree >= INDEX - MAX_INDEX_DISTANCE) & (
+            agree + (a == b).sum(axis=1) >= INDEX + SKETCH - MAX_DISTANCE)
+        yield batch.select(["node", "pivot"]).filter(pa.array(held))
+
+
+def pair_confirmer(width: int, percent: int):
+    """(node, pivot, text, pivot_text) -> the links among the pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(width)
+        for batch in slices(batches, "text"):
+            held = []
+            for texts in zip(*[batch.column(c).cast(pa.binary()).to_pylist()
+                               for c in ("text", "pivot_text")]):
+                x, y = map(shingles, texts)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                held.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("pivot")], names=["a", "b"]) \
+                .filter(pa.array(held))
+
+    return run
+
+
+def _large_buckets(keys: DataFrame, large: DataFrame, texts: DataFrame, width: int,
+                   percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links to pivots and dealt members of the buckets above ``BLOCK``.
+
+    Every member is first compared with its bucket's pivot, a member by hash: work
+    in proportion to the bucket.  A group of near copies falls in many buckets with
+    a pivot each, so these links join nearly all of it.  What they joined most of a
+    bucket needs no comparison within itself.  The others (minor members) are
+    compared with each other and with it, in pairs of blocks.
+    """
+    members = store(keys.join(large.select("key"), "key"), "large-members")
+    pivots = store(members.groupBy("key").agg(
+        F.min_by(F.struct("node", "signature"), F.xxhash64("key", "node")).alias("p")), "pivots")
+    near = store(map_arrow(
+        members.join(pivots, "key").where(F.col("node") != F.col("p.node")).select(
+            "node", "signature", F.col("p.node").alias("pivot"),
+            F.col("p.signature").alias("pivot_signature")),
+        near_pivot, "node long, pivot long").distinct(), "near-pivot")
+    wanted = store(near.select("node").unionAll(near.select("pivot")).distinct(), "wanted")
+    held = store(texts.join(wanted, "node"), "wanted-texts")
+    links = store(map_arrow(
+        near.join(held, "node").join(held.select(
+            F.col("node").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
+        .select("node", "pivot", "text", "pivot_text"),
+        pair_confirmer(width, percent), "a long, b long"), "pivot-links")
+    rooted = store(members.join(components(links), "node", "left")
+                   .withColumn("root", F.coalesce("root", "node")), "large-rooted")
+    sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    most = store(sizes.groupBy("key").agg(
+        F.max_by("root", F.struct("n", "root")).alias("most"), F.max("n").alias("n_most"),
+        (F.sum("n") - F.max("n")).alias("n_minor")), "large-most")
+    blocks, others = F.ceil(F.col("n_minor") / BLOCK), F.ceil(F.col("n_most") / BLOCK)
+    draw = F.xxhash64("node")
+    both = rooted.join(most, "key").withColumns({"blocks": blocks, "others": others}) \
+        .where("blocks > 0").withColumn("minor", F.col("root") != F.col("most"))
+    minor = both.where("minor").withColumn("side", F.pmod(draw, F.col("blocks")))
+    rows = ["key", "pair", "side", "node", "signature"]
+    zero = F.lit(0).cast("long")
+    among = minor.withColumn("o", F.explode(F.sequence(zero, F.col("blocks") - 1))).withColumn(
+        "pair", F.least("side", "o") * F.col("blocks") + F.greatest("side", "o"))
+    # negative sides: minor members and the rest, compared across only
+    first = F.col("blocks") * F.col("blocks")
+    to_rest = minor.withColumn("o", F.explode(F.sequence(zero, F.col("others") - 1))) \
+        .withColumn("pair", first + F.col("side") * F.col("others") + F.col("o")) \
+        .withColumn("side", F.lit(-2).cast("long"))
+    rest = both.where("NOT minor").withColumn(
+        "o", F.explode(F.sequence(zero, F.col("blocks") - 1))) \
+        .withColumn("pair", first + F.col("o") * F.col("others") + F.pmod(draw, F.col("others"))) \
+        .withColumn("side", F.lit(-1).cast("long"))
+    return links, among.select(rows).unionAll(to_rest.select(rows)).unionAll(rest.select(rows))
 
 
 def _grouped(df: DataFrame) -> DataFrame:
@@ -314,8 +387,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
         F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "nodes")
     keys = map_arrow(nodes.where("node IS NOT NULL").select("node", "signature"), index_keys,
                      "key long, node long, signature binary")
-    members = store(map_arrow(_grouped(_dealt(keys)), close_members, MEMBERS), "members")
     texts = rows.select(F.col("doc_id").alias("node"), "text")
+    large = store(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+                  .where(F.col("n") > BLOCK), "large-buckets")
+    zero = F.lit(0).cast("long")
+    dealt = keys.join(large, "key", "left_anti").select(
+        "key", zero.alias("pair"), zero.alias("side"), "node", "signature")
+    pivot_links = None
+    if not large.isEmpty():
+        pivot_links, parts = _large_buckets(keys, large, texts, width, percent)
+        dealt = dealt.unionAll(parts)
+    members = store(map_arrow(_grouped(dealt), close_members, MEMBERS), "members")
     links = map_arrow(_grouped(members.join(texts, "node")
                                .select("key", "pair", "side", "node", "signature", "text")),
                       confirmer(width, percent), "a long, b long")
@@ -325,7 +407,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
     several = at.groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")) \
         .where("x <> y").select("doc_id")
     same = at.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    roots = components(links.unionAll(same))
+    links = links.unionAll(same)
+    roots = components(links if pivot_links is None else links.unionAll(pivot_links))
     return (
         signed.join(nodes.select("digest", F.col("node")), "digest", "left")
         .withColumn("at", F.when(F.col("n_shingles") > 0, F.col("node"))
@@ -337,3 +420,36 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), d AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(words) = 0 THEN []
+         WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 2),
+                             lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle
+  FROM w
+), n AS (
+  SELECT w.doc_id, count(shingle) AS n FROM w LEFT JOIN d USING (doc_id) GROUP BY w.doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM d a JOIN d b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+), e AS (
+  SELECT x, y FROM l UNION SELECT y, x FROM l
+), r AS (
+  SELECT doc_id, doc_id AS root FROM n
+  UNION
+  SELECT r.doc_id, e.y FROM r JOIN e ON r.root = e.x
+)
+SELECT doc_id, n AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM r JOIN n USING (doc_id) GROUP BY doc_id, n
+"""

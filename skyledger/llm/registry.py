@@ -24,4 +24,5 @@ def _query(fn):
 QUERIES = {fn.__name__: _query(fn) for fn in _OPERATORS}
 ORACLE: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE,
                           "op5_url_filters": url_filters.ORACLE,
+                          "op7_near_dedup": near_dedup.ORACLE,
                           "op9_warc": warc.ORACLE}

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+from compare import compare, duck_connect
 
 from skyledger.llm import near_dedup as nd
 from skyledger.llm.components import components
@@ -53,7 +54,10 @@ def test_query_matches_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet")
             .select("doc_id", "text").collect()]
-    assert result(nd.op7_near_dedup(spark, sf)) == brute(rows)
+    got = nd.op7_near_dedup(spark, sf)
+    assert result(got) == brute(rows)
+    report = compare(got, duck_connect(sf), nd.ORACLE)
+    assert report["ok"], report
 
 
 def made(seed, n):

@@ -190,31 +190,61 @@ def identify(df: DataFrame, model: dict, keys: list[str], text: str = "text",
         *[F.sum(F.col("said_sums")[i]) for i in range(n)]).first())]
     n_values = float(said.count())
 
-    own = [F.when(F.col("letters") > 0, F.col("posterior")[i]).otherwise(0.0) for i in range(n)]
-    left = F.array(*[F.greatest(F.col("host_sums")[i] - own[i], F.lit(0.0)) for i in range(n)])
-    prior = F.coalesce(_smoothed(left, F.col("of_domain"), n), above)
-    # P(declared | language), one pseudo-row for each value that is declared
-    spoken = [F.when(F.col("declared") == "", F.lit(1.0)).otherwise(
-        (F.greatest(F.coalesce(F.col("said_sums")[i], F.lit(0.0)) - own[i], F.lit(0.0)) + 1.0)
-        / (F.greatest(F.lit(n_said[i]) - own[i], F.lit(0.0)) + n_values + 1.0)) for i in range(n)]
-    fused = (
-        rows.join(hosts, ["suffix", "domain", "host"], "left").join(said, "declared", "left")
-        .withColumn("prior", prior)
-        .withColumn("total", F.array(*[
-            F.col("logs")[i] + F.log(F.col("prior")[i]) + F.log(spoken[i]) for i in range(n)]))
-        .withColumn("top", F.array_max("total"))
-        .withColumn("at", F.array_position("total", F.col("top")).cast("int"))
-        .withColumn("posterior_top", 1 / sum(
-            (F.exp(F.col("total")[i] - F.col("top")) for i in range(1, n)),
-            F.exp(F.col("total")[0] - F.col("top")))))
-    label = F.array(*[F.lit(x) for x in names])
-    text_at = F.array_position("posterior", F.array_max("posterior")).cast("int")
-    known = (F.col("at") < n) & (F.col("letters") > 0)
-    return fused.select(
-        *keys, F.when(known, label[F.col("at") - 1]).alias("lang"),
-        F.when(F.col("letters") > 0, F.col("posterior_top")).otherwise(0.0).alias("posterior"),
-        F.when((text_at < n) & (F.col("letters") > 0), label[text_at - 1]).alias("text_lang"),
-        "letters", (known & (F.col("posterior_top") >= MIN_POSTERIOR)).alias("accepted"))
+    joined = rows.join(hosts, ["suffix", "domain", "host"], "left") \
+        .join(said, "declared", "left") \
+        .select(*keys, "letters", "logs", F.col("posterior").alias("own"),
+                (F.col("declared") != "").alias("is_declared"), "host_sums", "of_domain",
+                "said_sums")
+    kept = ", ".join(f"`{k}` {joined.schema[k].dataType.simpleString()}" for k in keys)
+    return map_arrow(joined, fuser(names, keys, top, n_said, n_values),
+                     f"{kept}, lang string, posterior double, text_lang string, letters long, "
+                     "accepted boolean")
+
+
+def fuser(names: list[str], keys: list[str], top: list[float], n_said: list[float],
+          n_values: float):
+    """Batch function: multiplies the evidence of each row and names the language."""
+    n = len(names)
+
+    def wide(column: pa.Array, missing) -> np.ndarray:
+        """Rows of ``n`` numbers; ``missing`` where the array is null."""
+        out = np.tile(np.asarray(missing, float), (len(column), 1))
+        held = column.is_valid().to_numpy(zero_copy_only=False)
+        if held.any():
+            out[held] = column.drop_null().flatten().to_numpy().reshape(-1, n)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            letters = batch.column("letters").to_numpy()
+            seen = letters > 0
+            text = wide(batch.column("own"), [0.0] * n)
+            own = text * seen[:, None]
+            known_host = batch.column("host_sums").is_valid().to_numpy(zero_copy_only=False)
+            sums = np.maximum(wide(batch.column("host_sums"), [0.0] * n) - own, 0)
+            prior = (sums + PULL * wide(batch.column("of_domain"), top)) \
+                / (sums.sum(axis=1, keepdims=True) + PULL)
+            prior[~known_host] = top
+            # P(declared | language), one pseudo-row for each value that is declared
+            spoken = (np.maximum(wide(batch.column("said_sums"), [0.0] * n) - own, 0) + 1) \
+                / (np.maximum(np.array(n_said) - own, 0) + n_values + 1)
+            spoken[~batch.column("is_declared").to_numpy(zero_copy_only=False)] = 1
+            total = wide(batch.column("logs"), [0.0] * n) + np.log(prior) + np.log(spoken)
+            best, by_text = total.argmax(axis=1), text.argmax(axis=1)
+            sure = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+            known = seen & (best < n - 1)
+            label = [names[b] if k else None for b, k in zip(best.tolist(), known.tolist())]
+            text_label = [names[b] if k else None for b, k in zip(
+                by_text.tolist(), (seen & (by_text < n - 1)).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(k) for k in keys], pa.array(label, pa.string()),
+                 pa.array(np.where(seen, sure, 0.0)), pa.array(text_label, pa.string()),
+                 batch.column("letters"), pa.array(known & (sure >= MIN_POSTERIOR))],
+                names=[*keys, "lang", "posterior", "text_lang", "letters", "accepted"])
+
+    return run
 
 
 def identify_documents(docs: DataFrame, keys: list[str]) -> DataFrame:
@@ -251,8 +281,9 @@ def identify_pages(pages: DataFrame, model: dict) -> DataFrame:
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; ``kept``: it is accepted."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
-    return identify_documents(docs, ["doc_id"])
+    return identify_documents(docs, ["doc_id"]).withColumnRenamed("accepted", "kept")
 
 
 def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def test_query_covers_the_table_and_keeps_prose(spark):
     got = li.op10_language_id(spark, SF).collect()
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert sorted(r.doc_id for r in got) == sorted(docs)
-    assert all(r.accepted for r in got if len(docs[r.doc_id].text) > 20)
+    assert all(r.kept for r in got if len(docs[r.doc_id].text) > 20)
 
 
 def test_pages(spark):

@@ -9,8 +9,10 @@ bytes themselves, never by a digest.
 Digits grow by ``GROWTH`` a level: the number of levels follows the logarithm of
 the longest text, and a document's text takes part only while another document
 shares all of its earlier bytes.  A level counts its groups with a map-side
-aggregate and joins the small counts back, so a group with a third of all rows
-is pre-aggregated before its shuffle and split by the skew join after it.
+aggregate, stores those of several members and joins them back: a group with a
+third of all rows is pre-aggregated before its shuffle, and in the join, between
+two plain shuffles, the skew join splits it.  These tables grow with the corpus,
+so they are merge-joined at every size rather than broadcast while they are small.
 """
 
 from __future__ import annotations
@@ -35,12 +37,16 @@ def _split(rows: DataFrame, end: int) -> DataFrame:
     """Split the groups of ``rows`` by ``digit``, which ends at byte ``end``: size
     and first row of each new group, and whether it is finished.  The text stays
     only with rows that go on."""
-    groups = rows.groupBy("group", "digit").agg(
+    groups = store(rows.groupBy("group", "digit").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "row")).alias("first"))
-    done = (F.col("size") == 1) | (F.col("bytes") <= end)
-    return rows.drop("size", "first").join(groups, ["group", "digit"]).select(
+        .where("size > 1"), "radix-groups")
+    size = F.coalesce("size", F.lit(1))
+    done = (size == 1) | (F.col("bytes") <= end)
+    return rows.drop("size", "first").join(
+        groups.hint("merge"), ["group", "digit"], "left").select(
         *[c for c in rows.columns if c not in ("group", "digit", "norm", "size", "first", "done")],
-        "size", "first", done.alias("done"), F.when(~done, F.col("norm")).alias("norm"))
+        size.alias("size"), F.coalesce("first", F.struct("doc_id", "row")).alias("first"),
+        done.alias("done"), F.when(~done, F.col("norm")).alias("norm"))
 
 
 def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
@@ -59,9 +65,12 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
                        F.octet_length("norm").alias("bytes"),
                        F.col("norm").cast("binary").substr(1, FIRST_DIGIT).alias("head"))
     # Level 0 only counts: the number of a row is taken once, on the stored side.
-    counts = rows.groupBy("bytes", "head").agg(F.count(F.lit(1)).alias("size"))
+    groups = store(rows.groupBy("bytes", "head").agg(F.count(F.lit(1)).alias("size"))
+                   .where("size > 1"), "radix-groups")
     level = store(
-        rows.withColumn("row", F.monotonically_increasing_id()).join(counts, ["bytes", "head"])
+        rows.withColumn("row", F.monotonically_increasing_id())
+            .join(groups.hint("merge"), ["bytes", "head"], "left")
+            .withColumn("size", F.coalesce("size", F.lit(1)))
             .withColumn("norm", F.when(F.col("size") > 1, F.col("norm"))), "radix-0")
     finished = [level.where("size = 1").withColumn("first", F.struct("doc_id", "row"))]
     active = level.where("size > 1").withColumn("group", F.struct("bytes", "head")).drop("head")

@@ -117,7 +117,8 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
         .select(*carry, "doc_id", "size", "source_no", "source_size", "target", "whole",
                 "missing", "rank", "bin1", "bin2"))
     ranked = store(ranked, "mix-ranks")
-    first = _boundary(ranked.withColumn("start", F.lit(0)), ["source_no"], "bin1")
+    first = store(_boundary(ranked.withColumn("start", F.lit(0)), ["source_no"], "bin1"),
+                  "mix-bins")
     inside = ranked.join(first.withColumnRenamed("before", "start"), ["source_no", "bin1"])
     cut = store(_boundary(inside, ["source_no", "bin1"], "bin2"), "mix-cut")
     cut = cut.select("source_no", F.col("bin1").alias("cut1"), F.col("bin2").alias("cut2"),

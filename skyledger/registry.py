@@ -271,7 +271,11 @@ def _tle_fields(spark, sf_dir):
 def _tle_lines(spark, sf_dir):
     """Complete element lines for every order (fixed values of the adapter)."""
     from .sources.adapters import TLE_LINES_SQL, read_table
-    return spark.sql(TLE_LINES_SQL, orders=read_table(spark, sf_dir, "orders"))
+    from .session import scratch_path
+    path = scratch_path(spark, "tle-lines")
+    # stored, or the long text expressions are evaluated again for every field
+    spark.sql(TLE_LINES_SQL, orders=read_table(spark, sf_dir, "orders")).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @register("tle_full_fields")

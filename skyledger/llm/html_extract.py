@@ -2,10 +2,11 @@
 
 Each page's containers (elements that hold blocks of text) are scored by the text
 that lies in them outside of boilerplate, less what is link text, halved for each
-container in between.  The page votes for the generalised path (tags and classes,
-numbers masked) of its best container.  Votes are summed by host and path in
-Spark, and every page is extracted again below the nodes on its host's winning
-path; a page without such a node uses its own best container.
+container in between.  The best container is widened to the article around it
+(``widen``), and the page votes for its generalised path (tags and classes, numbers
+masked).  Votes are summed by host and path in Spark, and every page is extracted
+again below the nodes on its host's winning path, widened in the same way; a page
+without such a node uses its own best container.
 
 Votes are aggregated map-side before their shuffle, and the one winner of each
 host is joined back to the pages, so the size of a host does not matter.
@@ -61,12 +62,13 @@ class Node:
     """A container.  ``key`` stands for its path within the process, so that deep
     nesting costs no string for every level."""
 
-    __slots__ = ("tag", "label", "parent", "key", "score", "chosen")
+    __slots__ = ("tag", "label", "parent", "key", "score", "chosen", "titles")
 
     def __init__(self, tag: str, label: str, parent: "Node | None"):
         self.tag, self.label, self.parent = tag, label, parent
         self.key = hash((parent.key if parent else 0, label))
         self.score, self.chosen = 0.0, False
+        self.titles = int(tag in SEMANTIC)   # landmarks and h1 right in it
 
     @property
     def path(self) -> str:
@@ -204,6 +206,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
         links += tag == "a"
         articles += tag in ("article", "main")
         now, hidden = node, gone
+        now.titles += tag == "h1" and not gone
     flush()
     return containers, blocks
 
@@ -224,6 +227,73 @@ def best_container(containers: list[Node], blocks) -> Node | None:
     return best
 
 
+def widen(containers: list[Node], blocks, picked: list[Node]) -> list[Node]:
+    """The picked containers, and those around them that belong to the same text.
+
+    The nearest article or main around a picked container is always taken.  Of the
+    containers above, up to the outermost article or main or, on a page without
+    them, up to the root, each is taken whose text beyond the one taken before is
+    not mostly link text.  The root and the body hold the whole page, so they are taken only where
+    such text stands right in them, or an h1, article or main is left outside.
+    """
+    own = {id(n): [0, 0, n.titles] for n in containers}        # text, link text, titles
+    for node, text, of_links in blocks:
+        own[id(node)][0] += len(text)
+        own[id(node)][1] += of_links
+    whole = {k: list(v) for k, v in own.items()}
+    held = {k: [0, 0, 0] for k in own}      # of taken containers
+    inside = {}                             # an article or main, or in one
+    for node in containers:
+        inside[id(node)] = node.tag in SEMANTIC or node.parent is not None \
+            and inside[id(node.parent)]
+    picks = {id(n) for n in picked}
+    # a picked container below: in no article yet (loose), at all (near)
+    loose, near, out = set(), set(), []
+    for node in reversed(containers):       # children come before their parents
+        k = id(node)
+        semantic = node.tag in SEMANTIC
+        if k in picks or semantic and k in loose:
+            out.append(node)
+            held[k] = list(whole[k])
+            near.add(k)
+            loose.discard(k)
+            if not semantic:
+                loose.add(k)
+        elif k in near and (k in loose or inside[k]):
+            more, links, titles = (a - b for a, b in zip(whole[k], held[k]))
+            taken = more > 0 and 2 * links <= more
+            if taken and node.tag in ("html", "body"):
+                taken = titles > 0 or own[k][0] > 0 and 2 * own[k][1] <= own[k][0]
+            if taken:
+                out.append(node)
+                held[k] = list(whole[k])
+        if node.parent is not None:
+            up = id(node.parent)
+            for total in (whole, held):
+                for i in range(3):
+                    total[up][i] += total[k][i]
+            if k in near:
+                near.add(up)
+            if k in loose:
+                loose.add(up)
+    return out
+
+
+def main_container(containers: list[Node], blocks) -> Node | None:
+    """The best container of a page, widened."""
+    best = best_container(containers, blocks)
+    if best is None:
+        return None
+    around = {id(n) for n in widen(containers, blocks, [best])}
+    node, top = best, best
+    while node is not None:
+        if id(node) in around:
+            top = node
+        node = node.parent
+    top.score = best.score
+    return top
+
+
 def extract(page: str, path: str | None) -> str:
     """Blocks below the nodes on ``path``, else below the page's best container."""
     containers, blocks = parse(page)
@@ -231,15 +301,15 @@ def extract(page: str, path: str | None) -> str:
         return ""
     key = path_key(path) if path else None
 
-    def below(chosen) -> list[str]:
+    def below(picked: list[Node]) -> list[str]:
+        chosen = {id(n) for n in widen(containers, blocks, picked)} if picked else ()
         for node in containers:  # parents come before their children
-            node.chosen = chosen(node) or node.parent is not None and node.parent.chosen
+            node.chosen = id(node) in chosen or node.parent is not None and node.parent.chosen
         return [text for node, text, _ in blocks if node.chosen]
 
-    held = below(lambda node: node.key == key) if path else []
+    held = below([n for n in containers if n.key == key]) if path else []
     if not held:
-        best = best_container(containers, blocks)
-        held = below(lambda node: node is best)
+        held = below([best_container(containers, blocks)])
     return "\n\n".join(held)
 
 
@@ -248,7 +318,7 @@ def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "html"):
         out = []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            best = best_container(*parse(page))
+            best = main_container(*parse(page))
             if best is not None:
                 out.append((host, best.path, best.score))
         yield pa.RecordBatch.from_arrays(

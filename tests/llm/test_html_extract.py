@@ -73,3 +73,25 @@ def test_odd_rows(spark):
                    (4, "word word word word ", 999999), (5, "", 0), (6, "", 0),
                    (7, "a < b & c <", 11), (8, "", 0), (8, "x\n\ny", 4), (9, "deep", 4)]
     assert hx.extract_main_text(df.limit(0), ["k"]).count() == 0
+
+
+LONG, LEAD = "long text " * 300, "lead text " * 36
+
+
+def test_title_lead_and_closing_around_a_long_inner_container(spark):
+    """An inner container that outscores its article brings the article along."""
+    want = "\n\n".join(["Title", LEAD.strip(), LONG.strip(), "Closing"])
+    inner = f"<h1>Title</h1><p>{LEAD}</p><{{0}}>{LONG}</{{1}}><p>Closing</p>"
+    aside = "<div class=more>" + "<a href=x>teaser of another page</a> " * 9 + "</div>"
+    for part in (("div class=body", "div"), ("blockquote", "blockquote")):
+        text = inner.format(*part)
+        for page in (f"<body><article>{text}</article>{aside}", f"<body>{text}</body>",
+                     f"<main><h1>Title</h1><article>{text[14:]}</article>{aside}</main>"
+                     .replace(aside, ""),
+                     f"<body><div id=page><div class=post>{text}</div>{aside}</div>",
+                     f"<body><div class=head><h1>Title</h1></div>{text[14:]}"):
+            assert hx.extract(page, None) == want, page[:80]
+    rows = [(i, f"http://h/{i}", f"<body><article>{inner.format('div class=body', 'div')}"
+             f"</article>{aside}") for i in range(4)]
+    df = spark.createDataFrame(rows, "k long, url string, html string")
+    assert [r.text for r in hx.extract_main_text(df, ["k"]).collect()] == [want] * 4

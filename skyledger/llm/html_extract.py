@@ -25,9 +25,13 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices, store, table, text_or_empty
 from .url_filters import url_host
 
+# Attributes as HTML reads them: a quote opens a value only right after "=".
+_VALUE = r"\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)"
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|"
-                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
+                   rf"<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+)>",
+                   re.S)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)"
+                       r"(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
 WORD = re.compile(r"[a-z]+")
 
 # Elements by their part in a page (HTML names).

@@ -95,3 +95,16 @@ def test_title_lead_and_closing_around_a_long_inner_container(spark):
              f"</article>{aside}") for i in range(4)]
     df = spark.createDataFrame(rows, "k long, url string, html string")
     assert [r.text for r in hx.extract_main_text(df, ["k"]).collect()] == [want] * 4
+
+
+def test_odd_quotes_inside_tags():
+    """A quote that no "=" stands before is a character like any other."""
+    def text(page):
+        return hx.extract(page, None).split("\n\n")
+    three = ["FIRST", "SECOND it's", "THIRD"]
+    for attributes in ("title=it's", "it's", 'x"', "a='1'b'", 'a="1"b"', "title=a'b class=c",
+                       '"', "'/", "title = it's", '="', 'a=b="'):
+        assert text(f"<p {attributes}>FIRST</p><p>SECOND it's</p><p>THIRD</p>") == three, attributes
+    assert text("<p title='a > b' data-x = \"c > 'd\">FIRST</p><p>SECOND it's<p>THIRD") == three
+    assert text("<p>FIRST<p>SECOND it's<p hidden title=it's>gone<p>THIRD") == three
+    assert text("<p>FIRST</p><a href=x/>SECOND it's</a><p>THIRD</p>" + "<b x='" * 300) == three

@@ -32,7 +32,7 @@ TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|"
                    re.S)
 ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)"
                        r"(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
-WORD = re.compile(r"[a-z]+")
+PART = re.compile(r"[-_]+")
 
 # Elements by their part in a page (HTML names).
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
@@ -44,12 +44,13 @@ BLOCKS = CONTAINERS | {
     "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup",
     "hr", "html", "legend", "li", "menu", "nav", "ol", "p", "pre", "summary", "table", "tbody",
     "tfoot", "th", "thead", "tr", "ul"}
-BOILERPLATE = {"head", "nav", "footer", "aside", "form", "button", "select", "option", "menu",
+BOILERPLATE = {"head", "nav", "footer", "aside", "button", "select", "option", "menu",
                "dialog", "template", "object", "svg", "canvas", "audio", "video", "math",
-               "datalist", "fieldset", "label"} | RAW
+               "datalist", "label"} | RAW
+FORMS = {"form", "fieldset"}
 CLOSED_BY_SAME = {"p", "li", "dt", "dd", "td", "th", "tr", "option"}
 
-# Words of a class, id or role that mark boilerplate.
+# Tokens of a class, id or role that mark boilerplate.
 MARKS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner",
     "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo",
@@ -59,20 +60,27 @@ MARKS = {
     "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
     "subscribe", "toolbar", "widget"}
 HEADER_MARKS = {"header", "topbar"}
+# What may stand beside a mark in a token ("main-menu"); with any other word, as in
+# "no-sidebar", "category-social" or "search-result", the token is no mark.
+BESIDE = {"main", "site", "global", "primary", "secondary", "top", "bottom", "container",
+          "wrapper", "wrap", "inner", "box", "bar", "block", "area", "section", "link", "links",
+          "button", "buttons", "form", "slot", "unit"}
 SEMANTIC = {"article": 1.5, "main": 1.25}
 
 
 class Node:
-    """A container.  ``key`` stands for its path within the process, so that deep
+    """A container, or a marked element.  ``key`` stands for its path within the process, so that deep
     nesting costs no string for every level."""
 
-    __slots__ = ("tag", "label", "parent", "key", "score", "chosen", "titles")
+    __slots__ = ("tag", "label", "parent", "key", "score", "chosen", "titles",
+                 "marked")
 
-    def __init__(self, tag: str, label: str, parent: "Node | None"):
+    def __init__(self, tag: str, label: str, parent: "Node | None", marked: bool = False):
         self.tag, self.label, self.parent = tag, label, parent
         self.key = hash((parent.key if parent else 0, label))
         self.score, self.chosen = 0.0, False
-        self.titles = int(tag in SEMANTIC)   # landmarks and h1 right in it
+        self.titles = int(tag in SEMANTIC)   # h1 right in it, itself as article or main
+        self.marked = marked
 
     @property
     def path(self) -> str:
@@ -95,17 +103,85 @@ def _label(tag: str, attributes: dict[str, str]) -> str:
     return ".".join([tag, *(re.sub(r"\d+", "#", c) for c in classes)])
 
 
+def _is_mark(token: str, marks: set[str]) -> bool:
+    parts = {p for p in (p.strip("0123456789") for p in PART.split(token)) if p}
+    return not marks.isdisjoint(parts) and parts <= marks | BESIDE
+
+
+def _hidden(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
+    """Never shown, or boilerplate by its tag."""
+    return tag in BOILERPLATE or tag == "header" and not inside_article or bool(attributes) and (
+        "hidden" in attributes or attributes.get("aria-hidden") == "true"
+        or re.search(r"display\s*:\s*none", attributes.get("style", "")) is not None)
+
+
 def _marked(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
-    if tag in BOILERPLATE or tag == "header" and not inside_article:
+    """Boilerplate by its marks, or a form: hidden unless it holds the article."""
+    if tag in FORMS:
         return True
-    if not attributes:
+    if not attributes or tag in ("body", "html") or tag in SEMANTIC:
         return False
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" \
-            or re.search(r"display\s*:\s*none", attributes.get("style", "")):
-        return True
-    words = WORD.findall(" ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower())
-    return not MARKS.isdisjoint(words) and tag not in ("body", "html") \
-        or not inside_article and tag not in ("body", "html") and not HEADER_MARKS.isdisjoint(words)
+    tokens = " ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower().split()
+    return any(_is_mark(t, MARKS) or not inside_article and _is_mark(t, HEADER_MARKS)
+               for t in tokens)
+
+
+def shown(containers: list[Node], blocks):
+    """The containers and blocks left when marked elements and forms are hidden.
+
+    Marked elements of one path are judged together.  They are not hidden if they
+    hold most of the page's text outside of links, unless that text has no h1 and
+    an article or main with text stands elsewhere; nor if they hold an h1, article
+    or main and the page has none elsewhere.  If nothing would be left, none is
+    hidden.
+    """
+    if not any(n.marked for n in containers):
+        return containers, blocks
+    # text outside of links, h1, articles and mains in and below each container
+    whole = {id(n): [0, n.titles - (n.tag in SEMANTIC), n.tag in SEMANTIC] for n in containers}
+    plain = dict.fromkeys(whole, 0)         # the text under no marked element
+    under = {}                              # lies in a marked element
+    for n in containers:
+        under[id(n)] = n.marked or n.parent is not None and under[id(n.parent)]
+    for n, text, of_links in blocks:
+        whole[id(n)][0] += len(text) - of_links
+        if not under[id(n)]:
+            plain[id(n)] += len(text)
+    for n in reversed(containers):          # children come before their parents
+        if n.parent is not None:
+            up = id(n.parent)
+            plain[up] += plain[id(n)]
+            for i in range(3):
+                whole[up][i] += whole[id(n)][i]
+
+    def landmark(n: Node) -> bool:
+        return n.tag in SEMANTIC and not under[id(n)] and plain[id(n)] > 0
+
+    above = {}                              # articles and mains around, with plain text
+    for n in containers:
+        above[id(n)] = (above[id(n.parent)] if n.parent is not None else 0) + landmark(n)
+    landmarks = sum(map(landmark, containers))
+    headings = sum(n.titles - (n.tag in SEMANTIC) for n in containers if not under[id(n)])
+    sums: dict[int, list[int]] = {}
+    for n in containers:
+        if n.marked:
+            held = sums.setdefault(n.key, [0, 0, 0])
+            for i in range(3):
+                held[i] += whole[id(n)][i]
+    total = whole[id(containers[0])][0]
+    gone = {}
+    for n in containers:
+        hides = False
+        if n.marked:
+            text, titles, articles = sums[n.key]
+            elsewhere = landmarks - above[id(n)]
+            hides = not (2 * text > total and (titles or not elsewhere)
+                         or (titles or articles) and not elsewhere and not headings)
+        gone[id(n)] = hides or n.parent is not None and gone[id(n.parent)]
+    kept = [b for b in blocks if not gone[id(b[0])]]
+    if not kept:
+        return containers, blocks
+    return [n for n in containers if not gone[id(n)]], kept
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
@@ -114,35 +190,53 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     root = Node("html", "html", None)
     opened: dict[str, int] = {}
     containers, blocks = [root], []
-    stack: list[tuple[str, Node, bool]] = []   # open element: tag, container, hidden
+    # open element: tag, container, hidden, marked
+    stack: list[tuple[str, Node, bool, bool]] = []
+    # around each marked element that is open: container, text, link text, and the
+    # place where the text began
+    frames: list[tuple[Node, list[str], list[str], int]] = []
+    places: list[int] = []
+    start = 0
     now, hidden, links, articles = root, False, 0, 0
     parts: list[str] = []
     linked: list[str] = []
 
-    def flush() -> None:
+    def put(node: Node, parts: list[str], linked: list[str], place: int) -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 of_links = len(" ".join(html.unescape("".join(linked)).split()))
-                blocks.append((now, text, min(of_links, len(text))))
+                blocks.append((node, text, min(of_links, len(text))))
+                places.append(place)
             parts.clear()
             linked.clear()
 
+    def flush() -> None:
+        for frame in frames:
+            put(*frame)
+        put(now, parts, linked, start)
+
     def text(piece: str) -> None:
+        nonlocal start
         if piece and not hidden:
+            if not parts:
+                start = at
             parts.append(piece)
             if links:
                 linked.append(piece)
 
     def leave(depth: int) -> None:
         """Close all open elements from ``depth`` on."""
-        nonlocal now, hidden, links, articles
-        for tag, *_ in stack[depth:]:
+        nonlocal now, hidden, links, articles, parts, linked, start
+        for tag, _, _, framed in reversed(stack[depth:]):
             opened[tag] -= 1
             links -= tag == "a"
             articles -= tag in ("article", "main")
+            if framed:
+                put(now, parts, linked, start)
+                now, parts, linked, start = frames.pop()
         del stack[depth:]
-        _, now, hidden = stack[-1] if stack else ("", root, False)
+        _, now, hidden, _ = stack[-1] if stack else ("", root, False, False)
 
     def last_open(tag: str, stop=()) -> int:
         if opened.get(tag):
@@ -195,24 +289,30 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             continue
         attributes = {k.lower(): a or b or c or ""
                       for k, a, b, c in ATTRIBUTE.findall(m[3])} if m[3] else {}
-        gone = hidden or _marked(tag, attributes, articles > 0)
-        node = now
-        if tag in CONTAINERS and not gone:
-            node = Node(tag, _label(tag, attributes), now)
-            containers.append(node)
-        if not gone and tag not in BLOCKS and tag != "a":
+        gone = hidden or _hidden(tag, attributes, articles > 0)
+        marked = not gone and _marked(tag, attributes, articles > 0)
+        if not gone and not marked and tag not in BLOCKS and tag != "a":
             # an inline element needs no place of its own, unless it hides text
             continue
-        if gone and not hidden and tag not in BLOCKS:
+        if (gone or marked) and not hidden and tag not in BLOCKS:
             text(" ")
-        stack.append((tag, node, gone))
+        if marked:
+            frames.append((now, parts, linked, start))
+            parts, linked = [], []
+        node = now
+        if marked or tag in CONTAINERS and not gone:
+            node = Node(tag, _label(tag, attributes), now, marked)
+            containers.append(node)
+        stack.append((tag, node, gone, marked))
         opened[tag] = opened.get(tag, 0) + 1
         links += tag == "a"
         articles += tag in ("article", "main")
         now, hidden = node, gone
         now.titles += tag == "h1" and not gone
     flush()
-    return containers, blocks
+    if places != sorted(places):    # text around a marked element began before it
+        blocks = [blocks[i] for i in sorted(range(len(blocks)), key=places.__getitem__)]
+    return shown(containers, blocks)
 
 
 def best_container(containers: list[Node], blocks) -> Node | None:

@@ -108,3 +108,30 @@ def test_odd_quotes_inside_tags():
     assert text("<p title='a > b' data-x = \"c > 'd\">FIRST</p><p>SECOND it's<p>THIRD") == three
     assert text("<p>FIRST<p>SECOND it's<p hidden title=it's>gone<p>THIRD") == three
     assert text("<p>FIRST</p><a href=x/>SECOND it's</a><p>THIRD</p>" + "<b x='" * 300) == three
+
+
+def test_marked_wrappers_and_forms_around_the_article():
+    want = "Title\n\n" + LEAD.strip()
+    inner = f"<h1>Title</h1><p>{LEAD}</p>"
+    for wrapper in ("div class='no-sidebar'", "div class=has-sidebar", "div id=search-result",
+                    "div class='content-with-comments'", "div class='widget'", "form",
+                    "form action=/ class=search", "fieldset", "div role=search class='main-menu'",
+                    "article class='post category-social tag-search'", "main class=widget",
+                    "app-root class=widget", "div class=header", "div class='x sidebar'"):
+        for body in (inner, f"<div class=a>{inner}</div>", f"<article>{inner}</article>"):
+            page = f"<body><nav>menu</nav><{wrapper}>{body}</{wrapper.split()[0]}><p>&copy; we</p>"
+            assert hx.extract(page, None).replace("\n\n\xa9 we", "") == want, (wrapper, body[:20])
+    spread = "<body>" + "".join(f"<div class=widget><p>part {i}</p></div>" for i in range(5))
+    assert hx.extract(spread, None) == "\n\n".join(f"part {i}" for i in range(5))
+
+
+def test_marked_parts_beside_the_article_stay_hidden():
+    inner = f"<h1>Title</h1><p>foo <span class=promo>buy</span> {LEAD}</p>"
+    want = "Title\n\nfoo " + LEAD.strip()
+    for part in (f"<section id=comments><article class=x>{LEAD * 3}</article></section>",
+                 "<div class='cookie-notice'>We use cookies</div>", "<ul class=main-menu><li>Home</ul>",
+                 "<form><p>Name <input></p>Send</form>", "<div class='site-footer'>about</div>",
+                 f"<div class=related><article>{LEAD}</article></div>",
+                 f"<div class=sidebar hidden>{LEAD * 9}</div>"):
+        assert hx.extract(f"<body><article>{inner}</article>{part}", None) == want
+        assert hx.extract(f"<body><main><article>{inner}</article>{part}</main>", None) == want

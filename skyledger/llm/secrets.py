@@ -2,16 +2,17 @@
 
 Every whole text is scanned for three base kinds and for candidates in further
 public credential formats.  Candidate values are counted over the whole corpus by
-distinct owners and repositories.  A value in the hands of more than
-``EXAMPLE_OWNERS`` owners is a widely copied example; a value that few owners hold
-is a live-looking credential of theirs.  Base spans are always reported, with
-their class; a candidate of the further kinds becomes a span only when it is
-owner-specific.
-
-Only digests of values leave the scan.  Rows of (value, owner, repository) are
-made distinct and counted with map-side aggregation, so a value copied into a
-third of all rows meets as one row a task; its spans are joined to the stored
-counts, which the skew join can split.
+distinct owners, repositories and texts.  The places of a value are its
+repositories, copies of one text counted once.  A value is a widely copied example
+when its places, doubled for each owner beyond the first, reach
+``EXAMPLE_SPREAD``: many places of one owner, or few places of many owners; any
+other value is a live-looking credential.  All spans are reported with their
+class; those of the further kinds that are examples stand apart.
+
+Only digests of values and texts leave the scan.  Rows of (value, owner,
+repository) and of (value, text) are made distinct and counted with map-side
+aggregation, so a value copied into a third of all rows meets as one row a task;
+its spans are joined to the stored counts, which the skew join can split.
 """
 
 from __future__ import annotations
@@ -23,12 +24,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, store, table, text_or_empty
 
-EXAMPLE_OWNERS = 2     # a value with more owners is a copied example
+EXAMPLE_SPREAD = 16    # least places x 2^(owners - 1) of a copied example
 
 # Base kinds (fixed patterns and least lengths).
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -116,52 +117,69 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct owners and repositories of each ``value`` (value, owner, repository)."""
-    return (found.distinct()
-            .groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("value").agg(F.count(F.lit(1)).alias("owners"),
-                                  F.sum("n").alias("repositories")))
+    """Distinct owners, repositories and texts of each ``value`` (value, owner,
+    repository, print: the hash of the text)."""
+    places = (found.select("value", "owner", "repository").distinct()
+              .groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("value").agg(F.count(F.lit(1)).alias("owners"),
+                                    F.sum("n").alias("repositories")))
+    texts = found.select("value", "print").distinct() \
+        .groupBy("value").agg(F.count(F.lit(1)).alias("texts"))
+    return places.join(texts, "value")
+
+
+def is_live() -> Column:
+    return F.least("repositories", "texts") * F.pow(F.lit(2.0), F.col("owners") - 1) \
+        < EXAMPLE_SPREAD
 
 
 def find_secrets(df: DataFrame, keys: list[str], owner: str, repository: str,
                  text: str = "text") -> DataFrame:
     """Secret spans of every whole text, with the ownership of their values.
 
-    Returns ``keys`` and ``spans``, an array of (start, kind, end, base, owners,
-    repositories, live) in order of start and kind; offsets are code points, ends
-    exclusive.  Other columns are left out, so none can clash (``keys`` must not
-    name ``found`` or ``spans``).  Null and empty texts have no spans.  A null
-    owner or repository counts as one more owner or repository.  Repeated rows
-    come out repeatedly, and count once in a value's ownership; an empty table
-    gives no rows.
+    Returns ``keys``, ``spans`` and ``examples``, arrays of (start, kind, end, base,
+    owners, repositories, live, texts) in order of start and kind; offsets are code
+    points, ends exclusive.  ``examples`` has the spans of the further kinds whose
+    value is a copied example, ``spans`` all others.  Other columns are left out, so
+    none can clash (``keys`` must not name ``found``, ``spans`` or ``examples``).
+    Null and empty texts have no spans.  A null owner or repository counts as one
+    more owner or repository.  Repeated rows come out repeatedly, and count once in
+    a value's ownership; an empty table gives no rows.
     """
     rows = df.select(*[F.col(k) for k in keys], F.col(owner).cast("string").alias("owner"),
                      F.col(repository).cast("string").alias("repository"),
                      F.monotonically_increasing_id().alias("row"),
+                     F.xxhash64(text_or_empty(text)).alias("print"),
                      text_or_empty(text).alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                       for f in rows.schema.fields if f.name != "text")
     scanned = store(map_arrow(rows, scan, f"{kinds}, found array<{SPAN}>"), "secret-spans")
-    each = scanned.select("row", "owner", "repository", F.explode("found").alias("s"))
-    owners = store(ownership(each.select("s.value", "owner", "repository")), "secret-owners")
+    each = scanned.select("row", "owner", "repository", "print", F.explode("found").alias("s"))
+    owners = store(ownership(each.select("s.value", "owner", "repository", "print")),
+                   "secret-owners")
     # spans of a text are bounded by its length; they come together again by row
     spans = (
         each.select("row", "s.*").join(owners, "value")
         .withColumn("base", F.col("kind") < 3)
-        .withColumn("live", F.col("owners") <= EXAMPLE_OWNERS)
-        .where("base OR live")
+        .withColumn("live", is_live())
         .groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
-            "start", "kind", "end", "base", "owners", "repositories", "live"))).alias("spans")))
-    none = F.array().cast(spans.schema["spans"].dataType)
-    return scanned.join(spans, "row", "left") \
-        .select(*[F.col(k) for k in keys], F.coalesce("spans", none).alias("spans"))
+            "start", "kind", "end", "base", "owners", "repositories", "live", "texts")))
+            .alias("_all")))
+    none = F.array().cast(spans.schema["_all"].dataType)
+    found = F.coalesce("_all", none)
+    return scanned.join(spans, "row", "left").select(
+        *[F.col(k) for k in keys],
+        F.filter(found, lambda s: s["base"] | s["live"]).alias("spans"),
+        F.filter(found, lambda s: ~(s["base"] | s["live"])).alias("examples"))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents: the source owns, and each document is a repository."""
+    """Documents: the source owns, and each document is a repository.  ``spans`` has
+    all spans, and ``classes`` the class, owners and repositories of each."""
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     found = find_secrets(docs.withColumn("repository", F.col("doc_id")), ["doc_id"],
-                         "source", "repository")
+                         "source", "repository") \
+        .withColumn("spans", F.array_sort(F.concat("spans", "examples")))
     names = F.array(*[F.lit(k) for k in KINDS])
 
     def shown(spans):
@@ -177,4 +195,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(shown(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
         shown(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
-        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_examples"))
+        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_examples"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(
+            ":", F.when(s["live"], "live").otherwise("example"), s["owners"].cast("string"),
+            s["repositories"].cast("string"))), ",").alias("classes"))

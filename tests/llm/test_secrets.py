@@ -71,3 +71,22 @@ def test_copied_examples_are_told_from_owned_credentials(spark):
     assert got == [*[(i, [(0, 5, 5, False)]) for i in range(5)],
                    (10, [(3, 1, 2, True)]), *[(11, [(3, 1, 2, True), (0, 1, 1, True)])] * 2]
     assert sc.find_secrets(df.limit(0), ["k"], "o", "r").count() == 0
+
+
+def test_further_spans_stay_with_their_class(spark, tmp_path):
+    """A leaked text copied into 3 sources is live; an example in many texts of one
+    source is none, and its spans stay; copies of one text count once."""
+    example, copied = "ghp_" + "Qw7" * 12, "ghp_" + "Lp4" * 12
+    rows = [(i, f"s{i}", f"leak {GITHUB}") for i in range(3)] + \
+        [(100 + i, "hot", f"text {i} {example} password=example1") for i in range(40)] + \
+        [(200 + i, "hot", f"same {copied}") for i in range(40)] + \
+        [(300 + i, f"s{i}", f"wide {'ghp_' + 'Mn8' * 12}") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in sc.op2_secrets(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows) and all("github:" in r.spans for r in got.values())
+    for first, classes, n_live, n_examples in (
+            (0, "live:3:3", 1, 0), (100, "example:1:40,example:1:40", 0, 2),
+            (200, "live:1:40", 1, 0), (300, "example:6:6", 0, 1)):
+        rest = [r for k, r in got.items() if first <= k < first + 100]
+        assert {(r.classes, r.n_live, r.n_examples) for r in rest} == {(classes, n_live, n_examples)}

@@ -16,6 +16,10 @@ taken out of its host's and declaration's sums, so that it is no evidence for
 itself.  The text model is fitted on a bounded sample of labelled rows
 (``FIT_ROWS`` a language in expectation, by a hash of the text); all other sums
 cover every row.
+
+Languages are not limited in number: beyond ``BLOCK`` the model is collected and
+broadcast in blocks of languages, and a worker holds ``HELD_BLOCKS`` of them at most.
+A row keeps two numbers for each language.
 """
 
 from __future__ import annotations
@@ -33,7 +37,8 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices, store, table, text_or_empty
 
 FIT_ROWS = 4000          # expected sample rows a language
-MAX_LANGUAGES = 64       # bound of the model that is broadcast
+BLOCK = 64               # languages of one block of the model
+HELD_BLOCKS = 8          # a worker keeps so many blocks from batch to batch
 FEATURES = 1 << 16       # hashed trigrams
 ALPHA = 0.5              # pseudo-count of a trigram
 TEMPER = 3.0             # trigrams that share a byte
@@ -56,66 +61,104 @@ def trigrams(text: str) -> np.ndarray:
         .astype(np.int64)
 
 
+def label(c: Column) -> Column:
+    """A language label in lower case, without white space around it or a region."""
+    low = F.lower(F.regexp_replace(c.cast("string"), r"^\s+|\s+$", ""))
+    return F.regexp_replace(low, r"^([a-z]{2,3})[-_](?:[a-z]{2}|[0-9]{3})$", "$1")
+
+
 def count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) -> (lang, feature, n), summed within the task."""
-    sums: dict[str, np.ndarray] = {}
+    """(at, text) -> (at, feature, n), summed within the task for the languages ``at``
+    of a block's number at a time."""
+    sums: dict[int, np.ndarray] = {}
+
+    def held() -> Iterator[pa.RecordBatch]:
+        for lang, n in sums.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), lang), pa.int32()), pa.array(at, pa.int64()),
+                 pa.array(n[at], pa.int64())], names=["at", "feature", "n"])
+        sums.clear()
+
     for batch in slices(batches, "text"):
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            held = sums.setdefault(lang, np.zeros(FEATURES, np.int64))
-            held += np.bincount(trigrams(text), minlength=FEATURES)
-    for lang, n in sums.items():
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()),
-             pa.array(n[at], pa.int64())], names=["lang", "feature", "n"])
+        for lang, text in zip(batch.column("at").to_pylist(), batch.column("text").to_pylist()):
+            if lang not in sums:
+                if len(sums) == BLOCK:
+                    yield from held()
+                sums[lang] = np.zeros(FEATURES, np.int64)
+            sums[lang] += np.bincount(trigrams(text), minlength=FEATURES)
+    yield from held()
 
 
 def fit(labelled: DataFrame, lang: str = "lang", text: str = "text",
         rows: int = FIT_ROWS) -> dict:
     """Log probabilities of trigrams for each language of a labelled table.
 
+    Labels are taken without case, white space around them and region (``label``).
     Rows with a null or empty label are not used.  The sample takes a row when the
     hash of its text falls below ``rows`` over the number of rows of its language.
+
+    Returns ``names`` and, up to ``BLOCK`` languages, ``model``, one column for each
+    name; beyond, ``blocks``, broadcasts of such columns side by side.
     """
-    known = labelled.select(F.col(lang).cast("string").alias("lang"),
+    spark = labelled.sparkSession
+    known = labelled.select(label(F.col(lang)).alias("lang"),
                             text_or_empty(text).alias("text")).where("lang <> ''")
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+              .collect()}
     names = sorted(counts)
-    model = np.full((FEATURES, len(names) + 1), -math.log(FEATURES), np.float32)
-    if names:
-        share = F.create_map(*[x for k in names
-                               for x in (F.lit(k), F.lit(rows / counts[k]))])[F.col("lang")]
-        sample = known.where(
-            F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * float(1 << 30))
-        found = map_arrow(sample, count_trigrams, "lang string, feature long, n long") \
-            .groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()  # <= FEATURES x names
-        column = {k: i for i, k in enumerate(names)}
-        table_ = np.zeros((FEATURES, len(names)))
-        at = [column[k] for k in found.column("lang").to_pylist()]
-        table_[found.column("feature").to_numpy(), at] = found.column("n").to_numpy()
-        model[:, :-1] = np.log((table_ + ALPHA) / (table_.sum(axis=0) + ALPHA * FEATURES))
-    return {"names": [*names, UNKNOWN], "model": model}
-
-
-def scorer(model_ref):
+    several = len(names) > BLOCK
+    unknown = np.full((FEATURES, 1), -math.log(FEATURES), np.float32)
+    if not names:
+        return {"names": [UNKNOWN], "model": unknown}
+    shares = spark.createDataFrame([(k, i, rows / counts[k]) for i, k in enumerate(names)],
+                                   "lang string, at int, share double")
+    sample = known.join(F.broadcast(shares), "lang").where(
+        F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * float(1 << 30)) \
+        .select("at", "text")
+    found = map_arrow(sample, count_trigrams, "at int, feature long, n long") \
+        .groupBy("at", "feature").agg(F.sum("n").alias("n"))
+    if several:
+        found = store(found, "language-features")
+    blocks = []
+    for first in range(0, len(names), BLOCK):
+        width = min(BLOCK, len(names) - first)
+        part = found.where((F.col("at") >= first) & (F.col("at") < first + width)) \
+            .toArrow()              # <= FEATURES x BLOCK
+        table_ = np.zeros((FEATURES, width))
+        table_[part.column("feature").to_numpy(), part.column("at").to_numpy() - first] = \
+            part.column("n").to_numpy()
+        block = np.log((table_ + ALPHA) / (table_.sum(axis=0) + ALPHA * FEATURES)) \
+            .astype(np.float32)
+        if first + width == len(names):
+            block = np.hstack([block, unknown])
+        blocks.append(spark.sparkContext.broadcast(block) if several else block)
+    names.append(UNKNOWN)
+    return {"names": names, "blocks": blocks} if several else {"names": names, "model": blocks[0]}
+
+
+def scorer(blocks: list, n: int):
     """Batch function: adds ``letters``, ``logs`` (tempered log likelihoods) and
-    ``posterior`` (under a flat prior) for the text."""
+    ``posterior`` (under a flat prior) for the text.  ``blocks`` are broadcasts of the
+    model's columns, ``n`` in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_ref.value["model"]
         for batch in slices(batches, "text"):
-            letters, logs = [], []
-            for text in batch.column("text").to_pylist():
-                grams = trigrams(text)
-                total = np.zeros(model.shape[1])
-                for i in range(0, len(grams), 1 << 16):
-                    total += model[grams[i:i + (1 << 16)]].sum(axis=0, dtype=np.float64)
-                letters.append(len(grams))
-                logs.append(total / TEMPER)
-            logs = np.array(logs)
+            grams = [trigrams(text) for text in batch.column("text").to_pylist()]
+            letters = [len(g) for g in grams]
+            logs = np.zeros((len(grams), n))
+            first = 0
+            for ref in blocks:
+                model = ref.value
+                part = logs[:, first:first + model.shape[1]]
+                for row, g in enumerate(grams):
+                    for i in range(0, len(g), 1 << 16):
+                        part[row] += model[g[i:i + (1 << 16)]].sum(axis=0, dtype=np.float64)
+                first += model.shape[1]
+                if len(blocks) > HELD_BLOCKS:   # read again from the worker's disk
+                    del model
+                    ref.__dict__.pop("_value", None)
+            logs /= TEMPER
             each = np.exp(logs - logs.max(axis=1, keepdims=True))
             each /= each.sum(axis=1, keepdims=True)
             offsets = pa.array(np.arange(len(logs) + 1) * logs.shape[1], pa.int32())
@@ -130,13 +173,24 @@ def scorer(model_ref):
 
 
 def _sums(df: DataFrame, n: int, *by: str) -> DataFrame:
-    return df.groupBy(*by).agg(F.array(*[F.sum(F.col("posterior")[i]) for i in range(n)])
-                               .alias("sums"))
+    if n <= BLOCK + 1:
+        return df.groupBy(*by).agg(F.array(*[F.sum(F.col("posterior")[i]) for i in range(n)])
+                                   .alias("sums"))
+    each = df.select(*by, F.posexplode("posterior").alias("at", "p")) \
+        .groupBy(*by, "at").agg(F.sum("p").alias("p"))
+    return each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("all")) \
+        .select(*by, F.transform("all", lambda s: s["p"]).alias("sums"))
+
+
+def _whole(df: DataFrame, n: int) -> list[float]:
+    row = _sums(df, n).first()
+    return [float(x or 0) for x in (row and row.sums) or [0.0] * n]
 
 
-def _smoothed(sums: Column, parent: Column, n: int) -> Column:
-    total = sum((sums[i] for i in range(1, n)), sums[0])
-    return F.array(*[(sums[i] + PULL * parent[i]) / (total + PULL) for i in range(n)])
+def _smoothed(sums: Column, parent: Column) -> Column:
+    total = F.aggregate(sums, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(F.array(total), lambda t: F.zip_with(
+        sums, parent, lambda s, p: (s + PULL * p) / (t + PULL)))[0]
 
 
 def identify(df: DataFrame, model: dict, keys: list[str], text: str = "text",
@@ -155,7 +209,7 @@ def identify(df: DataFrame, model: dict, keys: list[str], text: str = "text",
     """
     names = model["names"]
     n = len(names)
-    ref = df.sparkSession.sparkContext.broadcast(model)
+    blocks = model.get("blocks") or [df.sparkSession.sparkContext.broadcast(model["model"])]
     none = F.lit(None).cast("string")
 
     def given(c: Column | None) -> Column:
@@ -163,31 +217,29 @@ def identify(df: DataFrame, model: dict, keys: list[str], text: str = "text",
 
     narrow = df.select(
         *[F.col(k) for k in keys], text_or_empty(text).alias("text"),
-        F.lower(given(declared)).alias("declared"), given(host).alias("host"),
+        label(given(declared)).alias("declared"), given(host).alias("host"),
         given(domain).alias("domain"), given(suffix).alias("suffix"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                       for f in narrow.schema.fields if f.name != "text")
-    rows = store(map_arrow(narrow, scorer(ref), f"{kinds}, letters long, logs array<double>, "
-                                                "posterior array<double>"), "language-text")
+    rows = store(map_arrow(narrow, scorer(blocks, n), f"{kinds}, letters long, "
+                           "logs array<double>, posterior array<double>"), "language-text")
     # rows without letters say nothing about their host
     seen = rows.where("letters > 0")
     by_host = store(_sums(seen, n, "suffix", "domain", "host"), "language-hosts")
     up = by_host.withColumnRenamed("sums", "posterior")
-    everything = _sums(up, n).first()
-    whole = [x or 0.0 for x in everything.sums] if everything and everything.sums else [0.0] * n
+    whole = _whole(up, n)
     top = [(x + 1) / (sum(whole) + n) for x in whole]
     above = F.array(*[F.lit(x) for x in top])
     suffixes = _sums(up, n, "suffix").select(
-        "suffix", _smoothed(F.col("sums"), above, n).alias("of_suffix"))
+        "suffix", _smoothed(F.col("sums"), above).alias("of_suffix"))
     domains = _sums(up, n, "suffix", "domain").join(suffixes, "suffix").select(
-        "suffix", "domain", _smoothed(F.col("sums"), F.col("of_suffix"), n).alias("of_domain"))
+        "suffix", "domain", _smoothed(F.col("sums"), F.col("of_suffix")).alias("of_domain"))
     hosts = by_host.join(domains, ["suffix", "domain"]) \
         .withColumnRenamed("sums", "host_sums")
     hosts = store(hosts, "language-priors")
     said = store(_sums(seen.where("declared <> ''"), n, "declared")
                  .withColumnRenamed("sums", "said_sums"), "language-declared")
-    n_said = [float(x or 0) for x in (said.agg(
-        *[F.sum(F.col("said_sums")[i]) for i in range(n)]).first())]
+    n_said = _whole(said.withColumnRenamed("said_sums", "posterior"), n)
     n_values = float(said.count())
 
     joined = rows.join(hosts, ["suffix", "domain", "host"], "left") \
@@ -215,9 +267,8 @@ def fuser(names: list[str], keys: list[str], top: list[float], n_said: list[floa
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        step = max(1, (1 << 17) // n)
+        for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
             letters = batch.column("letters").to_numpy()
             seen = letters > 0
             text = wide(batch.column("own"), [0.0] * n)

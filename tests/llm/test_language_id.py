@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +101,40 @@ def test_odd_rows(spark, made):
     assert li.identify(df.limit(0), made, ["k"]).count() == 0
     none = li.fit(spark.createDataFrame([], "lang string, text string"))
     assert not any(r.accepted for r in li.identify(df, none, ["k"]).collect())
+
+
+def tongues(n):
+    """Labelled texts of ``n`` made-up languages, with words of their own."""
+    made = random.Random(7)
+    return [(f"l{i:03d}x", " ".join("".join(made.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+                                     for _ in range(60))) for i in range(n)]
+
+
+def test_any_number_of_languages(spark, tmp_path):
+    rows = [(i, lang, text, f"s{i % 3}") for i, (lang, text) in enumerate(tongues(150))]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string, source string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in li.op10_language_id(spark, str(tmp_path)).collect()}
+    assert [(got[i].lang, got[i].kept) for i, *_ in rows] == [(r[1], True) for r in rows]
+
+
+def test_blocks_of_languages_give_the_same_result(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one = {r.doc_id: r for r in li.identify_documents(docs, ["doc_id"]).collect()}
+    monkeypatch.setattr(li, "BLOCK", 2)
+    monkeypatch.setattr(li, "HELD_BLOCKS", 1)
+    more = {r.doc_id: r for r in li.identify_documents(docs, ["doc_id"]).collect()}
+    assert one.keys() == more.keys()
+    for k, r in one.items():
+        assert r.lang == more[k].lang and r.accepted == more[k].accepted
+        assert r.posterior == pytest.approx(more[k].posterior, rel=1e-9)
+
+
+def test_spellings_of_a_label_are_one_language(spark):
+    en, fr = "the quick brown fox jumps over the lazy dog ", "le renard brun saute par dessus "
+    df = spark.createDataFrame(
+        [("EN", en), (" en ", en * 2), ("en-US", en * 3), ("en_gb", en), ("fr", fr), ("FR\t", fr),
+         ("es-419", "hola"), ("x-1", "a"), ("lang-17", "b"), ("zh-hant", "c"), (" ", "d")],
+        "lang string, text string")
+    model = li.fit(df)
+    assert model["names"] == ["en", "es", "fr", "lang-17", "x-1", "zh-hant", li.UNKNOWN]

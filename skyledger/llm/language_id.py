@@ -14,8 +14,8 @@ Sums by suffix, domain, host and declared language come from grouped aggregation
 with map-side combination, whatever the size of a host.  A row's own posterior is
 taken out of its host's and declaration's sums, so that it is no evidence for
 itself.  The text model is fitted on a bounded sample of labelled rows
-(``FIT_ROWS`` a language in expectation, by a hash of the text); all other sums
-cover every row.
+(``FIT_ROWS`` distinct texts a language in expectation, by a hash of the text); all
+other sums cover every row.
 
 Languages are not limited in number: beyond ``BLOCK`` the model is collected and
 broadcast in blocks of languages, and a worker holds ``HELD_BLOCKS`` of them at most.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, store, table, text_or_empty
 
-FIT_ROWS = 4000          # expected sample rows a language
+FIT_ROWS = 4000          # expected sample texts a language
 BLOCK = 64               # languages of one block of the model
 HELD_BLOCKS = 8          # a worker keeps so many blocks from batch to batch
 FEATURES = 1 << 16       # hashed trigrams
@@ -95,8 +95,9 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text",
     """Log probabilities of trigrams for each language of a labelled table.
 
     Labels are taken without case, white space around them and region (``label``).
-    Rows with a null or empty label are not used.  The sample takes a row when the
-    hash of its text falls below ``rows`` over the number of rows of its language.
+    Rows with a null or empty label are not used, and copies of a text under one label
+    count once.  The sample takes a text when its hash falls below ``rows`` over the
+    number of distinct texts of its language.
 
     Returns ``names`` and, up to ``BLOCK`` languages, ``model``, one column for each
     name; beyond, ``blocks``, broadcasts of such columns side by side.
@@ -104,8 +105,8 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text",
     spark = labelled.sparkSession
     known = labelled.select(label(F.col(lang)).alias("lang"),
                             text_or_empty(text).alias("text")).where("lang <> ''")
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .collect()}
+    counts = {r.lang: r.n for r in known.select("lang", F.xxhash64("text").alias("hash"))
+              .distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(counts)
     several = len(names) > BLOCK
     unknown = np.full((FEATURES, 1), -math.log(FEATURES), np.float32)
@@ -115,7 +116,7 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text",
                                    "lang string, at int, share double")
     sample = known.join(F.broadcast(shares), "lang").where(
         F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * float(1 << 30)) \
-        .select("at", "text")
+        .select("at", "text").distinct()
     found = map_arrow(sample, count_trigrams, "at int, feature long, n long") \
         .groupBy("at", "feature").agg(F.sum("n").alias("n"))
     if several:

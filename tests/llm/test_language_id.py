@@ -138,3 +138,12 @@ def test_spellings_of_a_label_are_one_language(spark):
         "lang string, text string")
     model = li.fit(df)
     assert model["names"] == ["en", "es", "fr", "lang-17", "x-1", "zh-hant", li.UNKNOWN]
+
+
+def test_copies_of_a_text_count_once_in_the_model(spark):
+    rows = [("en", f"{text} text") for _, text in tongues(20)] + [("fr", "le renard brun")]
+    copied = rows + [("en", "one text with many copies")] * 3000 + [("EN", rows[0][1])] * 500
+    once = rows + [("en", "one text with many copies")]
+    kind = "lang string, text string"
+    got, want = (li.fit(spark.createDataFrame(r, kind)) for r in (copied, once))
+    assert got["names"] == want["names"] and (got["model"] == want["model"]).all()

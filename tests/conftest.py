@@ -6,12 +6,10 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
+from compare import SF_CHECK, duck_connect  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,7 +23,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck():
-    from compare import duck_connect
     return duck_connect(SF_CHECK)
 
 

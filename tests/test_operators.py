@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from compare import SF_CHECK
 from skyledger.operators.aggregates import count_if, ratio
 from skyledger.operators.dedup import latest_per_key, upsert
 from skyledger.operators.paging import page, page_count
@@ -146,7 +146,7 @@ def test_small_fixes(spark):
 
 
 def test_one_pass_snapshots_equal_the_join_of_two(spark):
-    from conftest import SF_CHECK
+    from compare import SF_CHECK
     from skyledger.params import SNAPSHOT_CUTOFF
     from skyledger.plans import gold, history, silver
     from skyledger.sources.adapters import load_feeds
@@ -163,7 +163,7 @@ def test_one_pass_snapshots_equal_the_join_of_two(spark):
 
 def test_tables_without_elements_scan_the_catalogue_only(spark):
     import __spark_entry__ as E
-    from conftest import SF_SMALL
+    from compare import SF_SMALL
     qs = E.queries()
     for name in ("country_leaderboard", "orbital_census", "headline_counts", "quality_report",
                  "growth_by_launch_year", "change_feed", "census_change"):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
+
 import pytest
 
 import __spark_entry__ as E
-from compare import compare
-from conftest import SF_CHECK, SF_SMALL
+from compare import SF_CHECK, SF_SMALL, compare
 
 SQL = E.oracle_sql()
 QUERIES = E.queries()
@@ -19,6 +20,20 @@ def test_entry_smoke(spark):
     assert df.columns == E.entry(spark).columns
 
 
+def test_queries_stay_when_the_optional_operators_cannot_be_imported(monkeypatch):
+    """A package that only they need is missing: the rest is still registered."""
+    import sys
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("skyledger.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setattr(sys.modules["skyledger"], "llm", None, raising=False)
+    monkeypatch.setitem(sys.modules, "regex", None)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        left = set(E.queries())
+    assert set(E.QUERIES) <= left and set(E.oracle_sql()) <= left
+
+
 def test_every_sql_key_is_a_query():
     assert set(SQL) <= set(QUERIES)
 

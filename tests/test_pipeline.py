@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 from skyledger.plans import gold
 from skyledger.plans.pipeline import objects_from_testdata, run_batch
 from skyledger.sources.adapters import load_feeds

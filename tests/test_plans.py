@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 from skyledger.operators.dedup import latest_per_key
 from skyledger.plans import gold, silver
 from skyledger.plans.pipeline import objects_from_testdata

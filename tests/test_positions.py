@@ -125,7 +125,7 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     """Run from a folder where worker processes cannot import the package."""
     import subprocess
     import sys
-    from conftest import ROOT
+    from compare import ROOT
     code = f"""
 import sys; sys.path.insert(0, {ROOT!r})
 import __spark_entry__ as E

@@ -10,7 +10,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from compare import SF_CHECK
 from skyledger.plans import silver
 from skyledger.plans.pipeline import objects_from_testdata
 from skyledger.streaming.bronze import (CorruptEnvelopes, ingest_envelopes, read_bronze,

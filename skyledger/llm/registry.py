@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from ..session import ensure_conf
 from . import (bpe, exact_dedup, fingerprints, html_extract, language_id, mixing, near_dedup,
-               phrases, secrets, url_filters, vector_codes, warc)
+               phrases, secrets, toxicity, url_filters, vector_codes, warc)
 
 _OPERATORS = (
     bpe.op1_bpe, secrets.op2_secrets, fingerprints.op3_fingerprints,
     exact_dedup.op4_exact_dedup, url_filters.op5_url_filters, html_extract.op6_html_text,
     near_dedup.op7_near_dedup, mixing.op8_mix_sources, warc.op9_warc,
     language_id.op10_language_id, language_id.page_languages,
-    vector_codes.op12_vector_codes, phrases.op13_phrases,
+    toxicity.op11_toxicity, vector_codes.op12_vector_codes, phrases.op13_phrases,
 )
 
 

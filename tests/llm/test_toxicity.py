@@ -1,0 +1,186 @@
+from __future__ import annotations
+
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.llm import gated_net as G
+from skyledger.llm import toxicity as T
+
+SF = "/root/testdata/sf0.1"
+
+
+def small_net(seed=1, known=5):
+    rng = np.random.default_rng(seed)
+    return G.initial(rng.normal(0, 1, known).astype(np.float32),
+                     rng.normal(0, 1, 1 << G.CHAR_BITS).astype(np.float32), seed)
+
+
+def sig(x):
+    return 1 / (1 + math.exp(-x))
+
+
+def plain_logit(net, vectors):
+    """One window, one number at a time."""
+    size = G.HIDDEN
+    states = {}
+    for side, order in (("f", range(len(vectors))), ("b", range(len(vectors) - 1, -1, -1))):
+        h, out = [0.0] * size, {}
+        for t in order:
+            x = [sum(v * w for v, w in zip(vectors[t], col)) + c
+                 for col, c in zip(net["x" + side].T, net["c" + side])]
+            a = [sum(v * w for v, w in zip(h, col)) for col in net["u" + side].T]
+            z = [sig(x[i] + a[i]) for i in range(size)]
+            r = [sig(x[size + i] + a[size + i]) for i in range(size)]
+            n = [math.tanh(x[2 * size + i] + r[i] * (a[2 * size + i] + net["n" + side][i]))
+                 for i in range(size)]
+            h = [(1 - z[i]) * n[i] + z[i] * h[i] for i in range(size)]
+            out[t] = h
+        states[side] = out
+    both = [states["f"][t] + states["b"][t] for t in range(len(vectors))]
+    e = [sum(math.tanh(sum(s * w for s, w in zip(b, col)) + c) * v
+             for col, c, v in zip(net["aw"].T, net["ab"], net["av"])) for b in both]
+    w = [math.exp(x - max(e)) for x in e]
+    pooled = [sum(wi * b[j] for wi, b in zip(w, both)) / sum(w) for j in range(2 * size)]
+    return sum(p * o for p, o in zip(pooled, net["ow"])) + float(net["ob"][0])
+
+
+def test_batched_scores_equal_one_window_at_a_time():
+    net = small_net()
+    model = T.Model(net, {"alpha": 1, "beta": 2, "gamma": 3}, -2.0, 0.3)
+    rng = np.random.default_rng(2)
+    pool = ["alpha", "beta", "gamma", "Delta", "straße", "x", "日本語", "a1_b"]
+    texts = [" ".join(rng.choice(pool, n)) for n in (1, 23, 24, 25, 36, 37, 61, 200)] + \
+        ["", "!?.", "ALPHA, beta;x"]
+    score, n, top = T.score_texts(model, texts)
+    for text, s, windows, first in zip(texts, score, n, top):
+        words = re.findall(r"\w+", text.lower())
+        begin = list(T.starts(len(words)))
+        assert windows == len(begin)
+        if not begin:
+            assert s == pytest.approx(sig(-2.0)) and first == -1
+            continue
+        logits = []
+        for b in begin:
+            own = words[b:b + T.WINDOW]
+            chars, start = G.char_buckets(own)
+            word = [net["word"][model.known.get(w, 0)] for w in own]
+            char = [np.mean([net["char"][c] for c in chars[i:j]], 0)
+                    for i, j in zip(start[:-1], start[1:])]
+            logits.append(plain_logit(net, [np.concatenate(p).tolist() for p in zip(word, char)]))
+        assert s == pytest.approx(sig(max(logits) + 0.3), abs=1e-5)
+        assert logits[begin.index(first)] == pytest.approx(max(logits), abs=1e-5)
+
+
+def test_windows_overlap_and_reach_the_end():
+    for n in range(0, 200):
+        begin = list(T.starts(n))
+        covered = {w for b in begin for w in range(b, min(b + T.WINDOW, n))}
+        assert covered == set(range(n))
+        assert all(b - a == T.STRIDE for a, b in zip(begin, begin[1:]))
+        assert not begin or begin[-1] == 0 or begin[-1] + T.WINDOW - T.STRIDE < n
+
+
+def test_chunks_do_not_change_scores(monkeypatch):
+    model = T.Model(small_net(), {"a": 1}, -2.0, 0.0)
+    texts = ["a b c " * 300, "", "x " * 50, "a " * 7, "q w e r t y " * 100]
+    whole = T.score_texts(model, texts)
+    monkeypatch.setattr(T, "CHUNK", 4)
+    parts = T.score_texts(model, texts)
+    assert np.allclose(whole[0], parts[0], atol=1e-6) and (whole[1] == parts[1]).all()
+
+
+def test_gradients():
+    """Back-propagation against differences of the log odds."""
+    net = {k: v.astype(np.float64) for k, v in small_net(3).items()}
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(0, 1, (9, G.WORD_DIM + G.CHAR_DIM))
+    index = rng.integers(0, 9, (5, 6))
+    filled = np.arange(6) < np.array([6, 1, 3, 6, 5])[:, None]
+    index = np.where(filled, index, 0)
+    out = rng.normal(0, 1, 5)
+
+    def loss():
+        return float((G.forward(net, vectors, index, filled) * out).sum())
+
+    _, kept = G.forward(net, vectors, index, filled, keep=True)
+    grad, d_vectors = G.backward(net, vectors, index, kept, out.astype(np.float32))
+    grad["vectors"] = d_vectors
+    for name, g in grad.items():
+        values = vectors if name == "vectors" else net[name]
+        for at in rng.choice(values.size, min(6, values.size), replace=False):
+            place = np.unravel_index(at, values.shape)
+            old, step = values[place], 2e-2
+            values[place] = old + step
+            up = loss()
+            values[place] = old - step
+            down = loss()
+            values[place] = old
+            assert g[place] == pytest.approx((up - down) / (2 * step), rel=0.05, abs=3e-3), name
+
+
+def test_character_ngrams():
+    words = ["ab", "x", "straße", "ab"]
+    buckets, start = G.char_buckets(words)
+    own = [buckets[a:b].tolist() for a, b in zip(start[:-1], start[1:])]
+    assert [len(o) for o in own] == [2 + 1, 1, 6 + 5 + 4, 3]   # <ab>: 2 of three, 1 of four
+    assert own[0] == own[3] and max(map(max, own)) < 1 << G.CHAR_BITS
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    docs = T.table(spark, SF, "documents", "doc_id", "text")
+    labels = T.table(spark, SF, "labels", "doc_id", "toxic")
+    return T.fit(docs, labels.where(~T.held_out(F.col("doc_id"))))
+
+
+def test_held_out_documents(spark, learned):
+    docs = T.table(spark, SF, "documents", "doc_id", "text")
+    labels = T.table(spark, SF, "labels", "doc_id", "toxic").where(T.held_out(F.col("doc_id")))
+    rows = T.score(docs.join(labels, "doc_id"), learned, ["doc_id", "toxic"]).collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows)
+    toxic = [r.score for r in rows if r.toxic]
+    other = [r.score for r in rows if not r.toxic]
+    auc = np.mean([[(t > o) + (t == o) / 2 for o in other] for t in toxic])
+    assert auc > 0.95
+    assert np.mean([s >= 0.5 for s in toxic]) > 0.85
+    assert np.mean([s >= 0.5 for s in other]) < 0.04
+
+
+def test_held_out_labels_teach_nothing(spark):
+    docs = T.table(spark, SF, "documents", "doc_id", "text")
+    labels = T.table(spark, SF, "labels", "doc_id", "toxic")
+    sample, sizes = T.fit_sample(
+        docs.withColumnRenamed("doc_id", "key"),
+        labels.where(~T.held_out(F.col("doc_id"))).withColumnRenamed("doc_id", "key"), 60)
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    assert len(sample) <= 60 and all(zlib.crc32(str(r.key).encode()) % 5 for r in sample)
+    assert all(known[r.key] == r.toxic for r in sample)
+    assert sum(sizes.values()) == sum(1 for k in known if zlib.crc32(str(k).encode()) % 5)
+
+
+def test_nulls_empty_tables_and_clashing_columns(spark, learned):
+    schema = "doc_id bigint, text string, score int, n_windows string"
+    rows = [(1, "you idiot moron scum", 5, "x"), (1, "you idiot moron scum", 5, "x"),
+            (None, None, None, None), (3, "", 1, "y"), (4, "word " * 50_000, 1, "y")]
+    out = T.score(spark.createDataFrame(rows, schema), learned, ["doc_id"])
+    assert out.columns == ["doc_id", "score", "n_windows", "top_word"]
+    got = out.collect()
+    assert sorted((r.doc_id or 0, r.n_windows) for r in got) == \
+        [(0, 0), (1, 1), (1, 1), (3, 0), (4, 4166)]
+    assert all(0 <= r.score <= 1 for r in got)
+    assert {r.score for r in got if not r.n_windows} == {round(sig(learned.prior), 6)}
+    assert T.score(spark.createDataFrame([], schema), learned, ["doc_id"]).count() == 0
+
+
+def test_too_few_labels_give_the_prior(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id bigint, text string")
+    for labels in ([], [(1, 0), (None, 1), (2, None)], [(1, 1), (7, 0)]):
+        table = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+        model = T.fit(docs, table)
+        assert model.net is None
+        assert T.score(docs, model, ["doc_id"]).select("score").distinct().count() == 1

@@ -128,20 +128,23 @@ def _direction(net, side, projected, index, filled, keep):
     return states, held
 
 
-def forward(net: dict, vectors: np.ndarray, index: np.ndarray, filled: np.ndarray,
+def project(net: dict, vectors: np.ndarray) -> dict[str, np.ndarray]:
+    """What each word adds to the gates of either direction."""
+    return {side: (vectors @ net["x" + side] + net["c" + side]).astype(np.float32)
+            for side in "fb"}
+
+
+def forward(net: dict, projected: dict[str, np.ndarray], index: np.ndarray, filled: np.ndarray,
             keep: bool = False):
-    """Log odds of windows: ``index`` (windows, steps) into ``vectors``, ``filled`` says
-    which steps hold a word (one at least)."""
-    sides = {}
-    for side in "fb":
-        projected = (vectors @ net["x" + side] + net["c" + side]).astype(np.float32)
-        sides[side] = _direction(net, side, projected, index, filled, keep)
+    """Log odds of windows: ``index`` (windows, steps) into the projected words, ``filled``
+    says which steps hold a word (one at least)."""
+    sides = {side: _direction(net, side, projected[side], index, filled, keep) for side in "fb"}
     both = np.concatenate([sides["f"][0], sides["b"][0]], 2)
     u = _tanh(both @ net["aw"] + net["ab"])
     e = np.where(filled, u @ net["av"], -np.inf)
     weight = np.exp(e - e.max(1, keepdims=True))
     weight /= weight.sum(1, keepdims=True)
-    pooled = (weight[:, :, None] * both).sum(1)
+    pooled = np.matmul(weight[:, None, :], both)[:, 0]
     logit = pooled @ net["ow"] + net["ob"][0]
     return (logit, (sides, both, u, weight, pooled)) if keep else logit
 
@@ -248,7 +251,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, words:
             own_chars, lengths = gather(chars, start, used)
             bounds = np.append(0, np.cumsum(lengths))
             vectors = inputs(net, own_words[used], own_chars, bounds)
-            logit, kept = forward(net, vectors, place, filled, keep=True)
+            logit, kept = forward(net, project(net, vectors), place, filled, keep=True)
             # a document's windows share its error: by softmax first, then the highest alone
             first = np.append(0, np.cumsum(sizes)[:-1])
             top = np.repeat(np.maximum.reduceat(logit, first), sizes)

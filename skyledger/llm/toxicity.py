@@ -29,7 +29,7 @@ STRIDE = 12
 FIT_ROWS = 3000       # labelled documents in the fit sample: up to a third toxic, the rest not
 FIT_WINDOWS = 32      # windows of a document in the fit sample, spread over its whole text
 FIT_WORD_CHARS = 64   # longer words are left out of the fit sample
-CHUNK = 4096          # windows scored together
+CHUNK = 2048          # windows scored together
 TEXT_BYTES = 2 * 1024 ** 2
 FOLDS = 5
 PRIOR = (1.0, 10.0)   # toxic and all documents added to the class counts
@@ -136,7 +136,8 @@ def score_texts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray,
     if model.net is None or not places:
         return score, n_windows, top
     words = list(places)
-    vectors = G.inputs(model.net, G.word_rows(model.known, words), *G.char_buckets(words))
+    projected = G.project(model.net, G.inputs(model.net, G.word_rows(model.known, words),
+                                              *G.char_buckets(words)))
     ids = np.concatenate(found)
     best = np.full(len(texts), -np.inf)
     sizes, done = [len(f) for f in found], 0
@@ -147,7 +148,7 @@ def score_texts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray,
             index, filled, text, first = _windows_of([sizes[j] for j in run])
             for at in range(0, len(text), CHUNK):
                 part = slice(at, at + CHUNK)
-                logit = G.forward(model.net, vectors, ids[done:][index[part]], filled[part])
+                logit = G.forward(model.net, projected, ids[done:][index[part]], filled[part])
                 own = np.asarray(run)[text[part]]
                 begin = np.flatnonzero(np.diff(own, prepend=-1))
                 high = np.maximum.reduceat(logit, begin)

@@ -105,9 +105,9 @@ def test_gradients():
     out = rng.normal(0, 1, 5)
 
     def loss():
-        return float((G.forward(net, vectors, index, filled) * out).sum())
+        return float((G.forward(net, G.project(net, vectors), index, filled) * out).sum())
 
-    _, kept = G.forward(net, vectors, index, filled, keep=True)
+    _, kept = G.forward(net, G.project(net, vectors), index, filled, keep=True)
     grad, d_vectors = G.backward(net, vectors, index, kept, out.astype(np.float32))
     grad["vectors"] = d_vectors
     for name, g in grad.items():

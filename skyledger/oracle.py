@@ -498,4 +498,6 @@ def history_queries(cutoff: str) -> dict[str, str]:
              COUNT(*) AS objects, {_cif('is_debris')} AS debris, {_cif('is_active')} AS active
       FROM objects WHERE apogee_km IS NOT NULL AND inclination IS NOT NULL
       GROUP BY 1, 2"""
+    from . import oracle_series
+    q.update(oracle_series.queries(_with, DECAY, q["altitude_trend"]))
     return q

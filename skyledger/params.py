@@ -6,3 +6,5 @@ POSITION_T0 = "1998-08-03T00:00:00"   # first instant of the position grid (UTC)
 POSITION_STEPS = 4
 POSITION_STEP_SECONDS = 30
 GLOBE_DIGITS = 3   # of degrees and km: what a globe display resolves
+CENSUS_DATES = [f"{year}-{month}-01" for year in range(1995, 2002) for month in ("01", "07")]
+STORM_MAX_LAG_HOURS = 72

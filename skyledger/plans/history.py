@@ -167,6 +167,38 @@ def census_change(past_census: DataFrame, present_census: DataFrame) -> DataFram
     return j.withColumn("delta", F.col("present_count") - F.col("past_count"))
 
 
+CENSUS_KEYS = ["object_type", "orbital_regime", "country"]
+
+
+def census_at(versions: DataFrame, dates: list[str]) -> DataFrame:
+    """Objects per (type, regime, country) at each of ``dates``, from validity intervals
+    (``valid_from`` included, ``valid_to`` not; null: still valid), in one pass.
+
+    An interval adds one at the first date that it covers and takes one away at the
+    first date past it.  These steps are summed by group and date with map-side combine,
+    so only sums of a group and date meet; a window of at most one row a date then
+    runs along each group.  Groups without objects at a date have no row.
+    """
+    days = sorted(set(dates))
+    at = F.array(*[F.lit(d).cast("timestamp_ntz") for d in days])
+    def first_date(t: str) -> Column:   # index of the first date not before ``t``
+        return F.size(F.filter(at, lambda d: d < F.col(t).cast("timestamp_ntz")))
+    steps = versions.select(*CENSUS_KEYS, F.explode(F.array(
+        F.struct(first_date("valid_from").alias("i"), F.lit(1).alias("step")),
+        F.struct(F.when(F.col("valid_to").isNull(), F.lit(len(days))).otherwise(first_date("valid_to"))
+                 .alias("i"), F.lit(-1).alias("step")))).alias("e")) \
+        .where(F.col("e.i") < len(days)) \
+        .groupBy(*CENSUS_KEYS, F.col("e.i").alias("_i")).agg(F.sum("e.step").alias("_step"))
+    along = Window.partitionBy(*CENSUS_KEYS).orderBy("_i")
+    total = F.sum("_step").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    until = F.coalesce(F.lead("_i").over(along), F.lit(len(days)))
+    levels = steps.select(*CENSUS_KEYS, "_i", total.alias("object_count"), until.alias("_until")) \
+        .where("object_count > 0")
+    return levels.withColumn("_i", F.explode(F.sequence("_i", F.col("_until") - 1))).select(
+        *CENSUS_KEYS, F.get(F.array(*[F.lit(d).cast("date") for d in days]), F.col("_i")).alias("census_date"),
+        "object_count")
+
+
 # X9 -------------------------------------------------------------------------
 def growth_by_launch_year(objects: DataFrame) -> DataFrame:
     """Objects launched per year and the running total (years with a launch date)."""

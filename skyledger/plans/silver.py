@@ -56,6 +56,11 @@ def newest_first(columns: list[str], *first: Column) -> list[Column]:
     return list(first) + [_lineage_value(c).desc() for c in LINEAGE_ORDER if c in columns]
 
 
+def recency(columns: list[str]) -> Column:
+    """The lineage columns among ``columns`` as one value to take the greatest of."""
+    return F.struct(*[_lineage_value(c).alias(c) for c in LINEAGE_ORDER if c in columns])
+
+
 def _newest_first(raw: DataFrame, *first: Column) -> list[Column]:
     return newest_first(raw.columns, *first)
 

@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .params import (GLOBE_DIGITS, POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0, SNAPSHOT_CUTOFF,
-                     SNAPSHOT_DATE)
+from .params import (CENSUS_DATES, GLOBE_DIGITS, POSITION_STEP_SECONDS, POSITION_STEPS, POSITION_T0,
+                     SNAPSHOT_CUTOFF, SNAPSHOT_DATE, STORM_MAX_LAG_HOURS)
 from .functions import classify
 from .operators.quality import OBJECT_EXPECTATIONS, violation_counts
 from .plans import gold, history, panels, silver
@@ -350,21 +350,23 @@ _on_objects("altitude_inclination_heatmap", history.altitude_inclination_heatmap
 
 @register("latest_satcat_stream")
 def _latest_satcat_stream(spark, sf_dir):
-    """Newest catalogue row per id maintained incrementally from the landed
-    SATCAT envelopes (foreachBatch, several micro-batches)."""
+    """Newest catalogue row per id kept current by a stateful stream over the landed
+    SATCAT envelopes: two runs on one checkpoint, several micro-batches each."""
     from .session import scratch_path
     from .sources.adapters import SATCAT_FIELDS, land_feed
-    from .streaming.bronze import envelope_stream
-    from .streaming.refresh import read_latest, refresh_latest
+    from .streaming.bronze import LINEAGE, envelope_stream
+    from .streaming.latest import keep_latest, read_latest
     satcat_raw, _ = load_feeds(spark, sf_dir)
     root = scratch_path(spark, "latest-stream")
-    land_feed(satcat_raw, f"{root}/landing", "satcat", SATCAT_FIELDS)
-    stream = envelope_stream(spark, f"{root}/landing", SATCAT_FIELDS,
-                             max_files_per_trigger=16).where("_status = 'ok'")
-    from .streaming.bronze import LINEAGE
-    refresh_latest(stream, f"{root}/latest", f"{root}/checkpoint", ["norad_cat_id"],
-                   silver.newest_first(LINEAGE), prepare=silver.clean_satcat, buckets=16)
-    return read_latest(spark, f"{root}/latest").select(*silver.SATCAT_COLUMNS)
+    late = F.col("_ingestion_ts") >= F.lit(SNAPSHOT_CUTOFF).cast(
+        satcat_raw.schema["_ingestion_ts"].dataType)
+    for rows in (satcat_raw.where(~late), satcat_raw.where(late)):
+        land_feed(rows, f"{root}/landing", "satcat", SATCAT_FIELDS)
+        stream = silver.clean_satcat(envelope_stream(
+            spark, f"{root}/landing", SATCAT_FIELDS, max_files_per_trigger=24).where("_status = 'ok'"))
+        keep_latest(stream, f"{root}/latest", f"{root}/checkpoint", ["norad_cat_id"],
+                    silver.recency(LINEAGE))
+    return read_latest(spark, f"{root}/latest", ["norad_cat_id"]).select(*silver.SATCAT_COLUMNS)
 
 
 @register("object_versions")
@@ -372,3 +374,163 @@ def _object_versions(spark, sf_dir):
     """SCD2 validity intervals of catalogue attributes over monthly collections."""
     satcat_raw, _ = load_feeds(spark, sf_dir)
     return history.object_versions(satcat_raw, F.date_trunc("month", F.col("_ingestion_ts")))
+
+
+@register("census_at_dates")
+def _census_at_dates(spark, sf_dir):
+    """Census of the catalogue at many dates in one pass over its validity intervals."""
+    satcat_raw, _ = load_feeds(spark, sf_dir)
+    versions = history.object_versions(
+        satcat_raw, F.date_trunc("month", F.col("_ingestion_ts")),
+        ["object_type", "country", "apogee_km", "perigee_km"])
+    return history.census_at(versions.withColumn("orbital_regime", classify.orbital_regime()),
+                             CENSUS_DATES)
+
+
+@register("altitude_trend_history")
+def _altitude_trend_history(spark, sf_dir):
+    """The trend from the stored history: a backfill, the same rows again, then the
+    rows after the cut-off."""
+    from .plans.elements import history_trend, load_history
+    from .session import scratch_path
+    _, gp_raw = load_feeds(spark, sf_dir)
+    base = scratch_path(spark, "history")
+    cut = F.lit(SNAPSHOT_CUTOFF).cast(gp_raw.schema["_ingestion_ts"].dataType)
+    load_history(spark, base, gp_raw.where(F.col("_ingestion_ts") < cut))
+    load_history(spark, base, gp_raw.where(
+        F.col("_ingestion_ts").between(cut - F.expr("INTERVAL 40 DAYS"), cut)))
+    load_history(spark, base, gp_raw.where(F.col("_ingestion_ts") >= cut))
+    return history_trend(spark, base)
+
+
+@register("elements_as_of")
+def _elements_as_of(spark, sf_dir):
+    """Every object's state in every collection with the elements in force then."""
+    from .plans.elements import elements_as_of_collections
+    satcat_raw, gp_raw = load_feeds(spark, sf_dir)
+    return elements_as_of_collections(satcat_raw, gp_raw,
+                                      F.date_trunc("month", F.col("_ingestion_ts")))
+
+
+@register("decay_ranks")
+def _decay_ranks(spark, sf_dir):
+    """Display rank of every row of the decay tracker."""
+    from .operators.ranking import rank_table
+    decay = gold.decay_tracker(objects_from_testdata(spark, sf_dir)).select(
+        "norad_cat_id", "object_name", "perigee_km", "decay_risk")
+    order = [F.col("perigee_km").asc_nulls_last(), F.col("norad_cat_id").asc_nulls_last()]
+    return rank_table(decay, order).ranked()
+
+
+@register("decay_deep_page")
+def _decay_deep_page(spark, sf_dir):
+    """The last full page of the ranked decay tracker."""
+    from .operators.ranking import rank_table
+    decay = gold.decay_tracker(objects_from_testdata(spark, sf_dir)).select(
+        "norad_cat_id", "object_name", "perigee_km", "decay_risk")
+    order = [F.col("perigee_km").asc_nulls_last(), F.col("norad_cat_id").asc_nulls_last()]
+    ranked = rank_table(decay, order)
+    return ranked.page(max(ranked.rows // 20 - 1, 0))
+
+
+@register("owner_enrichment")
+def _owner_enrichment(spark, sf_dir):
+    """Objects and their owners, joined from two bucketed tables without a shuffle."""
+    from .plans.owners import OWNER_COLUMNS, clean_owners, enrich_owners, store_bucketed
+    from .session import scratch_path
+    from .sources.adapters import load_owners
+    root = scratch_path(spark, "bucketed")
+    tag = root.rsplit("-", 1)[1]
+    objects = store_bucketed(objects_from_testdata(spark, sf_dir).where("norad_cat_id IS NOT NULL"),
+                             f"objects_{tag}", f"{root}/objects")
+    owners = store_bucketed(clean_owners(load_owners(spark, sf_dir)), f"owners_{tag}",
+                            f"{root}/owners")
+    return enrich_owners(objects, owners).select(
+        "norad_cat_id", "object_name", "object_category", "country", *OWNER_COLUMNS)
+
+
+# Space weather -------------------------------------------------------------------
+
+
+@register("clean_readings")
+def _clean_readings(spark, sf_dir):
+    from .plans.weather import clean_readings
+    from .sources.adapters import load_readings
+    return clean_readings(load_readings(spark, sf_dir))
+
+
+@register("clean_readings_stream")
+def _clean_readings_stream(spark, sf_dir):
+    """The same by a stream with a watermark, over readings that land week by week."""
+    from .session import scratch_path
+    from .sources.adapters import load_readings
+    from .streaming.readings import clean_to_parquet, readings_stream
+    raw = load_readings(spark, sf_dir)
+    root = scratch_path(spark, "readings")
+    days = F.datediff("received", F.lit("2024-01-01").cast("date"))
+    for week in range(5):   # the test tables cover 30 days
+        part = (days >= 7 * week) if week == 4 else days.between(7 * week, 7 * week + 6)
+        raw.where(part).drop("received").write.mode("append").json(f"{root}/landing")
+        clean_to_parquet(readings_stream(spark, f"{root}/landing", 4), f"{root}/clean",
+                         f"{root}/checkpoint", "8 days")
+    return spark.read.parquet(f"{root}/clean").select("series", "time_tag", "value")
+
+
+@register("solar_weather")
+def _solar_weather(spark, sf_dir):
+    """Three signals merged hour by hour, the last values carried forward."""
+    from .plans.weather import clean_readings, hourly_merge
+    from .sources.adapters import load_readings
+    return hourly_merge(clean_readings(load_readings(spark, sf_dir)))
+
+
+@register("storm_impact")
+def _storm_impact(spark, sf_dir):
+    """Correlation of Kp with drag up to three days later, all lags at once."""
+    from .plans.weather import clean_readings, storm_impact
+    from .sources.adapters import load_readings
+    return storm_impact(clean_readings(load_readings(spark, sf_dir)), STORM_MAX_LAG_HOURS)
+
+
+# Typed ingest --------------------------------------------------------------------
+
+
+def _typed_landing(spark, sf_dir):
+    """Orders landed as envelopes whose fields have types of their own: whole, with
+    fractions, mixed, nested, absent in some records."""
+    from .session import scratch_path
+    from .sources.adapters import read_table
+    from .sources.envelopes import write_envelopes
+    orders = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    rows = orders.select(
+        k.alias("id"), F.col("o_totalprice").alias("price"),
+        F.when(k % 3 == 0, F.expr("parse_json(CAST(o_custkey AS STRING))"))
+         .otherwise(F.expr("parse_json('\"c' || o_custkey || '\"')")).alias("mixed"),
+        F.struct((k % 5 == 0).alias("urgent"),
+                 F.array(F.lit("o"), F.col("o_orderstatus")).alias("tags")).alias("nested"),
+        F.col("o_orderpriority").alias("priority"), "o_orderdate", k.alias("_k"))
+    path = f"{scratch_path(spark, 'typed')}/landing"
+    write_envelopes(rows, path, "orders", ["id", "price", "mixed", "nested", "priority"],
+                    collected_at=F.date_trunc("year", F.col("o_orderdate")), seq=F.col("_k"))
+    return path
+
+
+@register("bronze_types")
+def _bronze_types(spark, sf_dir):
+    """Names and types of the landed fields."""
+    from .sources.typed import infer_record_schema
+    schema = infer_record_schema(spark, _typed_landing(spark, sf_dir))
+    rows = [(f.name, f.dataType.simpleString()) for f in schema.fields]  # one row a field
+    return spark.createDataFrame(rows, "field string, type string")
+
+
+@register("bronze_typed")
+def _bronze_typed(spark, sf_dir):
+    """Landed records as columns of the inferred types; mixed and nested fields as JSON."""
+    from .sources.typed import infer_record_schema, landed_records, typed_records
+    path = _typed_landing(spark, sf_dir)
+    rows = typed_records(landed_records(spark, path), infer_record_schema(spark, path))
+    return rows.select("id", "price", "priority", F.to_json("mixed").alias("mixed"),
+                       F.col("nested.urgent").alias("urgent"),
+                       F.array_join("nested.tags", "+").alias("tags"))

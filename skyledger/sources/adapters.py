@@ -129,6 +129,38 @@ TLE_LINES_SQL = _tle_lines_sql("")
 TLE_LINES_DUCKDB = _tle_lines_sql(", 'g'").replace("{orders}", "orders")
 
 
+# Readings of four signals from ``events``, as text.  Kp comes every third
+# hour and stops two days early, the wind starts late, the X-ray signal has a gap of
+# two days, some readings are unreadable, missing or sent twice.
+READINGS_SQL = r"""
+SELECT series, CASE WHEN reading_id % 113 = 0 THEN 'unknown' ELSE CAST(ts AS STRING) END AS time_tag,
+  CASE WHEN reading_id % 97 = 0 THEN 'n/a' WHEN reading_id % 89 = 0 THEN NULL
+       ELSE CAST(value AS STRING) END AS value,
+  reading_id, ts AS received
+FROM (
+  SELECT CASE event_type WHEN 'view' THEN 'wind' WHEN 'click' THEN 'kp'
+           WHEN 'error' THEN 'xray' ELSE 'drag' END AS series, ts, value, reading_id
+  FROM (SELECT event_type, ts, value, event_id * 2 AS reading_id FROM {events}
+        UNION ALL
+        SELECT event_type, ts, value, event_id * 2 + 1 FROM {events} WHERE event_id % 25 = 0) e
+  WHERE event_type <> 'signup') r
+WHERE CASE series
+    WHEN 'wind' THEN ts >= TIMESTAMP '2024-01-02 06:00:00'
+    WHEN 'kp' THEN hour(ts) % 3 = 0 AND ts < TIMESTAMP '2024-01-28 12:00:00'
+    WHEN 'xray' THEN ts < TIMESTAMP '2024-01-10 00:00:00' OR ts >= TIMESTAMP '2024-01-12 00:00:00'
+    ELSE true END
+"""
+
+# Owners of catalogued objects from ``customer`` and ``nation``.
+OWNERS_SQL = r"""
+SELECT CAST(c_custkey % 11000 AS STRING) AS NORAD_CAT_ID, c_name AS operator,
+       n_name AS operator_country, c_mktsegment AS purpose,
+       CAST(c_acctbal AS STRING) AS launch_mass_kg, c_custkey AS _seq
+FROM {customer} c LEFT JOIN {nation} n ON n.n_nationkey = c.c_nationkey
+WHERE c_custkey % 7 <> 0
+"""
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -149,6 +181,17 @@ def load_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return satcat_like(orders), gp_like(orders)
 
 
+def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw readings of the weather and drag signals for a test-data directory."""
+    return spark.sql(READINGS_SQL, events=read_table(spark, sf_dir, "events"))
+
+
+def load_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw owner rows for a test-data directory; an object may have several."""
+    return spark.sql(OWNERS_SQL, customer=read_table(spark, sf_dir, "customer"),
+                     nation=read_table(spark, sf_dir, "nation"))
+
+
 SATCAT_FIELDS = ["NORAD_CAT_ID", "SATNAME", "OBJECT_ID", "OBJECT_TYPE", "COUNTRY", "LAUNCH",
                  "DECAY", "PERIOD", "APOGEE", "PERIGEE", "RCS_SIZE", "CURRENT_FLAG"]
 GP_FIELDS = ["NORAD_CAT_ID", "EPOCH", "MEAN_MOTION", "ECCENTRICITY", "INCLINATION",

@@ -44,24 +44,25 @@ def write_envelopes(records: DataFrame, path: str, dataset: str, fields: Sequenc
     One file per (collection time, ``seq // max_records``): a file never holds
     more than ``max_records`` records, whatever the data volume, because
     ``seq`` is unique.  Inside a file, records follow ``order`` then ``seq``.
-    Null fields are written as JSON null so every field survives inference.
+    Null fields are written as JSON null so every field survives inference.  A record is
+    text before it is sorted, so fields of any type can land, VARIANT too.
     """
     keyed = records.select(
         F.date_format(collected_at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_collected_at"),
         F.floor(seq / F.lit(max_records)).alias("_chunk"),
         F.struct(*[o for o in order], seq.alias("_seq")).alias("_k"),
-        F.struct(*[F.col(c) for c in fields]).alias("_r"))
+        F.to_json(F.struct(*[F.col(c) for c in fields]), {"ignoreNullFields": "false"}).alias("_r"))
     docs = (keyed.groupBy("_collected_at", "_chunk")
             .agg(F.array_sort(F.collect_list(F.struct("_k", "_r"))).alias("_items"))
             .select(
                 F.col("_collected_at").alias("collection"),
-                F.to_json(F.struct(
-                    F.lit(source).alias("source"),
-                    F.lit(dataset).alias("dataset"),
-                    F.col("_collected_at").alias("collected_at"),
-                    F.size("_items").cast("long").alias("record_count"),
-                    F.transform("_items", lambda x: x["_r"]).alias("data")),
-                    {"ignoreNullFields": "false"}).alias("value"),
+                F.concat(
+                    F.regexp_replace(F.to_json(F.struct(
+                        F.lit(source).alias("source"), F.lit(dataset).alias("dataset"),
+                        F.col("_collected_at").alias("collected_at"),
+                        F.size("_items").cast("long").alias("record_count"))), r"\}$", ""),
+                    F.lit(',"data":['), F.array_join(F.transform("_items", lambda x: x["_r"]), ","),
+                    F.lit("]}")).alias("value"),
                 "_chunk"))
     # One envelope document per file (``maxRecordsPerFile`` = 1 row = 1 doc).
     (docs.drop("_chunk").write.mode("append").option("maxRecordsPerFile", 1)

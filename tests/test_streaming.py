@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 import time
 
 import pytest
@@ -71,43 +70,76 @@ def test_objects_from_bronze_equal_direct_objects(spark):
     assert direct.select(cols).exceptAll(from_bronze.select(cols)).count() == 0
 
 
-def test_foreach_batch_refresh_keeps_newest(spark, scratch):
+def test_stateful_stream_keeps_newest_over_batches_and_restarts(spark, scratch):
     from skyledger.streaming.bronze import envelope_stream
-    from skyledger.streaming.refresh import read_latest, refresh_latest
+    from skyledger.streaming.latest import keep_latest, newest_rows, read_latest
     landing, target, ckpt = f"{scratch}/landing", f"{scratch}/latest", f"{scratch}/ckpt"
-    rec = ["NORAD_CAT_ID", "SATNAME"]
-    order = [F.desc("_collected_at"), F.desc("_source_file"), F.desc("_record_index")]
+    order = F.struct("_collected_at", "_source_file", "_record_index")
 
     def run():
-        stream = envelope_stream(spark, landing, rec, max_files_per_trigger=1) \
-            .drop("_rescued", "_status")
-        refresh_latest(stream, target, ckpt, ["NORAD_CAT_ID"], order,
-                       prepare=lambda b: b.drop("_ingestion_ts"))
+        stream = envelope_stream(spark, landing, ["NORAD_CAT_ID", "SATNAME"],
+                                 max_files_per_trigger=1).where("_status = 'ok'") \
+            .drop("_rescued", "_status", "_ingestion_ts")
+        return keep_latest(stream, target, ckpt, ["NORAD_CAT_ID"], order)
+
+    def held():
+        return {(r.NORAD_CAT_ID, r.SATNAME)
+                for r in read_latest(spark, target, ["NORAD_CAT_ID"]).collect()}
 
     _envelope(f"{landing}/a/1.json", "2024-01-01T00:00:00Z",
               [{"NORAD_CAT_ID": "1", "SATNAME": "A"}, {"NORAD_CAT_ID": "2", "SATNAME": "B"}])
     _envelope(f"{landing}/a/2.json", "2024-01-02T00:00:00Z",
               [{"NORAD_CAT_ID": "1", "SATNAME": "A2"}, {"NORAD_CAT_ID": "1", "SATNAME": "A3"}])
     run()   # two files, one per micro-batch
-    got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
-    assert got == {("1", "A3"), ("2", "B")}
+    assert held() == {("1", "A3"), ("2", "B")}
     _envelope(f"{landing}/a/3.json", "2023-12-31T00:00:00Z",   # late, older collection
               [{"NORAD_CAT_ID": "2", "SATNAME": "OLD"}, {"NORAD_CAT_ID": "3", "SATNAME": "C"}])
-    run()
+    run()   # a new query on the same checkpoint goes on from the stored state
     want = {("1", "A3"), ("2", "B"), ("3", "C")}
-    got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
-    assert got == want
-    # data of a batch that never committed is not read, and drops out
-    from skyledger.streaming.refresh import committed, drop_superseded
-    versions = committed(spark, target)
-    bucket, version = next(iter(versions.items()))
-    shutil.copytree(f"{target}/data/bucket={bucket}/v={version}",
-                    f"{target}/data/bucket={bucket}/v={version + 7}")
-    got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
-    assert got == want
-    assert drop_superseded(spark, target) > 0
-    got = {(r.NORAD_CAT_ID, r.SATNAME) for r in read_latest(spark, target).collect()}
-    assert got == want
+    assert held() == want
+    run()   # nothing new
+    assert held() == want
+    # a micro-batch that is written again after a failure changes nothing
+    last = max(d for d in os.listdir(target) if d.startswith("batch="))
+    rows = spark.read.parquet(f"{target}/{last}").collect()
+    spark.createDataFrame(rows, spark.read.parquet(f"{target}/{last}").schema) \
+        .write.mode("overwrite").parquet(f"{target}/{last}")
+    assert held() == want
+    # the same aggregate on a batch table
+    batch = spark.createDataFrame([("x", 1, "old"), ("x", 2, "new"), (None, 1, "n")],
+                                  "k string, t int, v string")
+    assert {(r.k, r.v) for r in newest_rows(batch, ["k"], F.col("t")).collect()} == \
+        {("x", "new"), (None, "n")}
+
+
+def test_late_readings_are_dropped_and_counted(spark, scratch):
+    from skyledger.streaming.readings import clean_to_parquet, readings_stream
+    landing, target, ckpt = f"{scratch}/landing", f"{scratch}/clean", f"{scratch}/ckpt"
+
+    def land(name, rows):
+        os.makedirs(landing, exist_ok=True)
+        with open(f"{landing}/{name}.json", "w") as f:
+            for i, (series, at, value) in enumerate(rows):
+                f.write(json.dumps({"series": series, "time_tag": at, "value": value,
+                                    "reading_id": i}) + "\n")
+
+    def run():
+        return clean_to_parquet(readings_stream(spark, landing, 1), target, ckpt, "2 hours")
+
+    land("a", [("kp", "2024-05-10 00:10:00", "3.5"), ("kp", "2024-05-10 00:10:00", "3.5"),
+               ("kp", "2024-05-10 09:00:00", "bad"), ("kp", "unknown", "1"), ("kp", None, "1"),
+               ("wind", "2024-05-10 00:10:00", "400"), ("wind", "2024-05-10 10:00:00", "NaN")])
+    assert run().late == 0
+    land("b", [("kp", "2024-05-10 12:00:00", "6"), ("kp", "2024-05-10 00:20:00", "4")])
+    assert run().late == 0   # not late yet: the newest time seen was 00:10
+    land("c", [("kp", "2024-05-10 09:59:00", "9"),       # over two hours behind 12:00
+               ("kp", "2024-05-10 10:30:00", "8"),       # within
+               ("kp", "2024-05-10 12:00:00", "6")])      # sent again
+    assert run().late == 1
+    got = sorted((r.series, str(r.time_tag)[11:16], r.value)
+                 for r in spark.read.parquet(target).collect())
+    assert got == [("kp", "00:10", 3.5), ("kp", "00:20", 4.0), ("kp", "10:30", 8.0),
+                   ("kp", "12:00", 6.0), ("wind", "00:10", 400.0)]
 
 
 def test_latest_stream_equals_batch_dedup(spark):

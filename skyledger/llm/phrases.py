@@ -13,12 +13,13 @@ path.  Every edge of a path has the path's weight, and every node inside it occu
 exactly as often, so the three-word phrases that longer ones contain are read off
 the paths.
 
-Before edges are counted, word pairs that can't be frequent are found with a table of
-``BUCKETS`` counters (pairs hashed into buckets): a bucket below ``min_count`` holds
-no frequent pair, and a piece is cut there, since no phrase across it can reach
-``min_count``.  The cut is one more piece end to correct for, so the counts of all
-frequent phrases stay exact; pairs that share a bucket only cost work.  The table's
-size is fixed whatever the corpus.
+Before edges are counted, the word pairs and then the triples that can't be frequent are
+found by counting them in ``2 ** BUCKET_BITS`` hashed buckets: a bucket below ``min_count``
+holds no frequent one, and no phrase across such a pair or triple can reach
+``min_count``.  The records of the positions before it end there, which is one more end
+to correct for, so the counts of all frequent phrases stay exact; pairs that share a
+bucket only cost work.  The tables' size is fixed whatever the corpus (32 MB each); a
+corpus with very many more rare pairs than buckets is counted without their help.
 """
 
 from __future__ import annotations
@@ -41,10 +42,11 @@ MIN_COUNT = 30
 CONTAINED_PERCENT = 80
 TOP = 2000
 SCORE_SCALE = 2_000_000
-BUCKET_BITS = 24      # counters of word pairs: 64 MB a worker, 2 MB broadcast
+BUCKET_BITS = 28      # of the buckets of pairs and of triples: 32 MB broadcast each
+HELD = 4_000_000      # bucket counts that a task holds before it passes them on
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _MARK = bytes.maketrans(PIECE_ENDS + b"\t", b"." * len(PIECE_ENDS) + b" ")
-_PAIR = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))   # odd mixing constants
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))   # odd mixing constants
 
 
 def _blobs(batch: pa.RecordBatch, limit: int = 4 * 1024 ** 2) -> Iterator[tuple[str, bytes]]:
@@ -75,70 +77,106 @@ def _word_ids(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     return np.append(ids, 0), list(places)
 
 
-def _pair_buckets(lang: str, ids: np.ndarray, words: list[bytes], bits: int) -> np.ndarray:
-    """Bucket of each word and its follower."""
+def _buckets(lang: str, ids: np.ndarray, words: list[bytes], most: int, bits: int) \
+        -> list[np.ndarray]:
+    """Buckets of the phrases of 2 to ``most`` words that start at each position."""
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-    start = np.uint64(xxhash.xxh64_intdigest(lang.encode(), 1))
-    mixed = (hashes[ids[:-1]] ^ start) * _PAIR[0] + hashes[ids[1:]]
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * _PAIR[1]
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+    h = hashes[ids] ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 1))
+    out = []
+    for k in range(2, most + 1):
+        h = (h[:-1] ^ (h[:-1] >> np.uint64(29))) * _MIX[0] + hashes[ids[k - 1:]]
+        last = (h ^ (h >> np.uint64(32))) * _MIX[1]
+        out.append((last >> np.uint64(64 - bits)).astype(np.int64))
+    return out
+
+
+def _reach(lang: str, ids: np.ndarray, words: list[bytes], maps: list[np.ndarray], most: int,
+           bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For 1 to ``most`` words, whether a phrase of that length may start at each
+    position: its words lie in one piece, and all shorter phrases that ``maps`` know
+    are frequent.  And the buckets."""
+    buckets = _buckets(lang, ids, words, min(most, len(maps) + 2), bits)
+    reach = [ids > 0]
+    for k in range(2, most + 1):
+        longer = np.zeros(len(ids), bool)
+        longer[:-1] = reach[-1][:-1] & reach[-1][1:]
+        if k - 2 < len(maps):
+            b = buckets[k - 2]
+            longer[:len(b)] &= (maps[k - 2][b >> 3] >> (b & 7).astype(np.uint8)) & 1 == 1
+        reach.append(longer)
+    return reach, buckets
+
+
+def _bucket_counter(maps_ref, bits: int):
+    """Batch function: counts of the buckets of the phrases one word longer than
+    those that the maps know."""
 
-
-def _pair_counter(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int32)
+        maps = [np.frombuffer(m, np.uint8) for m in maps_ref.value]
+        size = len(maps) + 2
+        found, counts, held = [], [], 0
         for batch in slices(batches, "text"):
             for lang, blob in _blobs(batch):
                 ids, words = _word_ids(blob)
-                both = (ids[:-1] > 0) & (ids[1:] > 0)
-                at, n = np.unique(_pair_buckets(lang, ids, words, bits)[both], return_counts=True)
-                counts[at] += n.astype(np.int32)
-        filled = np.flatnonzero(counts)
-        for i in range(0, len(filled), 1 << 18):
-            part = filled[i:i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], names=["bucket", "n"])
+                reach, buckets = _reach(lang, ids, words, maps, size, bits)
+                at, n = np.unique(buckets[-1][reach[-1][:len(buckets[-1])]], return_counts=True)
+                found.append(at)
+                counts.append(n)
+                held += len(at)
+            if held > HELD:
+                yield from _bucket_rows(found, counts)
+                found, counts, held = [], [], 0
+        if held:
+            yield from _bucket_rows(found, counts)
     return run
 
 
-def frequent_buckets(docs: DataFrame, min_count: int, bits: int = BUCKET_BITS) -> bytes:
-    """Bitmap of the buckets of word pairs that reach ``min_count`` (2^bits / 8 bytes)."""
-    found = (map_arrow(docs, _pair_counter(bits), "bucket bigint, n bigint")
+def _bucket_rows(found: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    every, n = np.concatenate(found), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, n = every[order], n[order]
+    first = np.flatnonzero(np.diff(every, prepend=-1))
+    every, n = every[first], np.add.reduceat(n, first)
+    for i in range(0, len(every), 1 << 18):
+        part = slice(i, i + (1 << 18))
+        yield pa.RecordBatch.from_arrays([pa.array(every[part], pa.int64()),
+                                          pa.array(n[part], pa.int64())], names=["bucket", "n"])
+
+
+def frequent_buckets(docs: DataFrame, min_count: int, shorter: list[bytes],
+                     bits: int = BUCKET_BITS) -> bytes:
+    """Bitmap of the buckets that reach ``min_count`` (2^bits / 8 bytes): of word pairs, or
+    of the phrases one word longer than those of the last of the ``shorter`` bitmaps."""
+    ref = docs.sparkSession.sparkContext.broadcast(shorter)
+    found = (map_arrow(docs, _bucket_counter(ref, bits), "bucket bigint, n bigint")
              .groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
     parts = (found.groupBy(F.bitmap_bucket_number("bucket").alias("block"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bucket")).alias("bits")).collect())
     whole = np.zeros((1 << bits) // 8 or 1, np.uint8)
-    for row in parts:   # at most 2^bits / 32768 + 1 rows; block numbers start at 1 (0 for bucket 0)
+    for row in parts:   # at most 2^bits / 32768 + 1 rows; bucket 0 has block 0, others start at 1
         bits_of = np.unpackbits(np.frombuffer(bytes(row.bits), np.uint8), bitorder="little")
         buckets = np.flatnonzero(bits_of) + max(row.block - 1, 0) * len(bits_of) + (row.block > 0)
         np.bitwise_or.at(whole, buckets >> 3, (1 << (buckets & 7)).astype(np.uint8))
     return whole.tobytes()
 
 
-def _gram_records(bitmap_ref, bits: int):
+def _gram_records(maps_ref, bits: int):
     """Batch function: the longest phrase that starts at each word, counted a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(bitmap_ref.value, np.uint8)
+        maps = [np.frombuffer(m, np.uint8) for m in maps_ref.value]
         for batch in slices(batches, "text"):
             for lang, blob in _blobs(batch):
                 ids, words = _word_ids(blob)
-                bucket = _pair_buckets(lang, ids, words, bits)
-                frequent = (bitmap[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
-                link = np.append(frequent & (ids[:-1] > 0) & (ids[1:] > 0), False)
-                yield from _counted(lang, ids, words, link)
+                reach, _ = _reach(lang, ids, words, maps, LONGEST, bits)
+                yield from _counted(lang, ids, words, reach)
     return run
 
 
-def _counted(lang: str, ids: np.ndarray, words: list[bytes], link: np.ndarray) \
+def _counted(lang: str, ids: np.ndarray, words: list[bytes], chain: list[np.ndarray]) \
         -> Iterator[pa.RecordBatch]:
     shown = pa.array([w.decode() for w in words], pa.string())
     size = len(words)
-    chain = [np.ones(len(ids), bool)]
-    for j in range(1, LONGEST):   # whether the phrase reaches its j-th follower
-        ahead = np.zeros(len(ids), bool)
-        ahead[:len(ids) - j + 1] = link[j - 1:]
-        chain.append(chain[-1] & ahead)
     alone = (ids > 0) & ~chain[1]
     n = np.bincount(ids[alone], minlength=size)
     once = np.flatnonzero(n)
@@ -176,9 +214,12 @@ def phrase_counts(df: DataFrame, text: str = "text", lang: str = "lang",
     ``f >= min_count``, and the number of words ``n`` of each language."""
     docs = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                      text_or_empty(text).alias("text"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(frequent_buckets(docs, min_count, bits))
+    maps: list[bytes] = []
+    for _ in range(2, LONGEST):
+        maps.append(frequent_buckets(docs, min_count, maps, bits))
+    ref = docs.sparkSession.sparkContext.broadcast(maps)
     records = store(
-        map_arrow(docs, _gram_records(bitmap, bits),
+        map_arrow(docs, _gram_records(ref, bits),
                   "lang string, phrase string, words tinyint, n bigint")
         .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")), "phrase-records")
     level = records.where(F.col("words") == LONGEST)

@@ -1,11 +1,13 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Every source has a target in words.  A document's expected number of copies is
-the target over the source's words: its whole part is allocated with certainty,
-the rest is the document's inclusion probability.  Documents are ranked by their
-random odds over their inclusion odds (Pareto order sampling), and the smallest
-ranks are taken until the words still missing are filled: a sample of fixed size
-with unequal probabilities.
+Every source has a target in words.  The whole part of the target over the source's
+words is allocated to each of its documents with certainty.  The rest is sampled:
+a document's inclusion probability is the share of words still missing, times its
+importance over the source's mean (weighed by words, so that the expected words are
+the missing ones).  By default the importance is the square root of the number of
+words; a column may give it instead.  Documents are ranked by their random odds over
+their inclusion odds (Pareto order sampling), and the smallest ranks are taken until
+the missing words are filled: a sample of fixed size with unequal probabilities.
 
 The cut in each source's order is found without sorting the source: words are
 summed over the leading digits of the rank (two levels of ``BINS`` bins), which
@@ -19,15 +21,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORDS, store, table, text_or_empty
+from .common import ROW, WORDS, addressed, store, table, text_or_empty
 
 WEIGHTS = (5, 2, 1)    # of the sources in code point order, repeating
 MAX_COPIES = 3         # of a document, and of a source's own words
 BINS = 4096
-# Inclusion odds are taken of probabilities within these bounds.  A source's
-# documents share one probability, so its order stays; its ranks spread over
-# the bins also where next to none or nearly all documents are sampled.
+# Inclusion odds are taken of probabilities within these bounds: no document is quite
+# sure of its place, and ranks spread over the bins also where next to none or nearly
+# all documents are sampled.
 ODDS_BOUNDS = (0.001, 0.999)
+IMPORTANCE_STEPS = 16   # of one unit: importance is a whole number of steps, 1 at least
 SEED = 20240
 
 
@@ -36,7 +39,7 @@ def word_count(text: str = "text") -> Column:
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS,
-                   max_copies: int = MAX_COPIES) -> DataFrame:
+                   max_copies: int = MAX_COPIES, keep: tuple[str, ...] = ()) -> DataFrame:
     """Targets of ``sources`` (source, source_size): shares of all words by
     weight, held at ``max_copies`` times the source's words, the excess shared
     again by weight until none is above.
@@ -61,7 +64,21 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS,
                     / F.sum("weight").over(later))
         .withColumn("target", F.least(
             "cap", F.max("level").over(everything) * F.col("weight")))
-        .select("source_no", "source", "source_size", "target"))
+        .select("source_no", "source", "source_size", "target", *keep))
+
+
+def draws(df: DataFrame, key: str, text: str, seed: int) -> Column:
+    """A random number of each addressed row, by key, text, the name of its file and its
+    place in it: the same in every run over the same files, and different for equal
+    rows, so these are dealt over all ranks like any others."""
+    return F.xxhash64(F.lit(seed), F.col(key), text_or_empty(text),
+                      F.substring_index(F.col(ROW), "/", -1))
+
+
+def inclusion(share: Column, importance: Column, mean: Column) -> Column:
+    """Inclusion probability of a document, within the bounds."""
+    return F.least(F.greatest(share * importance / mean, F.lit(ODDS_BOUNDS[0])),
+                   F.lit(ODDS_BOUNDS[1]))
 
 
 def _boundary(ranked: DataFrame, within: list[str], bin_: str) -> DataFrame:
@@ -78,31 +95,42 @@ def _boundary(ranked: DataFrame, within: list[str], bin_: str) -> DataFrame:
 
 def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
         carry: tuple[str, ...] = (), weights: tuple[float, ...] = WEIGHTS,
-        max_copies: int = MAX_COPIES, seed: int = SEED) -> DataFrame:
+        max_copies: int = MAX_COPIES, seed: int = SEED,
+        importance: str | None = None) -> DataFrame:
     """Copies of each row in a mix of as many words as the table has.
 
     Returns one row per input row: ``carry``, ``doc_id``, ``size`` (words),
     ``source_size``, ``target``, ``copies`` (0 to ``max_copies``) and ``taken``
     (words of the copies); other columns are left out, so none can clash
     (``carry`` must not name these).  Null texts have size 0; a null source is a
-    source of its own, after all others.  Ranks come from a hash of key, text and
-    seed: reruns agree, and rows equal in key and text share a rank and are cut
-    between them at will.  A source without words has target 0 and no copies.
+    source of its own, after all others.  ``importance`` names a column to sample by;
+    null, NaN, zero and negative values count as the least.  Ranks come from a hash of
+    key, text, seed and the row's place: reruns over the same files agree, and equal
+    rows have ranks of their own.  A source without words has target 0 and no copies.
     An empty table gives no rows.
     """
+    if ROW not in carry:
+        own = [key, source, text, *([importance] if importance else [])]
+        df = addressed(df.select(*dict.fromkeys([*own, *carry])))
+    size = word_count(text)
+    pull = F.sqrt(size) if importance is None else \
+        F.coalesce(F.nanvl(F.col(importance).cast("double"), F.lit(0.0)), F.lit(0.0))
+    steps = F.floor(F.least(pull, F.lit(1e9)) * IMPORTANCE_STEPS)
     sized = store(df.select(
         *carry, F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"),
-        word_count(text).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(key), text_or_empty(text)).alias("draw")), "mix-sizes")
-    targets = store(source_targets(
-        sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_copies),
-        "mix-targets")
+        size.alias("size"), F.greatest(steps, F.lit(1)).alias("importance"),
+        draws(df, key, text, seed).alias("draw")), "mix-sizes")
+    # exact sums: a source's mean importance does not depend on the order of its rows
+    sums = sized.groupBy("source").agg(
+        F.sum("size").alias("source_size"),
+        F.sum(F.col("importance").cast("decimal(20,0)") * F.col("size")).cast("double").alias("pull"))
+    targets = store(source_targets(sums, weights, max_copies, ("pull",)), "mix-targets")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")) \
         .otherwise(F.lit(0.0))
     # random odds over inclusion odds, brought into [0, 1) as x / (1 + x)
     u = (F.pmod("draw", F.lit(2 ** 52)) + 0.5) / 2 ** 52
-    share = F.least(F.greatest(F.col("expected") - F.col("whole"), F.lit(ODDS_BOUNDS[0])),
-                    F.lit(ODDS_BOUNDS[1]))
+    share = inclusion(F.col("expected") - F.col("whole"), F.col("importance"),
+                      F.when(F.col("pull") > 0, F.col("pull") / F.col("source_size")).otherwise(1.0))
     pareto = (u / (1 - u)) / (share / (1 - share))
     ranked = (
         sized.join(targets.withColumnRenamed("source", "name"),

@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices, store, table, text_or_empty
+from .common import ROW, addressed, map_arrow, slices, store, table, text_or_empty
 from .components import components
 
 SHINGLE = 4            # words (the query's contract)
@@ -42,7 +42,8 @@ SKETCH = 43
 MAX_INDEX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
 MAX_DISTANCE = 27
 BLOCK = 512            # documents of one block of a large bucket
-WORD_CACHE = 1_000_000
+BLOCK_SHINGLES = 2 ** 21   # and their shingles: 16 MB of sets, some 14 MB of text
+WORD_CACHE = 100_000
 
 _rng = np.random.Generator(np.random.PCG64(7))
 FLIPS = _rng.integers(0, 2 ** 63, INDEX + SKETCH, np.uint64) * np.uint64(2)
@@ -177,7 +178,7 @@ def signer(width: int):
 
 
 def index_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, signature) -> a row for each index key."""
+    """(node, signature, weight) -> a row for each index key."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -185,8 +186,8 @@ def index_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.array(np.repeat(np.arange(batch.num_rows), INDEX))
         wide = batch.take(rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.ravel()), wide.column("node"), wide.column("signature")],
-            names=["key", "node", "signature"])
+            [pa.array(keys.ravel()), wide.column("node"), wide.column("signature"),
+             wide.column("weight")], names=["key", "node", "signature", "weight"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], names: list[str]):
@@ -233,17 +234,28 @@ def close_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield from members.combine_chunks().to_batches()
 
 
+def _with_sets(batches: Iterator[pa.RecordBatch], shingles: Shingler) \
+        -> Iterator[pa.RecordBatch]:
+    """Batches with the shingle sets in place of the texts."""
+    for batch in slices(batches, "text"):
+        sets = [shingles(t).tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        rest = batch.drop_columns(["text"])
+        yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(sets, pa.large_binary())],
+                                         names=[*rest.schema.names, "shingles"])
+
+
 def confirmer(width: int, percent: int):
     """Groups in order of (key, pair, side), with texts -> links that connect
-    what full shingle sets connect in the group."""
+    what full shingle sets connect in the group.  A task holds the sets of one group:
+    two blocks of ``BLOCK_SHINGLES`` and one document more, at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(width)
-        for group in _runs(slices(batches, "text"), GROUP):
+        for group in _runs(_with_sets(batches, shingles), GROUP):
             index, sketch = unpack(group.column("signature").to_pylist())
             i, j, agree = close_pairs(index, sketch, group.column("side").to_numpy(),
                                       group.column("key")[0].as_py() >> 32)
-            sets = [shingles(t) for t in group.column("text").cast(pa.binary()).to_pylist()]
+            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("shingles")]
             sizes = np.array([len(s) for s in sets])
             a, b = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
             held = 100 * a >= percent * b
@@ -306,9 +318,10 @@ def pair_confirmer(width: int, percent: int):
     return run
 
 
-def _large_buckets(keys: DataFrame, large: DataFrame, texts: DataFrame, width: int,
-                   percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links to pivots and dealt members of the buckets above ``BLOCK``.
+def _large_buckets(keys: DataFrame, large: DataFrame, rows: DataFrame, nodes: DataFrame,
+                   width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links to pivots and dealt members of the buckets above ``BLOCK`` documents or
+    ``BLOCK_SHINGLES`` shingles.
 
     Every member is first compared with its bucket's pivot, a member by hash: work
     in proportion to the bucket.  A group of near copies falls in many buckets with
@@ -325,7 +338,8 @@ def _large_buckets(keys: DataFrame, large: DataFrame, texts: DataFrame, width: i
             F.col("p.signature").alias("pivot_signature")),
         near_pivot, "node long, pivot long").distinct(), "near-pivot")
     wanted = store(near.select("node").unionAll(near.select("pivot")).distinct(), "wanted")
-    held = store(texts.join(wanted, "node"), "wanted-texts")
+    held = store(rows.select(ROW, "text").join(nodes.join(wanted, "node").select("node", ROW), ROW)
+                 .select("node", "text"), "wanted-texts")
     links = store(map_arrow(
         near.join(held, "node").join(held.select(
             F.col("node").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
@@ -333,11 +347,20 @@ def _large_buckets(keys: DataFrame, large: DataFrame, texts: DataFrame, width: i
         pair_confirmer(width, percent), "a long, b long"), "pivot-links")
     rooted = store(members.join(components(links), "node", "left")
                    .withColumn("root", F.coalesce("root", "node")), "large-rooted")
-    sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"),
+                                              F.sum("weight").alias("w"))
+    top = F.struct("n", "root", "w")
     most = store(sizes.groupBy("key").agg(
-        F.max_by("root", F.struct("n", "root")).alias("most"), F.max("n").alias("n_most"),
-        (F.sum("n") - F.max("n")).alias("n_minor")), "large-most")
-    blocks, others = F.ceil(F.col("n_minor") / BLOCK), F.ceil(F.col("n_most") / BLOCK)
+        F.max(top).alias("top"), (F.sum("n") - F.max(top)["n"]).alias("n_minor"),
+        (F.sum("w") - F.max(top)["w"]).alias("w_minor")).select(
+        "key", F.col("top.root").alias("most"), F.col("top.n").alias("n_most"),
+        F.col("top.w").alias("w_most"), "n_minor", "w_minor"), "large-most")
+
+    def cut(n: str, w: str) -> Column:
+        return F.greatest(F.ceil(F.col(n) / BLOCK),
+                          F.when(F.col(n) > 0, F.ceil(F.col(w) / BLOCK_SHINGLES)).otherwise(0))
+
+    blocks, others = cut("n_minor", "w_minor"), cut("n_most", "w_most")
     draw = F.xxhash64("node")
     both = rooted.join(most, "key").withColumns({"blocks": blocks, "others": others}) \
         .where("blocks > 0").withColumn("minor", F.col("root") != F.col("most"))
@@ -368,58 +391,70 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
     """Components of documents linked by Jaccard similarity of word shingles.
 
     Returns one row per input row: ``carry``, ``doc_id``, ``n_shingles``,
-    ``component_id`` (smallest key reachable) and ``kept`` (it is the row's own
-    key); other columns are left out, so none can clash (``carry`` must not name
-    these).  The key is a long.  Texts without words (also null) have no shingles
-    and are linked with nothing; with fewer than ``width`` words the whole
-    sequence is one shingle.  Rows that share a key are one node, linked by any of
-    their texts.  A null key joins the component of an equal text, else it has a
-    null component of its own and is kept.  An empty table gives no rows.
+    ``component_id`` (smallest key reachable), ``kept`` (it is the row's own key) and
+    ``component`` (number of the component, null without words); other columns are
+    left out, so none can clash (``carry`` must not name these).  The key is a long.
+    Texts without words (also null) have no shingles and are linked with nothing; with
+    fewer than ``width`` words the whole sequence is one shingle.  Rows that share a
+    key are linked.  Rows with a null key are compared like all others; a component
+    without any key has a null ``component_id``, and all its rows are ``kept``: tell
+    them apart by ``component``.  An empty table gives no rows.
     """
-    rows = df.select(*carry, F.col(key).cast("long").alias("doc_id"),
-                     text_or_empty(text).alias("text"))
+    if ROW not in carry:
+        df = addressed(df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"),
+                                 *[c for c in carry if c not in (key, text)]))
+        key, text = "doc_id", "text"
+    rows = df.select(*carry, *([] if ROW in carry else [ROW]),
+                     F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                       for f in rows.schema.fields if f.name != "text")
     signed = store(map_arrow(rows, signer(width),
                              f"{kinds}, n_shingles long, digest binary, signature binary"),
                    "signatures")
+    # one node a set of shingles, with one of its rows to read the text from
     nodes = store(signed.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "nodes")
-    keys = map_arrow(nodes.where("node IS NOT NULL").select("node", "signature"), index_keys,
-                     "key long, node long, signature binary")
-    texts = rows.select(F.col("doc_id").alias("node"), "text")
-    large = store(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-                  .where(F.col("n") > BLOCK), "large-buckets")
+        F.first("signature").alias("signature"), F.first("n_shingles").alias("weight"),
+        F.min(ROW).alias(ROW)).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    keys = map_arrow(nodes.select("node", "signature", "weight"), index_keys,
+                     "key long, node long, signature binary, weight long")
+    texts = rows.select(ROW, "text").join(nodes.select("node", ROW), ROW).select("node", "text")
+    large = store(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+                  .where((F.col("n") > BLOCK) | (F.col("w") > BLOCK_SHINGLES)).where("n > 1"),
+                  "large-buckets")
     zero = F.lit(0).cast("long")
     dealt = keys.join(large, "key", "left_anti").select(
         "key", zero.alias("pair"), zero.alias("side"), "node", "signature")
     pivot_links = None
     if not large.isEmpty():
-        pivot_links, parts = _large_buckets(keys, large, texts, width, percent)
+        pivot_links, parts = _large_buckets(keys, large, rows, nodes, width, percent)
         dealt = dealt.unionAll(parts)
     members = store(map_arrow(_grouped(dealt), close_members, MEMBERS), "members")
     links = map_arrow(_grouped(members.join(texts, "node")
                                .select("key", "pair", "side", "node", "signature", "text")),
                       confirmer(width, percent), "a long, b long")
-    # a key with several texts is one node: link all of their nodes to it
+    # a key with several texts: link all of their nodes
     at = signed.where("n_shingles > 0 AND doc_id IS NOT NULL") \
         .join(nodes.select("digest", "node"), "digest").select("doc_id", "node")
     several = at.groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")) \
-        .where("x <> y").select("doc_id")
-    same = at.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+        .where("x <> y").select("doc_id", "x")
+    same = at.join(several, "doc_id").select(F.col("x").alias("a"), F.col("node").alias("b"))
     links = links.unionAll(same)
     roots = components(links if pivot_links is None else links.unionAll(pivot_links))
-    return (
-        signed.join(nodes.select("digest", F.col("node")), "digest", "left")
-        .withColumn("at", F.when(F.col("n_shingles") > 0, F.col("node"))
-                    .otherwise(F.col("doc_id")))
-        .join(roots.withColumnRenamed("node", "at"), "at", "left")
-        .select(*carry, "doc_id", "n_shingles", F.coalesce("root", "at").alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    placed = store(signed.join(
+        nodes.select("digest", "node").join(roots, "node", "left").select(
+            "digest", F.coalesce("root", "node").alias("component")), "digest", "left").select(
+        *carry, "doc_id", "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.col("component")).alias("component")), "near-placed")
+    names = store(placed.where("component IS NOT NULL").groupBy("component")
+                  .agg(F.min("doc_id").alias("least")), "near-names")
+    own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    return placed.join(names, "component", "left").select(
+        *carry, "doc_id", "n_shingles", own.alias("component_id"),
+        F.col("doc_id").eqNullSafe(own).alias("kept"), "component")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("component")
 
 
 ORACLE = r"""

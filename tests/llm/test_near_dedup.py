@@ -113,6 +113,39 @@ def test_null_and_repeated_keys_and_empty_table(spark):
     assert nd.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_copies_without_keys_are_compared(spark):
+    """Rows with null keys near each other and near a numbered row; repeated rows."""
+    base = [f"v{i}" for i in range(200)]
+    near = " ".join(base[:100] + ["other"] + base[101:])
+    alone = [" ".join(f"{c}{i}" for i in range(50)) for c in "pq"]
+    rows = [(None, " ".join(base)), (None, near), (7, near + " end"), (None, alone[0]),
+            (None, alone[0] + " x"), (None, alone[0]), (None, alone[1]), (None, None), (8, "")]
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.component_id or 0, r.n_shingles) for r in got) == sorted(
+        [(7, 197), (7, 197), (7, 198), (0, 47), (0, 48), (0, 47), (0, 47), (0, 0), (8, 0)])
+    groups = {}
+    for r in got:
+        groups.setdefault(r.component, []).append((r.n_shingles, r.kept))
+    assert sorted(map(sorted, groups.values())) == [
+        [(0, True), (0, True)], [(47, True)], [(47, True), (47, True), (48, True)],
+        [(197, False), (197, False), (198, True)]]
+
+
+def test_groups_are_bounded_by_their_shingles(spark, monkeypatch):
+    """Few documents, but long ones: cut into blocks by shingles, nothing lost."""
+    monkeypatch.setattr(nd, "BLOCK_SHINGLES", 2000)
+    rows = made(11, 20)
+    base = [f"v{i}" for i in range(600)]
+    rnd = random.Random(9)
+    for k in range(60):
+        edited = list(base)
+        for _ in range(rnd.choice([3, 8, 14])):
+            edited[rnd.randrange(600)] = f"x{rnd.randrange(10 ** 6)}"
+        rows.append((1000 + k, " ".join(edited)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(nd.near_duplicates(df)) == brute(rows)
+
+
 def test_index_guarantee():
     """Every pair within the index distance shares a key, and one first key."""
     rng = np.random.default_rng(1)

@@ -306,7 +306,8 @@ def identify_documents(docs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 _HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)|"
-                     r"<[a-z/!?](?:[^>\"']|\"[^\"]*\"|'[^']*')*>?")
+                     # a quote opens a value after an equals sign only
+                     r"<[a-z/!?](?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*>?")
 _TAG_LANG = r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})"""
 
 

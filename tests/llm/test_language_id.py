@@ -147,3 +147,10 @@ def test_copies_of_a_text_count_once_in_the_model(spark):
     kind = "lang string, text string"
     got, want = (li.fit(spark.createDataFrame(r, kind)) for r in (copied, once))
     assert got["names"] == want["names"] and (got["model"] == want["model"]).all()
+
+
+def test_quotes_open_a_value_after_an_equals_sign_only():
+    import pyarrow as pa
+    page = "<p title=it's>FIRST</p><p>SECOND it's</p><p class = \"a>b\" id='c'>THIRD</p>"
+    (out,) = li.visible_text(iter([pa.record_batch({"text": [page]})]))
+    assert out.column("text")[0].as_py().split() == ["FIRST", "SECOND", "it's", "THIRD"]

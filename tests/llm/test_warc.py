@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 
@@ -63,6 +64,77 @@ def test_segments_out_of_order_in_several_files(spark, scratch_dir, tmp_path):
             read(broken)
 
 
+def record(kind, block, **fields):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", *[f"{k.replace('_', '-')}: {v}" for k, v in fields.items()],
+             f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def crawl(n):
+    """A file as crawlers write it: one member a record, all kinds of records."""
+    out = [record("warcinfo", b"software: x\r\n", WARC_Record_ID="<info>")]
+    for i in range(n):
+        body = f"<p>{i}</p>".encode() * (i + 1)
+        sha = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        out += [record("request", b"GET / HTTP/1.1\r\n\r\n", WARC_Record_ID=f"<q{i}>"),
+                record("response", b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + body, WARC_Record_ID=f"<r{i}>",
+                       WARC_Target_URI=f"http://a/{i}", WARC_Payload_Digest=f"sha1:{sha}")]
+    return out + [record("resource", b"a\r\n\r\nb", WARC_Record_ID="<res>"),
+                  record("conversion", b"text", warc_record_id="<conv>"),
+                  record("revisit", b"HTTP/1.1 200 OK\r\n\r\n", WARC_Record_ID="<v>",
+                         WARC_Refers_To="<gone>", WARC_Payload_Digest="sha1:X"),
+                  record("x-own", b"", WARC_Record_ID="<own>")]
+
+
+@pytest.mark.parametrize("form", ["members", "one member", "plain", "padded"])
+def test_archives_of_other_writers_are_read_whole(spark, tmp_path, form):
+    records = crawl(40)
+    data = {"members": b"".join(map(gzip.compress, records)), "one member": gzip.compress(b"".join(records)),
+            "plain": b"".join(records), "padded": b"".join(gzip.compress(r) for r in records) + b"\0" * 9}[form]
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    responses, revisits = warc.read_archive(spark, str(tmp_path))
+    got = {r.record: (r.kind, bytes(r.payload)) for r in responses.collect()}
+    assert got == {**{f"<r{i}>": ("response", f"<p>{i}</p>".encode() * (i + 1)) for i in range(40)},
+                   "<res>": ("resource", b"a\r\n\r\nb"), "<conv>": ("conversion", b"text")}
+    assert [tuple(r) for r in revisits.collect()] == [("<v>", None, None, "<gone>", "sha1:X")]
+    others = warc.other_records(spark, str(tmp_path)).collect()
+    assert sorted(r.kind for r in others) == ["request"] * 40 + ["warcinfo", "x-own"]
+
+
+@pytest.mark.parametrize("form", ["members", "one member", "plain"])
+def test_an_archive_that_is_cut_raises_wherever_it_is_cut(form):
+    records = crawl(6)
+    data = {"members": b"".join(map(gzip.compress, records)), "one member": gzip.compress(b"".join(records)),
+            "plain": b"".join(records)}[form]
+    ends = [0]
+    for r in records:
+        ends.append(ends[-1] + len(gzip.compress(r) if form == "members" else r))
+    assert len(list(warc.parse_records(warc.decompressed(data)))) == len(records)
+    for at in range(1, len(data), 7):
+        if form != "one member" and at in ends:
+            assert len(list(warc.parse_records(warc.decompressed(data[:at])))) == ends.index(at)
+            continue
+        with pytest.raises(ValueError):
+            list(warc.parse_records(warc.decompressed(data[:at])))
+
+
+def test_small_pieces_give_the_same_records(monkeypatch):
+    data = b"".join(map(gzip.compress, crawl(30)))
+    whole = list(warc.parse_records(warc.decompressed(data)))
+    monkeypatch.setattr(warc, "PIECE", 7)
+    assert list(warc.parse_records(warc.decompressed(data))) == whole
+
+
+def test_digests_of_other_kinds():
+    body = b"body"
+    for name in ("sha1", "md5", "sha256"):
+        raw = hashlib.new(name, body).digest()
+        for value in (raw.hex(), raw.hex().upper(), base64.b32encode(raw).decode()):
+            assert warc.matches(f"{name}:{value}", b"other", body)
+        assert not warc.matches(f"{name}:{raw.hex()}", b"other")
+    assert warc.matches("unheard-of:1", body)
+
+
 def test_framing():
     assert warc.unchunked(b"3;x=y\r\nabc\r\n0\r\nTrailer: 1\r\n\r\n") == b"abc"
     for payload in (b"", b"a", b"b" * 5000):

@@ -8,8 +8,16 @@ masked).  Votes are summed by host and path in Spark, and every page is extracte
 again below the nodes on its host's winning path, widened in the same way; a page
 without such a node uses its own best container.
 
-Votes are aggregated map-side before their shuffle, and the one winner of each
-host is joined back to the pages, so the size of a host does not matter.
+The same pass gathers evidence of boilerplate inside the main text: for each container
+within it, its path with the sum of its blocks' hashes and that of the main text around
+it.  A path that holds one and the same text in most of a host's pages, with different
+texts around it, is boilerplate there and is left out of the second extraction.  Copies
+of a page have the same text around it and count as one page, so an article that is
+published several times stays.
+
+Votes and evidence are aggregated map-side before their shuffle, and the one winner and
+the repeated paths of each host are joined back to the pages, so the number of a host's
+pages does not matter.
 """
 
 from __future__ import annotations
@@ -19,6 +27,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,30 +63,37 @@ CLOSED_BY_SAME = {"p", "li", "dt", "dd", "td", "th", "tr", "option"}
 MARKS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner",
     "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo",
-    "cookie", "cookies", "disclaimer", "disqus", "footer", "gdpr", "login", "masthead", "menu",
+    "cookie", "cookies", "copyright", "disclaimer", "disqus", "footer", "gdpr", "login", "masthead", "menu",
     "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager",
     "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply",
     "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
     "subscribe", "toolbar", "widget"}
 HEADER_MARKS = {"header", "topbar"}
-# What may stand beside a mark in a token ("main-menu"); with any other word, as in
-# "no-sidebar", "category-social" or "search-result", the token is no mark.
+# What may stand beside a mark in a token ("main-menu"), whatever the element.
 BESIDE = {"main", "site", "global", "primary", "secondary", "top", "bottom", "container",
           "wrapper", "wrap", "inner", "box", "bar", "block", "area", "section", "link", "links",
           "button", "buttons", "form", "slot", "unit"}
+# Beside any other word a mark at either end of a token ("reader-comments",
+# "related-posts") counts on these elements only, and not after or before these words
+# ("no-sidebar", "category-social", "search-result").
+MARKED_PARTS = {"div", "section", "ul", "ol", "dl", "table", "td", "center"}
+NOT_AFTER = {"no", "not", "non", "has", "have", "with", "without", "hide", "category", "tag", "type",
+             "format", "status", "term", "topic"}
+NOT_BEFORE = {"result", "results", "free", "less", "off", "open", "closed", "disabled", "enabled"}
+SAME_MIN_PAGES = 2    # different pages that must share a path's text
 SEMANTIC = {"article": 1.5, "main": 1.25}
 
 
 class Node:
-    """A container, or a marked element.  ``key`` stands for its path within the process, so that deep
-    nesting costs no string for every level."""
+    """A container, or a marked element.  ``key`` stands for its path (64 bits, the same
+    in every process), so that deep nesting costs no string for every level."""
 
     __slots__ = ("tag", "label", "parent", "key", "score", "chosen", "titles",
                  "marked")
 
     def __init__(self, tag: str, label: str, parent: "Node | None", marked: bool = False):
         self.tag, self.label, self.parent = tag, label, parent
-        self.key = hash((parent.key if parent else 0, label))
+        self.key = _key(parent.key if parent else 0, label)
         self.score, self.chosen = 0.0, False
         self.titles = int(tag in SEMANTIC)   # h1 right in it, itself as article or main
         self.marked = marked
@@ -91,10 +107,14 @@ class Node:
         return ">".join(reversed(labels))
 
 
+def _key(above: int, label: str) -> int:
+    return xxhash.xxh3_64_intdigest(label, above & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+
+
 def path_key(path: str) -> int:
     key = 0
     for label in path.split(">"):
-        key = hash((key, label))
+        key = _key(key, label)
     return key
 
 
@@ -108,6 +128,14 @@ def _is_mark(token: str, marks: set[str]) -> bool:
     return not marks.isdisjoint(parts) and parts <= marks | BESIDE
 
 
+def _is_weak_mark(token: str) -> bool:
+    """A mark at either end of the token beside other words."""
+    parts = [p for p in (p.strip("0123456789") for p in PART.split(token)) if p]
+    return len(parts) > 1 and (
+        parts[0] in MARKS and NOT_BEFORE.isdisjoint(parts[1:])
+        or parts[-1] in MARKS and NOT_AFTER.isdisjoint(parts[:-1]))
+
+
 def _hidden(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
     """Never shown, or boilerplate by its tag."""
     return tag in BOILERPLATE or tag == "header" and not inside_article or bool(attributes) and (
@@ -123,7 +151,7 @@ def _marked(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
         return False
     tokens = " ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower().split()
     return any(_is_mark(t, MARKS) or not inside_article and _is_mark(t, HEADER_MARKS)
-               for t in tokens)
+               or tag in MARKED_PARTS and _is_weak_mark(t) for t in tokens)
 
 
 def shown(containers: list[Node], blocks):
@@ -398,17 +426,39 @@ def main_container(containers: list[Node], blocks) -> Node | None:
     return top
 
 
-def extract(page: str, path: str | None) -> str:
-    """Blocks below the nodes on ``path``, else below the page's best container."""
+def repeated_text(containers: list[Node], blocks, main: Node) -> list[tuple[int, int, int]]:
+    """Evidence of a page: for each container inside the main one, its key, the sum of its
+    blocks' hashes, and that of the main text around it (as signed 64-bit numbers)."""
+    inside, sums = {id(main)}, {id(n): 0 for n in containers}
+    for node, text, _ in blocks:
+        sums[id(node)] += xxhash.xxh3_64_intdigest(text)
+    for node in reversed(containers):
+        if node is not main and node.parent is not None:
+            sums[id(node.parent)] += sums[id(node)]
+    out, whole = [], sums[id(main)]
+    for node in containers:
+        if node.parent is not None and id(node.parent) in inside:
+            inside.add(id(node))
+            own, rest = (x & 0xFFFFFFFFFFFFFFFF for x in (sums[id(node)], whole - sums[id(node)]))
+            if own and rest:
+                out.append((node.key, own - (1 << 63), rest - (1 << 63)))
+    return out
+
+
+def extract(page: str, path: str | None, repeated: list[int] | None = None) -> str:
+    """Blocks below the nodes on ``path``, else below the page's best container, but for
+    those below containers with a ``repeated`` key."""
     containers, blocks = parse(page)
     if not blocks:
         return ""
     key = path_key(path) if path else None
+    gone = set(repeated or ())
 
     def below(picked: list[Node]) -> list[str]:
         chosen = {id(n) for n in widen(containers, blocks, picked)} if picked else ()
         for node in containers:  # parents come before their children
-            node.chosen = id(node) in chosen or node.parent is not None and node.parent.chosen
+            node.chosen = (id(node) in chosen or node.parent is not None and node.parent.chosen) \
+                and (node.key not in gone or id(node) in chosen)
         return [text for node, text, _ in blocks if node.chosen]
 
     held = below([n for n in containers if n.key == key]) if path else []
@@ -418,56 +468,80 @@ def extract(page: str, path: str | None) -> str:
 
 
 def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, html) -> (host, path, score) of each page that has text."""
+    """(host, html) -> (host, path, score) of each page that has text, and the evidence
+    (host, key, own, rest) of the containers inside its main text."""
     for batch in slices(batches, "html"):
         out = []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            best = main_container(*parse(page))
+            containers, blocks = parse(page)
+            best = main_container(containers, blocks)
             if best is not None:
-                out.append((host, best.path, best.score))
+                out.append((host, best.path, best.score, None, None, None))
+                out += [(host, None, None, *found)
+                        for found in repeated_text(containers, blocks, best)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], t)
-             for i, t in enumerate((pa.string(), pa.string(), pa.float64()))],
-            names=["host", "path", "score"])
+            [pa.array([r[i] for r in out], t) for i, t in enumerate(
+                (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()))],
+            names=["host", "path", "score", "key", "own", "rest"])
 
 
 def extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "html"):
-        texts = [extract(page, path) for page, path in zip(
-            batch.column("html").to_pylist(), batch.column("path").to_pylist())]
-        rest = batch.drop_columns(["html", "path"])
+        texts = [extract(*row) for row in zip(*[batch.column(c).to_pylist()
+                                                for c in ("html", "path", "repeated")])]
+        rest = batch.drop_columns(["html", "path", "repeated"])
         yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(texts, pa.string())],
                                          names=[*rest.schema.names, "text"])
 
 
-def winning_paths(pages: DataFrame) -> DataFrame:
+def host_evidence(pages: DataFrame) -> DataFrame:
+    """Votes (path, score) and evidence (key, own, rest) of all pages, stored."""
+    return store(map_arrow(pages.select("host", "html"), vote,
+                           "host string, path string, score double, key long, own long, rest long"),
+                 "host-evidence")
+
+
+def winning_paths(evidence: DataFrame) -> DataFrame:
     """The path with most votes of each host (host, path, votes); of equal votes,
     the higher score, then the first by name."""
-    votes = map_arrow(pages.select("host", "html"), vote, "host string, path string, score double")
-    by_path = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"),
-                                                F.sum(F.round("score").cast("long")).alias("score"))
+    by_path = evidence.where("path IS NOT NULL").groupBy("host", "path").agg(
+        F.count(F.lit(1)).alias("votes"), F.sum(F.round("score").cast("long")).alias("score"))
     order = F.struct(-F.col("votes"), -F.col("score"), "path")
     return by_path.groupBy("host").agg(F.min_by("path", order).alias("path"),
                                        F.max("votes").alias("votes"))
 
 
+def repeated_paths(evidence: DataFrame) -> DataFrame:
+    """Keys of the paths that are boilerplate on their host (host, repeated): one text of
+    the path occurs in ``SAME_MIN_PAGES`` or more different pages, which are half or
+    more of the different pages with the path.  A host's list is as long as it has
+    such paths, not pages."""
+    same = evidence.where("key IS NOT NULL").select("host", "key", "own", "rest").distinct() \
+        .groupBy("host", "key", "own").agg(F.count(F.lit(1)).alias("n"))
+    return same.groupBy("host", "key").agg(F.max("n").alias("most"), F.sum("n").alias("pages")) \
+        .where((F.col("most") >= SAME_MIN_PAGES) & (2 * F.col("most") >= F.col("pages"))) \
+        .groupBy("host").agg(F.collect_set("key").alias("repeated"))
+
+
 def extract_main_text(df: DataFrame, keys: list[str], url: str = "url",
                       page: str = "html") -> DataFrame:
     """Main text of every page by its host's winning path.
 
     Returns ``keys``, ``text`` (blocks in page order, joined by an empty line; empty
     if none) and ``n_chars``; other columns are left out, so none can clash
-    (``keys`` must not name ``text``, ``host``, ``html`` or ``path``).  Null and
+    (``keys`` must not name ``text``).  Null and
     empty pages have an empty text.  Pages whose URL is null or has no host vote
     together.  Nothing is dropped or cut off inside the main text.  Repeated rows
     vote and come out repeatedly; an empty table gives no rows.
     """
     pages = df.select(*[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)],
                       url_host(url).alias("host"), text_or_empty(page).alias("html"))
-    winners = store(winning_paths(pages).select("host", "path"), "host-paths")
+    evidence = host_evidence(pages)
+    winners = store(winning_paths(evidence).select("host", "path")
+                    .join(repeated_paths(evidence), "host", "left"), "host-paths")
     joined = pages.join(winners, "host", "left").drop("host")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields
-                      if f.name not in ("html", "path"))
+                      if f.name not in ("html", "path", "repeated"))
     out = map_arrow(joined, extractor, f"{kinds}, text string")
     return out.select(*[F.col(f"key{i}").alias(k) for i, k in enumerate(keys)], "text",
                       F.length("text").cast("long").alias("n_chars"))

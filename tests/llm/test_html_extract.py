@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
+import pytest
+
 from skyledger.llm import html_extract as hx
 
 SF = "/root/testdata/sf0.01"
@@ -135,3 +138,110 @@ def test_marked_parts_beside_the_article_stay_hidden():
                  f"<div class=sidebar hidden>{LEAD * 9}</div>"):
         assert hx.extract(f"<body><article>{inner}</article>{part}", None) == want
         assert hx.extract(f"<body><main><article>{inner}</article>{part}</main>", None) == want
+
+
+BOILER = ["reader-comments", "comment-list", "user-comments", "related-posts", "left-sidebar",
+          "page-footer", "post-navigation", "cookie-message", "copyright", "sidebar"]
+
+
+def test_boilerplate_blocks_inside_three_wrappers():
+    """Marked blocks in the article, beside it in its wrapper, and at the end of the body."""
+    sentences = "".join(f"<p>This is sentence {i} of the article itself.</p>" for i in range(30))
+    want = "\n\n".join(["Title"] + [f"This is sentence {i} of the article itself." for i in range(30)])
+    for name in BOILER:
+        block = f"<div class='{name}'><p>Great read</p><p>I do not agree with this at all</p></div>"
+        for page in (f"<body><div id=content><h1>Title</h1>{sentences}{block}</div>",
+                     f"<body><article><h1>Title</h1>{sentences}{block}</article>",
+                     f"<body><div class=post><h1>Title</h1>{sentences}</div>{block}",
+                     f"<body><article><h1>Title</h1>{sentences[:400]}{block}{sentences[400:]}</article>"
+                     .replace(sentences[:400], sentences[:sentences.index('<p>', 400)])
+                     .replace(sentences[400:], sentences[sentences.index('<p>', 400):])):
+            assert hx.extract(page, None) == want, (name, page[:30])
+
+
+def spark_texts(spark, rows):
+    df = spark.createDataFrame(rows, "k long, url string, html string")
+    return {r.k: r.text for r in hx.extract_main_text(df, ["k"]).collect()}
+
+
+def test_text_that_repeats_over_a_host_is_boilerplate_there(spark):
+    """Blocks without any mark, told by the host's pages; copies of a page don't count."""
+    def page(i, note):
+        return (f"<body><article><h1>Story {i}</h1><div class=lead>Lead of {i}</div>" + "".join(
+            f"<p>Sentence {j} of story {i}.</p>" for j in range(9))
+            + f"<div class=box><p>{note}</p></div></article>")
+    note = "This site is run by volunteers. Write to us."
+    rows = [(i, f"http://a/{i}", page(i, note)) for i in range(5)]
+    rows += [(10 + i, "http://b/x", page(0, note)) for i in range(5)]          # one page, copied
+    rows += [(20 + i, f"http://c/{i}", page(i, f"Note {i}")) for i in range(5)]  # never the same
+    rows += [(30 + i, f"http://d/{i}", page(i, note if i < 2 else f"Note {i}")) for i in range(9)]
+    got = spark_texts(spark, rows)
+    for k, text in got.items():
+        assert text.startswith(f"Story {k % 10 if not 10 <= k < 20 else 0}\n\nLead of")
+        has = text.split("\n\n")[-1]
+        assert ("Sentence 8" in has) == (k < 5), (k, has)
+    assert got[12].endswith(note) and got[22].endswith("Note 2") and got[30].endswith(note)
+
+
+def brute_score(containers, blocks, node):
+    """Score of a container by its definition: blocks halved for each container between."""
+    total = 0.0
+    for at, text, of_links in blocks:
+        weight, up = float(len(text) - 2 * of_links), at
+        while up is not None and up is not node and abs(weight) >= 0.5:
+            weight, up = weight / 2, up.parent
+        if up is node and abs(weight) >= 0.5:
+            total += weight
+    return total * hx.SEMANTIC.get(node.tag, 1.0)
+
+
+def test_scores_votes_and_second_extraction_equal_plain_python(spark):
+    rnd = random.Random(4)
+    shapes = ["<div class=story-{n}>{a}<div class=inner>{b}</div></div><div class=teasers>{c}</div>",
+              "<section><article>{a}{b}</article><div>{c}</div></section>",
+              "<div class=col><div class=x{n}>{c}</div></div><div class=main2>{a}<blockquote>{b}</blockquote></div>"]
+
+    def words(n):
+        return "".join(f"<p>{' '.join(rnd.choice(['tan', 'orel', 'vi']) for _ in range(rnd.randint(1, n)))}"
+                       f"{rnd.choice(['', ' <a href=x>more of it</a>'])}</p>" for _ in range(3))
+    rows = []
+    for k in range(90):
+        shape = rnd.choice(shapes[:2] if k % 3 else shapes)
+        rows.append((k, f"http://h{k % 7}/{k}",
+                     "<body>" + shape.format(n=k, a=words(40), b=words(25), c=words(20))))
+    got = spark_texts(spark, rows)
+    votes, total, evidence = {}, {}, {}
+    for k, url, page in rows:
+        containers, blocks = hx.parse(page)
+        scores = [brute_score(containers, blocks, n) for n in containers]
+        best = containers[max(range(len(scores)), key=lambda i: (scores[i], -i))]
+        assert hx.best_container(containers, blocks) is best
+        assert best.score == pytest.approx(max(scores))
+        main = hx.main_container(*hx.parse(page))
+        host = url[7:9]
+        votes[host, main.path] = votes.get((host, main.path), 0) + 1
+        total[host, main.path] = total.get((host, main.path), 0) + round(main.score)
+        main = next(n for n in containers if n.path == main.path)
+
+        def under(n, top):
+            while n is not None:
+                if n is top:
+                    return True
+                n = n.parent
+            return False
+        for n in containers:
+            if n is not main and under(n, main):
+                own = tuple(t for b, t, _ in blocks if under(b, n))
+                rest = tuple(t for b, t, _ in blocks if under(b, main) and not under(b, n))
+                if own and rest:
+                    evidence.setdefault((host, n.path), set()).add((own, rest))
+    for k, url, page in rows:
+        host = url[7:9]
+        path = min(((-votes[h, p], -total[h, p], p) for h, p in votes if h == host))[2]
+        gone = []
+        for (h, p), seen in evidence.items():
+            most = max(sum(o == own for o, _ in seen) for own, _ in seen)
+            if h == host and most >= 2 and 2 * most >= len(seen):
+                gone.append(hx.path_key(p))
+        assert got[k] == hx.extract(page, path, gone), k
+    assert len({p for _, p in votes}) >= 3

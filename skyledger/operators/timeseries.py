@@ -108,10 +108,9 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     usable = usable & F.col("_t").isNotNull()
     both = lrows.where(usable).unionByName(rrows, allowMissingColumns=True) \
         .withColumn("_range", _range("_t", width))
-    ends = rrows.withColumn("_range", _range("_t", width)).groupBy(*keys, "_range") \
-        .agg(F.max_by("_right", "_t").alias("_end"))
-    # a range without a right row still needs what was there before: ranges of both sides
-    slots = both.select(*keys, "_range").distinct().join(ends, [*keys, "_range"], "left")
+    # ranges of both sides: one without a right row still needs what was there before
+    slots = both.groupBy(*keys, "_range").agg(
+        F.max_by("_right", F.when(F.col("_side") == 0, F.col("_t"))).alias("_end"))
     carry = _last_before(slots, keys, "_end", "_range")
     sweep = Window.partitionBy(*keys, "_range").orderBy("_t", "_side") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

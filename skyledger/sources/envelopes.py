@@ -74,15 +74,22 @@ def record_fields(raw: str) -> Column:
     return F.from_json(F.col(raw), "map<string,string>")
 
 
-def field_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the record fields in all landed envelopes (IO5), in the order of
-    their first position in a record, then by name; none if nothing has landed or
-    all collections are empty."""
+def field_names(spark: SparkSession, path: str, files: int | None = None) -> list[str]:
+    """Names of the record fields in all landed envelopes (IO5), or in the first
+    ``files`` of them by path, in the order of their first position in a record, then
+    by name; none if nothing has landed or all collections are empty."""
     if not path_exists(spark, path):
         return []
+    paths = [path]
+    if files is not None:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path) \
+            .select("path").orderBy("path").limit(files)
+        paths = [r.path for r in listed.collect()]  # ``files`` rows at most
+        if not paths:
+            return []
     env = (spark.read.schema(ENVELOPE).option("multiLine", True)
            .option("columnNameOfCorruptRecord", CORRUPT)
-           .option("recursiveFileLookup", True).json(path))
+           .option("recursiveFileLookup", True).json(paths))
     fields = env.select(F.explode("data").alias("raw")) \
         .select(F.posexplode(F.map_keys(record_fields("raw"))).alias("at", "name"))
     found = fields.groupBy("name").agg(F.min("at").alias("at")).collect()  # one row a field

@@ -39,6 +39,7 @@ from ..session import path_exists
 from ..sources.envelopes import CORRUPT, ENVELOPE, field_names, record_fields
 
 LINEAGE = ["_source_file", "_record_index", "_collected_at", "_ingestion_ts"]
+FIRST_FILES = 8           # files that the first run takes the fields' columns from
 MAX_FILE_AGE = "36500d"   # older than any history that is loaded after the fact
 
 
@@ -120,8 +121,8 @@ def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint:
     took.  Raises :class:`CorruptEnvelopes` at the end if a file was broken.
     """
     known = load_fields(spark, checkpoint)
-    if not known:  # first run: learn the names ahead; what is missed is rescued
-        known = field_names(spark, landing)
+    if not known:  # first run: columns from the first files; other fields are rescued
+        known = field_names(spark, landing, FIRST_FILES)
         save_fields(spark, checkpoint, [], known)
     run = uuid.uuid4().hex
     q = (envelope_stream(spark, landing, known, max_files_per_trigger, max_file_age)
@@ -138,14 +139,15 @@ def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint:
     if not path_exists(spark, written):
         return IngestResult(0, 0, record_schema(known))
     rows = spark.read.parquet(written)
-    new = sorted(r.k for r in rows.select(F.explode(F.map_keys("_rescued")).alias("k"))
-                 .distinct().collect())  # one row a new field
-    save_fields(spark, checkpoint, known, new)
     bad = F.col("_status").isin("corrupt", "count")
     total = rows.agg(F.count_distinct("_source_file").alias("files"),
                      F.count_if(F.col("_status") == "ok").alias("records"),
+                     F.count("_rescued").alias("rescued"),
                      F.count_distinct(F.when(bad, F.col("_source_file"))).alias("broken"),
                      F.min(F.when(bad, F.col("_source_file"))).alias("example")).first()
+    new = sorted(r.k for r in rows.select(F.explode(F.map_keys("_rescued")).alias("k"))
+                 .distinct().collect()) if total.rescued else []  # one row a new field
+    save_fields(spark, checkpoint, known, new)
     if total.broken:
         raise CorruptEnvelopes(total.broken, total.example)
     return IngestResult(total.files, total.records, record_schema(known + new))

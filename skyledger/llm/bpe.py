@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices, table, text_or_empty
 
 MAX_VOCAB_BYTES = 64 * 1024 ** 2   # bound of the broadcast vocabulary file
-MERGE_BYTES = 6 * 1024 ** 2       # text of one index
-CACHE_CHUNKS = 300_000             # chunks remembered by a task before it starts anew
+MERGE_BYTES = 2 * 1024 ** 2       # text of one index
+CACHE_CHUNKS = 200_000             # chunks remembered by a task before it starts anew
 
 
 def byte_alphabet() -> list[str]:
@@ -246,8 +246,8 @@ def gather(flat: np.ndarray, start: np.ndarray, at: np.ndarray) -> tuple[np.ndar
     return flat[shift + np.arange(total)], lengths
 
 
-def encoder(vocab_ref):
-    """Batch function: (ids..., text) -> (ids..., tokens array<int>, decoded)."""
+def encoder(vocab_ref, decoded: bool = True):
+    """Batch function: (ids..., text) -> (ids..., tokens array<int>[, decoded])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocab_ref.value
@@ -257,23 +257,25 @@ def encoder(vocab_ref):
                 chunks.clear()
             tokens, ends = chunks.tokens([chunks.split(t) for t in batch.column("text").to_pylist()])
             offsets = np.append(0, ends)
-            decoded = [" ".join([names[i] for i in tokens[a:b].tolist()])
-                       for a, b in zip(offsets[:-1].tolist(), ends.tolist())]
             rest = batch.drop_columns(["text"])
+            columns = [*rest.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                                               pa.array(tokens, pa.int32()))]
+            if decoded:
+                columns.append(pa.array([" ".join([names[i] for i in tokens[a:b].tolist()])
+                                         for a, b in zip(offsets[:-1].tolist(), ends.tolist())],
+                                        pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [*rest.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                                         pa.array(tokens, pa.int32())),
-                 pa.array(decoded, pa.string())],
-                names=[*rest.schema.names, "tokens", "decoded"])
+                columns, names=[*rest.schema.names, *["tokens", "decoded"][:1 + decoded]])
 
     return run
 
 
-def encode(df: DataFrame, vocab_path: str, keys: list[str], text: str = "text") -> DataFrame:
+def encode(df: DataFrame, vocab_path: str, keys: list[str], text: str = "text",
+           decoded: bool = True) -> DataFrame:
     """Token ids and decoded text of every whole ``text``.
 
-    Returns ``keys``, ``tokens array<int>`` and ``decoded string`` for each input
-    row; other columns are left out, so none can clash.  Null and empty texts
+    Returns ``keys``, ``tokens array<int>`` and, unless ``decoded`` is off, ``decoded
+    string`` for each input row; other columns are left out, so none can clash.  Null and empty texts
     give an empty array and an empty string; repeated rows come out repeatedly;
     an empty table gives none.  Runs without a shuffle.
     """
@@ -281,7 +283,8 @@ def encode(df: DataFrame, vocab_path: str, keys: list[str], text: str = "text")
     narrow = df.select(*[F.col(k) for k in keys], text_or_empty(text).alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                       for f in narrow.schema.fields if f.name != "text")
-    return map_arrow(narrow, encoder(vocab), f"{kinds}, tokens array<int>, decoded string")
+    return map_arrow(narrow, encoder(vocab, decoded), f"{kinds}, tokens array<int>"
+                     + (", decoded string" if decoded else ""))
 
 
 def decode(df: DataFrame, vocab_path: str, keys: list[str], tokens: str = "tokens") -> DataFrame:

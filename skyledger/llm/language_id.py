@@ -320,7 +320,13 @@ def visible_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def identify_pages(pages: DataFrame, model: dict) -> DataFrame:
     """Pages: text outside of the markup, the language declared on the html element
-    (null where none is), and the address split into suffix, domain and host."""
+    (null where none is), and the address split into suffix, domain and host.
+
+    Returns one row a page: ``page_id`` and what ``identify`` gives.  Null and empty
+    pages and pages without letters are not accepted; null URLs and URLs without a host
+    share one prior; null ids are kept.  Repeated rows come out repeatedly, an empty
+    table gives no rows; other columns are left out, so none can clash.
+    """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"://([^/?#:]*)", 1))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),

@@ -154,3 +154,18 @@ def test_quotes_open_a_value_after_an_equals_sign_only():
     page = "<p title=it's>FIRST</p><p>SECOND it's</p><p class = \"a>b\" id='c'>THIRD</p>"
     (out,) = li.visible_text(iter([pa.record_batch({"text": [page]})]))
     assert out.column("text")[0].as_py().split() == ["FIRST", "SECOND", "it's", "THIRD"]
+
+
+def test_odd_pages(spark, made):
+    page = "<html lang=en><body><p>the quick brown fox jumps over the lazy dog</p>"
+    rows = [(1, "http://a.example.com/x", page), (1, "http://a.example.com/x", page),
+            (None, None, page), (2, "no host", page), (3, "http://b/", None), (4, "http://b/", ""),
+            (5, "http://b/", "<p>1 2 3</p>"), (6, "http://b/", "<p>" + "the dog " * 50_000)]
+    df = spark.createDataFrame([(*r, "xx", 1.5) for r in rows],
+                               "page_id long, url string, html string, lang string, posterior double")
+    got = li.identify_pages(df, made)
+    assert got.columns == ["page_id", "lang", "posterior", "text_lang", "letters", "accepted"]
+    found = sorted((r.page_id or 0, r.lang, r.accepted) for r in got.collect() if r.lang)
+    assert found == [(0, "en", True), (1, "en", True), (1, "en", True), (2, "en", True), (6, "en", True)]
+    assert sorted(r.page_id for r in got.collect() if not r.accepted) == [3, 4, 5]
+    assert li.identify_pages(df.limit(0), made).count() == 0

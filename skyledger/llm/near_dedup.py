@@ -417,7 +417,6 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
         F.min(ROW).alias(ROW)).withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = map_arrow(nodes.select("node", "signature", "weight"), index_keys,
                      "key long, node long, signature binary, weight long")
-    texts = rows.select(ROW, "text").join(nodes.select("node", ROW), ROW).select("node", "text")
     large = store(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
                   .where((F.col("n") > BLOCK) | (F.col("w") > BLOCK_SHINGLES)).where("n > 1"),
                   "large-buckets")
@@ -429,8 +428,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
         pivot_links, parts = _large_buckets(keys, large, rows, nodes, width, percent)
         dealt = dealt.unionAll(parts)
     members = store(map_arrow(_grouped(dealt), close_members, MEMBERS), "members")
-    links = map_arrow(_grouped(members.join(texts, "node")
-                               .select("key", "pair", "side", "node", "signature", "text")),
+    # the members are few; the texts are dealt once, by address
+    texts = members.join(nodes.select("node", ROW), "node").join(rows.select(ROW, "text"), ROW)
+    links = map_arrow(_grouped(texts.select("key", "pair", "side", "node", "signature", "text")),
                       confirmer(width, percent), "a long, b long")
     # a key with several texts: link all of their nodes
     at = signed.where("n_shingles > 0 AND doc_id IS NOT NULL") \

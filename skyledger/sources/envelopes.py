@@ -35,6 +35,14 @@ ENVELOPE = T.StructType([
 ])
 
 
+# A file is one JSON document, read as one "line": no text holds this separator.  The
+# parser then has the file's bytes at hand and cuts each record's raw text out of them;
+# with ``multiLine`` it opens the file anew for every record.
+WHOLE_FILE = "\u0000\u0001\u0000\u0002" * 4
+ENVELOPE_FILES = {"lineSep": WHOLE_FILE, "columnNameOfCorruptRecord": CORRUPT,
+                  "recursiveFileLookup": "true"}
+
+
 def write_envelopes(records: DataFrame, path: str, dataset: str, fields: Sequence[str],
                     collected_at: Column, seq: Column, order: Sequence[Column] = (),
                     source: str = "spacetrack",
@@ -50,10 +58,12 @@ def write_envelopes(records: DataFrame, path: str, dataset: str, fields: Sequenc
     keyed = records.select(
         F.date_format(collected_at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_collected_at"),
         F.floor(seq / F.lit(max_records)).alias("_chunk"),
-        F.struct(*[o for o in order], seq.alias("_seq")).alias("_k"),
-        F.to_json(F.struct(*[F.col(c) for c in fields]), {"ignoreNullFields": "false"}).alias("_r"))
+        # flat: a struct in a struct gets an ordering of its own for each comparison
+        F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], seq.alias("_seq"),
+                 F.to_json(F.struct(*[F.col(c) for c in fields]),
+                           {"ignoreNullFields": "false"}).alias("_r")).alias("_item"))
     docs = (keyed.groupBy("_collected_at", "_chunk")
-            .agg(F.array_sort(F.collect_list(F.struct("_k", "_r"))).alias("_items"))
+            .agg(F.array_sort(F.collect_list("_item")).alias("_items"))
             .select(
                 F.col("_collected_at").alias("collection"),
                 F.concat(
@@ -87,9 +97,7 @@ def field_names(spark: SparkSession, path: str, files: int | None = None) -> lis
         paths = [r.path for r in listed.collect()]  # ``files`` rows at most
         if not paths:
             return []
-    env = (spark.read.schema(ENVELOPE).option("multiLine", True)
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .option("recursiveFileLookup", True).json(paths))
+    env = spark.read.schema(ENVELOPE).options(**ENVELOPE_FILES).json(paths)
     fields = env.select(F.explode("data").alias("raw")) \
         .select(F.posexplode(F.map_keys(record_fields("raw"))).alias("at", "name"))
     found = fields.groupBy("name").agg(F.min("at").alias("at")).collect()  # one row a field

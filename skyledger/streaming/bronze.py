@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import path_exists
-from ..sources.envelopes import CORRUPT, ENVELOPE, field_names, record_fields
+from ..sources.envelopes import CORRUPT, ENVELOPE, ENVELOPE_FILES, field_names, record_fields
 
 LINEAGE = ["_source_file", "_record_index", "_collected_at", "_ingestion_ts"]
 FIRST_FILES = 8           # files that the first run takes the fields' columns from
@@ -69,21 +69,22 @@ def envelope_stream(spark: SparkSession, landing: str, fields: list[str],
                     max_file_age: str = MAX_FILE_AGE) -> DataFrame:
     """Streaming DataFrame of flattened records with lineage (IO1-IO4): a text
     column for each of ``fields``, ``_rescued`` and ``_status``."""
-    reader = (spark.readStream.schema(ENVELOPE)
-              .option("multiLine", True)
-              .option("columnNameOfCorruptRecord", CORRUPT)
-              .option("maxFileAge", max_file_age)
-              .option("recursiveFileLookup", True))
+    reader = spark.readStream.schema(ENVELOPE).options(**ENVELOPE_FILES) \
+        .option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     env = reader.json(landing)
     found = F.coalesce(F.size("data"), F.lit(0))
-    records = env.select(
-        F.posexplode_outer("data").alias("_record_index", "_raw"),
-        F.col("_metadata.file_path").alias("_source_file"),
+    # all that is taken from a whole file comes before the explode: a record's row that
+    # still needs ``data`` would carry a copy of its file's records
+    files = env.select(
+        "data", F.col("_metadata.file_path").alias("_source_file"),
         F.col("collected_at").alias("_collected_at"),
         F.col(CORRUPT).isNotNull().alias("_broken"), found.alias("_found"),
         F.coalesce("record_count", found).alias("_stated"))
+    records = files.select(
+        F.posexplode_outer("data").alias("_record_index", "_raw"),
+        "_source_file", "_collected_at", "_broken", "_found", "_stated")
     m = record_fields("_raw")
     others = F.map_filter("_m", lambda k, _: ~k.isin(fields)) if fields else F.col("_m")
     return (records.withColumn("_m", m).select(

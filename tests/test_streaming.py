@@ -247,3 +247,65 @@ def test_a_late_file_with_an_older_collection_does_not_replace_a_newer_row(spark
         raw = raw.withColumn(c, F.lit(None).cast("string"))
     raw = raw.withColumn("_ingestion_ts", F.to_timestamp("ts"))
     assert silver.latest_satcat(raw).first().object_name == "old"
+
+
+def test_exploded_records_do_not_carry_the_array_of_their_file(spark, scratch, capsys):
+    from skyledger.streaming.bronze import envelope_stream
+    _envelope(f"{scratch}/landing/a.json", "2024-01-01T00:00:00Z", [{"ID": "1"}])
+    envelope_stream(spark, f"{scratch}/landing", ["ID"]).explain()
+    line, = [x for x in capsys.readouterr().out.splitlines() if "Generate posexplode" in x]
+    assert line.count("data#") == 1   # the generator's own input only
+
+
+def test_a_file_is_not_opened_again_for_each_record(spark, scratch):
+    from skyledger.sources.envelopes import field_names
+    from skyledger.streaming.bronze import envelope_stream
+    records = [{"ID": str(i), "V": "v" * 300} for i in range(5000)]
+    _envelope(f"{scratch}/landing/a.json", "2024-01-01T00:00:00Z", records)
+    size = os.path.getsize(f"{scratch}/landing/a.json")
+    assert field_names(spark, f"{scratch}/landing") == ["ID", "V"]
+    before = _bytes_read(spark)
+    q = envelope_stream(spark, f"{scratch}/landing", ["ID", "V"]).writeStream.format("noop") \
+        .option("checkpointLocation", f"{scratch}/c").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert size <= _bytes_read(spark) - before < 1.5 * size
+
+
+def _bytes_read(spark):
+    statistics = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in statistics)
+
+
+def test_odd_envelopes_read_as_by_a_multiline_reader(spark, scratch):
+    from skyledger.sources.envelopes import CORRUPT, ENVELOPE, ENVELOPE_FILES
+    head = '{"collected_at":"t","record_count":1,\n "data": ['
+    texts = {"numbers": head + '{"a": 1.10,"b":1e400 , "c":12345678901234567890.50,"d":NaN}]}',
+             "escapes": head + '{"a":"\\u00e9\\ud800 \\/ é ", "a" : "again"}, null, "x", 7, [1 , 2]]}',
+             "no records": '﻿\n{"collected_at":null,"data":[]}\n\n',
+             "two": '[{"collected_at":"p","data":[{"a":1}]},\r\n {"collected_at":"q"}]',
+             "cut": head + '{"a":"1"},{"a":', "text": "not json", "empty": "", "blank": " \n "}
+    os.makedirs(f"{scratch}/landing/x")
+    for name, text in texts.items():
+        with open(f"{scratch}/landing/x/{name}.json", "w", newline="") as f:
+            f.write(text)
+    with open(f"{scratch}/landing/x/wide.json", "wb") as f:
+        f.write('{"collected_at":"é","record_count":0,"data":[]}'.encode("utf-16"))
+
+    def read(**options):
+        rows = spark.read.schema(ENVELOPE).options(**options).json(f"{scratch}/landing") \
+            .select(F.regexp_extract("_metadata.file_path", "[^/]+$", 0), "collected_at",
+                    "record_count", "data", F.col(CORRUPT).isNotNull())
+        return sorted(map(str, rows.collect()))
+
+    assert read(**ENVELOPE_FILES) == read(multiLine=True, columnNameOfCorruptRecord=CORRUPT,
+                                          recursiveFileLookup=True)
+
+
+def test_records_in_an_envelope_follow_their_order_then_their_number(spark, scratch):
+    from skyledger.sources.envelopes import write_envelopes
+    rows = spark.createDataFrame([(3, "b", "x"), (1, "b", "y"), (2, None, "z"), (4, "a", None)],
+                                 "n long, o string, V string")
+    write_envelopes(rows, f"{scratch}/l", "d", ["V"], F.lit("2024-01-01").cast("timestamp"),
+                    F.col("n"), [F.col("o")])
+    line, = spark.read.text(f"{scratch}/l").select("value").collect()
+    assert [r["V"] for r in json.loads(line.value)["data"]] == ["z", None, "y", "x"]

@@ -428,8 +428,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
         pivot_links, parts = _large_buckets(keys, large, rows, nodes, width, percent)
         dealt = dealt.unionAll(parts)
     members = store(map_arrow(_grouped(dealt), close_members, MEMBERS), "members")
-    # the members are few; the texts are dealt once, by address
-    texts = members.join(nodes.select("node", ROW), "node").join(rows.select(ROW, "text"), ROW)
+    # the members are few: only their texts are dealt, once to their groups.  Marks of four
+    # bytes, small enough to broadcast for longest, keep other texts out of the shuffle.
+    wanted = store(nodes.join(members.select("node").distinct(), "node").select("node", ROW),
+                   "wanted-members")
+    marks = store(wanted.select(F.hash(ROW).alias("mark")).distinct(), "wanted-marks")
+    held = store(rows.select(ROW, "text", F.hash(ROW).alias("mark"))
+                 .join(marks, "mark", "left_semi").join(wanted, ROW).select("node", "text"),
+                 "member-texts")
+    texts = members.join(held, "node")
     links = map_arrow(_grouped(texts.select("key", "pair", "side", "node", "signature", "text")),
                       confirmer(width, percent), "a long, b long")
     # a key with several texts: link all of their nodes

@@ -167,3 +167,22 @@ def test_components_of_a_path_and_a_star(spark):
     got = {tuple(r) for r in components(spark.createDataFrame(
         path + star + [(7, 7), (None, 3)], "a long, b long")).collect()}
     assert got == {(i, 0) for i in range(1, 61)} | {(100 + i, 100) for i in range(1, 50)}
+
+
+def test_only_texts_of_close_pairs_are_dealt_to_groups(spark, monkeypatch):
+    stored = {}
+
+    def store(df, name):
+        stored[name] = kept(df, name)
+        return stored[name]
+
+    kept = nd.store
+    monkeypatch.setattr(nd, "store", store)
+    rng = random.Random(5)
+    lone = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(40)]
+    near = lone[0] + " more"
+    rows = [(i, t) for i, t in enumerate([*lone, near, lone[0], None, ""])]
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    linked = {r.doc_id for r in got.where("component_id = 0").collect()}
+    assert linked == {0, 40, 41}
+    assert sorted(r.text for r in stored["member-texts"].collect()) == sorted([lone[0], near])

@@ -318,6 +318,16 @@ def pair_confirmer(width: int, percent: int):
     return run
 
 
+def _texts_of(wanted: DataFrame, rows: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """(node, text) of the ``wanted`` nodes, stored.  Marks of four bytes, small enough to
+    broadcast for longest, keep other texts out of the shuffle."""
+    places = store(nodes.join(wanted, "node").select("node", ROW), f"{name}-places")
+    marks = store(places.select(F.hash(ROW).alias("mark")).distinct(), f"{name}-marks")
+    return store(rows.select(ROW, "text", F.hash(ROW).alias("mark"))
+                 .join(marks, "mark", "left_semi").join(places, ROW).select("node", "text"),
+                 name)
+
+
 def _large_buckets(keys: DataFrame, large: DataFrame, rows: DataFrame, nodes: DataFrame,
                    width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links to pivots and dealt members of the buckets above ``BLOCK`` documents or
@@ -338,8 +348,7 @@ def _large_buckets(keys: DataFrame, large: DataFrame, rows: DataFrame, nodes: Da
             F.col("p.signature").alias("pivot_signature")),
         near_pivot, "node long, pivot long").distinct(), "near-pivot")
     wanted = store(near.select("node").unionAll(near.select("pivot")).distinct(), "wanted")
-    held = store(rows.select(ROW, "text").join(nodes.join(wanted, "node").select("node", ROW), ROW)
-                 .select("node", "text"), "wanted-texts")
+    held = _texts_of(wanted, rows, nodes, "wanted-texts")
     links = store(map_arrow(
         near.join(held, "node").join(held.select(
             F.col("node").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
@@ -428,14 +437,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
         pivot_links, parts = _large_buckets(keys, large, rows, nodes, width, percent)
         dealt = dealt.unionAll(parts)
     members = store(map_arrow(_grouped(dealt), close_members, MEMBERS), "members")
-    # the members are few: only their texts are dealt, once to their groups.  Marks of four
-    # bytes, small enough to broadcast for longest, keep other texts out of the shuffle.
-    wanted = store(nodes.join(members.select("node").distinct(), "node").select("node", ROW),
-                   "wanted-members")
-    marks = store(wanted.select(F.hash(ROW).alias("mark")).distinct(), "wanted-marks")
-    held = store(rows.select(ROW, "text", F.hash(ROW).alias("mark"))
-                 .join(marks, "mark", "left_semi").join(wanted, ROW).select("node", "text"),
-                 "member-texts")
+    # the members are few: only their texts are dealt, once to their groups
+    held = _texts_of(members.select("node").distinct(), rows, nodes, "member-texts")
     texts = members.join(held, "node")
     links = map_arrow(_grouped(texts.select("key", "pair", "side", "node", "signature", "text")),
                       confirmer(width, percent), "a long, b long")

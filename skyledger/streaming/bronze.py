@@ -140,12 +140,7 @@ def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint:
     if not path_exists(spark, written):
         return IngestResult(0, 0, record_schema(known))
     rows = spark.read.parquet(written)
-    bad = F.col("_status").isin("corrupt", "count")
-    total = rows.agg(F.count_distinct("_source_file").alias("files"),
-                     F.count_if(F.col("_status") == "ok").alias("records"),
-                     F.count("_rescued").alias("rescued"),
-                     F.count_distinct(F.when(bad, F.col("_source_file"))).alias("broken"),
-                     F.min(F.when(bad, F.col("_source_file"))).alias("example")).first()
+    total = run_totals(rows).first()
     new = sorted(r.k for r in rows.select(F.explode(F.map_keys("_rescued")).alias("k"))
                  .distinct().collect()) if total.rescued else []  # one row a new field
     save_fields(spark, checkpoint, known, new)
@@ -154,6 +149,20 @@ def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint:
     return IngestResult(total.files, total.records, record_schema(known + new))
 
 
+def run_totals(rows: DataFrame) -> DataFrame:
+    """One row: files, good records, rescued rows and broken files of a run.  Counted by
+    file first, so that distinct files are counted over one row a file."""
+    bad = F.col("_status").isin("corrupt", "count")
+    files = rows.groupBy("_source_file").agg(
+        F.count_if(F.col("_status") == "ok").alias("ok"),
+        F.count("_rescued").alias("rescued"), F.count_if(bad).alias("bad"))
+    broken = F.when(F.col("bad") > 0, F.col("_source_file"))
+    return files.agg(F.count("_source_file").alias("files"),
+                     F.coalesce(F.sum("ok"), F.lit(0)).alias("records"),
+                     F.coalesce(F.sum("rescued"), F.lit(0)).alias("rescued"),
+                     F.count(broken).alias("broken"), F.min(broken).alias("example"))
+
+
 def record_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 

@@ -309,3 +309,15 @@ def test_records_in_an_envelope_follow_their_order_then_their_number(spark, scra
                     F.col("n"), [F.col("o")])
     line, = spark.read.text(f"{scratch}/l").select("value").collect()
     assert [r["V"] for r in json.loads(line.value)["data"]] == ["z", None, "y", "x"]
+
+
+def test_totals_of_a_run_are_counted_by_file_not_over_expanded_rows(spark, capsys):
+    from skyledger.streaming.bronze import run_totals
+    rows = spark.createDataFrame(
+        [("ok", "a", None), ("ok", "a", {"N": "1"}), ("count", "c", None), ("count", "c", None),
+         ("corrupt", "b", None), ("empty", "d", None), ("ok", "b", None)],
+        "_status string, _source_file string, _rescued map<string,string>")
+    assert run_totals(rows).first() == (4, 3, 1, 2, "b")
+    assert run_totals(rows.where("false")).first() == (0, 0, 0, 0, None)
+    run_totals(rows).explain()
+    assert "Expand" not in capsys.readouterr().out

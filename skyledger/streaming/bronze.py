@@ -35,11 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists
+from ..session import path_exists, settings
 from ..sources.envelopes import CORRUPT, ENVELOPE, ENVELOPE_FILES, field_names, record_fields
 
 LINEAGE = ["_source_file", "_record_index", "_collected_at", "_ingestion_ts"]
 FIRST_FILES = 8           # files that the first run takes the fields' columns from
+LISTING_TASKS = 4         # a core, at most
 MAX_FILE_AGE = "36500d"   # older than any history that is loaded after the fact
 
 
@@ -113,6 +114,14 @@ class CorruptEnvelopes(RuntimeError):
         self.files = files
 
 
+def _listing_settings(spark: SparkSession) -> dict[str, str]:
+    """A batch's files are listed by a few tasks a core.  Spark's default is a task a file,
+    up to 10,000, which the driver deals out one by one."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    tasks = LISTING_TASKS * spark.sparkContext.defaultParallelism
+    return {name: str(min(int(spark.conf.get(name, "10000")), tasks))}
+
+
 def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                      max_files_per_trigger: int | None = None,
                      max_file_age: str = MAX_FILE_AGE) -> IngestResult:
@@ -126,16 +135,17 @@ def ingest_envelopes(spark: SparkSession, landing: str, bronze: str, checkpoint:
         known = field_names(spark, landing, FIRST_FILES)
         save_fields(spark, checkpoint, [], known)
     run = uuid.uuid4().hex
-    q = (envelope_stream(spark, landing, known, max_files_per_trigger, max_file_age)
-         .withColumn("_run", F.lit(run))
-         .writeStream.format("parquet")
-         .option("path", bronze)
-         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query")
-         .partitionBy("_run")
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    rows = envelope_stream(spark, landing, known, max_files_per_trigger, max_file_age) \
+        .withColumn("_run", F.lit(run))
+    with settings(spark, _listing_settings(spark)):
+        q = (rows.writeStream.format("parquet")
+             .option("path", bronze)
+             .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query")
+             .partitionBy("_run")
+             .outputMode("append")
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination()  # the source takes settings from the session at each batch
     written = f"{bronze.rstrip('/')}/_run={run}"
     if not path_exists(spark, written):
         return IngestResult(0, 0, record_schema(known))

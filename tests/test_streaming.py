@@ -321,3 +321,29 @@ def test_totals_of_a_run_are_counted_by_file_not_over_expanded_rows(spark, capsy
     assert run_totals(rows.where("false")).first() == (0, 0, 0, 0, None)
     run_totals(rows).explain()
     assert "Expand" not in capsys.readouterr().out
+
+
+def test_files_of_a_batch_are_not_listed_by_a_task_each(spark, scratch):
+    landing, bronze, ckpt = _paths(scratch)
+    files = 8 * spark.sparkContext.defaultParallelism
+    for i in range(files):
+        _envelope(f"{landing}/x/{i}.json", "2024-01-01T00:00:00Z", [{"ID": str(i)}])
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting, None)
+    first = _last_stage(spark)
+    r = ingest_envelopes(spark, landing, bronze, ckpt)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(i) for i in range(first + 1, _last_stage(spark))]
+    assert (r.envelopes, r.records) == (files, files)
+    assert 0 < max(x.numTasks for x in stages if x) < files
+    assert spark.conf.get(setting, None) == before
+
+
+def _last_stage(spark):
+    sc = spark.sparkContext
+    group = f"mark-{time.time()}"
+    sc.setJobGroup(group, "")
+    sc.parallelize([1], 1).count()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    job, = sc.statusTracker().getJobIdsForGroup(group)
+    return max(sc.statusTracker().getJobInfo(job).stageIds)

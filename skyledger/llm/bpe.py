@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -246,36 +247,37 @@ def gather(flat: np.ndarray, start: np.ndarray, at: np.ndarray) -> tuple[np.ndar
     return flat[shift + np.arange(total)], lengths
 
 
-def encoder(vocab_ref, decoded: bool = True):
-    """Batch function: (ids..., text) -> (ids..., tokens array<int>[, decoded])."""
+def token_strings(tokens: dict[int, str]) -> pa.Array:
+    """The token strings, each at the place of its id; null where there is no id."""
+    return pa.array(map(tokens.get, range(max(tokens, default=-1) + 1)), pa.string())
+
+
+def encoder(vocab_ref):
+    """Batch function: (ids..., text) -> (ids..., tokens array<int>, decoded)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocab_ref.value
-        chunks, names = ChunkTable(vocab), vocab["tokens"]
+        chunks, names = ChunkTable(vocab), token_strings(vocab["tokens"])
         for batch in slices(batches, "text", MERGE_BYTES):
             if len(chunks.place) > CACHE_CHUNKS:
                 chunks.clear()
             tokens, ends = chunks.tokens([chunks.split(t) for t in batch.column("text").to_pylist()])
-            offsets = np.append(0, ends)
+            offsets = pa.array(np.append(0, ends), pa.int32())
+            ids = pa.array(tokens, pa.int32())
             rest = batch.drop_columns(["text"])
-            columns = [*rest.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                                               pa.array(tokens, pa.int32()))]
-            if decoded:
-                columns.append(pa.array([" ".join([names[i] for i in tokens[a:b].tolist()])
-                                         for a, b in zip(offsets[:-1].tolist(), ends.tolist())],
-                                        pa.string()))
+            shown = pc.binary_join(pa.ListArray.from_arrays(offsets, names.take(ids)), " ")
             yield pa.RecordBatch.from_arrays(
-                columns, names=[*rest.schema.names, *["tokens", "decoded"][:1 + decoded]])
+                [*rest.columns, pa.ListArray.from_arrays(offsets, ids), shown],
+                names=[*rest.schema.names, "tokens", "decoded"])
 
     return run
 
 
-def encode(df: DataFrame, vocab_path: str, keys: list[str], text: str = "text",
-           decoded: bool = True) -> DataFrame:
+def encode(df: DataFrame, vocab_path: str, keys: list[str], text: str = "text") -> DataFrame:
     """Token ids and decoded text of every whole ``text``.
 
-    Returns ``keys``, ``tokens array<int>`` and, unless ``decoded`` is off, ``decoded
-    string`` for each input row; other columns are left out, so none can clash.  Null and empty texts
+    Returns ``keys``, ``tokens array<int>`` and ``decoded string`` for each input row;
+    other columns are left out, so none can clash.  Null and empty texts
     give an empty array and an empty string; repeated rows come out repeatedly;
     an empty table gives none.  Runs without a shuffle.
     """
@@ -283,8 +285,7 @@ def encode(df: DataFrame, vocab_path: str, keys: list[str], text: str = "text",
     narrow = df.select(*[F.col(k) for k in keys], text_or_empty(text).alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                       for f in narrow.schema.fields if f.name != "text")
-    return map_arrow(narrow, encoder(vocab, decoded), f"{kinds}, tokens array<int>"
-                     + (", decoded string" if decoded else ""))
+    return map_arrow(narrow, encoder(vocab), f"{kinds}, tokens array<int>, decoded string")
 
 
 def decode(df: DataFrame, vocab_path: str, keys: list[str], tokens: str = "tokens") -> DataFrame:

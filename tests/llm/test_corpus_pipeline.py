@@ -93,6 +93,17 @@ def test_bpe_stage(outputs):
     assert all(list(r.tokens) == ids[r.doc_id] and r.n_tokens == len(r.tokens) for r in after)
 
 
+def test_bpe_stage_decodes_every_row(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = [(1, "It's 2 dogs", "en", "s"), (1, "It's 2 dogs", "en", "s"), (2, None, None, None),
+            (None, "", "en", "s"), (3, "école <|endoftext|> 你好", "fr", "t"), (4, "word " * 40000, "en", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = Counter((r.doc_id, r.lang, r.source, r.decoded) for r in cp.bpe(spark, docs, SF).collect())
+    shown = [library.decode(library.encode(t or "", add_special_tokens=False).ids,
+                            skip_special_tokens=False) for _, t, *_ in rows]
+    assert got == Counter((i, lang, source, s) for (i, _, lang, source), s in zip(rows, shown))
+
+
 def test_odd_documents_pass_every_stage(spark):
     rows = [(1, "the dog runs", "en", "s", 1), (1, "the dog runs", "en", "s", 1),
             (2, None, None, None, None), (2, "", "en", None, 0), (None, "the cat sits", "en", "s", 2),

@@ -43,7 +43,9 @@ CONTAINED_PERCENT = 80
 TOP = 2000
 SCORE_SCALE = 2_000_000
 BUCKET_BITS = 28      # of the buckets of pairs and of triples: 32 MB broadcast each
-HELD = 4_000_000      # bucket counts that a task holds before it passes them on
+BLOCK_BITS = 16       # of the buckets counted together: a row a block
+HELD = 1 << 23        # bucket numbers that a task holds before it passes them on: 32 MB
+PART_BYTES = 1024 ** 2   # text worked on at a time where buckets are counted
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _MARK = bytes.maketrans(PIECE_ENDS + b"\t", b"." * len(PIECE_ENDS) + b" ")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))   # odd mixing constants
@@ -74,6 +76,7 @@ def _word_ids(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     places[b"."]
     words = blob.replace(b".", b" . ").split()
     ids = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+    places.default_factory = None   # it refers to ``places``, which would stay till garbage is collected
     return np.append(ids, 0), list(places)
 
 
@@ -107,64 +110,105 @@ def _reach(lang: str, ids: np.ndarray, words: list[bytes], maps: list[np.ndarray
     return reach, buckets
 
 
-def _bucket_counter(maps_ref, bits: int):
+def _bucket_counter(maps_refs, bits: int):
     """Batch function: counts of the buckets of the phrases one word longer than
-    those that the maps know."""
+    those that the maps know, a row a block of buckets (``_bucket_rows``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [np.frombuffer(m, np.uint8) for m in maps_ref.value]
+        maps = [np.frombuffer(m.value, np.uint8) for m in maps_refs]
         size = len(maps) + 2
-        found, counts, held = [], [], 0
-        for batch in slices(batches, "text"):
-            for lang, blob in _blobs(batch):
-                ids, words = _word_ids(blob)
-                reach, buckets = _reach(lang, ids, words, maps, size, bits)
-                at, n = np.unique(buckets[-1][reach[-1][:len(buckets[-1])]], return_counts=True)
-                found.append(at)
-                counts.append(n)
-                held += len(at)
-            if held > HELD:
-                yield from _bucket_rows(found, counts)
-                found, counts, held = [], [], 0
-        if held:
-            yield from _bucket_rows(found, counts)
+        held, n = np.empty(HELD, np.uint32), 0
+        for batch in slices(batches, "text", PART_BYTES):
+            for lang, blob in _blobs(batch, PART_BYTES):
+                reach, buckets = _reach(lang, *_word_ids(blob), maps, size, bits)
+                new = buckets[-1][reach[-1][:len(buckets[-1])]]
+                while len(new):
+                    fits = new[:HELD - n]
+                    held[n:n + len(fits)] = fits
+                    n, new = n + len(fits), new[len(fits):]
+                    if n == HELD:
+                        yield from _bucket_rows(held)
+                        n = 0
+        if n:
+            yield from _bucket_rows(held[:n])
     return run
 
 
-def _bucket_rows(found: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    every, n = np.concatenate(found), np.concatenate(counts)
-    order = np.argsort(every, kind="stable")
-    every, n = every[order], n[order]
-    first = np.flatnonzero(np.diff(every, prepend=-1))
-    every, n = every[first], np.add.reduceat(n, first)
-    for i in range(0, len(every), 1 << 18):
-        part = slice(i, i + (1 << 18))
-        yield pa.RecordBatch.from_arrays([pa.array(every[part], pa.int64()),
-                                          pa.array(n[part], pa.int64())], names=["bucket", "n"])
+def _bucket_rows(held: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Distinct buckets of each block (their last ``BLOCK_BITS`` bits) and how often each
+    is there; ``held`` is sorted.  A block or bucket at a cut comes in two rows."""
+    held.sort()
+    for i in range(0, len(held), 1 << 18):
+        part = held[i:i + (1 << 18)]
+        first = _changes(part)
+        n = np.diff(first, append=len(part)).astype("<u4")
+        every = part[first]
+        block = every >> np.uint32(BLOCK_BITS)
+        start = _changes(block)
+        low = (every & np.uint32((1 << BLOCK_BITS) - 1)).astype("<u2")
+        yield pa.RecordBatch.from_arrays([pa.array(block[start].astype(np.int32)),
+                                          _binaries(low, start), _binaries(n, start)],
+                                         names=["block", "buckets", "n"])
+
+
+def _changes(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values starts."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+
+
+def _binaries(values: np.ndarray, start: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` from each start to the next."""
+    ends = (np.append(start, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(start),
+                                 [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def _block_bits(min_count: int, bits: int):
+    """Batch function: of rows in the order of their blocks, a bitmap of the buckets that
+    reach ``min_count`` for each block that has one.  A task holds one block's counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = -1, np.zeros(1 << min(bits, BLOCK_BITS), np.int64)
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            often = total >= min_count
+            if often.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int32()),
+                     pa.array([np.packbits(often, bitorder="little").tobytes()], pa.binary())],
+                    names=["block", "bits"])
+
+        for batch in batches:
+            for b, buckets, n in zip(*(batch.column(c).to_pylist() for c in ("block", "buckets", "n"))):
+                if b != block:
+                    yield from finished()
+                    block = b
+                    total[:] = 0
+                total[np.frombuffer(buckets, "<u2")] += np.frombuffer(n, "<u4")  # distinct in a row
+        yield from finished()
+    return run
 
 
-def frequent_buckets(docs: DataFrame, min_count: int, shorter: list[bytes],
+def frequent_buckets(docs: DataFrame, min_count: int, shorter: list,
                      bits: int = BUCKET_BITS) -> bytes:
     """Bitmap of the buckets that reach ``min_count`` (2^bits / 8 bytes): of word pairs, or
-    of the phrases one word longer than those of the last of the ``shorter`` bitmaps."""
-    ref = docs.sparkSession.sparkContext.broadcast(shorter)
-    found = (map_arrow(docs, _bucket_counter(ref, bits), "bucket bigint, n bigint")
-             .groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
-    parts = (found.groupBy(F.bitmap_bucket_number("bucket").alias("block"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bucket")).alias("bits")).collect())
-    whole = np.zeros((1 << bits) // 8 or 1, np.uint8)
-    for row in parts:   # at most 2^bits / 32768 + 1 rows; bucket 0 has block 0, others start at 1
-        bits_of = np.unpackbits(np.frombuffer(bytes(row.bits), np.uint8), bitorder="little")
-        buckets = np.flatnonzero(bits_of) + max(row.block - 1, 0) * len(bits_of) + (row.block > 0)
-        np.bitwise_or.at(whole, buckets >> 3, (1 << (buckets & 7)).astype(np.uint8))
-    return whole.tobytes()
-
-
-def _gram_records(maps_ref, bits: int):
+    of the phrases one word longer than those of the last of the ``shorter`` bitmaps
+    (broadcast)."""
+    counted = map_arrow(docs, _bucket_counter(shorter, bits), "block int, buckets binary, n binary")
+    found = map_arrow(counted.repartition("block").sortWithinPartitions("block"),
+                      _block_bits(min_count, bits), "block int, bits binary")
+    whole = bytearray((1 << bits) // 8 or 1)
+    for row in found.collect():   # at most 2^(bits - BLOCK_BITS) rows, together as large as the bitmap
+        at = row.block << (BLOCK_BITS - 3)
+        whole[at:at + len(row.bits)] = row.bits
+    return bytes(whole)
+
+
+def _gram_records(maps_refs, bits: int):
     """Batch function: the longest phrase that starts at each word, counted a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [np.frombuffer(m, np.uint8) for m in maps_ref.value]
+        maps = [np.frombuffer(m.value, np.uint8) for m in maps_refs]
         for batch in slices(batches, "text"):
             for lang, blob in _blobs(batch):
                 ids, words = _word_ids(blob)
@@ -214,12 +258,12 @@ def phrase_counts(df: DataFrame, text: str = "text", lang: str = "lang",
     ``f >= min_count``, and the number of words ``n`` of each language."""
     docs = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                      text_or_empty(text).alias("text"))
-    maps: list[bytes] = []
+    maps: list = []
     for _ in range(2, LONGEST):
-        maps.append(frequent_buckets(docs, min_count, maps, bits))
-    ref = docs.sparkSession.sparkContext.broadcast(maps)
+        found = frequent_buckets(docs, min_count, maps, bits)
+        maps.append(docs.sparkSession.sparkContext.broadcast(found))
     records = store(
-        map_arrow(docs, _gram_records(ref, bits),
+        map_arrow(docs, _gram_records(maps, bits),
                   "lang string, phrase string, words tinyint, n bigint")
         .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")), "phrase-records")
     level = records.where(F.col("words") == LONGEST)

@@ -127,6 +127,48 @@ def test_long_texts_are_cut_at_piece_ends_only(spark, monkeypatch):
     assert len(parts) > 5
 
 
+def test_words_of_a_slice_are_not_kept():
+    """A task's memory would grow with the text it reads until garbage is collected."""
+    import gc
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(20):
+            P._word_ids(b"a b c. a b")
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
+
+
+def test_bucket_counts_are_passed_on_by_blocks(monkeypatch):
+    """With few numbers held, blocks and buckets come in several rows; a row's counts
+    are those of a block's buckets."""
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(P, "HELD", 50)
+    rows = corpus(5)
+    batch = pa.record_batch({"lang": [r[2] or "und" for r in rows], "text": [r[1] or "" for r in rows]})
+    for bits in (4, 20):
+        want = Counter()
+        for lang, blob in P._blobs(batch):
+            reach, buckets = P._reach(lang, *P._word_ids(blob), [], 2, bits)
+            want.update(buckets[-1][reach[-1][:len(buckets[-1])]].tolist())
+        out = list(P._bucket_counter([], bits)(iter([batch])))
+        got = Counter()
+        for r in (r for b in out for r in b.to_pylist()):
+            n = np.frombuffer(r["n"], "<u4")
+            assert n.sum() <= P.HELD
+            for low, c in zip(np.frombuffer(r["buckets"], "<u2").tolist(), n.tolist()):
+                got[r["block"] << P.BLOCK_BITS | low] += c
+        assert got == want and len(out) > 10
+        ordered = pa.Table.from_batches(out).sort_by("block").to_batches(max_chunksize=3)
+        often = set()
+        for r in (r for b in P._block_bits(3, bits)(iter(ordered)) for r in b.to_pylist()):
+            at = np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little"))
+            often |= {r["block"] << P.BLOCK_BITS | i for i in at.tolist()}
+        assert often == {b for b, c in want.items() if c >= 3}
+
+
 def test_query_matches_sql(spark):
     report = compare(P.op13_phrases(spark, SF_CHECK), duck_connect(SF_CHECK), P.ORACLE)
     assert report["ok"] and report["spark_rows"] > 50, report

@@ -150,6 +150,31 @@ def test_latest_stream_equals_batch_dedup(spark):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
+def test_latest_state_has_a_partition_a_core_at_most(spark, scratch):
+    """Every micro-batch commits and writes each of them.  A restart with other settings
+    goes on with the state that is there; the session's setting stays as it was."""
+    from skyledger.session import settings
+    from skyledger.streaming.latest import keep_latest, read_latest
+    landing, schema = f"{scratch}/in", "k int, at int, v string"
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(landing)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(landing)
+        keep_latest(stream, f"{scratch}/out", f"{scratch}/ckpt", ["k"], F.struct("at"))
+        return {tuple(r) for r in read_latest(spark, f"{scratch}/out", ["k"]).collect()}
+
+    cores = spark.sparkContext.defaultParallelism
+    with settings(spark, {"spark.sql.shuffle.partitions": str(5 * cores)}):
+        first = run([(i, 1, "a") for i in range(300)] + [(None, 1, "n"), (None, 2, "o")])
+        assert first == {(i, 1, "a") for i in range(300)} | {(None, 2, "o")}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(5 * cores)
+    states = [p for p in os.listdir(f"{scratch}/ckpt/state/0") if p.isdigit()]
+    assert len(states) == cores
+    again = run([(7, 2, "b"), (8, 0, "late"), (300, 1, "new"), (None, 1, "late")])
+    assert again == first - {(7, 1, "a")} | {(7, 2, "b"), (300, 1, "new")}
+    assert len([p for p in os.listdir(f"{scratch}/ckpt/state/0") if p.isdigit()]) == cores
+
+
 def _paths(scratch):
     return f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt"
 
